@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Date and time with a mandatory offset; seconds, fraction and the parts of the offset may be missing.
-_ISO_OFFSET = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}(:\d{2}(:\d{2})?)?)$"
+_ISO_OFFSET = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}(:\d{2}(:\d{2})?)?)\z"
 _NO_SECONDS = r"^(.{10}T\d{2}:\d{2})(Z|[+-])"
 
 
@@ -19,7 +19,8 @@ def parse_iso_offset(text: Column) -> Column:
     """
     upper = F.upper(text)
     completed = F.regexp_replace(upper, _NO_SECONDS, "$1:00$2")
-    return F.when(upper.rlike(_ISO_OFFSET), completed.try_cast("timestamp"))
+    instant = F.coalesce(upper.try_cast("timestamp"), completed.try_cast("timestamp"))
+    return F.when(upper.rlike(_ISO_OFFSET), instant)
 
 
 def event_time(text: Column, fallback: Column | str = "null") -> Column:

@@ -8,7 +8,7 @@ rejects numbers in quotes or with a fraction. The rules, per type of field:
 * BOOLEAN: absent, null or blank is false; true/false in lower, upper or title case; integers are true
   unless zero;
 * DOUBLE: absent, null or blank is NULL; numbers, ``NaN`` and infinities in quotes;
-* STRING: taken as it is, numbers and booleans in their text form.
+* STRING: taken as it is, numbers and booleans in their text form (``1.50`` as ``1.5``).
 
 Read as text, the string ``"44.0"`` cannot be told from the number 44.0 and is accepted as one.
 Unknown fields are ignored. A value that is no JSON object is malformed.
@@ -34,11 +34,12 @@ STRICT_JSON = {
     "allowNonNumericNumbers": "false",
 }
 
-_NUMBER = r"^[+-]?\d+(\.\d+)?([eE][+-]?\d+)?$"
-_REAL = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-_INTEGER = r"^[+-]?\d+$"
-_ZERO = r"^[+-]?0+$"
-_REAL_WORDS = ("NaN", "Infinity", "-Infinity", "INF", "-INF")
+_NUMBER = r"^[+-]?\d+(\.\d+)?([eE][+-]?\d+)?\z"
+_REAL = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"
+_INTEGER = r"^[+-]?\d+\z"
+_ZERO = r"^[+-]?0+\z"
+# The quoted ones are how the JSON reader spells a number too large for a double.
+_REAL_WORDS = ("NaN", "Infinity", "-Infinity", "INF", "-INF", '"Infinity"', '"-Infinity"')
 _TRUE_WORDS = ("true", "True", "TRUE")
 _FALSE_WORDS = ("false", "False", "FALSE")
 _INT_MIN, _INT_MAX = -2147483648.0, 2147483647.0
@@ -57,12 +58,14 @@ def _blank(text: Column) -> Column:
 def _to_int(text: Column) -> Column:
     trimmed = F.trim(text)
     number = trimmed.try_cast("double")
-    return F.when(trimmed.rlike(_NUMBER) & number.between(_INT_MIN, _INT_MAX), number.try_cast("int"))
+    with_fraction = F.when(trimmed.rlike(_NUMBER) & number.between(_INT_MIN, _INT_MAX), number.try_cast("int"))
+    return F.coalesce(trimmed.try_cast("int"), with_fraction)
 
 
 def _to_double(text: Column) -> Column:
     trimmed = F.trim(text)
-    return F.when(trimmed.rlike(_REAL) | trimmed.isin(*_REAL_WORDS), trimmed.try_cast("double"))
+    unquoted = F.replace(trimmed, F.lit('"'), F.lit(""))
+    return F.when(trimmed.rlike(_REAL) | trimmed.isin(*_REAL_WORDS), unquoted.try_cast("double"))
 
 
 def _to_boolean(text: Column) -> Column:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from math import ceil
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from racestream.session import materialize
+from racestream.session import written
 
 # A key up to this many rows is ordered by a single task.
 MAX_GROUP_ROWS = 4_000_000
@@ -27,38 +29,47 @@ def carry_forward(
 ) -> DataFrame:
     """Adds ``result``: the latest non-null ``value`` at or before each row, among rows of equal ``keys``.
 
-    ``order`` must be unique within a key. Keys are nearly always small enough for a plain window. Their
-    sizes are counted first, in one aggregation over the key columns; if some key is larger than
-    ``max_group_rows``, the rows are cut into even ranges of ``keys + order`` instead, which splits a large
-    key over many tasks. Both ways are exact. ``max_group_rows=None`` skips the count, for callers who know
-    that their keys are small.
-    """
-    if max_group_rows is not None:
-        sizes = rows.groupBy(*keys).count().agg(F.max("count").alias("largest"), F.sum("count").alias("total")).first()
-        if sizes.largest is not None and sizes.largest > max_group_rows:
-            slices = ceil(sizes.total / max_group_rows) + 1
-            return _carry_over_slices(rows, keys, order, value, result, slices)
-    return _carry_within(rows, keys, order, value, result)
-
+    ``order`` must be unique within a key. A key is ordered by one task with a plain window, unless it has
+    more than ``max_group_rows`` rows. Such keys are cut into even ranges of ``order``, many tasks each,
+    and the ranges then hand their last value on. Both ways are exact and give the same rows.
 
-def _carry_within(
-    rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str, result: str
-) -> DataFrame:
+    The sizes of the keys are counted first, in an aggregation that reads the key columns only;
+    ``max_group_rows=None`` skips the count, for callers who know that their keys are small.
+    """
+    if max_group_rows is None:
+        return _within(rows, keys, order, value, result)
+    counts = rows.groupBy(*keys).count()
+    largest = counts.agg(F.max("count").alias("rows")).first().rows
+    if largest is None or largest <= max_group_rows:
+        return _within(rows, keys, order, value, result)
+
+    # At most total / max_group_rows keys are crowded; Spark broadcasts the table if it is small.
+    crowded = written(counts.where(F.col("count") > max_group_rows), "crowded-keys")
+    slices = ceil(crowded.agg(F.sum("count").alias("rows")).first().rows / max_group_rows) + 1
+    crowded = crowded.select(*[F.col(k).alias(f"_crowded_{k}") for k in keys])
+    is_crowded = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_crowded_{k}")) for k in keys])
+    others = _within(rows.join(crowded, is_crowded, "left_anti"), keys, order, value, result)
+    split = _across_slices(rows.join(crowded, is_crowded, "left_semi"), keys, order, value, result, slices)
+    return others.unionByName(split)
+
+
+def _within(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str, result: str) -> DataFrame:
     so_far = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return rows.withColumn(result, F.last(value, ignorenulls=True).over(so_far))
 
 
-def _carry_over_slices(
+def _across_slices(
     rows: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, result: str, slices: int
 ) -> DataFrame:
-    # The checkpoint pins the slice of each row: range bounds are sampled, and must not be sampled twice.
-    sliced = materialize(rows.repartitionByRange(slices, *keys, *order).withColumn(_SLICE, F.spark_partition_id()))
+    # Written, to pin the slice of each row: the bounds of the ranges are sampled, and must not be sampled twice.
+    ranges = rows.repartitionByRange(slices, *keys, *order)
+    sliced = written(ranges.withColumn(_SLICE, F.spark_partition_id()), "slices")
 
     # The last value of each key in each slice: one row per slice a key spans, aggregated before the shuffle.
-    position = F.when(F.col(value).isNotNull(), F.struct(*order))
-    tails = sliced.groupBy(*keys, _SLICE).agg(F.max_by(value, position).alias("_tail"))
+    place = F.when(F.col(value).isNotNull(), F.struct(*order))
+    tails = sliced.groupBy(*keys, _SLICE).agg(F.max_by(value, place).alias("_tail"))
 
-    # What the earlier slices of the key hand over; a key spans at most `slices` of them.
+    # What the earlier slices of a key hand on; a key spans at most `slices` of them.
     earlier = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     heads = (
         tails.withColumn(value, F.last("_tail", ignorenulls=True).over(earlier))
@@ -66,7 +77,7 @@ def _carry_over_slices(
         .select(*keys, _SLICE, value, F.lit(True).alias(_HEAD))
     )
 
-    # A handed-over value becomes the first row of its slice.
+    # A value handed on becomes the first row of its slice.
     together = sliced.withColumn(_HEAD, F.lit(False)).unionByName(heads, allowMissingColumns=True)
-    carried = _carry_within(together, [*keys, _SLICE], [F.col(_HEAD).desc(), *order], value, result)
+    carried = _within(together, [*keys, _SLICE], [F.col(_HEAD).desc(), *order], value, result)
     return carried.where(~F.col(_HEAD)).drop(_HEAD, _SLICE)

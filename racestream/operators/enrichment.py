@@ -21,10 +21,14 @@ from pyspark.sql import functions as F
 from racestream import schemas
 from racestream.functions.json_codec import encode
 from racestream.operators.carry_forward import MAX_GROUP_ROWS, carry_forward
+from racestream.session import written
 
 KEYS = ("driver_number", "lap_number")
 SESSION_KEYS = ("session_key", "driver_number", "lap_number")
 
+# Rows of the pit-stop side, a few fixed-width columns each, that may be sent to every executor.
+MAX_BROADCAST_ROWS = 1_000_000
+
 # Among equal times laps precede pit stops.
 LAP_RANK, PIT_RANK = 0, 1
 ARRIVAL_ORDER = ("t", "source_rank", "seq")
@@ -65,15 +69,20 @@ def latest_pits(pits: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return pits.groupBy(*keys).agg(F.max_by("pit_duration", F.struct("t", "seq")).alias("pit_duration"))
 
 
-def enrich_complete(laps: DataFrame, pits: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+def enrich_complete(
+    laps: DataFrame, pits: DataFrame, keys: Sequence[str] = KEYS, max_broadcast_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
     """One row per lap, with the latest pit stop of its key.
 
-    One side has a single row per key, so the join never multiplies rows. It is left to adaptive
-    execution: a small side is broadcast once its size is known, and the laps of a crowded key are split
-    over several tasks.
+    The latest pit stops are written first, which tells their number. Up to ``max_broadcast_rows`` they are
+    sent to the laps, which then are not shuffled at all. Beyond, both sides are joined by key: one of them
+    has a single row per key, so rows never multiply, and adaptive execution splits the laps of a crowded
+    key over several tasks.
     """
-    joined = laps.join(latest_pits(pits, keys), list(keys), "left")
-    return project(joined, "seq")
+    latest = written(latest_pits(pits, keys), "latest-pit-stops")
+    if latest.count() <= max_broadcast_rows:
+        latest = F.broadcast(latest)
+    return project(laps.join(latest, list(keys), "left"), "seq")
 
 
 def enriched_json(enriched: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -19,40 +19,56 @@ from pyspark.sql import types as T
 from racestream import settings
 
 
-def _schema(ddl: str, optional: tuple[str, ...] = ()) -> T.StructType:
-    fields = T.StructType.fromDDL(ddl).fields
-    return T.StructType([T.StructField(f.name, f.dataType, f.name in optional) for f in fields])
+_INT, _DOUBLE, _BOOLEAN, _STRING = T.IntegerType(), T.DoubleType(), T.BooleanType(), T.StringType()
 
 
-POSITIONS = _schema("session_key INT, driver_number INT, position INT, date STRING", optional=("date",))
+def _schema(required: dict[str, T.DataType], optional: dict[str, T.DataType], order: str) -> T.StructType:
+    types = {**required, **optional}
+    return T.StructType([T.StructField(name, types[name], name in optional) for name in order.split()])
+
+
+POSITIONS = _schema(
+    {"session_key": _INT, "driver_number": _INT, "position": _INT},
+    {"date": _STRING},
+    "session_key driver_number position date",
+)
 
 LAPS = _schema(
-    "session_key INT, driver_number INT, lap_number INT, lap_duration DOUBLE, date_start STRING, is_pit_out_lap BOOLEAN",
-    optional=("lap_duration", "date_start"),
+    {"session_key": _INT, "driver_number": _INT, "lap_number": _INT, "is_pit_out_lap": _BOOLEAN},
+    {"lap_duration": _DOUBLE, "date_start": _STRING},
+    "session_key driver_number lap_number lap_duration date_start is_pit_out_lap",
 )
 
 PIT_STOPS = _schema(
-    "session_key INT, driver_number INT, lap_number INT, pit_duration DOUBLE, date STRING",
-    optional=("pit_duration", "date"),
+    {"session_key": _INT, "driver_number": _INT, "lap_number": _INT},
+    {"pit_duration": _DOUBLE, "date": _STRING},
+    "session_key driver_number lap_number pit_duration date",
 )
 
 RACE_CONTROL = _schema(
-    "session_key INT, message STRING, category STRING, flag STRING, date STRING, driver_number INT",
-    optional=("message", "category", "flag", "date", "driver_number"),
+    {"session_key": _INT},
+    {"message": _STRING, "category": _STRING, "flag": _STRING, "date": _STRING, "driver_number": _INT},
+    "session_key message category flag date driver_number",
 )
 
-LEADERBOARD = T.StructType.fromDDL("type STRING, rankings MAP<INT, INT>")
+LEADERBOARD = _schema({"type": _STRING, "rankings": T.MapType(_INT, _INT)}, {}, "type rankings")
 
 LAPS_ENRICHED = T.StructType(
-    LAPS.fields + [T.StructField("pit_duration", T.DoubleType(), True), T.StructField("had_pit_stop", T.BooleanType(), False)]
+    [*LAPS.fields, T.StructField("pit_duration", _DOUBLE, True), T.StructField("had_pit_stop", _BOOLEAN, False)]
 )
 
-ALERTS = T.StructType.fromDDL(
-    "type STRING, severity STRING, flag STRING, category STRING, message STRING, date STRING, driver_number INT, session_key INT"
+ALERTS = _schema(
+    {"type": _STRING, "severity": _STRING, "session_key": _INT},
+    {"flag": _STRING, "category": _STRING, "message": _STRING, "date": _STRING, "driver_number": _INT},
+    "type severity flag category message date driver_number session_key",
 )
 
 # One record of a topic, as read from a broker or from a directory standing in for one.
-TOPIC_RECORD = T.StructType.fromDDL("key STRING, value STRING, ingest_time TIMESTAMP, partition INT, offset BIGINT")
+TOPIC_RECORD = _schema(
+    {},
+    {"key": _STRING, "value": _STRING, "ingest_time": T.TimestampType(), "partition": _INT, "offset": T.LongType()},
+    "key value ingest_time partition offset",
+)
 
 
 @dataclass(frozen=True)

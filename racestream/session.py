@@ -1,4 +1,4 @@
-"""Session helpers: fixed time zone and the shared folder for checkpoints and written tables."""
+"""Session helpers: fixed time zone, the shared folder, and written tables in it."""
 
 from __future__ import annotations
 
@@ -31,9 +31,11 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/racestream/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, which survives the loss of executors."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows as a table in the shared folder.
+
+    This cuts the lineage, survives the loss of executors, and lets later steps read single columns.
+    """
+    folder = new_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

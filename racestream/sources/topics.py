@@ -114,7 +114,8 @@ class FileTopics:
         records = messages.select(
             "topic", "key", "value", optional("time", "ingest_time"), F.lit(0).alias("partition"), optional("seq", "offset")
         )
-        records.write.mode("append").partitionBy("topic").format(self.format).save(self.root)
+        ordered = records.sortWithinPartitions("topic", "ingest_time", "offset")
+        ordered.write.mode("append").partitionBy("topic").format(self.format).save(self.root)
 
     def write_stream(self, messages: DataFrame, topic: str, checkpoint: str) -> DataStreamWriter:
         writer = messages.select("value").writeStream.format(self.format).option("path", self.path(topic))

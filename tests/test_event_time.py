@@ -1,0 +1,64 @@
+from datetime import datetime, timedelta, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from racestream.functions.event_time import event_time
+
+UTC = timezone.utc
+BASE = datetime(2023, 5, 28, 13, 0, 0, tzinfo=UTC)
+
+ACCEPTED = [
+    ("2023-05-28T13:00:00.123456+00:00", BASE.replace(microsecond=123456)),
+    ("2023-05-28T13:00:00.123456789Z", BASE.replace(microsecond=123456)),
+    ("2023-05-28T13:00:00.5Z", BASE.replace(microsecond=500000)),
+    ("2023-05-28T13:00:00+02:00", BASE - timedelta(hours=2)),
+    ("2023-05-28T13:00:00+00", BASE),
+    ("2023-05-28T13:00:00-05", BASE + timedelta(hours=5)),
+    ("2023-05-28T13:00:00+01:02:03", BASE - timedelta(hours=1, minutes=2, seconds=3)),
+    ("2023-05-28T13:00Z", BASE),
+    ("2023-05-28T13:00+05:30", BASE - timedelta(hours=5, minutes=30)),
+    ("2023-05-28t13:00:00z", BASE),
+    ("1969-12-31T23:59:59Z", datetime(1969, 12, 31, 23, 59, 59, tzinfo=UTC)),
+]
+
+REJECTED = [
+    None, "", "soon", "2023-05-28T13:00:00", "2023-05-28", "2023-05-28 13:00:00+00:00", " 2023-05-28T13:00:00Z",
+    "2023-05-28T13:00:00Z ", "2023-05-28T13:00:00+0000", "2023-02-30T13:00:00Z", "2023-05-28T24:00:00Z",
+    "2023-05-28T13Z", "2023-05-28T13:00:00.Z", "2023-05-28T13:00:00.1234567890Z", "+12023-05-28T13:00:00Z",
+    "2023-13-01T00:00:00Z", "2023-05-28T13:00:00+19:00", "2023-05-28T13:00:00Z\n",
+]
+
+
+EPOCH = datetime.fromtimestamp(0, UTC)
+
+
+def parse(spark, texts, fallback):
+    df = spark.createDataFrame([(i, text) for i, text in enumerate(texts)], "i INT, s STRING")
+    rows = df.select("i", F.unix_micros(event_time(F.col("s"), fallback)).alias("m")).orderBy("i").collect()
+    return [None if r.m is None else EPOCH + timedelta(microseconds=r.m) for r in rows]
+
+
+def test_accepted(spark):
+    texts, expected = zip(*ACCEPTED)
+    for fallback in ("null", "epoch"):
+        assert parse(spark, texts, fallback) == list(expected)
+
+
+def test_rejected(spark):
+    for fallback, expected in (("null", None), ("epoch", EPOCH), (F.lit(BASE), BASE)):
+        got = parse(spark, REJECTED, fallback)
+        assert [text for text, t in zip(REJECTED, got) if t != expected] == []
+
+
+def test_unknown_fallback(spark):
+    with pytest.raises(ValueError):
+        event_time(F.col("s"), "now")
+
+
+def test_independent_of_session_time_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        assert parse(spark, ["2023-05-28T13:00:00+02:00", "x"], "epoch") == [BASE - timedelta(hours=2), EPOCH]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
