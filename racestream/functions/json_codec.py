@@ -16,9 +16,6 @@ Unknown fields are ignored. A value that is no JSON object is malformed.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,15 +31,21 @@ STRICT_JSON = {
     "allowNonNumericNumbers": "false",
 }
 
-_NUMBER = r"^[+-]?\d+(\.\d+)?([eE][+-]?\d+)?\z"
-_REAL = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"
-_INTEGER = r"^[+-]?\d+\z"
-_ZERO = r"^[+-]?0+\z"
-# The quoted ones are how the JSON reader spells a number too large for a double.
-_REAL_WORDS = ("NaN", "Infinity", "-Infinity", "INF", "-INF", '"Infinity"', '"-Infinity"')
-_TRUE_WORDS = ("true", "True", "TRUE")
-_FALSE_WORDS = ("false", "False", "FALSE")
-_INT_MIN, _INT_MAX = -2147483648.0, 2147483647.0
+# SQL of the typed value of a field, given its trimmed text; NULL if the text does not fit the type. Words of
+# a double in quotes are how the JSON reader spells numbers too large for one.
+_CONVERT = {
+    T.IntegerType(): r"""coalesce(try_cast({text} AS INT),
+        CASE WHEN {text} RLIKE r'^[+-]?\d+(\.\d+)?([eE][+-]?\d+)?\z'
+            AND try_cast({text} AS DOUBLE) BETWEEN -2147483648D AND 2147483647D
+        THEN try_cast(try_cast({text} AS DOUBLE) AS INT) END)""",
+    T.DoubleType(): r"""CASE WHEN {text} RLIKE r'^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z'
+            OR {text} IN ('NaN', 'Infinity', '-Infinity', 'INF', '-INF', '"Infinity"', '"-Infinity"')
+        THEN try_cast(replace({text}, '"', '') AS DOUBLE) END""",
+    T.BooleanType(): r"""CASE WHEN {text} IN ('true', 'True', 'TRUE') THEN true
+        WHEN {text} IN ('false', 'False', 'FALSE') THEN false
+        WHEN {text} RLIKE r'^[+-]?\d+\z' THEN NOT {text} RLIKE r'^[+-]?0+\z' END""",
+}
+_DEFAULT = {T.IntegerType(): "0", T.DoubleType(): "NULL", T.BooleanType(): "false"}
 
 
 def text_schema(schema: T.StructType) -> T.StructType:
@@ -51,47 +54,15 @@ def text_schema(schema: T.StructType) -> T.StructType:
     return T.StructType(fields + [T.StructField(_CORRUPT, T.StringType())])
 
 
-def _blank(text: Column) -> Column:
-    return text.isNull() | F.trim(text).isin("", "null")
-
-
-def _to_int(text: Column) -> Column:
-    trimmed = F.trim(text)
-    number = trimmed.try_cast("double")
-    with_fraction = F.when(trimmed.rlike(_NUMBER) & number.between(_INT_MIN, _INT_MAX), number.try_cast("int"))
-    return F.coalesce(trimmed.try_cast("int"), with_fraction)
-
-
-def _to_double(text: Column) -> Column:
-    trimmed = F.trim(text)
-    unquoted = F.replace(trimmed, F.lit('"'), F.lit(""))
-    return F.when(trimmed.rlike(_REAL) | trimmed.isin(*_REAL_WORDS), unquoted.try_cast("double"))
-
-
-def _to_boolean(text: Column) -> Column:
-    trimmed = F.trim(text)
-    return (
-        F.when(trimmed.isin(*_TRUE_WORDS), F.lit(True))
-        .when(trimmed.isin(*_FALSE_WORDS), F.lit(False))
-        .when(trimmed.rlike(_INTEGER), ~trimmed.rlike(_ZERO))
-    )
-
-
-_CONVERTERS = {
-    T.IntegerType(): (_to_int, 0),
-    T.DoubleType(): (_to_double, None),
-    T.BooleanType(): (_to_boolean, False),
-}
-
-
-def _convert(text: Column, field: T.StructField) -> tuple[Column, Column]:
-    """Typed value of a field, and whether its text does not fit the type."""
+def _convert(source: str, field: T.StructField) -> tuple[str, str]:
+    """SQL of the typed value of a field, and of whether its text does not fit the type."""
     if isinstance(field.dataType, T.StringType):
-        return text, F.lit(False)
-    converter, default = _CONVERTERS[field.dataType]
-    value = converter(text)
-    blank_value = F.lit(None if field.nullable else default).cast(field.dataType)
-    return F.when(_blank(text), blank_value).otherwise(value), ~_blank(text) & value.isNull()
+        return source, "false"
+    text = f"trim({source})"
+    value = _CONVERT[field.dataType].format(text=text)
+    blank = f"({source} IS NULL OR {text} IN ('', 'null'))"
+    default = "NULL" if field.nullable else _DEFAULT[field.dataType]
+    return f"CASE WHEN {blank} THEN {default} ELSE {value} END", f"(NOT {blank} AND {value} IS NULL)"
 
 
 def coerce(df: DataFrame, schema: T.StructType, text: str | None, keep: list[str]) -> DataFrame:
@@ -99,18 +70,12 @@ def coerce(df: DataFrame, schema: T.StructType, text: str | None, keep: list[str
 
     ``text`` names the struct holding the texts; None means that they are columns of ``df``.
     """
-    def source(name: str) -> Column:
-        return F.col(name) if text is None else F.col(text)[name]
-
-    converted = [(f.name, *_convert(source(f.name), f)) for f in schema.fields]
-    unreadable = source(_CORRUPT).isNotNull()
-    if text is not None:
-        unreadable = F.col(text).isNull() | unreadable
-    malformed = reduce(or_, [bad for _, _, bad in converted], unreadable)
-    return df.select(
-        *[value.alias(name) for name, value, _ in converted],
-        *keep,
-        F.coalesce(malformed, F.lit(True)).alias(MALFORMED),
+    prefix = "" if text is None else f"{text}."
+    converted = [(f.name, *_convert(f"{prefix}`{f.name}`", f)) for f in schema.fields]
+    unreadable = [f"{prefix}{_CORRUPT} IS NOT NULL"] + ([] if text is None else [f"{text} IS NULL"])
+    malformed = " OR ".join([*unreadable, *[bad for _, _, bad in converted]])
+    return df.selectExpr(
+        *[f"{value} AS `{name}`" for name, value, _ in converted], *[f"`{c}`" for c in keep], f"{malformed} AS {MALFORMED}"
     )
 
 

@@ -5,143 +5,132 @@ The defect of a row depends on its ``seq``; every row of the table takes part.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from racestream.functions.json_codec import encode
 from racestream.schemas import LAPS, POSITIONS, RACE_CONTROL
 
-KINDS = 16
-
-
-def _by_kind(seq: Column, texts: dict[int, Column], otherwise: Column, kinds: int = KINDS) -> Column:
-    cases = F
-    for kind, text in texts.items():
-        cases = cases.when(seq % kinds == kind, text)
-    return cases.otherwise(otherwise)
-
-
-def _document(**fields: Column) -> Column:
-    """JSON text from ready-made field texts, so that they need not be valid."""
-    parts = [F.concat(F.lit(f'"{name}":'), text) for name, text in fields.items()]
-    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
-
-
-def _text(name: str) -> Column:
-    return F.col(name).cast("string")
-
-
-def _quoted(name: str) -> Column:
-    return F.concat(F.lit('"'), _text(name), F.lit('"'))
-
-
-def positions(table: DataFrame) -> DataFrame:
-    """``seq, value``: one document per position, some defective."""
-    def document(driver: Column) -> Column:
-        return _document(
-            session_key=_text("session_key"), driver_number=driver, position=_text("position"), date=_quoted("date")
-        )
-
-    intact = document(_text("driver_number"))
-    texts = {
-        0: document(_quoted("driver_number")),
-        1: document(F.concat(_text("driver_number"), F.lit(".7"))),
-        2: _document(session_key=_text("session_key"), position=_text("position"), date=_quoted("date")),
-        3: document(F.lit("null")),
-        4: document(F.lit('""')),
-        5: document(F.lit("true")),
-        6: document(F.lit("3000000000")),
-        7: F.concat(F.lit('{"session_key":'), _text("session_key"), F.lit(",")),
-        8: F.lit(""),
-        9: F.concat(F.lit("["), intact, F.lit("]")),
-        10: _document(unknown=F.lit('{"a":[1,2]}'), driver_number=_text("driver_number"), position=_text("position")),
-        11: F.concat(intact, F.lit('{"position":99}')),
-        12: document(F.concat(F.lit('" '), _text("driver_number"), F.lit(' "'))),
-        13: document(F.concat(_text("driver_number"), F.lit("e0"))),
-        14: F.lit(None).cast("string"),
-    }
-    return table.select("seq", _by_kind(F.col("seq"), texts, intact).alias("value"))
-
-
-def laps(table: DataFrame) -> DataFrame:
-    """``seq, value``: one document per lap, some defective."""
-    def document(duration: Column, pit_out: Column) -> Column:
-        return _document(
-            session_key=_text("session_key"),
-            driver_number=_text("driver_number"),
-            lap_number=_text("lap_number"),
-            lap_duration=duration,
-            date_start=_quoted("date_start"),
-            is_pit_out_lap=pit_out,
-        )
-
-    duration = F.coalesce(_text("lap_duration"), F.lit("null"))
-    pit_out = _text("is_pit_out_lap")
-    texts = {
-        0: document(F.concat(F.lit('"'), duration, F.lit('"')), pit_out),
-        1: document(F.lit('""'), pit_out),
-        2: document(duration, F.lit("1")),
-        3: document(duration, F.lit("0")),
-        4: document(duration, F.lit('"True"')),
-        5: document(duration, F.lit('"FALSE"')),
-        6: document(duration, F.lit("null")),
-        7: document(duration, F.lit('""')),
-        8: document(duration, F.lit('"yes"')),
-        9: document(F.lit('"fast"'), pit_out),
-        10: document(F.lit("NaN"), pit_out),
-        11: document(F.lit("{}"), pit_out),
-        12: document(F.lit("90"), pit_out),
-        13: document(F.lit("9.05e1"), pit_out),
-    }
-    return table.select("seq", _by_kind(F.col("seq"), texts, document(duration, pit_out)).alias("value"))
-
-
-def race_control(table: DataFrame) -> DataFrame:
-    """``seq, value``: one document per message, some defective."""
-    def document(driver: str, message: str) -> Column:
-        return _document(
-            session_key=_text("session_key"), message=F.lit(message), flag=F.lit("null"), driver_number=F.lit(driver)
-        )
-
-    texts = {
-        0: document("44", '"DRS DISABLED"'),
-        1: document("null", "5"),
-        2: document('""', "true"),
-        3: document('"44"', "null"),
-        4: document("[44]", '"x"'),
-        5: document("44", "'x'"),
-        6: F.lit("null"),
-        7: F.lit("{}"),
-    }
-    return table.select("seq", _by_kind(F.col("seq"), texts, encode(*RACE_CONTROL.names), 12).alias("value"))
-
-
 SCHEMAS = {"positions": POSITIONS, "laps": LAPS, "race_control": RACE_CONTROL}
-DERIVE = {"positions": positions, "laps": laps, "race_control": race_control}
+
+KINDS = {"positions": 16, "laps": 16, "race_control": 12}
+
+
+def _document(**fields: str) -> str:
+    """SQL for JSON text from the SQL of its field texts, which need not be valid JSON."""
+    parts = ["'{'"]
+    for i, (name, text) in enumerate(fields.items()):
+        parts += [f"""'{"," if i else ""}"{name}":'""", text]
+    return f"concat({', '.join(parts)}, '}}')"
+
+
+def _quoted(text: str) -> str:
+    return f"""concat('"', {text}, '"')"""
+
+
+def _position(driver: str) -> str:
+    return _document(session_key="session_key", driver_number=driver, position="position", date=_quoted("date"))
+
+
+def _lap(duration: str = "coalesce(string(lap_duration), 'null')", pit_out: str = "string(is_pit_out_lap)") -> str:
+    return _document(
+        session_key="session_key",
+        driver_number="driver_number",
+        lap_number="lap_number",
+        lap_duration=duration,
+        date_start=_quoted("date_start"),
+        is_pit_out_lap=pit_out,
+    )
+
+
+def _message(driver: str, message: str) -> str:
+    return _document(session_key="session_key", message=f'"{message}"', flag="'null'", driver_number=f"'{driver}'")
+
+
+_INTACT_POSITION = _position("driver_number")
+
+_KINDS = {
+    "positions": {
+        0: _position(_quoted("driver_number")),
+        1: _position("concat(driver_number, '.7')"),
+        2: _document(session_key="session_key", position="position", date=_quoted("date")),
+        3: _position("'null'"),
+        4: _position("""'""'"""),
+        5: _position("'true'"),
+        6: _position("'3000000000'"),
+        7: """concat('{"session_key":', session_key, ',')""",
+        8: "''",
+        9: f"concat('[', {_INTACT_POSITION}, ']')",
+        10: _document(unknown="""'{"a":[1,2]}'""", driver_number="driver_number", position="position"),
+        11: f"""concat({_INTACT_POSITION}, '{{"position":99}}')""",
+        12: _position("""concat('" ', driver_number, ' "')"""),
+        13: _position("concat(driver_number, 'e0')"),
+        14: "NULL",
+        15: _INTACT_POSITION,
+    },
+    "laps": {
+        0: _lap(duration=_quoted("coalesce(string(lap_duration), 'null')")),
+        1: _lap(duration="""'""'"""),
+        2: _lap(pit_out="'1'"),
+        3: _lap(pit_out="'0'"),
+        4: _lap(pit_out="""'"True"'"""),
+        5: _lap(pit_out="""'"FALSE"'"""),
+        6: _lap(pit_out="'null'"),
+        7: _lap(pit_out="""'""'"""),
+        8: _lap(pit_out="""'"yes"'"""),
+        9: _lap(duration="""'"fast"'"""),
+        10: _lap(duration="'NaN'"),
+        11: _lap(duration="'{}'"),
+        12: _lap(duration="'90'"),
+        13: _lap(duration="'9.05e1'"),
+        14: _lap(),
+        15: _lap(),
+    },
+    "race_control": {
+        0: _message("44", '\\"DRS DISABLED\\"'),
+        1: _message("null", "5"),
+        2: _message('""', "true"),
+        3: _message('"44"', "null"),
+        4: _message("[44]", '\\"x\\"'),
+        5: _message("44", "'x'"),
+        6: "'null'",
+        7: "'{}'",
+    },
+}
+
+# Kinds without an entry are documents as they are published.
+_PUBLISHED = f"to_json(struct({', '.join(RACE_CONTROL.names)}), map('ignoreNullFields', 'false'))"
+
+
+def documents(table: DataFrame, name: str) -> DataFrame:
+    """``seq, value``: one document per row of the raw table ``name``, some defective."""
+    cases = " ".join(f"WHEN {kind} THEN {text}" for kind, text in _KINDS[name].items())
+    otherwise = _PUBLISHED if name == "race_control" else "NULL"
+    return table.selectExpr("seq", f"CASE seq % {KINDS[name]} {cases} ELSE {otherwise} END AS value")
+
+
+# Pattern and offset of each spelling; from 7 on they are not accepted.
+_SPELLINGS = [
+    ("yyyy-MM-dd'T'HH:mm:ss.SSS", "+00:00"),
+    ("yyyy-MM-dd'T'HH:mm:ss.SSS", "Z"),
+    ("yyyy-MM-dd't'HH:mm:ss", "z"),
+    ("yyyy-MM-dd'T'HH:mm", "Z"),
+    ("yyyy-MM-dd'T'HH:mm:ss.SSS", "+02:00"),
+    ("yyyy-MM-dd'T'HH:mm:ss.SSS", "-05"),
+    ("yyyy-MM-dd'T'HH:mm", "+05:30"),
+    ("yyyy-MM-dd'T'HH:mm:ss.SSS", ""),
+    ("yyyy-MM-dd", ""),
+    ("yyyy-MM-dd HH:mm:ss", "+00:00"),
+    ("' 'yyyy-MM-dd'T'HH:mm:ss", "Z"),
+    ("yyyy-MM-dd'T'HH:mm:ss", "+0000"),
+    ("yyyy'-02-30T'HH:mm:ss", "Z"),
+    ("yyyy-MM-dd'T24:00:00'", "Z"),
+    ("'soon'", ""),
+]
 
 
 def odd_dates(table: DataFrame) -> DataFrame:
-    """``seq, t, text``: the time of a row in accepted and unaccepted spellings."""
-    t = F.col("t")
-
-    def spelled(pattern: str, offset: str = "") -> Column:
-        return F.concat(F.date_format(t, pattern), F.lit(offset))
-
-    texts = {
-        0: spelled("yyyy-MM-dd'T'HH:mm:ss.SSS", "+00:00"),
-        1: spelled("yyyy-MM-dd'T'HH:mm:ss.SSS", "Z"),
-        2: spelled("yyyy-MM-dd't'HH:mm:ss", "z"),
-        3: spelled("yyyy-MM-dd'T'HH:mm", "Z"),
-        4: spelled("yyyy-MM-dd'T'HH:mm:ss.SSS", "+02:00"),
-        5: spelled("yyyy-MM-dd'T'HH:mm:ss.SSS", "-05"),
-        6: spelled("yyyy-MM-dd'T'HH:mm", "+05:30"),
-        7: spelled("yyyy-MM-dd'T'HH:mm:ss.SSS"),
-        8: spelled("yyyy-MM-dd"),
-        9: spelled("yyyy-MM-dd HH:mm:ss", "+00:00"),
-        10: spelled("' 'yyyy-MM-dd'T'HH:mm:ss", "Z"),
-        11: spelled("yyyy-MM-dd'T'HH:mm:ss", "+0000"),
-        12: spelled("yyyy'-02-30T'HH:mm:ss", "Z"),
-        13: spelled("yyyy-MM-dd'T24:00:00'", "Z"),
-        14: F.lit("soon"),
-    }
-    return table.select("seq", "t", _by_kind(F.col("seq"), texts, F.lit(None).cast("string")).alias("text"))
+    """``seq, t, text``: the time of a row in accepted and unaccepted spellings, or NULL."""
+    cases = " ".join(
+        f"""WHEN {kind} THEN concat(date_format(t, "{pattern}"), '{offset}')"""
+        for kind, (pattern, offset) in enumerate(_SPELLINGS)
+    )
+    return table.selectExpr("seq", "t", f"CASE seq % {len(_SPELLINGS) + 1} {cases} END AS text")

@@ -17,7 +17,7 @@ from racestream.operators import leaderboard as board_ops
 from racestream.operators import replay as replay_ops
 from racestream.plans import defects
 from racestream.session import new_folder
-from racestream.sources.event_tables import raw_events, read_table, read_tables, stream_tables, three_sessions
+from racestream.sources.event_tables import read_table, read_tables, stream_tables, three_sessions
 from racestream.sources.landing import in_session
 from racestream.streaming.arrival_enrichment import enrich_arrival_stream, to_folder
 from racestream.streaming.complete_enrichment import enrich_complete_stream
@@ -63,23 +63,23 @@ def leaderboard_json(spark: SparkSession, folder: str) -> DataFrame:
 # Lap enrichment
 
 def laps_enriched_arrival(spark: SparkSession, folder: str) -> DataFrame:
-    tables = read_tables(spark, folder)
+    tables = read_tables(spark, folder, "laps", "pit_stops")
     return lap_ops.enrich_arrival(tables["laps"], tables["pit_stops"])
 
 
 def laps_enriched_arrival_by_session(spark: SparkSession, folder: str) -> DataFrame:
-    tables = read_tables(spark, folder)
+    tables = read_tables(spark, folder, "laps", "pit_stops")
     laps, pits = three_sessions(tables["laps"]), three_sessions(tables["pit_stops"])
     return lap_ops.enrich_arrival(laps, pits, lap_ops.SESSION_KEYS)
 
 
 def laps_enriched_complete(spark: SparkSession, folder: str) -> DataFrame:
-    tables = read_tables(spark, folder)
+    tables = read_tables(spark, folder, "laps", "pit_stops")
     return lap_ops.enrich_complete(tables["laps"], tables["pit_stops"])
 
 
 def laps_enriched_complete_by_session(spark: SparkSession, folder: str) -> DataFrame:
-    tables = read_tables(spark, folder)
+    tables = read_tables(spark, folder, "laps", "pit_stops")
     laps, pits = three_sessions(tables["laps"]), three_sessions(tables["pit_stops"])
     return lap_ops.enrich_complete(laps, pits, lap_ops.SESSION_KEYS)
 
@@ -103,14 +103,14 @@ def race_alerts_json(spark: SparkSession, folder: str) -> DataFrame:
 
 def _decoded(name: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        documents = defects.DERIVE[name](read_table(spark, folder, name))
+        documents = defects.documents(read_table(spark, folder, name), name)
         return decode(documents, defects.SCHEMAS[name], on_malformed="drop")
 
     return query
 
 
 def malformed_positions(spark: SparkSession, folder: str) -> DataFrame:
-    documents = defects.positions(read_table(spark, folder, "positions"))
+    documents = defects.documents(read_table(spark, folder, "positions"), "positions")
     _, bad = split_malformed(decode(documents, schemas.POSITIONS, on_malformed="keep"))
     return bad.select("seq", "value")
 
@@ -149,8 +149,7 @@ def timeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def timeline_messages(spark: SparkSession, folder: str) -> DataFrame:
-    tables = read_tables(spark, folder)
-    ordered = replay_ops.timeline({name: tables[name] for name in ("positions", "race_control")})
+    ordered = replay_ops.timeline(read_tables(spark, folder, "positions", "race_control"))
     return ordered.select("seq", "topic", "key", "value")
 
 
@@ -195,17 +194,17 @@ def _run_to_table(spark: SparkSession, rows: DataFrame, purpose: str) -> DataFra
 
 
 def leaderboard_stream(spark: SparkSession, folder: str) -> DataFrame:
-    snapshots = leaderboard_snapshots(stream_tables(spark, folder)["positions"])
+    snapshots = leaderboard_snapshots(stream_tables(spark, folder, "positions")["positions"])
     return _run_to_table(spark, snapshots, "leaderboard").select(_plain("window_start"), _plain("window_end"), "value")
 
 
 def race_alerts_stream(spark: SparkSession, folder: str) -> DataFrame:
-    found = alert_ops.alerts(stream_tables(spark, folder)["race_control"], keep=("seq",))
+    found = alert_ops.alerts(stream_tables(spark, folder, "race_control")["race_control"], keep=("seq",))
     return _run_to_table(spark, found, "alerts")
 
 
 def laps_enriched_stream(spark: SparkSession, folder: str) -> DataFrame:
-    tables = stream_tables(spark, folder)
+    tables = stream_tables(spark, folder, "laps", "pit_stops")
     target = new_folder(spark, "laps-enriched")
     writer = enrich_arrival_stream(
         tables["laps"], tables["pit_stops"], f"{target}/state", to_folder(f"{target}/out")
@@ -215,7 +214,7 @@ def laps_enriched_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def laps_enriched_complete_stream(spark: SparkSession, folder: str) -> DataFrame:
-    tables = stream_tables(spark, folder)
+    tables = stream_tables(spark, folder, "laps", "pit_stops")
     enriched = enrich_complete_stream(tables["laps"], tables["pit_stops"])
     return _run_to_table(spark, enriched.drop("window"), "laps-complete")
 

@@ -9,143 +9,114 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from racestream import settings
 from racestream.session import use_utc
 
-START = "2023-05-28 13:00:00"
+EVENTS = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
+    ]
+)
+
+# 2023-05-28 13:00:00 UTC, and the milliseconds of real time that become one of race time.
+START_MILLIS = 1685278800000
 COMPRESSION = 1000
-ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
-_MESSAGES = {
-    0: "RED FLAG",
-    1: "SAFETY CAR DEPLOYED",
-    2: "Virtual Safety Car ending",
-    3: "DRS DISABLED",
-    4: "DRS ENABLED",
-    5: None,
-}
-_FLAGS = {0: "GREEN", 1: "yellow", 2: "DOUBLE YELLOW", 3: "RED", 4: "CHEQUERED", 5: "BLUE", 6: "CLEAR"}
-_CATEGORIES = {0: "Flag", 1: "SafetyCar"}
-
-
-def _lookup(number: Column, texts: dict, default: str | None) -> Column:
-    cases = F
-    for at, text in texts.items():
-        cases = cases.when(number == at, F.lit(text))
-    return cases.otherwise(F.lit(default))
-
-
-def _with_instants(events: DataFrame) -> DataFrame:
-    # Stored without a zone; watermarks need an instant.
-    return events.withColumn("ts", F.col("ts").cast("timestamp"))
-
-
-def raw_events(spark: SparkSession, folder: str) -> DataFrame:
-    return _with_instants(use_utc(spark).read.parquet(f"{folder}/events.parquet"))
-
-
-def stream_tables(spark: SparkSession, folder: str, events_path: str | None = None, **options) -> dict[str, DataFrame]:
-    """The raw tables as streams over the files of ``events``; ``options`` go to the file source."""
-    events = raw_events(spark, folder)
-    first = events.agg(F.min("ts").alias("first")).first().first
-    schema = spark.read.parquet(f"{folder}/events.parquet").schema
-    # A pattern, because the streaming source takes a single file for a folder unless it is one.
-    path = events_path or f"{folder}/event[s].parquet"
-    stream = spark.readStream.schema(schema).options(**options).parquet(path)
-    race = with_race_columns(_with_instants(stream), F.lit(first))
-    return {name: derive(race) for name, derive in _TABLES.items()}
+# The type of event, and the columns, of each table. A struct is unnested into its fields, so that filters
+# on them do not repeat their derivation.
+_DERIVED = {
+    "positions": (
+        "event_type IN ('click', 'signup')",
+        ["seq", "t", "session_key", "driver_number", "k % 20 + 1 AS position", "date"],
+    ),
+    "laps": (
+        "event_type = 'view'",
+        [
+            "seq", "t", "session_key", "driver_number", "k % 78 + 1 AS lap_number",
+            "CASE WHEN seq % 17 != 0 THEN value END AS lap_duration", "date AS date_start", "seq % 10 = 0 AS is_pit_out_lap",
+        ],
+    ),
+    "pit_stops": (
+        "event_type = 'purchase'",
+        [
+            "seq", "t", "session_key", "driver_number", "k % 78 + 1 AS lap_number",
+            "CASE WHEN seq % 13 != 0 THEN value END AS pit_duration", "date",
+        ],
+    ),
+    "race_control": (
+        "event_type = 'error'",
+        [
+            "seq", "t", "session_key", "date",
+            """inline(array(struct(
+              CASE k % 12 WHEN 0 THEN 'RED FLAG' WHEN 1 THEN 'SAFETY CAR DEPLOYED' WHEN 2 THEN 'Virtual Safety Car ending'
+                WHEN 3 THEN 'DRS DISABLED' WHEN 4 THEN 'DRS ENABLED' WHEN 5 THEN NULL ELSE 'INCIDENT NOTED' END AS message,
+              CASE k % 3 WHEN 0 THEN 'Flag' WHEN 1 THEN 'SafetyCar' ELSE 'Other' END AS category,
+              CASE k % 11 WHEN 0 THEN 'GREEN' WHEN 1 THEN 'yellow' WHEN 2 THEN 'DOUBLE YELLOW' WHEN 3 THEN 'RED'
+                WHEN 4 THEN 'CHEQUERED' WHEN 5 THEN 'BLUE' WHEN 6 THEN 'CLEAR' END AS flag,
+              CASE WHEN k % 2 = 0 THEN driver_number END AS driver_number)))""",
+        ],
+    ),
+}
 
 
 def _rounded_millis(ts: Column) -> Column:
-    return F.unix_millis(ts + F.expr("INTERVAL 500 MICROSECONDS"))
-
+    return F.unix_millis(ts.cast("timestamp") + F.expr("INTERVAL 500 MICROSECONDS"))
 
-def _compressed(ts: Column, first: Column) -> Column:
-    start = F.unix_millis(F.lit(START).cast("timestamp"))
-    return F.timestamp_millis(start + F.floor((_rounded_millis(ts) - _rounded_millis(first)) / COMPRESSION))
 
-
-def with_race_columns(events: DataFrame, first: Column) -> DataFrame:
-    """``seq, t, date, session_key, driver_number, k, value`` and the event type; ``first`` is the earliest ``ts``."""
-    t = _compressed(F.col("ts"), first)
-    return events.select(
+def _race_columns(events: DataFrame, first: Column) -> DataFrame:
+    """``first`` is the earliest ``ts`` of all events."""
+    since_start = F.floor((_rounded_millis(F.col("ts")) - _rounded_millis(first)) / COMPRESSION)
+    return events.withColumn("t", F.timestamp_millis(since_start + START_MILLIS)).selectExpr(
         "event_type",
-        F.col("event_id").alias("seq"),
-        F.lit(settings.DEFAULT_SESSION_KEY).alias("session_key"),
-        (F.col("user_id") % 20 + 1).cast("int").alias("driver_number"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-        F.col("value").alias("amount"),
-        t.alias("t"),
-        F.concat(F.date_format(t, ISO_MILLIS), F.lit("+00:00")).alias("date"),
+        "event_id AS seq",
+        f"{settings.DEFAULT_SESSION_KEY} AS session_key",
+        "CAST(user_id % 20 + 1 AS INT) AS driver_number",
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
+        "value",
+        "t",
+        "concat(date_format(t, \"yyyy-MM-dd'T'HH:mm:ss.SSS\"), '+00:00') AS date",
     )
 
 
-def race_events(spark: SparkSession, folder: str) -> DataFrame:
-    events = raw_events(spark, folder)
-    return with_race_columns(events, events.agg(F.min("ts")).scalar())
+def _derive(race: DataFrame, name: str) -> DataFrame:
+    condition, columns = _DERIVED[name]
+    return race.where(condition).selectExpr(*columns)
 
 
-def three_sessions(table: DataFrame) -> DataFrame:
-    """The same rows spread over three sessions."""
-    return table.withColumn("session_key", (F.lit(settings.DEFAULT_SESSION_KEY) + F.col("seq") % 3).cast("int"))
+def _events(spark: SparkSession, folder: str) -> DataFrame:
+    return use_utc(spark).read.schema(EVENTS).parquet(f"{folder}/events.parquet")
 
 
-def to_positions(race: DataFrame) -> DataFrame:
-    return race.where(F.col("event_type").isin("click", "signup")).select(
-        "seq", "t", "session_key", "driver_number", (F.col("k") % 20 + 1).alias("position"), "date"
-    )
+def _race(spark: SparkSession, folder: str) -> DataFrame:
+    events = _events(spark, folder)
+    return _race_columns(events, events.agg(F.min("ts")).scalar())
 
 
-def to_laps(race: DataFrame) -> DataFrame:
-    return race.where(F.col("event_type") == "view").select(
-        "seq",
-        "t",
-        "session_key",
-        "driver_number",
-        (F.col("k") % 78 + 1).alias("lap_number"),
-        F.when(F.col("seq") % 17 != 0, F.col("amount")).alias("lap_duration"),
-        F.col("date").alias("date_start"),
-        (F.col("seq") % 10 == 0).alias("is_pit_out_lap"),
-    )
-
-
-def to_pit_stops(race: DataFrame) -> DataFrame:
-    return race.where(F.col("event_type") == "purchase").select(
-        "seq",
-        "t",
-        "session_key",
-        "driver_number",
-        (F.col("k") % 78 + 1).alias("lap_number"),
-        F.when(F.col("seq") % 13 != 0, F.col("amount")).alias("pit_duration"),
-        "date",
-    )
-
-
-def to_race_control(race: DataFrame) -> DataFrame:
-    k = F.col("k")
-    texts = F.struct(
-        _lookup(k % 12, _MESSAGES, "INCIDENT NOTED").alias("message"),
-        _lookup(k % 3, _CATEGORIES, "Other").alias("category"),
-        _lookup(k % 11, _FLAGS, None).alias("flag"),
-        F.when(k % 2 == 0, F.col("driver_number")).alias("driver_number"),
-    )
-    # Unnested, so that filters on these columns do not repeat their derivation.
-    return race.where(F.col("event_type") == "error").select("seq", "t", "session_key", "date", F.inline(F.array(texts)))
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return _derive(_race(spark, folder), name)
 
 
-_TABLES = {
-    "positions": to_positions,
-    "laps": to_laps,
-    "pit_stops": to_pit_stops,
-    "race_control": to_race_control,
-}
+def read_tables(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
+    race = _race(spark, folder)
+    return {name: _derive(race, name) for name in names or _DERIVED}
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return _TABLES[name](race_events(spark, folder))
+def stream_tables(spark: SparkSession, folder: str, *names: str, **options) -> dict[str, DataFrame]:
+    """The tables as streams over the files of ``events``; ``options`` go to the file source."""
+    first = _events(spark, folder).agg(F.min("ts").alias("first")).first().first
+    # A pattern, because the streaming source takes a plain path for a folder.
+    stream = spark.readStream.schema(EVENTS).options(**options).parquet(f"{folder}/event[s].parquet")
+    race = _race_columns(stream, F.lit(first))
+    return {name: _derive(race, name) for name in names or _DERIVED}
 
 
-def read_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    race = race_events(spark, folder)
-    return {name: derive(race) for name, derive in _TABLES.items()}
+def three_sessions(table: DataFrame) -> DataFrame:
+    """The same rows spread over three sessions."""
+    return table.withColumn("session_key", F.expr(f"CAST({settings.DEFAULT_SESSION_KEY} + seq % 3 AS INT)"))
