@@ -26,8 +26,12 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings of the streaming jobs: UTC, and state outside the Java heap, saved as changes."""
+    """Session settings of the streaming jobs: UTC, and state outside the Java heap, saved as changes.
+
+    They hold for the first start of a job; a checkpoint keeps the state format it was made with.
+    """
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    spark.conf.set("spark.sql.streaming.join.stateFormatVersion", "3")
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return use_utc(spark)
 
