@@ -65,16 +65,18 @@ def _across_slices(
     ranges = rows.repartitionByRange(slices, *keys, *order)
     sliced = written(ranges.withColumn(_SLICE, F.spark_partition_id()), "slices")
 
-    # The last value of each key in each slice: one row per slice a key spans, aggregated before the shuffle.
-    place = F.when(F.col(value).isNotNull(), F.struct(*order))
-    tails = sliced.groupBy(*keys, _SLICE).agg(F.max_by(value, place).alias("_tail"))
+    # The last value of each key in each slice, aggregated before the shuffle. A key spans at most `slices`.
+    spans = sliced.select(*keys, _SLICE).distinct()
+    with_value = sliced.where(F.col(value).isNotNull())
+    tails = with_value.groupBy(*keys, _SLICE).agg(F.max_by(value, F.struct(*order)).alias(value))
 
-    # What the earlier slices of a key hand on; a key spans at most `slices` of them.
-    earlier = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    # What the earlier slices of a key hand on to the next.
+    earlier = Window.partitionBy(*keys).orderBy(_SLICE).rangeBetween(Window.unboundedPreceding, -1)
     heads = (
-        tails.withColumn(value, F.last("_tail", ignorenulls=True).over(earlier))
-        .where(F.col(value).isNotNull())
-        .select(*keys, _SLICE, value, F.lit(True).alias(_HEAD))
+        spans.withColumn(_HEAD, F.lit(True))
+        .unionByName(tails, allowMissingColumns=True)
+        .withColumn(value, F.last(value, ignorenulls=True).over(earlier))
+        .where(F.col(_HEAD) & F.col(value).isNotNull())
     )
 
     # A value handed on becomes the first row of its slice.

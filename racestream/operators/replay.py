@@ -18,7 +18,7 @@ TIMELINE_ORDER = ("time", "source_rank", "seq")
 
 
 def envelope(table: DataFrame, name: str) -> DataFrame:
-    """``time, source_rank, seq, topic, key, value`` of a raw table; the payload keeps the table's fields only.
+    """``time, source_rank, seq, topic, key`` of a raw table, and its fields, which become the payload.
 
     A record without a usable time is placed at 1970-01-01T00:00:00Z.
     """
@@ -30,12 +30,12 @@ def envelope(table: DataFrame, name: str) -> DataFrame:
         F.col("seq"),
         F.lit(raw.topic).alias("topic"),
         key.alias("key"),
-        encode(*raw.schema.names).alias("value"),
+        *raw.schema.names,
     )
 
 
 def merged(tables: Mapping[str, DataFrame], missing_time: str = "epoch") -> DataFrame:
-    """All records of the given tables in one envelope, unordered.
+    """All records of the given tables in one envelope, unordered, with the fields of all tables.
 
     ``missing_time='drop'`` leaves out records without a usable time. With ``'epoch'`` a single one of
     them becomes the start of the session, which delays every other record by decades.
@@ -44,15 +44,31 @@ def merged(tables: Mapping[str, DataFrame], missing_time: str = "epoch") -> Data
         raise ValueError(f"missing_time must be 'epoch' or 'drop', got {missing_time!r}")
     if missing_time == "drop":
         tables = {n: t.where(event_time(F.col(RAW_TABLES[n].time_field)).isNotNull()) for n, t in tables.items()}
-    return reduce(DataFrame.unionByName, [envelope(table, name) for name, table in tables.items()])
+    envelopes = [envelope(table, name) for name, table in tables.items()]
+    return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), envelopes)
+
+
+def messages(records: DataFrame) -> DataFrame:
+    """The records with their JSON payload as ``value``, in the place of the fields."""
+    fields = {name for raw in RAW_TABLES.values() for name in raw.schema.names}
+    payloads = [
+        F.when(F.col("source_rank") == raw.rank, encode(*raw.schema.names))
+        for raw in RAW_TABLES.values()
+        if set(raw.schema.names) <= set(records.columns)
+    ]
+    return records.select(*[c for c in records.columns if c not in fields], F.coalesce(*payloads).alias("value"))
 
 
 def timeline(tables: Mapping[str, DataFrame], missing_time: str = "epoch") -> DataFrame:
-    """All records in total order. The sort is range-partitioned; ``seq`` also splits a crowd of equal times."""
-    return merged(tables, missing_time).orderBy(*TIMELINE_ORDER)
+    """All messages in total order.
+
+    The sort is range-partitioned, and ``seq`` also splits a crowd of equal times. Payloads are encoded
+    behind it: finding the ranges runs everything before the sort a second time.
+    """
+    return messages(merged(tables, missing_time).orderBy(*TIMELINE_ORDER))
 
 
-def schedule(messages: DataFrame, speed: float = settings.DEFAULT_REPLAY_SPEED) -> DataFrame:
+def schedule(records: DataFrame, speed: float = settings.DEFAULT_REPLAY_SPEED) -> DataFrame:
     """Adds ``target_ms``: milliseconds after the start of the replay at which a message is due.
 
     The start of the session is a one-value subquery; it reads the time columns only. Apply before
@@ -60,9 +76,9 @@ def schedule(messages: DataFrame, speed: float = settings.DEFAULT_REPLAY_SPEED)
     """
     if not speed > 0:
         raise ValueError(f"speed must be positive, got {speed}")
-    start = messages.agg(F.min(F.unix_millis("time"))).scalar()
-    return messages.withColumn("target_ms", F.floor((F.unix_millis("time") - start) / F.lit(float(speed))))
+    start = records.agg(F.min(F.unix_millis("time"))).scalar()
+    return records.withColumn("target_ms", F.floor((F.unix_millis("time") - start) / F.lit(float(speed))))
 
 
-def topic_counts(messages: DataFrame) -> DataFrame:
-    return messages.groupBy("topic").agg(F.count(F.lit(1)).alias("records"))
+def topic_counts(records: DataFrame) -> DataFrame:
+    return records.groupBy("topic").agg(F.count(F.lit(1)).alias("records"))

@@ -4,7 +4,7 @@ import pytest
 
 import tables
 from racestream import schemas
-from racestream.operators.replay import TIMELINE_ORDER, merged, schedule, timeline, topic_counts
+from racestream.operators.replay import TIMELINE_ORDER, merged, messages, schedule, timeline, topic_counts
 
 
 def session(spark, position_times=(0, 3.001, 10)):
@@ -47,7 +47,8 @@ def test_equal_times_keep_table_and_source_order(spark):
 
 
 def test_payload_has_the_fields_of_the_table_and_its_nulls(spark):
-    row = merged({"pit_stops": tables.pits(spark, [(0, 5, 63, 1, None)])}).first()
+    row = messages(merged({"pit_stops": tables.pits(spark, [(0, 5, 63, 1, None)])})).first()
+    assert row.asDict().keys() == {"time", "source_rank", "seq", "topic", "key", "value"}
     assert json.loads(row.value) == {
         "session_key": 9161, "driver_number": 63, "lap_number": 1, "pit_duration": None, "date": tables.iso(0)
     }

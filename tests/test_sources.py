@@ -5,7 +5,6 @@ from pyspark.errors import PySparkException
 
 import tables
 from racestream import settings
-from racestream.operators.replay import merged
 from racestream.schemas import LAPS, POSITIONS, TOPIC_RECORD
 from racestream.sources.landing import FOLDERS, read_landed, read_session
 from racestream.sources.topics import FileTopics, KafkaTopics, typed
@@ -96,11 +95,6 @@ def test_kafka_options():
     assert read["kafka.security.protocol"] == write["kafka.security.protocol"] == "SSL"
 
 
-def test_messages_carry_topic_and_key(spark):
-    rows = merged({"positions": tables.positions(spark, [(0, 44, 1)])}).select("topic", "key", "value").collect()
-    assert [(r.topic, r.key) for r in rows] == [("f1.positions", "44")]
-
-
 def test_settings():
     assert settings.Settings.from_env({}) == settings.Settings("localhost:9092", 9161, 2.0)
     env = {"KAFKA_BOOTSTRAP_SERVERS": "b:1", "SESSION_KEY": "7", "REPLAY_SPEED": "4"}
