@@ -1,17 +1,21 @@
 """Laps with the latest pit stop seen so far, over micro-batches.
 
-What has been seen is a table: the latest pit stop of each key. Every micro-batch reads the table of the
-batch before, puts it in front of its own rows, looks up, and writes the next table. The lookup is the one
-batch queries use, so a key with a large part of the rows is split over many tasks, where a state-store
-operator would bind it to one.
-
-Two versions of the table are kept, for even and odd batches. A batch that is repeated after a failure
-finds the version before it untouched and writes the same results again.
+What has been seen is a table in a shared folder. Every micro-batch appends the latest pit stop of each of its
+keys, and reads back what earlier batches left for the keys of its own laps. The lookup is the one batch
+queries use, so a key with a large part of the rows is split over many tasks, where a state-store operator
+would bind it to one.
+
+Every ``FOLD_EVERY`` batches the table is folded to one row per key, so a batch reads the last fold and at most
+as many appends as were made since. Folds and appends are named by the number of their batch, in turn, and
+overwritten once nothing can read them any more: the folder stays bounded, and a batch that is repeated after a
+failure finds its input untouched and writes the same results again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -21,31 +25,38 @@ from pyspark.sql.streaming import DataStreamWriter
 from racestream.operators.carry_forward import MAX_GROUP_ROWS, carry_forward
 from racestream.operators.enrichment import ARRIVAL_ORDER, KEYS, LAP_RANK, PIT_RANK, project, tag
 
-# What earlier batches left behind comes first, whatever its event time.
-_SEEN_BEFORE, _IN_BATCH = 0, 1
-_ORDER = ("round", *ARRIVAL_ORDER)
+FOLD_EVERY = 32
+
+# The micro-batch a row arrived in comes before its event time.
+_ORDER = ("batch_id", *ARRIVAL_ORDER)
+
+
+def _append_path(folder: str, batch_id: int) -> str:
+    return f"{folder}/append-{batch_id % (2 * FOLD_EVERY)}"
+
+
+def _fold_path(folder: str, batch_id: int) -> str:
+    return f"{folder}/fold-{batch_id // FOLD_EVERY % 2}"
 
 
-def _state_path(folder: str, batch_id: int) -> str:
-    return f"{folder}/{'even' if batch_id % 2 == 0 else 'odd'}"
+def _seen_before(batch: DataFrame, folder: str, batch_id: int) -> DataFrame:
+    """Pit stops left by the batches before ``batch_id``: from the last fold, and from the appends since."""
+    fold = max(batch_id - 1, 0) // FOLD_EVERY * FOLD_EVERY
+    paths = [_fold_path(folder, fold)] if fold else []
+    paths += [_append_path(folder, b) for b in range(fold, batch_id)]
+    if not paths:
+        return batch.sparkSession.createDataFrame([], batch.schema)
+    return batch.sparkSession.read.schema(batch.schema).parquet(*paths)
 
 
-def _seen_before(batch: DataFrame, folder: str, batch_id: int, columns: list[str]) -> DataFrame:
-    state = batch.select(*columns)
-    if batch_id == 0:
-        state = batch.sparkSession.createDataFrame([], state.schema)
-    else:
-        state = batch.sparkSession.read.schema(state.schema).parquet(_state_path(folder, batch_id - 1))
-    return state.withColumn("round", F.lit(_SEEN_BEFORE))
+def _latest(pits: DataFrame, keys: Sequence[str], columns: list[str]) -> DataFrame:
+    newest = F.max_by(F.struct(*columns), F.struct(*_ORDER)).alias("latest")
+    return pits.groupBy(*keys).agg(newest).select("latest.*")
 
 
-def _next_state(rows: DataFrame, keys: Sequence[str], columns: list[str], keep_for: str | None) -> DataFrame:
-    pits = rows.where(F.col("source_rank") == PIT_RANK)
-    latest = pits.groupBy(*keys).agg(F.max_by(F.struct(*columns), F.struct(*_ORDER)).alias("latest")).select("latest.*")
-    if keep_for is None:
-        return latest
-    newest = rows.agg(F.max("t")).scalar()
-    return latest.where(F.col("t") >= newest - F.expr(f"INTERVAL {keep_for}"))
+def _of_keys_in(seen: DataFrame, laps: DataFrame, keys: Sequence[str]) -> DataFrame:
+    wanted = laps.select(*[F.col(k).alias(f"_wanted_{k}") for k in keys]).distinct()
+    return seen.join(wanted, reduce(and_, [F.col(k).eqNullSafe(F.col(f"_wanted_{k}")) for k in keys]), "left_semi")
 
 
 def enrich_arrival_stream(
@@ -61,18 +72,26 @@ def enrich_arrival_stream(
 
     Within a micro-batch rows are ordered by ``(t, laps first, seq)``, across micro-batches by arrival.
     ``write`` may be called again for a batch after a failure. ``keep_for`` (such as ``'2 hours'``) forgets
-    pit stops older than that, measured from the newest event time; by default nothing is forgotten.
-    ``state_folder`` must be shared by all executors and belong to one checkpoint.
+    pit stops older than that, measured from the newest event time of a batch; by default nothing is
+    forgotten. ``state_folder`` must be shared by all executors and belong to one checkpoint.
     """
-    columns = [*keys, *ARRIVAL_ORDER, "pit"]
+    columns = [*keys, *_ORDER, "pit"]
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("round", F.lit(_IN_BATCH)).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            seen_before = _seen_before(batch, state_folder, batch_id, columns)
-            together = rows.unionByName(seen_before, allowMissingColumns=True)
-            state = _next_state(together, keys, columns, keep_for)
-            state.write.mode("overwrite").parquet(_state_path(state_folder, batch_id))
+            lap_rows, pit_rows = (rows.where(F.col("source_rank") == rank) for rank in (LAP_RANK, PIT_RANK))
+            seen = _seen_before(rows.select(*columns), state_folder, batch_id)
+            if keep_for is not None:
+                newest = rows.agg(F.max("t")).scalar()
+                recent = F.col("t") >= newest - F.expr(f"INTERVAL {keep_for}")
+                seen = seen.where(F.coalesce(recent, F.lit(True)))
+
+            _latest(pit_rows, keys, columns).write.mode("overwrite").parquet(_append_path(state_folder, batch_id))
+            if batch_id and batch_id % FOLD_EVERY == 0:
+                _latest(seen, keys, columns).write.mode("overwrite").parquet(_fold_path(state_folder, batch_id))
+
+            together = rows.unionByName(_of_keys_in(seen, lap_rows, keys), allowMissingColumns=True)
             carried = carry_forward(together, keys, _ORDER, "pit", "seen", max_group_rows)
             enriched = carried.where(F.col("source_rank") == LAP_RANK)
             write(project(enriched.withColumn("pit_duration", F.col("seen.pit_duration")), "seq"), batch_id)

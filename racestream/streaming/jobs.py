@@ -1,4 +1,4 @@
-"""The four jobs, from topic to topic. Each streaming job returns a configured writer; call ``start()`` on it.
+"""The jobs, from topic to topic. Each streaming job returns a configured writer; call ``start()`` on it.
 
 Streaming state lives in the checkpoint, so a restarted job goes on where it stopped. The number of shuffle
 partitions of a stateful job is fixed by its first start.
@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from racestream import settings
+from racestream.functions.json_codec import decode, split_malformed
 from racestream.operators import alerts as alert_ops
 from racestream.operators import leaderboard as board_ops
 from racestream.operators import replay as replay_ops
 from racestream.operators.enrichment import KEYS, enriched_json
+from racestream.schemas import RAW_TABLES
 from racestream.session import use_utc
 from racestream.sources.topics import KafkaTopics, Topics, typed
 from racestream.streaming.arrival_enrichment import enrich_arrival_stream
@@ -111,6 +113,17 @@ def complete_enrichment_job(
     return topics.write_stream(enriched_json(enriched), settings.TOPIC_LAPS_ENRICHED, checkpoint)
 
 
+def malformed_job(spark: SparkSession, topics: Topics, table: str, folder: str, checkpoint: str) -> DataStreamWriter:
+    """The malformed records of a raw topic, as raw text with their place in the topic, to parquet files.
+
+    Run it next to a job that drops them.
+    """
+    records = topics.read_stream(prepare(spark), RAW_TABLES[table].topic)
+    _, bad = split_malformed(decode(records, RAW_TABLES[table].schema, on_malformed="keep"))
+    writer = bad.writeStream.format("parquet").option("path", folder)
+    return writer.option("checkpointLocation", checkpoint).outputMode("append")
+
+
 def replay_job(tables: Mapping[str, DataFrame], topics: Topics, missing_time: str = "epoch") -> None:
     """Publish the raw tables of a session to their topics, in time order; an empty session publishes nothing.
 

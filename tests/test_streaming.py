@@ -13,7 +13,7 @@ from racestream.operators.alerts import alert_json, alerts
 from racestream.operators.enrichment import enrich_arrival
 from racestream.operators.leaderboard import leaderboard, snapshot_json, snapshots
 from racestream.sources.topics import FileTopics
-from racestream.streaming import jobs
+from racestream.streaming import arrival_enrichment, jobs
 from racestream.streaming.arrival_enrichment import enrich_arrival_stream, to_folder
 from racestream.streaming.complete_enrichment import enrich_complete_stream
 
@@ -112,10 +112,11 @@ def test_a_record_without_date_can_make_later_records_late(spark, tmp_path):
         assert expected in [json.loads(v.value)["rankings"] for v in values]
 
 
-def arrival_feed(spark, path):
+def arrival_feed(spark, path, batches=3):
     whole_laps = tables.laps(spark, [(i, i, i % 3, i // 2 % 4) for i in range(0, 60, 2)])
     whole_pits = tables.pits(spark, [(i, i, i % 3, i // 2 % 4, None if i % 5 == 0 else i / 2) for i in range(1, 60, 2)])
-    cuts = [(0, 19), (20, 39), (40, 59)]
+    size = 60 // batches
+    cuts = [(k * size, (k + 1) * size - 1) for k in range(batches)]
     lap_feed = Feed(spark, path / "laps").add(*[whole_laps.where(F.col("seq").between(a, b)) for a, b in cuts])
     pit_feed = Feed(spark, path / "pits").add(*[whole_pits.where(F.col("seq").between(a, b)) for a, b in cuts])
     return whole_laps, whole_pits, lap_feed, pit_feed
@@ -155,6 +156,33 @@ def test_arrival_stream_repeats_a_failed_batch_and_goes_on(spark, tmp_path):
     assert sorted(streamed.collect()) == sorted(enrich_arrival(whole_laps, whole_pits).collect())
 
 
+def test_arrival_state_is_folded(spark, tmp_path, monkeypatch):
+    """Seven or more batches with a fold every two; the folder does not grow, and a repeated fold changes nothing."""
+    monkeypatch.setattr(arrival_enrichment, "FOLD_EVERY", 2)
+    whole_laps, whole_pits, lap_feed, pit_feed = arrival_feed(spark, tmp_path, batches=10)
+    to_out = to_folder(f"{tmp_path}/out")
+    failures = [3, 4, 8]
+
+    def write(rows, batch_id):
+        to_out(rows, batch_id)
+        if batch_id in failures:
+            failures.remove(batch_id)
+            raise RuntimeError("lost after the write")
+
+    for expect_failure in (True, True, True, False):
+        writer = enrich_arrival_stream(lap_feed.stream(), pit_feed.stream(), f"{tmp_path}/state", write)
+        if expect_failure:
+            with pytest.raises(StreamingQueryException):
+                run(writer, tmp_path / "checkpoint")
+        else:
+            run(writer, tmp_path / "checkpoint")
+    streamed = spark.read.parquet(f"{tmp_path}/out").drop("batch")
+    assert sorted(streamed.collect()) == sorted(enrich_arrival(whole_laps, whole_pits).collect())
+    assert sorted(p.name for p in (tmp_path / "state").iterdir()) == [
+        "append-0", "append-1", "append-2", "append-3", "fold-0", "fold-1"
+    ]
+
+
 def test_what_arrived_earlier_counts_whatever_its_time(spark, tmp_path):
     laps = Feed(spark, tmp_path / "laps").add(tables.laps(spark, []), tables.laps(spark, [(1, 1, 44, 1), (2, 2, 63, 1)]))
     pits = Feed(spark, tmp_path / "pits").add(
