@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 MALFORMED = "malformed"
 _CORRUPT = "_corrupt"
+_DOCUMENT = "_document"
 
 # The JSON reader is lenient by default; these make it accept standard JSON only.
 STRICT_JSON = {
@@ -31,18 +32,18 @@ STRICT_JSON = {
     "allowNonNumericNumbers": "false",
 }
 
-# SQL of the typed value of a field, given its trimmed text; NULL if the text does not fit the type. Words of
-# a double in quotes are how the JSON reader spells numbers too large for one.
+# SQL of the typed value of a field, given its text; NULL if the text does not fit the type. The common case comes
+# first. Words of a double in quotes are how the JSON reader spells numbers too large for one.
 _CONVERT = {
-    T.IntegerType(): r"""coalesce(try_cast({text} AS INT),
-        CASE WHEN {text} RLIKE r'^[+-]?\d+(\.\d+)?([eE][+-]?\d+)?\z'
+    T.IntegerType(): r"""coalesce(try_cast({text} AS INT), CASE WHEN {blank} THEN {default}
+        WHEN {text} RLIKE r'^ *[+-]?\d+(\.\d+)?([eE][+-]?\d+)? *\z'
             AND try_cast({text} AS DOUBLE) BETWEEN -2147483648D AND 2147483647D
         THEN try_cast(try_cast({text} AS DOUBLE) AS INT) END)""",
-    T.DoubleType(): r"""CASE WHEN {text} RLIKE r'^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z'
-            OR {text} IN ('NaN', 'Infinity', '-Infinity', 'INF', '-INF', '"Infinity"', '"-Infinity"')
+    T.DoubleType(): r"""CASE WHEN {text} RLIKE r'^ *[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)? *\z' THEN try_cast({text} AS DOUBLE)
+        WHEN trim({text}) IN ('NaN', 'Infinity', '-Infinity', 'INF', '-INF', '"Infinity"', '"-Infinity"')
         THEN try_cast(replace({text}, '"', '') AS DOUBLE) END""",
-    T.BooleanType(): r"""CASE WHEN {text} IN ('true', 'True', 'TRUE') THEN true
-        WHEN {text} IN ('false', 'False', 'FALSE') THEN false
+    T.BooleanType(): r"""CASE WHEN {blank} THEN {default} WHEN trim({text}) IN ('true', 'True', 'TRUE') THEN true
+        WHEN trim({text}) IN ('false', 'False', 'FALSE') THEN false
         WHEN {text} RLIKE r'^[+-]?\d+\z' THEN NOT {text} RLIKE r'^[+-]?0+\z' END""",
 }
 _DEFAULT = {T.IntegerType(): "0", T.DoubleType(): "NULL", T.BooleanType(): "false"}
@@ -54,29 +55,37 @@ def text_schema(schema: T.StructType) -> T.StructType:
     return T.StructType(fields + [T.StructField(_CORRUPT, T.StringType())])
 
 
-def _convert(source: str, field: T.StructField) -> tuple[str, str]:
-    """SQL of the typed value of a field, and of whether its text does not fit the type."""
+def _blank(text: str) -> str:
+    return f"({text} IS NULL OR trim({text}) IN ('', 'null'))"
+
+
+def _convert(text: str, field: T.StructField) -> str:
     if isinstance(field.dataType, T.StringType):
-        return source, "false"
-    text = f"trim({source})"
-    value = _CONVERT[field.dataType].format(text=text)
-    blank = f"({source} IS NULL OR {text} IN ('', 'null'))"
+        return text
     default = "NULL" if field.nullable else _DEFAULT[field.dataType]
-    return f"CASE WHEN {blank} THEN {default} ELSE {value} END", f"(NOT {blank} AND {value} IS NULL)"
+    return _CONVERT[field.dataType].format(text=text, blank=_blank(text), default=default)
+
+
+def _misfit(text: str, field: T.StructField) -> str:
+    """SQL of whether the text of a field did not become a value."""
+    no_value = f"`{field.name}` IS NULL"
+    return f"({no_value} AND NOT {_blank(text)})" if field.nullable else no_value
 
 
-def coerce(df: DataFrame, schema: T.StructType, text: str | None, keep: list[str]) -> DataFrame:
+def coerce(documents: DataFrame, schema: T.StructType, keep: list[str]) -> DataFrame:
     """Columns of ``schema`` converted from their text form, the columns in ``keep``, and ``malformed``.
 
-    ``text`` names the struct holding the texts; None means that they are columns of ``df``.
+    The texts are the fields of the struct ``_document``.
     """
-    prefix = "" if text is None else f"{text}."
-    converted = [(f.name, *_convert(f"{prefix}`{f.name}`", f)) for f in schema.fields]
-    unreadable = [f"{prefix}{_CORRUPT} IS NOT NULL"] + ([] if text is None else [f"{text} IS NULL"])
-    malformed = " OR ".join([*unreadable, *[bad for _, _, bad in converted]])
-    return df.selectExpr(
-        *[f"{value} AS `{name}`" for name, value, _ in converted], *[f"`{c}`" for c in keep], f"{malformed} AS {MALFORMED}"
-    )
+    texts = {f.name: f"{_DOCUMENT}.`{f.name}`" for f in schema.fields}
+    values = ", ".join(f"{_convert(texts[f.name], f)} AS `{f.name}`" for f in schema.fields)
+    kept = [f"`{c}`" for c in keep]
+    # Unnesting keeps later filters above the conversion, which so runs once per record.
+    rows = documents.selectExpr(*kept, _DOCUMENT, f"inline(array(struct({values})))")
+    unreadable = [f"{_DOCUMENT} IS NULL", f"{_DOCUMENT}.{_CORRUPT} IS NOT NULL"]
+    misfits = [_misfit(texts[f.name], f) for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    malformed = " OR ".join([*unreadable, *misfits])
+    return rows.selectExpr(*[f"`{n}`" for n in schema.names], *kept, f"{malformed} AS {MALFORMED}")
 
 
 def apply_policy(rows: DataFrame, on_malformed: str, describe: Column) -> DataFrame:
@@ -99,9 +108,8 @@ def decode(df: DataFrame, schema: T.StructType, on_malformed: str = "fail", valu
     """
     others = [c for c in df.columns if c != value]
     parsed = F.from_json(F.col(value), text_schema(schema), STRICT_JSON)
-    # Unnesting a one-element array keeps later filters above the parser, which so runs once per record.
-    documents = df.select(*others, value, F.explode(F.array(parsed)).alias("_document"))
-    rows = coerce(documents, schema, "_document", [*others, value])
+    documents = df.select(*others, value, F.explode(F.array(parsed)).alias(_DOCUMENT))
+    rows = coerce(documents, schema, [*others, value])
     rows = apply_policy(rows, on_malformed, F.col(value))
     return rows if on_malformed == "keep" else rows.drop(value)
 

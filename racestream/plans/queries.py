@@ -203,20 +203,20 @@ def race_alerts_stream(spark: SparkSession, folder: str) -> DataFrame:
     return _run_to_table(spark, found, "alerts")
 
 
-def laps_enriched_stream(spark: SparkSession, folder: str) -> DataFrame:
+def _run_laps(spark: SparkSession, folder: str, enrich: Callable[..., DataStreamWriter], purpose: str) -> DataFrame:
     tables = stream_tables(spark, folder, "laps", "pit_stops")
-    target = new_folder(spark, "laps-enriched")
-    writer = enrich_arrival_stream(
-        tables["laps"], tables["pit_stops"], f"{target}/state", to_folder(f"{target}/out")
-    )
+    target = new_folder(spark, purpose)
+    writer = enrich(tables["laps"], tables["pit_stops"], f"{target}/state", to_folder(f"{target}/out"))
     _run(writer, f"{target}/checkpoint")
     return spark.read.parquet(f"{target}/out").drop("batch")
 
 
+def laps_enriched_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return _run_laps(spark, folder, enrich_arrival_stream, "laps-enriched")
+
+
 def laps_enriched_complete_stream(spark: SparkSession, folder: str) -> DataFrame:
-    tables = stream_tables(spark, folder, "laps", "pit_stops")
-    enriched = enrich_complete_stream(tables["laps"], tables["pit_stops"])
-    return _run_to_table(spark, enriched.drop("window"), "laps-complete")
+    return _run_laps(spark, folder, enrich_complete_stream, "laps-complete")
 
 
 QUERIES: dict[str, Query] = {

@@ -17,8 +17,9 @@ FOLDERS = {"positions": "position", "laps": "laps", "pit_stops": "pit", "race_co
 def _json_rows(spark: SparkSession, path: str, name: str, on_malformed: str, multi_line: bool) -> DataFrame:
     raw = RAW_TABLES[name]
     reader = spark.read.schema(text_schema(raw.schema)).options(**STRICT_JSON).option("multiLine", multi_line)
-    rows = coerce(reader.json(path), raw.schema, None, ["_corrupt"])
-    return apply_policy(rows, on_malformed, F.col("_corrupt")).drop("_corrupt")
+    documents = reader.json(path).select(F.struct("*").alias("_document"), F.col("_corrupt").alias("text"))
+    rows = coerce(documents, raw.schema, ["text"])
+    return apply_policy(rows, on_malformed, F.col("text")).drop("text")
 
 
 def read_landed(

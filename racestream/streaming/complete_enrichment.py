@@ -1,45 +1,105 @@
-"""Laps with their pit stop as a stream-stream join."""
+"""Laps with their pit stop, settled as the streams move on.
+
+A lap waits until no pit stop can follow it any more, then leaves with the latest one since its start. A
+stream-stream join would put out every pair of a lap and a pit stop of its key before reducing them; here each
+row is looked at once, by the same carry-forward that batch queries use, so the work stays proportional to the
+rows and a crowded key is split over many tasks.
+
+The rows still waited for are a table in a shared folder, of two versions for even and odd batches. A batch that
+is repeated after a failure finds the version before it untouched.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
+
+from racestream import settings
+from racestream.operators.carry_forward import MAX_GROUP_ROWS, carry_forward
+from racestream.operators.enrichment import KEYS, LAP_RANK, PIT_RANK, project, tag
+
+# Laps are settled by windows of this length.
+SETTLE_SECONDS = 10
+
+_IS_LAP, _IS_PIT = (f"source_rank = {rank}" for rank in (LAP_RANK, PIT_RANK))
+
+
+def _waiting_path(folder: str, batch_id: int) -> str:
+    return f"{folder}/{'even' if batch_id % 2 == 0 else 'odd'}"
+
+
+def _with_waiting(batch: DataFrame, folder: str, batch_id: int) -> DataFrame:
+    if batch_id == 0:
+        return batch
+    waiting = batch.sparkSession.read.schema(batch.schema).parquet(_waiting_path(folder, batch_id - 1))
+    return batch.unionByName(waiting)
+
+
+def _watermark(rows: DataFrame, delay: str) -> Column:
+    """``delay`` behind the newest event time of the slower input; NULL until both have begun.
+
+    The newest lap and pit stop are always among the rows waited for, so earlier batches count too.
+    """
+    newest = rows.agg(
+        F.unix_micros(F.max(F.when(F.expr(_IS_LAP), F.col("t")))).alias("lap"),
+        F.unix_micros(F.max(F.when(F.expr(_IS_PIT), F.col("t")))).alias("pit"),
+    ).first()
+    micros = None if None in (newest.lap, newest.pit) else min(newest.lap, newest.pit)
+    return F.timestamp_micros(F.lit(micros).cast("bigint")) - F.expr(f"INTERVAL {delay}")
+
+
+def look_ahead(
+    rows: DataFrame, keys: Sequence[str], max_lap: str, max_group_rows: int | None = MAX_GROUP_ROWS
+) -> DataFrame:
+    """The laps among tagged ``rows``, each with the latest pit stop from its start to ``max_lap`` later.
 
-from racestream import schemas, settings
-from racestream.operators.enrichment import KEYS, project
+    Seen from the end of that time, it is the last pit stop before, unless that lies before the start.
+    """
+    placed = rows.withColumns(
+        {
+            "at": F.when(F.expr(_IS_LAP), F.col("t") + F.expr(f"INTERVAL {max_lap}")).otherwise(F.col("t")),
+            "pits_first": -F.col("source_rank"),
+            "pit": F.when(F.expr(_IS_PIT), F.struct("pit.pit_duration", "t")),
+        }
+    )
+    carried = carry_forward(placed, keys, ("at", "pits_first", "seq"), "pit", "seen", max_group_rows)
+    duration = F.when(F.col("seen.t") >= F.col("t"), F.col("seen.pit_duration"))
+    return project(carried.where(_IS_LAP).withColumn("pit_duration", duration), "seq")
 
 
 def enrich_complete_stream(
     laps: DataFrame,
     pits: DataFrame,
+    state_folder: str,
+    write: Callable[[DataFrame, int], None],
     keys: Sequence[str] = KEYS,
     max_lap: str = "10 minutes",
     watermark: str = settings.OUT_OF_ORDERNESS,
-    window: str = settings.LEADERBOARD_WINDOW,
-    salts: int = 8,
-) -> DataFrame:
-    """One row per lap, with the latest pit stop of its key that follows the lap's start by at most ``max_lap``.
-
-    The time bound lets Spark drop join state. A lap is emitted once, when the watermark says that no pit
-    stop can follow any more, matched or not. A lap with several pit stops leaves the join several times
-    and is reduced to the latest by the aggregation behind it.
+    max_group_rows: int | None = MAX_GROUP_ROWS,
+) -> DataStreamWriter:
+    """A writer that passes the laps settled by each micro-batch to ``write(rows, batch_id)``.
 
-    Laps of one key are spread over ``salts`` groups, and pit stops, which are far fewer, copied to each.
+    A lap is given out once: when the watermark is ``max_lap`` past the end of its ten-second window, matched or
+    not. Laps that come too late for that are given out at once, and none is dropped. ``write`` may be called again
+    for a batch after a failure; ``state_folder`` must be shared by all executors and belong to one checkpoint.
     """
-    lap_rows = laps.withWatermark("t", watermark).withColumn("salt", F.pmod(F.xxhash64("seq"), F.lit(salts)).cast("int"))
-    pit_rows = pits.withWatermark("t", watermark).select(
-        *[F.col(k).alias(f"pit_{k}") for k in keys],
-        F.col("t").alias("pit_t"),
-        F.col("seq").alias("pit_seq"),
-        "pit_duration",
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("pit_salt"),
-    )
-    same_key = [F.col(k) == F.col(f"pit_{k}") for k in keys]
-    in_time = (F.col("pit_t") >= F.col("t")) & (F.col("pit_t") <= F.col("t") + F.expr(f"INTERVAL {max_lap}"))
-    matched = lap_rows.join(pit_rows, [*same_key, F.col("salt") == F.col("pit_salt"), in_time], "leftOuter")
-    reduced = matched.groupBy(F.window("t", window), "seq", *schemas.LAPS.names).agg(
-        F.max_by("pit_duration", F.struct("pit_t", "pit_seq")).alias("pit_duration")
-    )
-    return project(reduced, "seq", "window")
+    longest = F.expr(f"INTERVAL {max_lap}")
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        rows = _with_waiting(batch, state_folder, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            mark = _watermark(rows, watermark)
+            window_end = F.timestamp_seconds((F.floor(F.unix_seconds("t") / SETTLE_SECONDS) + 1) * SETTLE_SECONDS)
+            settled = F.coalesce(window_end + longest <= mark, F.col("t").isNull())
+            useful = F.col("t").isNotNull() & F.coalesce(F.col("t") > mark - longest, F.lit(True))
+            waiting = rows.where((F.expr(_IS_LAP) & ~settled) | (F.expr(_IS_PIT) & useful))
+            waiting.write.mode("overwrite").parquet(_waiting_path(state_folder, batch_id))
+            write(look_ahead(rows.where(F.expr(_IS_PIT) | settled), keys, max_lap, max_group_rows), batch_id)
+        finally:
+            rows.unpersist()
+
+    return tag(laps, pits, keys).writeStream.foreachBatch(step)

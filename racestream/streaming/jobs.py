@@ -6,7 +6,7 @@ partitions of a stateful job is fixed by its first start.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +33,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     They hold for the first start of a job; a checkpoint keeps the state format it was made with.
     """
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    spark.conf.set("spark.sql.streaming.join.stateFormatVersion", "3")
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return use_utc(spark)
 
@@ -76,6 +75,20 @@ def _laps_and_pits(spark: SparkSession, topics: Topics, on_malformed: str) -> tu
     return laps, pits
 
 
+def _publish_laps(topics: Topics) -> Callable[[DataFrame, int], None]:
+    """Writes the enriched laps of a micro-batch; files of a repeated batch are replaced."""
+    def write(rows: DataFrame, batch_id: int) -> None:
+        values = enriched_json(rows)
+        if isinstance(topics, KafkaTopics):
+            no_key = F.lit(None).cast("string").alias("key")
+            topics.write(values.select(F.lit(settings.TOPIC_LAPS_ENRICHED).alias("topic"), no_key, "value"))
+        else:
+            folder = f"{topics.path(settings.TOPIC_LAPS_ENRICHED)}/batch={batch_id}"
+            values.write.mode("overwrite").format(topics.format).save(folder)
+
+    return write
+
+
 def enrichment_job(
     spark: SparkSession,
     topics: Topics,
@@ -84,18 +97,9 @@ def enrichment_job(
     keys: Sequence[str] = KEYS,
     keep_for: str | None = None,
 ) -> DataStreamWriter:
-    """Laps and pit stops to laps with the pit stop seen before them. State is kept next to the checkpoint."""
+    """Laps and pit stops to laps with the pit stop seen before them. State is kept below the checkpoint."""
     laps, pits = _laps_and_pits(prepare(spark), topics, on_malformed)
-
-    def write(rows: DataFrame, batch_id: int) -> None:
-        if isinstance(topics, KafkaTopics):
-            no_key = F.lit(None).cast("string").alias("key")
-            topics.write(enriched_json(rows).select(F.lit(settings.TOPIC_LAPS_ENRICHED).alias("topic"), no_key, "value"))
-        else:
-            folder = f"{topics.path(settings.TOPIC_LAPS_ENRICHED)}/batch={batch_id}"
-            enriched_json(rows).write.mode("overwrite").format(topics.format).save(folder)
-
-    writer = enrich_arrival_stream(laps, pits, f"{checkpoint}/seen-pit-stops", write, keys, keep_for)
+    writer = enrich_arrival_stream(laps, pits, f"{checkpoint}/seen-pit-stops", _publish_laps(topics), keys, keep_for)
     return writer.option("checkpointLocation", checkpoint)
 
 
@@ -109,8 +113,8 @@ def complete_enrichment_job(
 ) -> DataStreamWriter:
     """Laps and pit stops to laps with their pit stop, once it can no longer follow."""
     laps, pits = _laps_and_pits(prepare(spark), topics, on_malformed)
-    enriched = enrich_complete_stream(laps, pits, keys, max_lap)
-    return topics.write_stream(enriched_json(enriched), settings.TOPIC_LAPS_ENRICHED, checkpoint)
+    writer = enrich_complete_stream(laps, pits, f"{checkpoint}/waiting", _publish_laps(topics), keys, max_lap)
+    return writer.option("checkpointLocation", checkpoint)
 
 
 def malformed_job(spark: SparkSession, topics: Topics, table: str, folder: str, checkpoint: str) -> DataStreamWriter:

@@ -209,7 +209,8 @@ def test_pit_stops_can_be_forgotten(spark, tmp_path):
     assert got == {1: None, 44: None, 63: 30.0}
 
 
-def test_complete_stream(spark, tmp_path):
+@pytest.mark.parametrize("max_group_rows", [None, 1])
+def test_complete_stream(spark, tmp_path, max_group_rows):
     laps = Feed(spark, tmp_path / "laps").add(
         tables.laps(spark, [(0, 1, 44, 1), (1, 2, 63, 1), (2, 3, 1, 1), (3, 4, 7, 1)]),
         tables.laps(spark, [(5000, 9, 44, 99)]),
@@ -220,8 +221,13 @@ def test_complete_stream(spark, tmp_path):
         tables.pits(spark, [(85, 4, 44, 1, 22.0), (95, 5, 7, 1, None), (5000, 9, 5, 99, 1.0)]),
         tables.pits(spark, [(5001, 10, 5, 99, 1.0)]),
     )
-    rows = enrich_complete_stream(laps.stream(), pits.stream())
-    streamed, _ = run_to_folder(rows.drop("window"), tmp_path)
+    run(
+        enrich_complete_stream(
+            laps.stream(), pits.stream(), f"{tmp_path}/state", to_folder(f"{tmp_path}/out"), max_group_rows=max_group_rows
+        ),
+        tmp_path / "checkpoint",
+    )
+    streamed = spark.read.parquet(f"{tmp_path}/out")
     got = sorted((r.driver_number, r.pit_duration, r.had_pit_stop) for r in streamed.collect())
     # Two pit stops: the later one. Pit stop after more than ten minutes: none. Later one without duration: none.
     assert got == [(1, None, False), (7, None, False), (44, 22.0, True), (63, None, False)]
