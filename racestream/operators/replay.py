@@ -17,17 +17,23 @@ from racestream.schemas import RAW_TABLES
 TIMELINE_ORDER = ("time", "source_rank", "seq")
 
 
-def envelope(table: DataFrame, name: str) -> DataFrame:
+def envelope(table: DataFrame, name: str, missing_time: str = "epoch") -> DataFrame:
     """``time, source_rank, seq, topic, key`` of a raw table, and its fields, which become the payload.
 
-    A record without a usable time is placed at 1970-01-01T00:00:00Z.
+    A record without a usable time is placed at 1970-01-01T00:00:00Z (``'epoch'``) or left out (``'drop'``).
     """
     raw = RAW_TABLES[name]
+    text = F.col(raw.time_field)
+    if missing_time == "epoch":
+        timed = table.withColumn("time", event_time(text, "epoch"))
+    else:
+        # Unnested, so that the filter does not parse the time a second time.
+        timed = table.select("*", F.explode(F.array(event_time(text))).alias("time")).where(F.col("time").isNotNull())
     key = F.lit(settings.RACE_CONTROL_KEY) if name == "race_control" else F.col("driver_number").cast("string")
-    return table.select(
-        event_time(F.col(raw.time_field), "epoch").alias("time"),
+    return timed.select(
+        "time",
         F.lit(raw.rank).alias("source_rank"),
-        F.col("seq"),
+        "seq",
         F.lit(raw.topic).alias("topic"),
         key.alias("key"),
         *raw.schema.names,
@@ -37,14 +43,12 @@ def envelope(table: DataFrame, name: str) -> DataFrame:
 def merged(tables: Mapping[str, DataFrame], missing_time: str = "epoch") -> DataFrame:
     """All records of the given tables in one envelope, unordered, with the fields of all tables.
 
-    ``missing_time='drop'`` leaves out records without a usable time. With ``'epoch'`` a single one of
-    them becomes the start of the session, which delays every other record by decades.
+    With ``missing_time='epoch'`` a single record without a usable time becomes the start of the session, which
+    delays every other record by decades; ``'drop'`` leaves such records out.
     """
     if missing_time not in ("epoch", "drop"):
         raise ValueError(f"missing_time must be 'epoch' or 'drop', got {missing_time!r}")
-    if missing_time == "drop":
-        tables = {n: t.where(event_time(F.col(RAW_TABLES[n].time_field)).isNotNull()) for n, t in tables.items()}
-    envelopes = [envelope(table, name) for name, table in tables.items()]
+    envelopes = [envelope(table, name, missing_time) for name, table in tables.items()]
     return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), envelopes)
 
 
