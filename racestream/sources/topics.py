@@ -16,7 +16,6 @@ from dataclasses import dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from racestream import schemas, settings
@@ -140,12 +139,3 @@ def typed(records: DataFrame, name: str, on_malformed: str = "fail", time_fallba
         F.struct("ingest_time", "partition", "offset").alias("seq"),
         *kept,
     )
-
-
-def published_schema(topic: str) -> T.StructType:
-    """Fields of the documents on a processed topic."""
-    return {
-        settings.TOPIC_LEADERBOARD: schemas.LEADERBOARD,
-        settings.TOPIC_LAPS_ENRICHED: schemas.LAPS_ENRICHED,
-        settings.TOPIC_ALERTS: schemas.ALERTS,
-    }[topic]

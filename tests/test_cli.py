@@ -54,7 +54,8 @@ def test_schedule(spark, tmp_path, landing, monkeypatch):
 
 def test_malformed_records_are_collected(spark, tmp_path):
     topics = FileTopics(str(tmp_path / "topics"))
-    rows = spark.createDataFrame([("f1.laps", "44", '{"lap_number":1}'), ("f1.laps", "44", "oops")], "topic STRING, key STRING, value STRING")
+    documents = [("f1.laps", "44", '{"lap_number":1}'), ("f1.laps", "44", "oops")]
+    rows = spark.createDataFrame(documents, "topic STRING, key STRING, value STRING")
     topics.write(rows)
     options = ["--table", "laps", "--output", str(tmp_path / "bad"), "--checkpoint", str(tmp_path / "checkpoint")]
     main(["malformed", "--once", "--topics", topics.root, *options], spark)
