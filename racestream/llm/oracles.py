@@ -1,3 +1,47 @@
 """DuckDB SQL for those queries that SQL can express over whole tables."""
 
-ORACLES: dict[str, str] = {}
+from racestream.llm.host_quality import HOST_LIMIT, HOST_RULES, RULES, STRONGEST, WEAKEST
+
+
+def _host_quality() -> str:
+    sums = ", ".join(f"sum(CAST({RULES[r]} AS INT)) AS {r}" for r in HOST_RULES)
+    moments = ", ".join(f"avg({r} / docs) AS {r}_m, var_pop({r} / docs) AS {r}_v" for r in HOST_RULES)
+    between = {r: f"greatest({r}_v - {r}_m * (1 - {r}_m) * noise, 0)" for r in HOST_RULES}
+    strengths = ", ".join(
+        f"CASE WHEN {between[r]} > 0 THEN least(greatest({r}_m * (1 - {r}_m) / {between[r]} - 1, {WEAKEST}), {STRONGEST})"
+        f" ELSE {STRONGEST} END AS {r}_s"
+        for r in HOST_RULES
+    )
+    bad = " OR ".join(f"({r} + {r}_m * {r}_s) / (docs + {r}_s) > {HOST_LIMIT}" for r in HOST_RULES)
+    own = " OR ".join(f"({rule})" for rule in RULES.values())
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS i
+      FROM (SELECT rid, regexp_extract_all(t, '[^ \\t\\n\\x0B\\f\\r]+') AS ws FROM d)),
+tri AS (SELECT rid, i, word, lead(word) OVER p AS w2, lead(word, 2) OVER p AS w3
+        FROM w WINDOW p AS (PARTITION BY rid ORDER BY i)),
+rep AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, word, w2, w3) AS c FROM tri WHERE w3 IS NOT NULL)
+        WHERE c > 1),
+cov AS (SELECT rid, count(DISTINCT i + k) AS n FROM rep, (VALUES (0), (1), (2)) AS v(k) GROUP BY rid),
+ln AS (SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n_dup_lines
+       FROM (SELECT rid, unnest(string_split(t, chr(10))) AS l FROM d)
+       WHERE regexp_matches(l, '[^ \\t\\n\\x0B\\f\\r]') GROUP BY rid),
+wc AS (SELECT rid, count(*) AS n FROM w GROUP BY rid),
+c AS (SELECT doc_id, source, coalesce(wc.n, 0) AS n_words,
+        CAST(length(regexp_replace(t, '[ \\t\\n\\x0B\\f\\r]+', '', 'g')) AS BIGINT) AS word_chars,
+        CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+        coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines
+      FROM d LEFT JOIN wc USING (rid) LEFT JOIN cov USING (rid) LEFT JOIN ln USING (rid)),
+h AS (SELECT source AS host, count(*) AS docs, {sums} FROM c WHERE source IS NOT NULL GROUP BY 1),
+m AS (SELECT avg(1 / docs) AS noise, {moments} FROM h),
+s AS (SELECT *, {strengths} FROM m),
+bad AS (SELECT host FROM h, s WHERE {bad})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  ({RULES["short"]} OR {RULES["repeats"]}) AS base_failed,
+  NOT ({own}) AND bad.host IS NULL AS kept, bad.host IS NOT NULL AS host_failed
+FROM c LEFT JOIN bad ON c.source = bad.host"""
+
+
+ORACLES: dict[str, str] = {
+    "op2_host_quality": _host_quality(),
+}

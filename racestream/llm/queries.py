@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from racestream.llm import sharding
+from racestream.llm import host_quality, sharding
 from racestream.llm.tables import read
 
 
+def op2_host_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The counts and the verdict of every document."""
+    return host_quality.report(read(spark, folder, "documents"))
+
+
 def op7_lookup_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """The shard of every document, among 256."""
     shards = [f"shard-{i:05d}" for i in range(256)]
@@ -15,5 +20,6 @@ def op7_lookup_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_host_quality": op2_host_quality,
     "op7_lookup_sharding": op7_lookup_sharding,
 }

@@ -42,3 +42,32 @@ def map_rows(df: DataFrame, function: Callable[[dict[str, list]], dict[str, list
 
     target = to_arrow_schema(StructType.fromDDL(schema))
     return df.mapInArrow(batches, schema)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, lengthened until no column of the table has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_arrow_columns(df: DataFrame, text: str, function: Callable[[list], dict[str, list]], columns: dict[str, str]) -> DataFrame:
+    """Adds columns that a function makes from the list of a batch's texts; all other columns pass unchanged.
+
+    ``columns`` maps new names to Spark types; the names must be new to the table.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    added = StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in columns.items()))
+    fields = list(to_arrow_schema(added))
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            made = function(batch.column(position).to_pylist())
+            arrays = [pa.array(made[field.name], field.type) for field in fields]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], schema=pa.schema([*batch.schema, *fields]))
+
+    position = df.columns.index(text)
+    return df.mapInArrow(batches, StructType(df.schema.fields + added.fields))
