@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from racestream.llm import host_quality, sharding
+from racestream.llm import host_quality, packing, sharding
 from racestream.llm.tables import read
 
 
@@ -19,7 +20,13 @@ def op7_lookup_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.place(read(spark, folder, "documents").select("doc_id"), "doc_id", shards)
 
 
+def op10_nnls_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of 2048 tokens."""
+    return packing.pack(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op2_host_quality": op2_host_quality,
     "op7_lookup_sharding": op7_lookup_sharding,
+    "op10_nnls_packing": op10_nnls_packing,
 }

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 # ASCII white space, the separators of words in every contract here. bytes.split() uses the same six.
 SPACE = r"[ \t\n\u000B\f\r]+"
@@ -27,8 +32,26 @@ def n_words(text: Column) -> Column:
     return F.size(F.filter(parts, lambda w: w != ""))
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends the package to the Python workers, as ``--py-files`` would; once per application."""
+    context = spark.sparkContext
+    if context in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="racestream-")) / "racestream.zip"
+    with zipfile.ZipFile(archive, "w") as target:
+        for file in sorted(package.rglob("*.py")):
+            target.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.append(context)
+
+
+_shipped: list = []
+
+
 def map_rows(df: DataFrame, function: Callable[[dict[str, list]], dict[str, list]], schema: str) -> DataFrame:
     """Applies a function from columns to columns (as lists) to every Arrow batch."""
+    ship(df.sparkSession)
     names = [field.split()[0] for field in schema.split(",")]
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -37,9 +60,6 @@ def map_rows(df: DataFrame, function: Callable[[dict[str, list]], dict[str, list
                 out = function(batch.to_pydict())
                 yield pa.RecordBatch.from_pydict({name: out[name] for name in names}, target)
 
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
     target = to_arrow_schema(StructType.fromDDL(schema))
     return df.mapInArrow(batches, schema)
 
@@ -57,9 +77,7 @@ def with_arrow_columns(df: DataFrame, text: str, function: Callable[[list], dict
 
     ``columns`` maps new names to Spark types; the names must be new to the table.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
+    ship(df.sparkSession)
     added = StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in columns.items()))
     fields = list(to_arrow_schema(added))
 
