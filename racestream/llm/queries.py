@@ -5,10 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from racestream.llm import host_quality, packing, sharding
+from racestream.llm import host_quality, packing, personal_data, sharding
 from racestream.llm.tables import read
 
 
+def op1_crf_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document."""
+    return personal_data.find(read(spark, folder, "documents"))
+
+
 def op2_host_quality(spark: SparkSession, folder: str) -> DataFrame:
     """The counts and the verdict of every document."""
     return host_quality.report(read(spark, folder, "documents"))
@@ -26,6 +31,7 @@ def op10_nnls_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_crf_personal_data": op1_crf_personal_data,
     "op2_host_quality": op2_host_quality,
     "op7_lookup_sharding": op7_lookup_sharding,
     "op10_nnls_packing": op10_nnls_packing,
