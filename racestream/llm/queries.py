@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from racestream.llm import host_quality, packing, personal_data, sharding
+from racestream.llm import host_quality, language, packing, personal_data, sharding
 from racestream.llm.tables import read
 
 
@@ -25,6 +25,11 @@ def op7_lookup_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.place(read(spark, folder, "documents").select("doc_id"), "doc_id", shards)
 
 
+def op8_ppm_language(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document."""
+    return language.predict(read(spark, folder, "documents"))
+
+
 def op10_nnls_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of 2048 tokens."""
     return packing.pack(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -34,5 +39,6 @@ QUERIES = {
     "op1_crf_personal_data": op1_crf_personal_data,
     "op2_host_quality": op2_host_quality,
     "op7_lookup_sharding": op7_lookup_sharding,
+    "op8_ppm_language": op8_ppm_language,
     "op10_nnls_packing": op10_nnls_packing,
 }
