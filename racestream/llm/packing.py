@@ -30,7 +30,7 @@ END_ID = 1
 #: Entries of a worker's memory of encoded words; about 100 MB. Words beyond are encoded each time.
 REMEMBERED = 400_000
 #: Pieces of a bin numbered by one task.
-SLICE = 10_000
+SLICE = 1_000
 
 # The pattern by which byte-level vocabularies of this kind split text before merging.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""

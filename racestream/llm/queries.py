@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from racestream.llm import host_quality, language, packing, personal_data, sharding
+from racestream.llm import gated_lm, host_quality, language, packing, personal_data, sharding
 from racestream.llm.tables import read
 
 
@@ -30,6 +30,11 @@ def op8_ppm_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.predict(read(spark, folder, "documents"))
 
 
+def op9_gated_lm(spark: SparkSession, folder: str) -> DataFrame:
+    """The log-likelihood of every document."""
+    return gated_lm.score_documents(read(spark, folder, "documents"))
+
+
 def op10_nnls_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of 2048 tokens."""
     return packing.pack(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -40,5 +45,6 @@ QUERIES = {
     "op2_host_quality": op2_host_quality,
     "op7_lookup_sharding": op7_lookup_sharding,
     "op8_ppm_language": op8_ppm_language,
+    "op9_gated_lm": op9_gated_lm,
     "op10_nnls_packing": op10_nnls_packing,
 }
