@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from racestream.llm import gated_lm, host_quality, language, packing, personal_data, sharding
+from racestream.llm import gated_lm, host_quality, language, minhash, packing, personal_data, sharding
 from racestream.llm.tables import read
 
 
@@ -19,6 +19,11 @@ def op2_host_quality(spark: SparkSession, folder: str) -> DataFrame:
     return host_quality.report(read(spark, folder, "documents"))
 
 
+def op3_tensored_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate documents: three-word shingles, similarity of 0.85 or more."""
+    return minhash.near_duplicates(read(spark, folder, "documents"), words=3, percent=85)
+
+
 def op7_lookup_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """The shard of every document, among 256."""
     shards = [f"shard-{i:05d}" for i in range(256)]
@@ -43,6 +48,7 @@ def op10_nnls_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_crf_personal_data": op1_crf_personal_data,
     "op2_host_quality": op2_host_quality,
+    "op3_tensored_minhash": op3_tensored_minhash,
     "op7_lookup_sharding": op7_lookup_sharding,
     "op8_ppm_language": op8_ppm_language,
     "op9_gated_lm": op9_gated_lm,
