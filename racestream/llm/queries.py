@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from racestream.llm import gated_lm, host_quality, language, minhash, packing, personal_data, sharding
+from racestream.llm import gated_lm, host_quality, language, minhash, packing, personal_data, polytope, sharding
 from racestream.llm.tables import read
 
 
@@ -24,6 +24,11 @@ def op3_tensored_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, folder, "documents"), words=3, percent=85)
 
 
+def op6_cross_polytope(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate vectors: cosine of 0.93 or more."""
+    return polytope.near_duplicates(read(spark, folder, "embeddings"))
+
+
 def op7_lookup_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """The shard of every document, among 256."""
     shards = [f"shard-{i:05d}" for i in range(256)]
@@ -49,6 +54,7 @@ QUERIES = {
     "op1_crf_personal_data": op1_crf_personal_data,
     "op2_host_quality": op2_host_quality,
     "op3_tensored_minhash": op3_tensored_minhash,
+    "op6_cross_polytope": op6_cross_polytope,
     "op7_lookup_sharding": op7_lookup_sharding,
     "op8_ppm_language": op8_ppm_language,
     "op9_gated_lm": op9_gated_lm,
