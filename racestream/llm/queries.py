@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from racestream.llm import gated_lm, host_quality, language, minhash, packing, personal_data, polytope, sharding
+from racestream.llm import gated_lm, host_quality, language, minhash, mixing, packing, personal_data, polytope, sharding
 from racestream.llm.tables import read
 
 
@@ -24,6 +24,11 @@ def op3_tensored_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, folder, "documents"), words=3, percent=85)
 
 
+def op4_raked_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    """Half of all tokens, drawn so that sources, languages and topics reach their tempered shares."""
+    return mixing.sample(read(spark, folder, "documents"))
+
+
 def op6_cross_polytope(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate vectors: cosine of 0.93 or more."""
     return polytope.near_duplicates(read(spark, folder, "embeddings"))
@@ -54,6 +59,7 @@ QUERIES = {
     "op1_crf_personal_data": op1_crf_personal_data,
     "op2_host_quality": op2_host_quality,
     "op3_tensored_minhash": op3_tensored_minhash,
+    "op4_raked_mixture": op4_raked_mixture,
     "op6_cross_polytope": op6_cross_polytope,
     "op7_lookup_sharding": op7_lookup_sharding,
     "op8_ppm_language": op8_ppm_language,
