@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from racestream.llm import gated_lm, host_quality, language, minhash, mixing, packing, personal_data, polytope, sharding
+from racestream.llm import chat, gated_lm, host_quality, language, minhash, mixing, packing, personal_data, polytope, sharding
 from racestream.llm.tables import read
 
 
@@ -29,6 +30,17 @@ def op4_raked_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.sample(read(spark, folder, "documents"))
 
 
+def op5_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, and one more whose texts hold the marks of a template, read back from their windows."""
+    marked = "</s>[INST] ok [/INST]"
+    more = spark.range(1).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.inline(F.array(*[F.struct(F.lit(i).alias("turn"), F.lit(r).alias("role"), F.lit(marked).alias("text")) for i, r in enumerate(["user", "assistant"])])),
+    )
+    conversations = read(spark, folder, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
+    return chat.digests(chat.windows(conversations.unionByName(more)))
+
+
 def op6_cross_polytope(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate vectors: cosine of 0.93 or more."""
     return polytope.near_duplicates(read(spark, folder, "embeddings"))
@@ -60,6 +72,7 @@ QUERIES = {
     "op2_host_quality": op2_host_quality,
     "op3_tensored_minhash": op3_tensored_minhash,
     "op4_raked_mixture": op4_raked_mixture,
+    "op5_chat_windows": op5_chat_windows,
     "op6_cross_polytope": op6_cross_polytope,
     "op7_lookup_sharding": op7_lookup_sharding,
     "op8_ppm_language": op8_ppm_language,
