@@ -1,0 +1,102 @@
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest_llm import CLASHING, HARD, prose
+from racestream.llm import minhash
+from racestream.llm.components import components
+
+
+def brute(rows, words, percent):
+    """Component by row number, over all pairs of rows with an id and a text."""
+    sets = []
+    for _, text in rows:
+        tokens = (text or "").encode().lower().split()
+        width = min(words, len(tokens))
+        sets.append({tuple(tokens[i : i + width]) for i in range(len(tokens) - width + 1)} if tokens else set())
+    label = [r[0] for r in rows]
+    changed = True
+    links = []
+    for i, a in enumerate(sets):
+        for j in range(i):
+            common = len(a & sets[j])
+            if a and sets[j] and None not in (rows[i][0], rows[j][0]) and 100 * common >= percent * len(a | sets[j]):
+                links.append((i, j))
+    while changed:
+        changed = False
+        for i, j in links:
+            if label[i] != label[j]:
+                label[i] = label[j] = min(label[i], label[j])
+                changed = True
+    return [(r[0], len(s), c, r[0] is None or r[0] == c) for r, s, c in zip(rows, sets, label)]
+
+
+def edited(text, times, seed):
+    pick = random.Random(seed)
+    words = text.split(" ")
+    for _ in range(times):
+        words[pick.randrange(len(words))] = f"new{pick.randrange(10**6)}"
+    return " ".join(words)
+
+
+def corpus():
+    rows = []
+    for k in range(12):
+        base = prose(150 + 20 * k, k)
+        for c in range(6):
+            rows.append((len(rows) * 3 + 5, edited(base, c * (1 + k % 4), 100 * k + c)))
+        rows.append((len(rows) * 3 + 5, base))
+    shared = prose(80, 99)
+    rows += [(1000 + i, prose(20 * (i + 1), 200 + i) + " " + shared) for i in range(15)]
+    # A chain: each text is near the next, but not near the one after.
+    text = prose(300, 77)
+    for i in range(8):
+        rows.append((2000 + i, text))
+        text = edited(text, 7, 300 + i)
+    random.Random(1).shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize(("words", "percent"), [(3, 85), (5, 80)])
+def test_components_equal_brute_force(documents, words, percent):
+    rows = corpus()
+    found = minhash.near_duplicates(documents(rows), words, percent)
+    assert sorted(map(tuple, found.collect())) == sorted(brute(rows, words, percent))
+
+
+def test_hard_rows_and_extra_columns(documents):
+    found = minhash.near_duplicates(documents(HARD, **CLASHING), 3, 85).collect()
+    key = lambda row: tuple((x is not None, x) for x in row)
+    assert sorted(map(tuple, found), key=key) == sorted(brute([(r[0], r[1]) for r in HARD], 3, 85), key=key)
+
+
+def test_one_of_each_group_stays(documents):
+    rows = [(r[0], r[1]) for r in HARD] + [(10_000 + i, text) for i, text in corpus()]
+    docs = documents(rows, **CLASHING)
+    kept = minhash.keep_one(docs, 3, 85)
+    assert kept.columns == docs.columns
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert sorted(i for i in ids if i is not None) == sorted({r[0] for r in brute(rows, 3, 85) if r[3]} - {None})
+    assert ids.count(None) == 2
+
+
+def test_empty_table(documents):
+    assert minhash.near_duplicates(documents([])).count() == 0
+    assert minhash.keep_one(documents([])).count() == 0
+
+
+def test_enough_groups():
+    for percent in (80, 85, 90):
+        miss = 1 - (1 - (1 - (percent / 100) ** minhash.GROUP) ** minhash.groups_for(percent)) ** 2
+        assert miss <= minhash.MISSED
+    assert 2 * minhash.groups_for(80) < math.ceil(math.log(1e-6) / math.log(1 - 0.8 ** (2 * minhash.GROUP)))
+
+
+def test_components(spark):
+    links = [(1, 2), (2, 3), (9, 8), (3, 1), (5, 5), (20, 30), (30, 40), (40, 10)]
+    found = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long"), "test").collect()))
+    assert found == {1: 1, 2: 1, 3: 1, 8: 8, 9: 8, 10: 10, 20: 10, 30: 10, 40: 10}
+    path = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    assert {r["component"] for r in components(path, "test").collect()} == {0}

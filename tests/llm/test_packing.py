@@ -1,0 +1,89 @@
+import random
+import zlib
+from array import array
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from conftest_llm import CLASHING, HARD, prose
+from racestream.llm import packing
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(PATH)
+
+
+def test_ids_are_those_of_the_tokenizer(tokenizer):
+    encode = packing.encoder(PATH)
+    pick = random.Random(2)
+    texts = [text or "" for _, text, *_ in HARD if len(text or "") < 50_000]
+    for alphabet in ("ab \n", "a  \t\n'sre1", "é漢🙂 a\x1c\x85 　.", "x1 ,.!?", "abcdefgh IJK 0123 '\"\r\n"):
+        texts += ["".join(pick.choice(alphabet) for _ in range(pick.randint(0, 50))) for _ in range(800)]
+    for text in texts:
+        assert encode(text) == array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes(), repr(text)
+
+
+def check(rows, documents, tokenizer, sequence=2048):
+    """Every id of every document once, sequences without gaps, checksums right."""
+    expected = []
+    for doc_id, text, *_ in documents:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+        for at in range(0, len(ids), sequence):
+            piece = ids[at : at + sequence]
+            expected.append((str(doc_id), at, len(piece), zlib.crc32(array("I", piece).tobytes()), len(ids)))
+    found = [(str(r["doc_id"]), r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]) for r in rows]
+    assert sorted(found) == sorted(expected)
+    ends = {}
+    for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == ends.get(r["sequence_id"], 0)
+        ends[r["sequence_id"]] = r["offset"] + r["length"]
+    assert all(n <= sequence for n in ends.values())
+    return ends
+
+
+def test_hard_rows_and_extra_columns(documents, tokenizer):
+    check(packing.pack(documents(HARD, **CLASHING), PATH).collect(), HARD, tokenizer)
+
+
+def test_little_padding(documents, tokenizer):
+    pick = random.Random(4)
+    docs = [(i, prose(int(2 ** pick.uniform(1, 10)), i)) for i in range(300)]
+    ends = check(packing.pack(documents(docs), PATH).collect(), docs, tokenizer)
+    padding = sum(0 if n & (n - 1) == 0 else 2048 - n for n in ends.values())
+    assert padding < 0.03 * sum(ends.values())
+
+
+def test_many_equal_documents(documents, tokenizer):
+    docs = [(i, "same text " * 3) for i in range(3000)]
+    check(packing.pack(documents(docs), PATH).collect(), docs, tokenizer)
+
+
+def test_empty_table(documents):
+    assert packing.pack(documents([]), PATH).count() == 0
+
+
+def test_least_squares_by_the_conditions_of_optimality():
+    random_ = np.random.default_rng(3)
+    for _ in range(20):
+        a, b = random_.normal(size=(12, 30)), random_.normal(size=12)
+        x = packing.nnls(a, b)
+        slope = a.T @ (b - a @ x)
+        assert (x >= 0).all() and slope.max() < 1e-6
+        assert np.abs(slope[x > 0]).max(initial=0) < 1e-6
+
+
+def test_plan_uses_the_histogram_up():
+    pick = random.Random(6)
+    for _ in range(30):
+        histogram = {pick.choice([*range(1, 65), *range(68, 256, 4), *range(256, 2049, 16)]): pick.randint(1, 5000) for _ in range(60)}
+        used = dict.fromkeys(histogram, 0)
+        for pattern, n in packing.plan(histogram):
+            assert n > 0 and sum(size * times for size, times in pattern.items()) <= 2048
+            for size, times in pattern.items():
+                used[size] += n * times
+        assert used == histogram
