@@ -122,10 +122,24 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
+    """The frequent tokens are all those above a count such that no more than ``FREQUENT`` are.
+
+    The count comes from a histogram on a logarithmic scale, so that no task sorts or gathers more than those tokens.
+    """
     totals = counts.agg(F.sum("n").alias("total"), F.count("n").alias("distinct")).first()
-    table = counts.orderBy(F.desc("n"), "token").limit(FREQUENT).toArrow()
-    tokens = [t.encode() for t in table.column("token").to_pylist()]
+    level = F.floor(F.log2(F.col("n")) * 64).cast("int")
+    histogram = {row["level"]: row["count"] for row in counts.groupBy(level.alias("level")).count().collect()}
+    chosen, least = 0, 1 << 30
+    for at in sorted(histogram, reverse=True):
+        chosen += histogram[at]
+        if chosen > FREQUENT:
+            break
+        least = at
+    table = counts.where(level >= least).toArrow()
     n = table.column("n").to_numpy().astype(np.int64)
+    tokens = [t.encode() for t in table.column("token").to_pylist()]
+    order = sorted(range(len(tokens)), key=lambda i: (-n[i], tokens[i]))
+    tokens, n = [tokens[i] for i in order], n[order]
     if END.encode() not in tokens:
         tokens, n = [*tokens, END.encode()], np.append(n, 0)
     return Vocabulary(tokens, n, totals["total"] or 0, totals["distinct"] or 0)

@@ -39,6 +39,10 @@ EXAMPLES = [
     "write to {email:josé.núñez@correo.example} now",
     "mail {email:jürgen@müller.example} or {email:ann.lee@site.example.org}",
     "from {email:zoë22@località.example} with thanks",
+    "please write {email:noël@été.example}",
+    "{email:ada@site.example.org}",
+    "mail or write to {email:søren.k@øre.example}",
+    "{email:ana@peña.example}, {email:bo@site.example.org}; {email:åse@site.example}.",
     "host {ip:10.20.30.40} answered, {ip:192.168.1.77} did not",
     "paid by {card:4111 1111 1111 1111} in May",
     "card {card:5500000000000004} and {card:3400-0000-0000-009} on file",
