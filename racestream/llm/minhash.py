@@ -9,22 +9,26 @@ left collection and the j-th of the right one. ``m`` groups on each side give ``
    before the pairs are formed, which loses nothing and leaves classes without any near-duplicate no rows.
 3. In each bucket of a table the class that shares most is the hub, and all others are candidates with it. Candidates are
    verified on whole sets, and links joined to components.
-4. Buckets that still hold several components may hide links between non-hubs. Their classes are compared across components,
-   each pair once, so that no candidate pair of a table goes untested unless its ends are already connected.
+4. Around a hub whose classes are of several components, links between classes that are no hubs may be hidden. There all classes
+   of different components are compared, in blocks, by matrix products that only give links. So no two classes that share a
+   bucket go untested unless they are already connected.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from racestream.llm.components import components
-from racestream.llm.tables import doc_texts, map_rows
+from racestream.llm.components import components, forest
+from racestream.llm.tables import doc_texts, group_starts, map_rows, ship, whole_groups
 from racestream.session import written
 
 #: Words of a shingle, and the least similarity of a link in percent, unless others are asked for.
@@ -36,6 +40,10 @@ MISSED = 1e-6
 #: Ids of candidates are broadcast up to this number (16 MB), and joined by shuffle beyond.
 BROADCAST_IDS = 1_000_000
 
+#: Sets, and shingles of sets, of a block of a hub's classes; a task compares two blocks.
+BLOCK_SETS, BLOCK_SHINGLES = 512, 1_000_000
+
+_TASK = ["hub", "low", "high"]
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BLOCK = 4096
@@ -163,30 +171,84 @@ def _sets(documents: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     return written(map_rows(texts, cut, "rep long, shingles array<long>"), "minhash-sets")
 
 
-def _across(rows: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of classes of different components in the same bucket, each once.
+# Links between those that are not hubs
+
+def _across(spokes: DataFrame, labels: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The classes around each hub whose classes are of several components, in blocks of bounded size.
 
-    They are found through the first left group that both have; that they share a right one too makes them candidates.
+    ``(hub, low, high)`` is the work of one task: all pairs of a block, or those between two blocks.
     """
-    labelled = rows.join(labels, rows["rep"] == labels["node"], "left").select(
-        "bucket", "rep", F.coalesce("component", "rep").alias("component")
+    around = (
+        spokes.join(labels, F.col("b") == F.col("node"), "left")
+        .join(sizes, F.col("b") == F.col("rep"))
+        .select(F.col("a").alias("hub"), F.col("b").alias("member"), F.coalesce("component", "b").alias("component"), "n_shingles")
     )
-    mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    members = labelled.join(mixed.select("bucket"), "bucket", "left_semi").select("rep", "component").distinct()
-    full = members.join(classes, "rep").select("*", F.posexplode("left").alias("i", "key"))
-    a, b = full.alias("a"), full.alias("b")
-    same = lambda side: F.zip_with(f"a.{side}", f"b.{side}", lambda x, y: x == y)
-    condition = (
-        (F.col("a.i") == F.col("b.i"))
-        & (F.col("a.key") == F.col("b.key"))
-        & (F.col("a.rep") < F.col("b.rep"))
-        & (F.col("a.component") != F.col("b.component"))
-        & _may_link(F.col("a.n_shingles"), F.col("b.n_shingles"), percent)
-        & F.arrays_overlap(F.col("a.right"), F.col("b.right"))
-        & (F.array_position(same("left"), True) == F.col("a.i") + 1)
-        & F.exists(same("right"), lambda x: x)
+    size = F.greatest(F.count("member") / BLOCK_SETS, F.sum("n_shingles") / BLOCK_SHINGLES)
+    mixed = around.groupBy("hub").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"), F.ceil(size).cast("int").alias("blocks")
     )
-    return a.join(b, condition).select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b"))
+    mixed = mixed.where("least < most").select("hub", "blocks")
+    dealt = around.join(mixed, "hub").withColumn("block", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return dealt.select(
+        "hub", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "member", "component"
+    )
+
+
+def common_counts(values: np.ndarray, lengths: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sets, given end to end: of those at ``left`` with those at ``right``."""
+    _, element, often = np.unique(values, return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    shared = often[element] > 1
+    owner, element = owner[shared], (np.cumsum(often > 1) - 1)[element[shared]]
+    order = np.argsort(element, kind="stable")
+    owner, element = owner[order], element[order]
+    common = np.zeros((len(left), len(right)), np.float32)
+    width = int(element[-1]) + 1 if len(element) else 0
+    for at in range(0, width, _BLOCK):
+        part = slice(*np.searchsorted(element, [at, at + _BLOCK]))
+        dense = np.zeros((len(lengths), min(_BLOCK, width - at)), np.float32)
+        dense[owner[part], element[part] - at] = 1
+        common += dense[left] @ dense[right].T
+    return common
+
+
+def _links_within(heavy: DataFrame, percent: int) -> DataFrame:
+    """Links of each task, as a spanning forest: sets are compared by matrix products, and no pair leaves a task."""
+    spark = heavy.sparkSession
+    ship(spark)
+    schema = spark.createDataFrame([], "a long, b long").schema
+    target = to_arrow_schema(schema)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, _TASK):
+            starts = group_starts(table, _TASK)
+            shingle_lists = table.column("shingles").combine_chunks()
+            values, offsets = shingle_lists.flatten().to_numpy(), shingle_lists.offsets.to_numpy()
+            offsets = offsets - offsets[0]
+            member, component = table.column("member").to_numpy(), table.column("component").to_numpy()
+            block, low, high = (table.column(name).to_numpy() for name in ("block", "low", "high"))
+            out: list[np.ndarray] = []
+            for start, end in zip(starts, [*starts[1:], table.num_rows]):
+                mine = component[start:end]
+                if (mine == mine[0]).all():
+                    continue
+                cross = low[start] != high[start]
+                left = np.flatnonzero(block[start:end] == low[start])
+                right = np.flatnonzero(block[start:end] == high[start])
+                lengths = np.diff(offsets[start : end + 1])
+                common = common_counts(values[offsets[start] : offsets[end]], lengths, left, right)
+                union = lengths[left][:, None] + lengths[right][None, :] - common
+                linked = (100 * common >= percent * union) & (mine[left][:, None] != mine[right][None, :])
+                i, j = np.nonzero(linked if cross else np.triu(linked, 1))
+                root = forest(end - start, left[i], right[j])
+                moved = np.flatnonzero(root != np.arange(end - start))
+                out.append(np.stack([member[start + root[moved]], member[start + moved]]))
+            if out:
+                a, b = np.concatenate(out, 1)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=target)
+
+    return heavy.mapInArrow(search, schema)
 
 
 def _members(documents: DataFrame, words: int, percent: int) -> DataFrame:
@@ -199,23 +261,23 @@ def _members(documents: DataFrame, words: int, percent: int) -> DataFrame:
     rows = written(table_rows(classes), "minhash-tables")
     hubs = rows.groupBy("bucket").agg(F.min(F.struct(-F.col("weight"), "rep")).alias("hub"), F.count("rep").alias("n"))
     hubs = hubs.where("n > 1").select("bucket", F.col("hub.rep").alias("a"))
-    spokes = rows.join(hubs, "bucket").where("rep != a").select("a", F.col("rep").alias("b")).distinct()
+    spokes = written(rows.join(hubs, "bucket").where("rep != a").select("a", F.col("rep").alias("b")).distinct(), "minhash-spokes")
+    ids = spokes.select(F.col("a").alias("rep")).unionByName(spokes.select(F.col("b").alias("rep"))).distinct()
+    sets = _sets(documents, ids, words)
     sizes = classes.select("rep", "n_shingles")
-    spokes = (
+    fitting = (
         spokes.join(sizes.select(F.col("rep").alias("b"), F.col("n_shingles").alias("n")), "b")
         .join(sizes.select(F.col("rep").alias("a"), F.col("n_shingles").alias("m")), "a")
         .where(_may_link(F.col("n"), F.col("m"), percent))
+        .select("a", "b")
     )
-    spokes = written(spokes.select("a", "b"), "minhash-spokes")
-    ids = spokes.select(F.col("a").alias("rep")).unionByName(spokes.select(F.col("b").alias("rep"))).distinct()
-    links = written(verified(spokes, _sets(documents, ids, words), percent), "minhash-links")
+    links = written(verified(fitting, sets, percent), "minhash-links")
     labels = written(components(links, "minhash-components"), "minhash-labels")
-    across = _across(rows, labels, classes, percent)
-    tested = spokes.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    across = written(across.join(tested, ["a", "b"], "left_anti"), "minhash-across")
-    if not across.isEmpty():
-        ids = across.select(F.col("a").alias("rep")).unionByName(across.select(F.col("b").alias("rep"))).distinct()
-        more = verified(across, _sets(documents, ids, words), percent)
+    around = _across(spokes, labels, sizes).join(sets, F.col("member") == F.col("rep")).drop("rep")
+    more = written(
+        _links_within(around.repartition(*_TASK).sortWithinPartitions(*_TASK), percent).distinct(), "minhash-across"
+    )
+    if not more.isEmpty():
         labels = written(components(links.unionByName(more), "minhash-components"), "minhash-labels")
     found = (
         classes.select("set_id", "rep")

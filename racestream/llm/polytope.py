@@ -20,8 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from racestream.llm.components import components
-from racestream.llm.tables import map_rows, ship
+from racestream.llm.components import components, forest
+from racestream.llm.tables import group_starts, map_rows, ship, whole_groups
 from racestream.session import written
 
 COSINE = 0.93
@@ -178,18 +178,6 @@ def _first_meeting(rows: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) ->
     return first
 
 
-def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The least member that each of ``n`` members reaches over links."""
-    label = np.arange(n)
-    while True:
-        before = label.copy()
-        np.minimum.at(label, a, label[b])
-        np.minimum.at(label, b, label[a])
-        label = label[label]
-        if (label == before).all():
-            return label
-
-
 def _compare(rows: dict[str, np.ndarray], starts: np.ndarray, least: float) -> list[tuple[np.ndarray, ...]]:
     """Counts ``(rep, none, links)`` and edges ``(rep, other, 0)`` of the tasks that begin at ``starts``."""
     x, rep, block, own, label = rows["x"], rows["rep"], rows["block"], rows["own"], rows["label"]
@@ -207,7 +195,7 @@ def _compare(rows: dict[str, np.ndarray], starts: np.ndarray, least: float) -> l
         fit = _linked(x, i, j, least) & (label[i] == label[j])
         i, j = i[fit], j[fit]
         counted.append((i, j))
-        root = _forest(n, i - start, j - start)
+        root = forest(n, i - start, j - start)
         moved = np.flatnonzero(root != np.arange(n))
         out.append((rep[start + moved], rep[start + root[moved]], np.zeros(len(moved), np.int64)))
     if listed:
@@ -230,11 +218,12 @@ def _compare(rows: dict[str, np.ndarray], starts: np.ndarray, least: float) -> l
     return out
 
 
+_TASK = ["bucket", "low", "high"]
 _OUT = "rep long, other long, links long"
 
 
 def _search(heavy: DataFrame, least: float) -> DataFrame:
-    """Runs over sorted rows; the rows of the last task of a batch wait for the next batch."""
+    """Runs over rows sorted by task."""
     ship(heavy.sparkSession)
     schema = heavy.sparkSession.createDataFrame([], _OUT).schema
     target = to_arrow_schema(schema)
@@ -245,13 +234,12 @@ def _search(heavy: DataFrame, least: float) -> DataFrame:
             part = table.filter(pa.array(sizes == size)) if len(np.unique(sizes)) > 1 else table
             column = lambda name: part.column(name).to_numpy()
             n = part.num_rows
-            key = np.stack([column("bucket"), column("low"), column("high")], 1)
-            starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(1)))
+            starts = group_starts(part, _TASK)
             rows = {
                 "x": np.frombuffer(b"".join(part.column("unit").to_pylist()), np.float64).reshape(n, -1),
                 "codes": np.frombuffer(b"".join(part.column("axes").to_pylist()), "<i4").reshape(n, 2, TABLES, HASHES),
                 "label": np.unique(np.array(part.column("label").to_pylist()), return_inverse=True)[1],
-                "cross": key[:, 1] != key[:, 2],
+                "cross": column("low") != column("high"),
                 "own": part.column("is_own").to_numpy(zero_copy_only=False).astype(bool),
             } | {name: column(name) for name in ("rep", "block", "place", "copies")}
             for rep, other, links in _compare(rows, starts, least):
@@ -259,21 +247,8 @@ def _search(heavy: DataFrame, least: float) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(rep), empty.cast(pa.int64()), pa.array(links)], schema=target)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: pa.Table | None = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            if waiting is not None:
-                table = pa.concat_tables([waiting, table]).combine_chunks()
-            last = [table.column(c)[-1].as_py() for c in ("bucket", "low", "high")]
-            same = np.ones(table.num_rows, bool)
-            for name, value in zip(("bucket", "low", "high"), last):
-                same &= table.column(name).to_numpy() == value
-            cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
-            if cut:
-                yield from emit(table.slice(0, cut).combine_chunks())
-            waiting = table.slice(cut)
-        if waiting is not None and waiting.num_rows:
-            yield from emit(waiting.combine_chunks())
+        for table in whole_groups(batches, _TASK):
+            yield from emit(table)
 
     return heavy.mapInArrow(search, schema)
 
@@ -294,7 +269,7 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
     hashed = written(_hashed(known.select("rep", "copies", F.col("label").cast("string").alias("label"), "vector")), "polytope-hashes")
     rows = written(_bucket_rows(hashed), "polytope-buckets")
     heavy = rows.join(hashed.select("rep", "copies", "label", "unit", "axes"), "rep")
-    heavy = heavy.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+    heavy = heavy.repartition(*_TASK).sortWithinPartitions(*_TASK)
     found = written(_search(heavy, cosine), "polytope-links")
     edges = found.where(F.col("other").isNotNull()).select(F.col("rep").alias("a"), F.col("other").alias("b"))
     counts = found.where(F.col("other").isNull()).groupBy("rep").agg(F.sum("links").alias("links"))

@@ -7,6 +7,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,3 +90,34 @@ def with_arrow_columns(df: DataFrame, text: str, function: Callable[[list], dict
 
     position = df.columns.index(text)
     return df.mapInArrow(batches, StructType(df.schema.fields + added.fields))
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Regroups sorted batches so that no group of equal keys is torn; the last group of a batch waits for the next one."""
+    waiting: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if not table.num_rows:
+            continue
+        if waiting is not None:
+            table = pa.concat_tables([waiting, table])
+        same = np.ones(table.num_rows, bool)
+        for key in keys:
+            column = table.column(key).to_numpy()
+            same &= column == column[-1]
+        cut = 0 if same.all() else int(np.flatnonzero(~same)[-1]) + 1
+        if cut:
+            yield table.slice(0, cut).combine_chunks()
+        waiting = table.slice(cut).combine_chunks()
+    if waiting is not None:
+        yield waiting
+
+
+def group_starts(table: pa.Table, keys: list[str]) -> np.ndarray:
+    """Where groups of equal keys begin."""
+    begins = np.zeros(table.num_rows, bool)
+    begins[:1] = True
+    for key in keys:
+        column = table.column(key).to_numpy()
+        begins[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(begins)
