@@ -34,6 +34,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--whole-words", action="store_true", help="match alert patterns at word boundaries")
     parser.add_argument("--on-malformed", choices=("drop", "fail"), help="default: the job's own")
     parser.add_argument("--keep-for", help="forget pit stops older than this, such as '2 hours'")
+    parser.add_argument("--time-fallback", choices=("ingest", "epoch", "null"), default="ingest", help="time of records without a date")
+    parser.add_argument("--last-by", choices=("arrival", "event_time"), default="arrival", help="which position of a window counts")
+    parser.add_argument("--max-lap", default="10 minutes", help="how long after its start a lap's pit stop can come")
+    parser.add_argument("--release", action="store_true", help="complete-enrichment: after --once, give out the laps that still wait")
     parser.add_argument("--table", help="raw table whose malformed records are collected")
     parser.add_argument("--landing", help="root folder of landed session data")
     parser.add_argument("--format", default="json", help="format of landed data")
@@ -44,6 +48,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     for name in needed.get(args.job, ("checkpoint",)):
         if getattr(args, name) is None:
             parser.error(f"{args.job} needs --{name}")
+    if args.release and not (args.once and args.job == "complete-enrichment"):
+        parser.error("--release goes with complete-enrichment --once")
     return args
 
 
@@ -52,13 +58,25 @@ def stream(spark: SparkSession, topics: Topics, args: argparse.Namespace):
     policy = {} if args.on_malformed is None else {"on_malformed": args.on_malformed}
     keys = SESSION_KEYS if args.by_session else KEYS
     if args.job == "leaderboard":
-        return jobs.leaderboard_job(spark, topics, args.checkpoint, by_session=args.by_session, **policy)
+        return jobs.leaderboard_job(
+            spark,
+            topics,
+            args.checkpoint,
+            time_fallback=args.time_fallback,
+            by_session=args.by_session,
+            last_by=args.last_by,
+            **policy,
+        )
     if args.job == "alerts":
         return jobs.alerts_job(spark, topics, args.checkpoint, whole_words=args.whole_words, **policy)
     if args.job == "enrichment":
-        return jobs.enrichment_job(spark, topics, args.checkpoint, keys=keys, keep_for=args.keep_for, **policy)
+        return jobs.enrichment_job(
+            spark, topics, args.checkpoint, keys=keys, keep_for=args.keep_for, time_fallback=args.time_fallback, **policy
+        )
     if args.job == "complete-enrichment":
-        return jobs.complete_enrichment_job(spark, topics, args.checkpoint, keys=keys, **policy)
+        return jobs.complete_enrichment_job(
+            spark, topics, args.checkpoint, keys=keys, max_lap=args.max_lap, time_fallback=args.time_fallback, **policy
+        )
     return jobs.malformed_job(spark, topics, args.table, args.output, args.checkpoint)
 
 
@@ -70,6 +88,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     if args.job in STREAMS:
         writer = stream(spark, topics, args)
         (writer.trigger(availableNow=True) if args.once else writer).start().awaitTermination()
+        if args.release:
+            keys = SESSION_KEYS if args.by_session else KEYS
+            jobs.release_laps(spark, topics, args.checkpoint, keys, args.max_lap)
         return
     session = read_session(
         spark, args.landing, config.session_key, format=args.format, on_malformed=args.on_malformed or "fail"

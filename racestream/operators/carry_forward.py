@@ -16,6 +16,8 @@ from racestream.session import written
 MAX_GROUP_ROWS = 4_000_000
 
 _SLICE = "_slice"
+_RANK = "_rank"
+_BOUNDS = "_bounds"
 _HEAD = "_head"
 
 
@@ -26,31 +28,44 @@ def carry_forward(
     value: str,
     result: str,
     max_group_rows: int | None = MAX_GROUP_ROWS,
+    cut: str | None = None,
 ) -> DataFrame:
     """Adds ``result``: the latest non-null ``value`` at or before each row, among rows of equal ``keys``.
 
     ``order`` must be unique within a key. A key is ordered by one task with a plain window, unless it has
-    more than ``max_group_rows`` rows. Such keys are cut into even ranges of ``order``, many tasks each,
-    and the ranges then hand their last value on. Both ways are exact and give the same rows.
+    more than ``max_group_rows`` rows. Such keys are cut into ranges of the column ``cut``, many tasks each,
+    and the ranges then hand their last value on. Both ways are exact and give the same rows. ``cut`` must never fall along
+    ``order``, nulls first; by default it is the first column of that. Rows of equal ``cut`` stay together.
 
     The sizes of the keys are counted first, in an aggregation that reads the key columns only;
     ``max_group_rows=None`` skips the count, for callers who know that their keys are small.
     """
     if max_group_rows is None:
         return _within(rows, keys, order, value, result)
-    counts = rows.groupBy(*keys).count()
-    largest = counts.agg(F.max("count").alias("rows")).first().rows
-    if largest is None or largest <= max_group_rows:
+    # At most total / max_group_rows keys are crowded; Spark broadcasts the table if it is small.
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    crowded = written(counts.where(F.col("rows") > max_group_rows), "crowded-keys")
+    largest = crowded.agg(F.max("rows")).first()[0]
+    if largest is None:
         return _within(rows, keys, order, value, result)
 
-    # At most total / max_group_rows keys are crowded; Spark broadcasts the table if it is small.
-    crowded = written(counts.where(F.col("count") > max_group_rows), "crowded-keys")
-    slices = ceil(crowded.agg(F.sum("count").alias("rows")).first().rows / max_group_rows) + 1
-    crowded = crowded.select(*[F.col(k).alias(f"_crowded_{k}") for k in keys])
+    named = [F.col(k).alias(f"_crowded_{k}") for k in keys]
     is_crowded = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_crowded_{k}")) for k in keys])
-    others = _within(rows.join(crowded, is_crowded, "left_anti"), keys, order, value, result)
-    split = _across_slices(rows.join(crowded, is_crowded, "left_semi"), keys, order, value, result, slices)
-    return others.unionByName(split)
+    others = _within(rows.join(crowded.select(*named), is_crowded, "left_anti"), keys, order, value, result)
+
+    # Bounds near the quantiles of the cut. A row's slice follows from them alone, so no copy has to pin it.
+    slices = ceil(largest / max_group_rows) + 1
+    shares = [i / slices for i in range(1, slices)]
+    place = F.col(cut or order[0])
+    rank = F.unix_micros(place) if rows.schema[cut or order[0]].dataType.typeName() == "timestamp" else place
+    in_crowded = rows.join(crowded.select(*named), is_crowded, "left_semi").withColumn(_RANK, rank.cast("bigint"))
+    bounds = in_crowded.groupBy(*keys).agg(F.percentile_approx(_RANK, shares, 10 * slices).alias(_BOUNDS))
+    bounds = written(bounds, "crowded-bounds").select(*named, _BOUNDS)
+    sliced = in_crowded.join(bounds, is_crowded).withColumn(
+        _SLICE, F.size(F.filter(F.array_distinct(_BOUNDS), lambda b: b < F.col(_RANK)))
+    )
+    sliced = sliced.drop(_RANK, _BOUNDS, *[f"_crowded_{k}" for k in keys])
+    return others.unionByName(_across_slices(sliced, keys, order, value, result))
 
 
 def _within(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str, result: str) -> DataFrame:
@@ -58,13 +73,7 @@ def _within(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     return rows.withColumn(result, F.last(value, ignorenulls=True).over(so_far))
 
 
-def _across_slices(
-    rows: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, result: str, slices: int
-) -> DataFrame:
-    # Written, to pin the slice of each row: the bounds of the ranges are sampled, and must not be sampled twice.
-    ranges = rows.repartitionByRange(slices, *keys, *order)
-    sliced = written(ranges.withColumn(_SLICE, F.spark_partition_id()), "slices")
-
+def _across_slices(sliced: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, result: str) -> DataFrame:
     # The last value of each key in each slice, aggregated before the shuffle. A key spans at most `slices`.
     spans = sliced.select(*keys, _SLICE).distinct()
     with_value = sliced.where(F.col(value).isNotNull())

@@ -26,8 +26,8 @@ from racestream.session import written
 KEYS = ("driver_number", "lap_number")
 SESSION_KEYS = ("session_key", "driver_number", "lap_number")
 
-# Rows of the pit-stop side, a few fixed-width columns each, that may be sent to every executor.
-MAX_BROADCAST_ROWS = 1_000_000
+# Bytes of the pit-stop side that may be sent to every executor.
+MAX_BROADCAST_BYTES = 64 << 20
 
 # Among equal times laps precede pit stops.
 LAP_RANK, PIT_RANK = 0, 1
@@ -69,18 +69,49 @@ def latest_pits(pits: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return pits.groupBy(*keys).agg(F.max_by("pit_duration", F.struct("t", "seq")).alias("pit_duration"))
 
 
+def look_ahead(
+    tagged: DataFrame, keys: Sequence[str], max_lap: str, max_group_rows: int | None = MAX_GROUP_ROWS
+) -> DataFrame:
+    """The laps among ``tagged``, each with the latest pit stop from its start to ``max_lap`` later.
+
+    Seen from the end of that time, it is the last pit stop before, unless that lies before the start.
+    """
+    is_lap = F.col("source_rank") == LAP_RANK
+    placed = tagged.withColumns(
+        {
+            "at": F.when(is_lap, F.col("t") + F.expr(f"INTERVAL {max_lap}")).otherwise(F.col("t")),
+            "pits_first": -F.col("source_rank"),
+            "pit": F.when(~is_lap, F.struct("pit.pit_duration", "t")),
+        }
+    )
+    carried = carry_forward(placed, keys, ("at", "pits_first", "seq"), "pit", "seen", max_group_rows)
+    duration = F.when(F.col("seen.t") >= F.col("t"), F.col("seen.pit_duration"))
+    return project(carried.where(is_lap).withColumn("pit_duration", duration), "seq")
+
+
 def enrich_complete(
-    laps: DataFrame, pits: DataFrame, keys: Sequence[str] = KEYS, max_broadcast_rows: int = MAX_BROADCAST_ROWS
+    laps: DataFrame,
+    pits: DataFrame,
+    keys: Sequence[str] = KEYS,
+    max_lap: str | None = None,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """One row per lap, with the latest pit stop of its key.
+    """One row per lap, with the latest pit stop of its key; with ``max_lap``, of those from its start to so much later.
 
-    The latest pit stops are written first, which tells their number. Up to ``max_broadcast_rows`` they are
-    sent to the laps, which then are not shuffled at all. Beyond, both sides are joined by key: one of them
-    has a single row per key, so rows never multiply, and adaptive execution splits the laps of a crowded
-    key over several tasks.
+    Without ``max_lap`` the latest pit stops are aggregated and written first, which tells their number. If they surely
+    take no more than ``max_broadcast_bytes`` they are sent to the laps, which then are not shuffled at all. Beyond, both sides
+    are joined by key: one of them has a single row per key, so rows never multiply, and adaptive execution splits the laps of a
+    crowded key over several tasks.
     """
+    if max_lap is not None:
+        return look_ahead(tag(laps, pits, keys), keys, max_lap)
     latest = written(latest_pits(pits, keys), "latest-pit-stops")
-    if latest.count() <= max_broadcast_rows:
+    # Fixed-width columns take eight bytes at most; others tell their longest value.
+    fixed = ("tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "date", "timestamp")
+    wide = [F.max(F.octet_length(F.col(c).cast("string"))) for c, kind in latest.dtypes if kind not in fixed]
+    rows, *longest = latest.agg(F.count(F.lit(1)), *wide).first()
+    row_bytes = 16 + 8 * len(latest.columns) + sum(length or 0 for length in longest)
+    if rows * row_bytes <= max_broadcast_bytes:
         latest = F.broadcast(latest)
     return project(laps.join(latest, list(keys), "left"), "seq")
 

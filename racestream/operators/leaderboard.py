@@ -23,13 +23,19 @@ from racestream.functions.json_codec import encode
 
 
 def window_last_positions(
-    positions: DataFrame, window: str = settings.LEADERBOARD_WINDOW, by_session: bool = False
+    positions: DataFrame, window: str = settings.LEADERBOARD_WINDOW, by_session: bool = False, last_by: str = "arrival"
 ) -> DataFrame:
-    """Last position of each driver in each window, by arrival (``seq``) and not by event time."""
+    """Last position of each driver in each window: by ``'arrival'`` (``seq``), or by ``'event_time'`` and then arrival.
+
+    Topics that were filled by many writers at once, as a replay does, do not keep the order of time: use ``'event_time'`` there.
+    """
+    if last_by not in ("arrival", "event_time"):
+        raise ValueError(f"last_by must be 'arrival' or 'event_time', got {last_by!r}")
     session = ["session_key"] if by_session else []
+    order = F.col("seq") if last_by == "arrival" else F.struct("t", "seq")
     return positions.groupBy(F.window("t", window).alias("window"), *session, "driver_number").agg(
-        F.max_by("position", "seq").alias("position"),
-        F.max("seq").alias("last_seq"),
+        F.max_by("position", order).alias("position"),
+        F.max(order).alias("last_seq"),
     )
 
 
@@ -45,10 +51,10 @@ def rankings(last_positions: DataFrame) -> DataFrame:
 
 
 def leaderboard(
-    positions: DataFrame, window: str = settings.LEADERBOARD_WINDOW, by_session: bool = False
+    positions: DataFrame, window: str = settings.LEADERBOARD_WINDOW, by_session: bool = False, last_by: str = "arrival"
 ) -> DataFrame:
     """``window, [session_key], position, driver_number``."""
-    return rankings(window_last_positions(positions, window, by_session))
+    return rankings(window_last_positions(positions, window, by_session, last_by))
 
 
 def snapshots(ranked: DataFrame) -> DataFrame:
@@ -58,6 +64,20 @@ def snapshots(ranked: DataFrame) -> DataFrame:
     return ranked.groupBy("window", *session).agg(F.map_from_entries(entries).alias("rankings"))
 
 
+def driver_snapshots(last_positions: DataFrame) -> DataFrame:
+    """The same as ``snapshots(rankings(last_positions))`` in one aggregation, which a stream keeps as a single state.
+
+    A window gathers a row per driver, not per record. Sorted by position and time, the last of each position is its driver.
+    """
+    session = [c for c in ("session_key",) if c in last_positions.columns]
+    claims = F.sort_array(F.collect_list(F.struct("position", "last_seq", "driver_number")))
+    gathered = last_positions.groupBy("window", *session).agg(claims.alias("claims"))
+    following = lambda i: F.get("claims", i + 1)["position"]
+    holders = F.filter("claims", lambda c, i: ~following(i).eqNullSafe(c["position"]))
+    entries = F.transform(holders, lambda c: F.struct(c["position"], c["driver_number"]))
+    return gathered.select("window", *session, F.map_from_entries(entries).alias("rankings"))
+
+
 def snapshot_json(snapshot: DataFrame) -> DataFrame:
     """The published form, next to the window it describes."""
     session = [c for c in ("session_key",) if c in snapshot.columns]

@@ -78,16 +78,12 @@ p AS (SELECT {keys}, max_by(struct_pack(d := pit_duration), seq) AS m FROM pits
 SELECT {_LAP_COLUMNS}, m.d AS pit_duration, m.d IS NOT NULL AS had_pit_stop FROM laps LEFT JOIN p USING ({keys})"""
 
 
-# Laps whose outcome is settled: the watermark has passed the window of the lap and the longest time a pit
-# stop may follow.
+# Of each lap the latest pit stop from its start to ten minutes later; all laps, as the stream gives out the last ones at its end.
 _COMPLETE_STREAM = f""",
-mark AS (SELECT least((SELECT max(t) FROM laps), (SELECT max(t) FROM pits)) - INTERVAL 5 SECOND AS w),
 p AS (SELECT laps.seq, max_by(struct_pack(d := pit_duration), struct_pack(t := pits.t, s := pits.seq)) AS m
   FROM laps JOIN pits USING (driver_number, lap_number)
   WHERE pits.t >= laps.t AND pits.t <= laps.t + INTERVAL 10 MINUTE GROUP BY 1)
-SELECT {_LAP_COLUMNS}, m.d AS pit_duration, m.d IS NOT NULL AS had_pit_stop
-FROM laps LEFT JOIN p USING (seq)
-WHERE time_bucket(INTERVAL 10 SECOND, t) + INTERVAL 10 SECOND <= (SELECT w FROM mark) - INTERVAL 10 MINUTE"""
+SELECT {_LAP_COLUMNS}, m.d AS pit_duration, m.d IS NOT NULL AS had_pit_stop FROM laps LEFT JOIN p USING (seq)"""
 
 # Alerts
 
@@ -170,11 +166,19 @@ merged AS (SELECT t AS time, 0 AS source_rank, seq, 'f1.positions' AS topic, CAS
 _MESSAGES = """
 SELECT seq, 'f1.positions' AS topic, CAST(driver_number AS VARCHAR) AS key,
   '{"session_key":' || session_key || ',"driver_number":' || driver_number || ',"position":' || position
-    || ',"date":"' || date || '"}' AS value FROM positions
+    || ',"date":"' || date || '"}' AS value,
+  session_key, driver_number, position, NULL::INT AS lap_number, NULL::DOUBLE AS lap_duration, NULL::DOUBLE AS pit_duration,
+  date, NULL::VARCHAR AS date_start, NULL::BOOLEAN AS is_pit_out_lap, NULL::VARCHAR AS message, NULL::VARCHAR AS category,
+  NULL::VARCHAR AS flag FROM positions
 UNION ALL SELECT seq, 'f1.race_control', 'rc', '{"session_key":' || session_key
   || ',"message":' || coalesce('"' || message || '"', 'null') || ',"category":"' || category || '"'
   || ',"flag":' || coalesce('"' || flag || '"', 'null') || ',"date":"' || date || '"'
-  || ',"driver_number":' || coalesce(CAST(driver_number AS VARCHAR), 'null') || '}' FROM race_control"""
+  || ',"driver_number":' || coalesce(CAST(driver_number AS VARCHAR), 'null') || '}',
+  session_key, driver_number, NULL, NULL, NULL, NULL, date, NULL, NULL, message, category, flag FROM race_control
+UNION ALL SELECT seq, 'f1.laps', CAST(driver_number AS VARCHAR), NULL, session_key, driver_number, NULL, lap_number,
+  lap_duration, NULL, NULL, date_start, is_pit_out_lap, NULL, NULL, NULL FROM laps
+UNION ALL SELECT seq, 'f1.pit_stops', CAST(driver_number AS VARCHAR), NULL, session_key, driver_number, NULL, lap_number,
+  NULL, pit_duration, date, NULL, NULL, NULL, NULL, NULL FROM pits"""
 
 
 def _schedule(speed: str, source: str = "merged") -> str:
@@ -189,6 +193,14 @@ undated AS (SELECT * REPLACE (CASE WHEN topic = 'f1.pit_stops' AND seq % 50 = 7
 _DROPPED = """,
 dropped AS (SELECT * FROM merged WHERE NOT (topic = 'f1.pit_stops' AND seq % 50 = 7))"""
 
+_ONE_SESSION = "SELECT session_key, driver_number, position, date FROM positions WHERE session_key = 9161"
+
+# The last position of a window by event time, then by arrival; so too among drivers that claim a position.
+_EVENT_ORDER = """
+SELECT w AS window_start, p AS position, max_by(driver_number, s) AS driver_number
+FROM (SELECT time_bucket(INTERVAL 10 SECOND, t) AS w, driver_number, max(struct_pack(t := t, s := seq)) AS s,
+  max_by(position, struct_pack(t := t, s := seq)) AS p FROM positions GROUP BY 1, 2) GROUP BY 1, 2"""
+
 _ALL = (_POSITIONS, _LAPS, _PITS, _RACE_CONTROL)
 _KEYS, _SESSION_KEYS = "driver_number, lap_number", "session_key, driver_number, lap_number"
 
@@ -197,11 +209,13 @@ ORACLES: dict[str, str] = {
     + "SELECT w AS window_start, p AS position, d AS driver_number FROM ranked",
     "leaderboard_by_session": _with(_sessions(_POSITIONS)) + _BY_SESSION,
     "leaderboard_json": _with(_POSITIONS, _LAST) + "SELECT * FROM snapshots",
+    "leaderboard_event_order": _with(_POSITIONS) + _EVENT_ORDER,
     "window_last_position": _with(_POSITIONS, _LAST)
     + "SELECT w AS window_start, driver_number, p AS position FROM l",
     "leaderboard_stream": _with(_POSITIONS, _LAST)
     + "SELECT * FROM snapshots WHERE window_end <= (SELECT max(t) FROM positions) - INTERVAL 5 SECOND",
     "laps_enriched_arrival": _with(_LAPS, _PITS) + _arrival(_KEYS),
+    "laps_enriched_arrival_crowded": _with(_LAPS, _PITS) + _arrival(_KEYS),
     "laps_enriched_arrival_by_session": _with(_sessions(_LAPS), _sessions(_PITS)) + _arrival(_SESSION_KEYS),
     "laps_enriched_complete": _with(_LAPS, _PITS) + _complete(_KEYS),
     "laps_enriched_complete_by_session": _with(_sessions(_LAPS), _sessions(_PITS)) + _complete(_SESSION_KEYS),
@@ -219,10 +233,10 @@ ORACLES: dict[str, str] = {
     "pit_stops_roundtrip": _with(_PITS)
     + "SELECT seq, session_key, driver_number, lap_number, pit_duration, date FROM pits",
     "event_time_fallback": _with(_POSITIONS) + _EVENT_TIME,
-    "session_filter": _with(_sessions(_POSITIONS))
-    + "SELECT seq, session_key, driver_number, position, date FROM positions WHERE session_key = 9161",
+    "session_filter": _with(_sessions(_POSITIONS)) + _ONE_SESSION,
+    "session_filter_json": _with(_sessions(_POSITIONS)) + _ONE_SESSION,
     "timeline": _with(*_ALL) + _MERGED + "\nSELECT * FROM merged",
-    "timeline_messages": _with(_POSITIONS, _RACE_CONTROL) + _MESSAGES,
+    "timeline_messages": _with(*_ALL) + _MESSAGES,
     "replay_schedule": _with(*_ALL) + _MERGED + _schedule("2.0"),
     "replay_schedule_undated_first": _with(*_ALL) + _MERGED + _UNDATED + _schedule("3.0", "undated"),
     "replay_schedule_undated_dropped": _with(*_ALL) + _MERGED + _DROPPED + _schedule("3.0", "dropped"),

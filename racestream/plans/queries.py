@@ -18,10 +18,10 @@ from racestream.operators import replay as replay_ops
 from racestream.plans import defects
 from racestream.session import new_folder
 from racestream.sources.event_tables import read_table, read_tables, stream_tables, three_sessions
-from racestream.sources.landing import in_session
+from racestream.sources.landing import read_landed
 from racestream.streaming.arrival_enrichment import enrich_arrival_stream, to_folder
-from racestream.streaming.complete_enrichment import enrich_complete_stream
-from racestream.streaming.jobs import leaderboard_snapshots
+from racestream.streaming.complete_enrichment import enrich_complete_stream, release
+from racestream.streaming.jobs import leaderboard_snapshots, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +60,12 @@ def leaderboard_json(spark: SparkSession, folder: str) -> DataFrame:
     return board_ops.snapshot_json(board_ops.snapshots(ranked)).select(_plain("window_start"), _plain("window_end"), "value")
 
 
+def leaderboard_event_order(spark: SparkSession, folder: str) -> DataFrame:
+    """The last position by event time counts, whatever order the records arrived in."""
+    ranked = board_ops.leaderboard(read_table(spark, folder, "positions"), last_by="event_time")
+    return ranked.select(_window_start(), "position", "driver_number")
+
+
 # Lap enrichment
 
 def laps_enriched_arrival(spark: SparkSession, folder: str) -> DataFrame:
@@ -67,6 +73,12 @@ def laps_enriched_arrival(spark: SparkSession, folder: str) -> DataFrame:
     return lap_ops.enrich_arrival(tables["laps"], tables["pit_stops"])
 
 
+def laps_enriched_arrival_crowded(spark: SparkSession, folder: str) -> DataFrame:
+    """With a limit so low that keys are cut into ranges."""
+    tables = read_tables(spark, folder, "laps", "pit_stops")
+    return lap_ops.enrich_arrival(tables["laps"], tables["pit_stops"], max_group_rows=3)
+
+
 def laps_enriched_arrival_by_session(spark: SparkSession, folder: str) -> DataFrame:
     tables = read_tables(spark, folder, "laps", "pit_stops")
     laps, pits = three_sessions(tables["laps"]), three_sessions(tables["pit_stops"])
@@ -138,9 +150,21 @@ def event_time_fallback(spark: SparkSession, folder: str) -> DataFrame:
 
 # Session filter and replay
 
+def _landed(spark: SparkSession, folder: str, format: str) -> DataFrame:
+    """Positions of three sessions, landed as files, and one session read back."""
+    landed = new_folder(spark, "landed")
+    positions = three_sessions(read_table(spark, folder, "positions")).select(*schemas.POSITIONS.names)
+    positions.write.format(format).save(landed)
+    rows = read_landed(spark, landed, "positions", settings.DEFAULT_SESSION_KEY, format=format)
+    return rows.select(*schemas.POSITIONS.names)
+
+
 def session_filter(spark: SparkSession, folder: str) -> DataFrame:
-    positions = three_sessions(read_table(spark, folder, "positions"))
-    return in_session(positions, settings.DEFAULT_SESSION_KEY).select("seq", *schemas.POSITIONS.names)
+    return _landed(spark, folder, "parquet")
+
+
+def session_filter_json(spark: SparkSession, folder: str) -> DataFrame:
+    return _landed(spark, folder, "json")
 
 
 def timeline(spark: SparkSession, folder: str) -> DataFrame:
@@ -148,9 +172,24 @@ def timeline(spark: SparkSession, folder: str) -> DataFrame:
     return ordered.select(_plain("time"), "source_rank", "seq", "topic", "key")
 
 
+# The fields of all four payloads.
+_PAYLOAD = (
+    "session_key INT, driver_number INT, position INT, lap_number INT, lap_duration DOUBLE, pit_duration DOUBLE, date STRING, "
+    "date_start STRING, is_pit_out_lap BOOLEAN, message STRING, category STRING, flag STRING"
+)
+
+
 def timeline_messages(spark: SparkSession, folder: str) -> DataFrame:
-    ordered = replay_ops.timeline(read_tables(spark, folder, "positions", "race_control"))
-    return ordered.select("seq", "topic", "key", "value")
+    """All payloads, decoded; those without fractions, whose text may differ by engine, as text too."""
+    ordered = replay_ops.timeline(read_tables(spark, folder))
+    exact = F.col("topic").isin(settings.TOPIC_POSITIONS, settings.TOPIC_RACE_CONTROL)
+    return ordered.select(
+        "seq",
+        "topic",
+        "key",
+        F.when(exact, F.col("value")).alias("value"),
+        F.from_json("value", _PAYLOAD).alias("payload"),
+    ).select("seq", "topic", "key", "value", "payload.*")
 
 
 def _scheduled(tables: dict[str, DataFrame], missing_time: str, speed: float) -> DataFrame:
@@ -194,6 +233,7 @@ def _run_to_table(spark: SparkSession, rows: DataFrame, purpose: str) -> DataFra
 
 
 def leaderboard_stream(spark: SparkSession, folder: str) -> DataFrame:
+    prepare(spark)
     snapshots = leaderboard_snapshots(stream_tables(spark, folder, "positions")["positions"])
     return _run_to_table(spark, snapshots, "leaderboard").select(_plain("window_start"), _plain("window_end"), "value")
 
@@ -203,29 +243,33 @@ def race_alerts_stream(spark: SparkSession, folder: str) -> DataFrame:
     return _run_to_table(spark, found, "alerts")
 
 
-def _run_laps(spark: SparkSession, folder: str, enrich: Callable[..., DataStreamWriter], purpose: str) -> DataFrame:
+def laps_enriched_stream(spark: SparkSession, folder: str) -> DataFrame:
     tables = stream_tables(spark, folder, "laps", "pit_stops")
-    target = new_folder(spark, purpose)
-    writer = enrich(tables["laps"], tables["pit_stops"], f"{target}/state", to_folder(f"{target}/out"))
-    _run(writer, f"{target}/checkpoint")
+    target = new_folder(spark, "laps-enriched")
+    out = to_folder(f"{target}/out")
+    _run(enrich_arrival_stream(tables["laps"], tables["pit_stops"], f"{target}/state", out, fold_every=3), f"{target}/checkpoint")
     return spark.read.parquet(f"{target}/out").drop("batch")
 
 
-def laps_enriched_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return _run_laps(spark, folder, enrich_arrival_stream, "laps-enriched")
-
-
 def laps_enriched_complete_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return _run_laps(spark, folder, enrich_complete_stream, "laps-complete")
+    """All laps: those settled while the streams ran, and those given out at their end."""
+    tables = stream_tables(spark, folder, "laps", "pit_stops")
+    target = new_folder(spark, "laps-complete")
+    out = to_folder(f"{target}/out")
+    _run(enrich_complete_stream(tables["laps"], tables["pit_stops"], f"{target}/state", out), f"{target}/checkpoint")
+    release(spark, f"{target}/state", lap_ops.tag(tables["laps"], tables["pit_stops"]).schema, out)
+    return spark.read.parquet(f"{target}/out").drop("batch")
 
 
 QUERIES: dict[str, Query] = {
     "leaderboard_10s": leaderboard_10s,
     "leaderboard_by_session": leaderboard_by_session,
     "leaderboard_json": leaderboard_json,
+    "leaderboard_event_order": leaderboard_event_order,
     "window_last_position": window_last_position,
     "leaderboard_stream": leaderboard_stream,
     "laps_enriched_arrival": laps_enriched_arrival,
+    "laps_enriched_arrival_crowded": laps_enriched_arrival_crowded,
     "laps_enriched_arrival_by_session": laps_enriched_arrival_by_session,
     "laps_enriched_complete": laps_enriched_complete,
     "laps_enriched_complete_by_session": laps_enriched_complete_by_session,
@@ -243,6 +287,7 @@ QUERIES: dict[str, Query] = {
     "pit_stops_roundtrip": pit_stops_roundtrip,
     "event_time_fallback": event_time_fallback,
     "session_filter": session_filter,
+    "session_filter_json": session_filter_json,
     "timeline": timeline,
     "timeline_messages": timeline_messages,
     "replay_schedule": replay_schedule,

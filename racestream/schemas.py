@@ -22,52 +22,74 @@ from racestream import settings
 _INT, _DOUBLE, _BOOLEAN, _STRING = T.IntegerType(), T.DoubleType(), T.BooleanType(), T.StringType()
 
 
-def _schema(required: dict[str, T.DataType], optional: dict[str, T.DataType], order: str) -> T.StructType:
-    types = {**required, **optional}
-    return T.StructType([T.StructField(name, types[name], name in optional) for name in order.split()])
+def _required(name: str, kind: T.DataType) -> T.StructField:
+    return T.StructField(name, kind, nullable=False)
 
 
-POSITIONS = _schema(
-    {"session_key": _INT, "driver_number": _INT, "position": _INT},
-    {"date": _STRING},
-    "session_key driver_number position date",
-)
+# The fields of the documents, by name, in document order.
 
-LAPS = _schema(
-    {"session_key": _INT, "driver_number": _INT, "lap_number": _INT, "is_pit_out_lap": _BOOLEAN},
-    {"lap_duration": _DOUBLE, "date_start": _STRING},
-    "session_key driver_number lap_number lap_duration date_start is_pit_out_lap",
+POSITIONS = T.StructType(
+    [_required("session_key", _INT), _required("driver_number", _INT), _required("position", _INT), T.StructField("date", _STRING)]
 )
 
-PIT_STOPS = _schema(
-    {"session_key": _INT, "driver_number": _INT, "lap_number": _INT},
-    {"pit_duration": _DOUBLE, "date": _STRING},
-    "session_key driver_number lap_number pit_duration date",
+LAPS = T.StructType(
+    [
+        _required("session_key", _INT),
+        _required("driver_number", _INT),
+        _required("lap_number", _INT),
+        T.StructField("lap_duration", _DOUBLE),
+        T.StructField("date_start", _STRING),
+        _required("is_pit_out_lap", _BOOLEAN),
+    ]
 )
 
-RACE_CONTROL = _schema(
-    {"session_key": _INT},
-    {"message": _STRING, "category": _STRING, "flag": _STRING, "date": _STRING, "driver_number": _INT},
-    "session_key message category flag date driver_number",
+PIT_STOPS = T.StructType(
+    [
+        _required("session_key", _INT),
+        _required("driver_number", _INT),
+        _required("lap_number", _INT),
+        T.StructField("pit_duration", _DOUBLE),
+        T.StructField("date", _STRING),
+    ]
 )
 
-LEADERBOARD = _schema({"type": _STRING, "rankings": T.MapType(_INT, _INT)}, {}, "type rankings")
-
-LAPS_ENRICHED = T.StructType(
-    [*LAPS.fields, T.StructField("pit_duration", _DOUBLE, True), T.StructField("had_pit_stop", _BOOLEAN, False)]
+RACE_CONTROL = T.StructType(
+    [
+        _required("session_key", _INT),
+        T.StructField("message", _STRING),
+        T.StructField("category", _STRING),
+        T.StructField("flag", _STRING),
+        T.StructField("date", _STRING),
+        T.StructField("driver_number", _INT),
+    ]
 )
 
-ALERTS = _schema(
-    {"type": _STRING, "severity": _STRING, "session_key": _INT},
-    {"flag": _STRING, "category": _STRING, "message": _STRING, "date": _STRING, "driver_number": _INT},
-    "type severity flag category message date driver_number session_key",
+LEADERBOARD = T.StructType([_required("type", _STRING), _required("rankings", T.MapType(_INT, _INT))])
+
+LAPS_ENRICHED = T.StructType([*LAPS.fields, T.StructField("pit_duration", _DOUBLE), _required("had_pit_stop", _BOOLEAN)])
+
+ALERTS = T.StructType(
+    [
+        _required("type", _STRING),
+        _required("severity", _STRING),
+        T.StructField("flag", _STRING),
+        T.StructField("category", _STRING),
+        T.StructField("message", _STRING),
+        T.StructField("date", _STRING),
+        T.StructField("driver_number", _INT),
+        _required("session_key", _INT),
+    ]
 )
 
 # One record of a topic, as read from a broker or from a directory standing in for one.
-TOPIC_RECORD = _schema(
-    {},
-    {"key": _STRING, "value": _STRING, "ingest_time": T.TimestampType(), "partition": _INT, "offset": T.LongType()},
-    "key value ingest_time partition offset",
+TOPIC_RECORD = T.StructType(
+    [
+        T.StructField("key", _STRING),
+        T.StructField("value", _STRING),
+        T.StructField("ingest_time", T.TimestampType()),
+        T.StructField("partition", _INT),
+        T.StructField("offset", T.LongType()),
+    ]
 )
 
 

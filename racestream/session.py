@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,7 +21,7 @@ def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix="racestream-")
     spark.conf.set("spark.checkpoint.dir", folder)
@@ -39,3 +41,12 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     folder = new_folder(df.sparkSession, purpose)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def remove(spark: SparkSession, pattern: str, which: Callable[[str], bool] = lambda name: True) -> None:
+    """Removes the files and folders of a path pattern whose last name satisfies ``which``, wherever they are stored."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in files.globStatus(path) or []:
+        if which(found.getPath().getName()):
+            files.delete(found.getPath(), True)

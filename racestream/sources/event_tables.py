@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from racestream import settings
-from racestream.session import use_utc
+from racestream.session import new_folder, use_utc
 
 EVENTS = T.StructType(
     [
@@ -108,11 +108,27 @@ def read_tables(spark: SparkSession, folder: str, *names: str) -> dict[str, Data
     return {name: _derive(race, name) for name in names or _DERIVED}
 
 
-def stream_tables(spark: SparkSession, folder: str, *names: str, **options) -> dict[str, DataFrame]:
-    """The tables as streams over the files of ``events``; ``options`` go to the file source."""
-    first = _events(spark, folder).agg(F.min("ts").alias("first")).first().first
-    # A pattern, because the streaming source takes a plain path for a folder.
-    stream = spark.readStream.schema(EVENTS).options(**options).parquet(f"{folder}/event[s].parquet")
+def in_time_order(events: DataFrame, files: int) -> str:
+    """A copy of the events as a folder of about ``files`` files in time order, as a stream would bring them.
+
+    The file source takes files by their time of modification, which is set to their order.
+    """
+    spark = events.sparkSession
+    folder = new_folder(spark, "events")
+    events.repartitionByRange(files, "ts").sortWithinPartitions("ts", "event_id").write.parquet(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/part-*")
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = sorted((f.getPath() for f in store.globStatus(path)), key=lambda p: p.getName())
+    for i, file in enumerate(found):
+        store.setTimes(file, 1_000_000_000_000 + 1000 * i, -1)
+    return folder
+
+
+def stream_tables(spark: SparkSession, folder: str, *names: str, files: int = 8) -> dict[str, DataFrame]:
+    """The tables as streams over the events in time order, a file and so a micro-batch at a time."""
+    events = _events(spark, folder)
+    first = events.agg(F.min("ts").alias("first")).first().first
+    stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(in_time_order(events, files))
     race = _race_columns(stream, F.lit(first))
     return {name: _derive(race, name) for name in names or _DERIVED}
 

@@ -11,6 +11,7 @@ from racestream.functions.json_codec import STRICT_JSON, apply_policy, coerce, t
 from racestream.schemas import RAW_TABLES
 from racestream.sources.topics import is_path_missing
 
+# The folder of each table below a landing root.
 FOLDERS = {"positions": "position", "laps": "laps", "pit_stops": "pit", "race_control": "race_control"}
 
 
@@ -22,6 +23,18 @@ def _json_rows(spark: SparkSession, path: str, name: str, on_malformed: str, mul
     return apply_policy(rows, on_malformed, F.col("text")).drop("text")
 
 
+def _stored_rows(spark: SparkSession, path: str, name: str, format: str, session_key: int | None) -> DataFrame:
+    """Typed files. A required field that is absent takes its default, as it does in JSON."""
+    raw = RAW_TABLES[name]
+    rows = spark.read.schema(raw.schema).format(format).load(path)
+    if session_key is not None:
+        key = F.col("session_key")
+        rows = rows.where((key == session_key) | key.isNull() if session_key == 0 else key == session_key)
+    return rows.select(
+        *[F.col(f.name) if f.nullable else F.coalesce(f.name, F.lit(0).cast(f.dataType)).alias(f.name) for f in raw.schema.fields]
+    )
+
+
 def read_landed(
     spark: SparkSession,
     path: str,
@@ -42,7 +55,7 @@ def read_landed(
         if format == "json":
             rows = _json_rows(spark, path, name, on_malformed, multi_line)
         else:
-            rows = spark.read.schema(raw.schema).format(format).load(path)
+            rows = _stored_rows(spark, path, name, format, session_key)
     except AnalysisException as error:
         if not is_path_missing(error):
             raise

@@ -31,19 +31,19 @@ FOLD_EVERY = 32
 _ORDER = ("batch_id", *ARRIVAL_ORDER)
 
 
-def _append_path(folder: str, batch_id: int) -> str:
-    return f"{folder}/append-{batch_id % (2 * FOLD_EVERY)}"
+def _append_path(folder: str, batch_id: int, every: int) -> str:
+    return f"{folder}/append-{batch_id % (2 * every)}"
 
 
-def _fold_path(folder: str, batch_id: int) -> str:
-    return f"{folder}/fold-{batch_id // FOLD_EVERY % 2}"
+def _fold_path(folder: str, batch_id: int, every: int) -> str:
+    return f"{folder}/fold-{batch_id // every % 2}"
 
 
-def _seen_before(batch: DataFrame, folder: str, batch_id: int) -> DataFrame:
+def _seen_before(batch: DataFrame, folder: str, batch_id: int, every: int) -> DataFrame:
     """Pit stops left by the batches before ``batch_id``: from the last fold, and from the appends since."""
-    fold = max(batch_id - 1, 0) // FOLD_EVERY * FOLD_EVERY
-    paths = [_fold_path(folder, fold)] if fold else []
-    paths += [_append_path(folder, b) for b in range(fold, batch_id)]
+    fold = max(batch_id - 1, 0) // every * every
+    paths = [_fold_path(folder, fold, every)] if fold else []
+    paths += [_append_path(folder, b, every) for b in range(fold, batch_id)]
     if not paths:
         return batch.sparkSession.createDataFrame([], batch.schema)
     return batch.sparkSession.read.schema(batch.schema).parquet(*paths)
@@ -67,6 +67,7 @@ def enrich_arrival_stream(
     keys: Sequence[str] = KEYS,
     keep_for: str | None = None,
     max_group_rows: int | None = MAX_GROUP_ROWS,
+    fold_every: int | None = None,
 ) -> DataStreamWriter:
     """A writer that passes the enriched laps of each micro-batch to ``write(rows, batch_id)``.
 
@@ -76,23 +77,28 @@ def enrich_arrival_stream(
     forgotten. ``state_folder`` must be shared by all executors and belong to one checkpoint.
     """
     columns = [*keys, *_ORDER, "pit"]
+    every = fold_every or FOLD_EVERY
 
     def step(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             lap_rows, pit_rows = (rows.where(F.col("source_rank") == rank) for rank in (LAP_RANK, PIT_RANK))
-            seen = _seen_before(rows.select(*columns), state_folder, batch_id)
+            seen = _seen_before(rows.select(*columns), state_folder, batch_id, every)
             if keep_for is not None:
                 newest = rows.agg(F.max("t")).scalar()
                 recent = F.col("t") >= newest - F.expr(f"INTERVAL {keep_for}")
                 seen = seen.where(F.coalesce(recent, F.lit(True)))
 
-            _latest(pit_rows, keys, columns).write.mode("overwrite").parquet(_append_path(state_folder, batch_id))
-            if batch_id and batch_id % FOLD_EVERY == 0:
-                _latest(seen, keys, columns).write.mode("overwrite").parquet(_fold_path(state_folder, batch_id))
+            _latest(pit_rows, keys, columns).write.mode("overwrite").parquet(_append_path(state_folder, batch_id, every))
+            if batch_id and batch_id % every == 0:
+                _latest(seen, keys, columns).write.mode("overwrite").parquet(_fold_path(state_folder, batch_id, every))
 
             together = rows.unionByName(_of_keys_in(seen, lap_rows, keys), allowMissingColumns=True)
-            carried = carry_forward(together, keys, _ORDER, "pit", "seen", max_group_rows)
+            together = together.withColumn("cut", F.when(F.col("batch_id") == batch_id, F.col("t")))
+            # A key has no more rows than the batch, and one from the fold and from each append.
+            small = max_group_rows is not None and rows.count() + 2 * every <= max_group_rows
+            carried = carry_forward(together, keys, _ORDER, "pit", "seen", None if small else max_group_rows, cut="cut")
+            carried = carried.drop("cut")
             enriched = carried.where(F.col("source_rank") == LAP_RANK)
             write(project(enriched.withColumn("pit_duration", F.col("seen.pit_duration")), "seq"), batch_id)
         finally:

@@ -1,74 +1,114 @@
 """Laps with their pit stop, settled as the streams move on.
 
 A lap waits until no pit stop can follow it any more, then leaves with the latest one since its start. A
-stream-stream join would put out every pair of a lap and a pit stop of its key before reducing them; here each
-row is looked at once, by the same carry-forward that batch queries use, so the work stays proportional to the
-rows and a crowded key is split over many tasks.
+stream-stream join would put out every pair of a lap and a pit stop of its key before reducing them; here the rows of a
+settled stretch of time are looked at once, by the same look-ahead that batch queries use, so the work stays proportional to
+the rows and a crowded key is split over many tasks.
 
-The rows still waited for are a table in a shared folder, of two versions for even and odd batches. A batch that
-is repeated after a failure finds the version before it untouched.
+The rows waited for are a table in a shared folder, by micro-batch and by bucket of event time. A micro-batch appends its own
+rows and reads the buckets that fall due; nothing is rewritten. Buckets are removed one micro-batch after they were settled, so a
+batch that is repeated after a failure finds its input untouched.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from racestream import settings
-from racestream.operators.carry_forward import MAX_GROUP_ROWS, carry_forward
-from racestream.operators.enrichment import KEYS, LAP_RANK, PIT_RANK, project, tag
+from racestream.operators.carry_forward import MAX_GROUP_ROWS
+from racestream.operators.enrichment import KEYS, LAP_RANK, PIT_RANK, look_ahead, tag
+from racestream.session import remove
+from racestream.sources.topics import is_path_missing
 
-# Laps are settled by windows of this length.
-SETTLE_SECONDS = 10
+# Laps are settled by buckets of this length.
+BUCKET_SECONDS = 60
 
-_IS_LAP, _IS_PIT = (f"source_rank = {rank}" for rank in (LAP_RANK, PIT_RANK))
+_MARKS = T.StructType([T.StructField("lap", T.LongType()), T.StructField("pit", T.LongType())])
 
 
-def _waiting_path(folder: str, batch_id: int) -> str:
-    return f"{folder}/{'even' if batch_id % 2 == 0 else 'odd'}"
+@dataclass(frozen=True)
+class Settling:
+    """When laps are settled. All times are microseconds.
 
+    The mark is ``delay`` behind the newest event time of the slower input. An input more than ``idle`` behind the other is taken to be
+    silent and does not hold it back; before its first row it counts as of the beginning of time.
+    """
 
-def _with_waiting(batch: DataFrame, folder: str, batch_id: int) -> DataFrame:
-    if batch_id == 0:
-        return batch
-    waiting = batch.sparkSession.read.schema(batch.schema).parquet(_waiting_path(folder, batch_id - 1))
-    return batch.unionByName(waiting)
+    max_lap: int
+    delay: int
+    idle: int
 
+    def mark(self, lap: int | None, pit: int | None) -> int | None:
+        known = [t for t in (lap, pit) if t is not None]
+        if not known:
+            return None
+        slower = min(known) if len(known) == 2 else max(known) - self.idle
+        return max(slower, max(known) - self.idle) - self.delay
 
-def _watermark(rows: DataFrame, delay: str) -> Column:
-    """``delay`` behind the newest event time of the slower input; NULL until both have begun.
+    def settled_through(self, mark: int | None) -> int | None:
+        """The last bucket whose laps no pit stop can follow any more."""
+        return None if mark is None else (mark - self.max_lap) // (BUCKET_SECONDS * 1_000_000) - 1
 
-    The newest lap and pit stop are always among the rows waited for, so earlier batches count too.
-    """
-    newest = rows.agg(
-        F.unix_micros(F.max(F.when(F.expr(_IS_LAP), F.col("t")))).alias("lap"),
-        F.unix_micros(F.max(F.when(F.expr(_IS_PIT), F.col("t")))).alias("pit"),
-    ).first()
-    micros = None if None in (newest.lap, newest.pit) else min(newest.lap, newest.pit)
-    return F.timestamp_micros(F.lit(micros).cast("bigint")) - F.expr(f"INTERVAL {delay}")
+    @property
+    def buckets_ahead(self) -> int:
+        """How many buckets after its own a lap's pit stop can lie in."""
+        return -(-self.max_lap // (BUCKET_SECONDS * 1_000_000))
 
 
-def look_ahead(
-    rows: DataFrame, keys: Sequence[str], max_lap: str, max_group_rows: int | None = MAX_GROUP_ROWS
-) -> DataFrame:
-    """The laps among tagged ``rows``, each with the latest pit stop from its start to ``max_lap`` later.
+def _micros(spark: SparkSession, interval: str) -> int:
+    return spark.range(1).select(F.unix_micros(F.timestamp_micros(F.lit(0)) + F.expr(f"INTERVAL {interval}"))).first()[0]
+
+
+def _marks(spark: SparkSession, folder: str, batch_id: int) -> tuple[int | None, int | None]:
+    """The newest event times of both inputs, through a micro-batch."""
+    if batch_id < 0:
+        return None, None
+    return tuple(spark.read.schema(_MARKS).parquet(f"{folder}/marks/batch={batch_id}").first())
+
+
+def _newest(rows: DataFrame, before: tuple[int | None, int | None]) -> tuple[int | None, int | None]:
+    now = rows.agg(*[F.unix_micros(F.max(F.when(F.col("source_rank") == r, F.col("t")))) for r in (LAP_RANK, PIT_RANK)]).first()
+    return tuple(max((t for t in pair if t is not None), default=None) for pair in zip(before, now))
+
+
+def _bucketed(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("bucket", F.floor(F.unix_seconds("t") / BUCKET_SECONDS))
+
+
+def _stored(spark: SparkSession, folder: str, schema: T.StructType, through_batch: int | None = None) -> DataFrame:
+    """Rows waited for. A repeated batch may find its own, which are in ``schema`` order like all."""
+    partitions = [T.StructField("batch", T.LongType()), T.StructField("bucket", T.LongType())]
+    whole = T.StructType([*schema.fields, *partitions])
+    try:
+        stored = spark.read.schema(whole).parquet(f"{folder}/rows")
+    except AnalysisException as error:
+        if not is_path_missing(error):
+            raise
+        return spark.createDataFrame([], whole)
+    return stored if through_batch is None else stored.where(F.col("batch") <= through_batch)
+
+
+def _due(stored: DataFrame, first: int | None, last: int | None, ahead: int) -> DataFrame:
+    """The laps of the buckets from ``first`` to ``last``, and the pit stops that may belong to them."""
+    is_lap = F.col("source_rank") == LAP_RANK
+    rows = stored if first is None else stored.where(F.col("bucket") >= first)
+    if last is None:
+        return rows
+    return rows.where(F.col("bucket") <= last + ahead).where(~is_lap | (F.col("bucket") <= last))
 
-    Seen from the end of that time, it is the last pit stop before, unless that lies before the start.
-    """
-    placed = rows.withColumns(
-        {
-            "at": F.when(F.expr(_IS_LAP), F.col("t") + F.expr(f"INTERVAL {max_lap}")).otherwise(F.col("t")),
-            "pits_first": -F.col("source_rank"),
-            "pit": F.when(F.expr(_IS_PIT), F.struct("pit.pit_duration", "t")),
-        }
-    )
-    carried = carry_forward(placed, keys, ("at", "pits_first", "seq"), "pit", "seen", max_group_rows)
-    duration = F.when(F.col("seen.t") >= F.col("t"), F.col("seen.pit_duration"))
-    return project(carried.where(_IS_LAP).withColumn("pit_duration", duration), "seq")
+
+def _forget(spark: SparkSession, folder: str, first_open: int | None) -> None:
+    """Removes the buckets before ``first_open``: no lap of theirs waits, and no later lap looks back."""
+    if first_open is not None:
+        remove(spark, f"{folder}/rows/batch=*/bucket=*", lambda name: int(name.partition("=")[2]) < first_open)
 
 
 def enrich_complete_stream(
@@ -79,27 +119,69 @@ def enrich_complete_stream(
     keys: Sequence[str] = KEYS,
     max_lap: str = "10 minutes",
     watermark: str = settings.OUT_OF_ORDERNESS,
+    idle: str = "30 minutes",
     max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataStreamWriter:
     """A writer that passes the laps settled by each micro-batch to ``write(rows, batch_id)``.
 
-    A lap is given out once: when the watermark is ``max_lap`` past the end of its ten-second window, matched or
-    not. Laps that come too late for that are given out at once, and none is dropped. ``write`` may be called again
-    for a batch after a failure; ``state_folder`` must be shared by all executors and belong to one checkpoint.
+    A lap is given out once: when the watermark is ``max_lap`` past the end of its bucket, matched or not. The watermark is that of the
+    slower input, but never more than ``idle`` behind the faster one, so that an input that falls silent does not stop the
+    other. Laps that come after their bucket was settled, or have no time, are not given out, as their pit stops may be gone; they
+    are kept in ``<state_folder>/late``. What still waits when the input ends is given out by ``release``.
+
+    ``write`` may be called again for a batch after a failure, and is not called if nothing fell due; ``state_folder`` must be
+    shared by all executors and belong to one checkpoint.
     """
-    longest = F.expr(f"INTERVAL {max_lap}")
+    spark = laps.sparkSession
+    settling = Settling(*(_micros(spark, interval) for interval in (max_lap, watermark, idle)))
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        rows = _with_waiting(batch, state_folder, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
+        session = batch.sparkSession
+        rows = _bucketed(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            mark = _watermark(rows, watermark)
-            window_end = F.timestamp_seconds((F.floor(F.unix_seconds("t") / SETTLE_SECONDS) + 1) * SETTLE_SECONDS)
-            settled = F.coalesce(window_end + longest <= mark, F.col("t").isNull())
-            useful = F.col("t").isNotNull() & F.coalesce(F.col("t") > mark - longest, F.lit(True))
-            waiting = rows.where((F.expr(_IS_LAP) & ~settled) | (F.expr(_IS_PIT) & useful))
-            waiting.write.mode("overwrite").parquet(_waiting_path(state_folder, batch_id))
-            write(look_ahead(rows.where(F.expr(_IS_PIT) | settled), keys, max_lap, max_group_rows), batch_id)
+            before = _marks(session, state_folder, batch_id - 1)
+            after = _newest(rows, before)
+            session.createDataFrame([after], _MARKS).write.mode("overwrite").parquet(f"{state_folder}/marks/batch={batch_id}")
+            done, due = (settling.settled_through(settling.mark(*newest)) for newest in (before, after))
+            _forget(session, state_folder, None if done is None else done + 1)
+            remove(session, f"{state_folder}/marks/batch=*", lambda name: int(name.partition("=")[2]) < batch_id - 1)
+
+            in_time = F.col("bucket") > F.lit(done) if done is not None else F.col("bucket").isNotNull()
+            in_time = F.coalesce(in_time, F.lit(False))
+            late = rows.where(~in_time & (F.col("source_rank") == LAP_RANK))
+            late.drop("bucket").write.mode("overwrite").parquet(f"{state_folder}/late/batch={batch_id}")
+            target = f"{state_folder}/rows/batch={batch_id}"
+            rows.where(in_time).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(target)
+            if due is not None and (done is None or due > done):
+                stored = _stored(session, state_folder, batch.schema, batch_id)
+                found = _due(stored, None if done is None else done + 1, due, settling.buckets_ahead)
+                write(look_ahead(found, keys, max_lap, max_group_rows), batch_id)
         finally:
             rows.unpersist()
 
     return tag(laps, pits, keys).writeStream.foreachBatch(step)
+
+
+def release(
+    spark: SparkSession,
+    state_folder: str,
+    schema: T.StructType,
+    write: Callable[[DataFrame, int], None],
+    keys: Sequence[str] = KEYS,
+    max_lap: str = "10 minutes",
+    watermark: str = settings.OUT_OF_ORDERNESS,
+    idle: str = "30 minutes",
+    max_group_rows: int | None = MAX_GROUP_ROWS,
+) -> None:
+    """Gives out all laps that still wait after a stopped stream, as one more batch; for the end of the input.
+
+    The options are those of the stream, and ``schema`` that of its tagged rows. The state is removed, so it is the end of its checkpoint, too.
+    """
+    settling = Settling(*(_micros(spark, interval) for interval in (max_lap, watermark, idle)))
+    batches = spark.read.schema(T.StructType([*_MARKS.fields, T.StructField("batch", T.LongType())]))
+    batch_id = batches.parquet(f"{state_folder}/marks").agg(F.max("batch")).first()[0]
+    done = settling.settled_through(settling.mark(*_marks(spark, state_folder, batch_id)))
+    waiting = _due(_stored(spark, state_folder, schema), None if done is None else done + 1, None, 0)
+    write(look_ahead(waiting, keys, max_lap, max_group_rows), batch_id + 1)
+    remove(spark, f"{state_folder}/rows")
+    remove(spark, f"{state_folder}/marks")

@@ -17,12 +17,12 @@ from racestream.functions.json_codec import decode, split_malformed
 from racestream.operators import alerts as alert_ops
 from racestream.operators import leaderboard as board_ops
 from racestream.operators import replay as replay_ops
-from racestream.operators.enrichment import KEYS, enriched_json
+from racestream.operators.enrichment import KEYS, enriched_json, tag
 from racestream.schemas import RAW_TABLES
 from racestream.session import use_utc
 from racestream.sources.topics import KafkaTopics, Topics, typed
 from racestream.streaming.arrival_enrichment import enrich_arrival_stream
-from racestream.streaming.complete_enrichment import enrich_complete_stream
+from racestream.streaming.complete_enrichment import enrich_complete_stream, release
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -38,11 +38,11 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def leaderboard_snapshots(
-    positions: DataFrame, watermark: str = settings.OUT_OF_ORDERNESS, by_session: bool = False
+    positions: DataFrame, watermark: str = settings.OUT_OF_ORDERNESS, by_session: bool = False, last_by: str = "arrival"
 ) -> DataFrame:
-    """Snapshots of closed windows, from a stream of positions."""
-    ranked = board_ops.leaderboard(positions.withWatermark("t", watermark), by_session=by_session)
-    return board_ops.snapshot_json(board_ops.snapshots(ranked))
+    """Snapshots of closed windows, from a stream of positions. Two states: drivers of a window, and windows."""
+    last = board_ops.window_last_positions(positions.withWatermark("t", watermark), by_session=by_session, last_by=last_by)
+    return board_ops.snapshot_json(board_ops.driver_snapshots(last))
 
 
 def leaderboard_job(
@@ -52,11 +52,13 @@ def leaderboard_job(
     on_malformed: str = "drop",
     time_fallback: str = "ingest",
     by_session: bool = False,
+    last_by: str = "arrival",
 ) -> DataStreamWriter:
-    """Positions to leaderboard snapshots. Malformed records are ignored."""
+    """Positions to leaderboard snapshots. Malformed records are ignored. ``last_by='event_time'`` suits replayed topics."""
     records = topics.read_stream(prepare(spark), settings.TOPIC_POSITIONS)
     positions = typed(records, "positions", on_malformed, time_fallback)
-    return topics.write_stream(leaderboard_snapshots(positions, by_session=by_session), settings.TOPIC_LEADERBOARD, checkpoint)
+    snapshots = leaderboard_snapshots(positions, by_session=by_session, last_by=last_by)
+    return topics.write_stream(snapshots, settings.TOPIC_LEADERBOARD, checkpoint)
 
 
 def alerts_job(
@@ -69,9 +71,11 @@ def alerts_job(
     return topics.write_stream(alerts, settings.TOPIC_ALERTS, checkpoint)
 
 
-def _laps_and_pits(spark: SparkSession, topics: Topics, on_malformed: str) -> tuple[DataFrame, DataFrame]:
-    laps = typed(topics.read_stream(spark, settings.TOPIC_LAPS), "laps", on_malformed)
-    pits = typed(topics.read_stream(spark, settings.TOPIC_PIT_STOPS), "pit_stops", on_malformed)
+def _laps_and_pits(
+    spark: SparkSession, topics: Topics, on_malformed: str, time_fallback: str = "ingest"
+) -> tuple[DataFrame, DataFrame]:
+    laps = typed(topics.read_stream(spark, settings.TOPIC_LAPS), "laps", on_malformed, time_fallback)
+    pits = typed(topics.read_stream(spark, settings.TOPIC_PIT_STOPS), "pit_stops", on_malformed, time_fallback)
     return laps, pits
 
 
@@ -96,9 +100,10 @@ def enrichment_job(
     on_malformed: str = "fail",
     keys: Sequence[str] = KEYS,
     keep_for: str | None = None,
+    time_fallback: str = "ingest",
 ) -> DataStreamWriter:
     """Laps and pit stops to laps with the pit stop seen before them. State is kept below the checkpoint."""
-    laps, pits = _laps_and_pits(prepare(spark), topics, on_malformed)
+    laps, pits = _laps_and_pits(prepare(spark), topics, on_malformed, time_fallback)
     writer = enrich_arrival_stream(laps, pits, f"{checkpoint}/seen-pit-stops", _publish_laps(topics), keys, keep_for)
     return writer.option("checkpointLocation", checkpoint)
 
@@ -110,13 +115,25 @@ def complete_enrichment_job(
     on_malformed: str = "fail",
     keys: Sequence[str] = KEYS,
     max_lap: str = "10 minutes",
+    time_fallback: str = "ingest",
 ) -> DataStreamWriter:
-    """Laps and pit stops to laps with their pit stop, once it can no longer follow."""
-    laps, pits = _laps_and_pits(prepare(spark), topics, on_malformed)
+    """Laps and pit stops to laps with their pit stop, once it can no longer follow.
+
+    Laps without a date go by the time they were ingested, unless ``time_fallback`` says otherwise.
+    """
+    laps, pits = _laps_and_pits(prepare(spark), topics, on_malformed, time_fallback)
     writer = enrich_complete_stream(laps, pits, f"{checkpoint}/waiting", _publish_laps(topics), keys, max_lap)
     return writer.option("checkpointLocation", checkpoint)
 
 
+def release_laps(
+    spark: SparkSession, topics: Topics, checkpoint: str, keys: Sequence[str] = KEYS, max_lap: str = "10 minutes"
+) -> None:
+    """Publishes the laps that a stopped complete-enrichment job still holds; for the end of a session, not for a restart."""
+    laps, pits = (typed(topics.read(spark, topic), name) for topic, name in ((settings.TOPIC_LAPS, "laps"), (settings.TOPIC_PIT_STOPS, "pit_stops")))
+    release(spark, f"{checkpoint}/waiting", tag(laps, pits, keys).schema, _publish_laps(topics), keys, max_lap)
+
+
 def malformed_job(spark: SparkSession, topics: Topics, table: str, folder: str, checkpoint: str) -> DataStreamWriter:
     """The malformed records of a raw topic, as raw text with their place in the topic, to parquet files.
 
@@ -131,7 +148,8 @@ def malformed_job(spark: SparkSession, topics: Topics, table: str, folder: str,
 def replay_job(tables: Mapping[str, DataFrame], topics: Topics, missing_time: str = "epoch") -> None:
     """Publish the raw tables of a session to their topics, in time order; an empty session publishes nothing.
 
-    The timeline is written by many tasks at once, so a broker may see neighbouring ranges side by side.
-    The jobs above order by event time within a key, not by offset.
+    The timeline is written by many tasks at once, so a broker may receive neighbouring ranges of time side by side, and the offsets
+    of a key need not follow its event times. The leaderboard of such topics needs ``last_by='event_time'``; the
+    arrival-order enrichment goes by event time within a micro-batch, and by arrival across them.
     """
     topics.write(replay_ops.timeline(tables, missing_time))

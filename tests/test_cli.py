@@ -67,3 +67,14 @@ def test_missing_options(capsys):
         arguments(["replay"])
     with pytest.raises(SystemExit):
         arguments(["leaderboard"])
+    with pytest.raises(SystemExit):
+        arguments(["complete-enrichment", "--checkpoint", "c", "--release"])
+
+
+def test_waiting_laps_are_released(spark, tmp_path, landing):
+    root = str(tmp_path / "topics")
+    main(["replay", "--topics", root, "--landing", landing], spark)
+    options = ["--once", "--release", "--max-lap", "5 minutes", "--time-fallback", "null"]
+    main(["complete-enrichment", "--topics", root, "--checkpoint", str(tmp_path / "c"), *options], spark)
+    values = [json.loads(r.value) for r in FileTopics(root).read(spark, settings.TOPIC_LAPS_ENRICHED).collect()]
+    assert [(v["lap_number"], v["pit_duration"]) for v in values] == [(2, None)]

@@ -21,12 +21,19 @@ def test_arrival(spark, max_group_rows):
     assert outcome(got) == [(1, 1, None, False), (3, 2, 20.1, True), (5, 2, None, False), (6, 3, None, False)]
 
 
-@pytest.mark.parametrize("max_broadcast_rows", [1000, 0])
-def test_complete(spark, max_broadcast_rows):
-    got = enrich_complete(tables.laps(spark, LAPS), tables.pits(spark, PITS), max_broadcast_rows=max_broadcast_rows)
+@pytest.mark.parametrize("max_broadcast_bytes", [100_000, 0])
+def test_complete(spark, max_broadcast_bytes):
+    got = enrich_complete(tables.laps(spark, LAPS), tables.pits(spark, PITS), max_broadcast_bytes=max_broadcast_bytes)
     assert outcome(got) == [(1, 1, None, False), (3, 2, None, False), (5, 2, None, False), (6, 3, 25.0, True)]
 
 
+def test_complete_within_a_longest_lap(spark):
+    laps = tables.laps(spark, [(0, 1, 44, 1), (100, 2, 44, 1)])
+    pits = tables.pits(spark, [(50, 3, 44, 1, 20.0), (700, 4, 44, 1, 30.0)])
+    assert outcome(enrich_complete(laps, pits)) == [(1, 1, 30.0, True), (2, 1, 30.0, True)]
+    assert outcome(enrich_complete(laps, pits, max_lap="10 minutes")) == [(1, 1, 20.0, True), (2, 1, 30.0, True)]
+
+
 def test_laps_precede_pit_stops_at_equal_times(spark):
     got = enrich_arrival(tables.laps(spark, [(1, 9, 44, 1)]), tables.pits(spark, [(1, 1, 44, 1, 20.0)]))
     assert outcome(got) == [(9, 1, None, False)]

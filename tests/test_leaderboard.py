@@ -1,9 +1,10 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 import tables
-from racestream.operators.leaderboard import leaderboard, snapshot_json, snapshots, window_last_positions
+from racestream.operators.leaderboard import driver_snapshots, leaderboard, rankings, snapshot_json, snapshots, window_last_positions
 
 
 def boards(df):
@@ -80,3 +81,21 @@ def test_a_crowded_window_and_driver(spark):
     )
     last = window_last_positions(rows).where((F.col("driver_number") == 44) & (F.col("window.start") == F.lit(tables.START)))
     assert last.first().position == (n - 3) % 1000
+
+
+def test_last_by_event_time(spark):
+    """Arrival order differs from time order: by arrival driver 44 is second, by event time first."""
+    rows = tables.positions(spark, [(5, 44, 1), (3, 44, 2), (4, 63, 1)])
+    by_arrival = {r.position: r.driver_number for r in leaderboard(rows).collect()}
+    by_time = {r.position: r.driver_number for r in leaderboard(rows, last_by="event_time").collect()}
+    assert by_arrival == {1: 63, 2: 44}
+    assert by_time == {1: 44}
+    with pytest.raises(ValueError):
+        leaderboard(rows, last_by="offset")
+
+
+@pytest.mark.parametrize("last_by", ["arrival", "event_time"])
+def test_driver_snapshots_equal_ranked_ones(spark, last_by):
+    rows = tables.positions(spark, [(i * 1.3 % 60, i * 7 % 20, i * 3 % 12) for i in range(200)])
+    last = window_last_positions(rows, last_by=last_by)
+    assert sorted(map(str, driver_snapshots(last).collect())) == sorted(map(str, snapshots(rankings(last)).collect()))

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import tables
+from racestream.operators import carry_forward
 from racestream.operators.enrichment import enrich_complete
 from racestream.plans.queries import QUERIES
 from racestream.sources.event_tables import read_table
@@ -46,6 +47,18 @@ def test_row_by_row_queries_do_not_shuffle(spark, name):
     assert "Exchange hashpartitioning" not in text and "Exchange rangepartitioning" not in text
 
 
+def test_crowded_keys_are_not_copied(spark, monkeypatch):
+    """Only the crowded keys and their bounds are written; the rows are read from their source again."""
+    purposes = []
+    original = carry_forward.written
+    monkeypatch.setattr(carry_forward, "written", lambda df, purpose: purposes.append((purpose, df.columns)) or original(df, purpose))
+    result = QUERIES["laps_enriched_arrival_crowded"](spark, FOLDER)
+    assert [purpose for purpose, _ in purposes] == ["crowded-keys", "crowded-bounds"]
+    assert all("t" not in columns and "seq" not in columns for _, columns in purposes)
+    assert result.count() == 188
+    assert "Exchange rangepartitioning" not in plan(result)
+
+
 @pytest.mark.parametrize("name", ["timeline", "replay_schedule"])
 def test_timeline_is_sorted_by_range(spark, name):
     text = plan(QUERIES[name](spark, FOLDER))
@@ -78,7 +91,7 @@ def test_many_pit_stops_are_joined_by_key_and_a_crowded_key_is_split(spark):
             "false AS is_pit_out_lap", "timestamp_seconds(id) AS t", "id AS seq",
         )
         pits = tables.pits(spark, [(1, 1, 44, 1, 20.0)])
-        joined = enrich_complete(laps, pits, max_broadcast_rows=0)
+        joined = enrich_complete(laps, pits, max_broadcast_bytes=0)
         assert joined.where("had_pit_stop").count() >= 20_000
         joined.collect()
         text = plan(joined)

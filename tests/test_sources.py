@@ -55,6 +55,17 @@ def test_session_filter_reaches_the_parquet_scan(spark, tmp_path):
     assert rows.count() == 1
 
 
+def test_landed_parquet_takes_the_defaults_of_json(spark, tmp_path):
+    ddl = "session_key INT, driver_number INT, position INT, date STRING"
+    rows = [(7, None, 3, None), (None, 44, None, "2023-05-28T13:00:00Z")]
+    path = str(tmp_path / "position")
+    spark.createDataFrame(rows, ddl).write.parquet(path)
+    found = [r[:3] for r in read_landed(spark, path, "positions", session_key=7, format="parquet").collect()]
+    assert found == [(7, 0, 3)]
+    found = [r[:3] for r in read_landed(spark, path, "positions", session_key=0, format="parquet").collect()]
+    assert found == [(0, 44, 0)]
+
+
 def test_whole_session(spark, tmp_path):
     land(tmp_path / FOLDERS["positions"], [POSITION])
     found = read_session(spark, str(tmp_path), session_key=1)

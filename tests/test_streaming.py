@@ -10,12 +10,12 @@ import tables
 from racestream import schemas, settings
 from racestream.functions.json_codec import encode
 from racestream.operators.alerts import alert_json, alerts
-from racestream.operators.enrichment import enrich_arrival
+from racestream.operators.enrichment import enrich_arrival, enrich_complete, tag
 from racestream.operators.leaderboard import leaderboard, snapshot_json, snapshots
 from racestream.sources.topics import FileTopics
 from racestream.streaming import arrival_enrichment, jobs
 from racestream.streaming.arrival_enrichment import enrich_arrival_stream, to_folder
-from racestream.streaming.complete_enrichment import enrich_complete_stream
+from racestream.streaming.complete_enrichment import enrich_complete_stream, release
 
 
 class Feed:
@@ -209,28 +209,111 @@ def test_pit_stops_can_be_forgotten(spark, tmp_path):
     assert got == {1: None, 44: None, 63: 30.0}
 
 
+def complete(spark, path, lap_batches, pit_batches, **options):
+    """Laps by sequence number: given out by the stream, then by the release, and those that came too late."""
+    laps = Feed(spark, path / "laps").add(*[tables.laps(spark, rows) for rows in lap_batches])
+    pits = Feed(spark, path / "pits").add(*[tables.pits(spark, rows) for rows in pit_batches])
+    state, out = f"{path}/state", to_folder(f"{path}/out")
+    out(enrich_complete(tables.laps(spark, []), tables.pits(spark, [])), -1)  # the folder is there, whatever falls due
+    run(enrich_complete_stream(laps.stream(), pits.stream(), state, out, **options), path / "checkpoint")
+
+    def outcome():
+        return {r.seq: (r.pit_duration, r.had_pit_stop) for r in spark.read.parquet(f"{path}/out").collect()}
+
+    settled = outcome()
+    late = sorted(r.seq for r in spark.read.parquet(f"{state}/late").collect())
+    release(spark, state, tag(tables.laps(spark, []), tables.pits(spark, [])).schema, out, **options)
+    return settled, {k: v for k, v in outcome().items() if k not in settled}, late
+
+
 @pytest.mark.parametrize("max_group_rows", [None, 1])
 def test_complete_stream(spark, tmp_path, max_group_rows):
-    laps = Feed(spark, tmp_path / "laps").add(
-        tables.laps(spark, [(0, 1, 44, 1), (1, 2, 63, 1), (2, 3, 1, 1), (3, 4, 7, 1)]),
-        tables.laps(spark, [(5000, 9, 44, 99)]),
-        tables.laps(spark, [(5001, 10, 44, 99)]),
+    settled, rest, late = complete(
+        spark,
+        tmp_path,
+        [[(0, 1, 44, 1), (1, 2, 63, 1), (2, 3, 1, 1), (3, 4, 7, 1)], [(5000, 9, 44, 99)], [(5001, 10, 44, 99)]],
+        [
+            [(80, 1, 44, 1, 20.0), (700, 2, 63, 1, 21.0), (90, 3, 7, 1, 30.0)],
+            [(85, 4, 44, 1, 22.0), (95, 5, 7, 1, None), (5000, 9, 5, 99, 1.0)],
+            [(5001, 10, 5, 99, 1.0)],
+        ],
+        max_group_rows=max_group_rows,
     )
-    pits = Feed(spark, tmp_path / "pits").add(
-        tables.pits(spark, [(80, 1, 44, 1, 20.0), (700, 2, 63, 1, 21.0), (90, 3, 7, 1, 30.0)]),
-        tables.pits(spark, [(85, 4, 44, 1, 22.0), (95, 5, 7, 1, None), (5000, 9, 5, 99, 1.0)]),
-        tables.pits(spark, [(5001, 10, 5, 99, 1.0)]),
+    # Two pit stops: the later one. Pit stop after more than ten minutes: none. Later one without duration: none.
+    assert settled == {1: (22.0, True), 2: (None, False), 3: (None, False), 4: (None, False)}
+    assert rest == {9: (None, False), 10: (None, False)}
+    assert late == []
+
+
+@pytest.mark.parametrize("second", [560, 600, 610, 655, 660, 665, 670, 719, 725])
+def test_a_pit_stop_is_kept_as_long_as_its_lap_waits(spark, tmp_path, second):
+    """Whatever the point at which the streams are cut into micro-batches."""
+    settled, rest, late = complete(
+        spark,
+        tmp_path,
+        [[(0, 1, 44, 1)], [(second, 2, 5, 5)], [(2000, 3, 5, 6)]],
+        [[(1, 1, 44, 1, 20.5)], [(second, 2, 6, 6, 1.0)], [(2000, 3, 6, 7, 1.0)]],
     )
-    run(
-        enrich_complete_stream(
-            laps.stream(), pits.stream(), f"{tmp_path}/state", to_folder(f"{tmp_path}/out"), max_group_rows=max_group_rows
-        ),
-        tmp_path / "checkpoint",
+    assert settled[1] == (20.5, True)
+    assert {**settled, **rest} == {1: (20.5, True), 2: (None, False), 3: (None, False)}
+    assert late == []
+
+
+def test_a_late_lap_is_set_aside_and_never_called_unmatched(spark, tmp_path):
+    settled, rest, late = complete(
+        spark,
+        tmp_path,
+        [[(0, 1, 5, 5)], [(5000, 2, 5, 6)], [(70, 3, 44, 1), (5001, 4, 5, 7)]],
+        [[(80, 1, 44, 1, 20.0)], [(5000, 2, 6, 6, 1.0)], [(5001, 3, 6, 7, 1.0)]],
     )
-    streamed = spark.read.parquet(f"{tmp_path}/out")
-    got = sorted((r.driver_number, r.pit_duration, r.had_pit_stop) for r in streamed.collect())
-    # Two pit stops: the later one. Pit stop after more than ten minutes: none. Later one without duration: none.
-    assert got == [(1, None, False), (7, None, False), (44, 22.0, True), (63, None, False)]
+    assert 3 not in settled and 3 not in rest
+    assert late == [3]
+
+
+def test_a_silent_input_does_not_stop_the_other(spark, tmp_path):
+    times = [0, 1800, 3600, 5400, 7200]
+    settled, rest, late = complete(
+        spark,
+        tmp_path,
+        [[(t, i, 44, i)] for i, t in enumerate(times)],
+        [[(100, 1, 44, 0, 20.0)], [(101, 2, 9, 9, 1.0)]],
+        idle="30 minutes",
+    )
+    assert settled == {0: (20.0, True), 1: (None, False), 2: (None, False)}
+    assert set(rest) == {3, 4} and late == []
+
+
+def test_complete_stream_equals_batch_over_many_micro_batches(spark, tmp_path):
+    lap_rows = [(40 * i, i, i % 5, i % 7) for i in range(120)]
+    pit_rows = [(37 * i, i, i % 5, i % 7, None if i % 6 == 0 else float(i)) for i in range(120)]
+    settled, rest, late = complete(
+        spark,
+        tmp_path,
+        [lap_rows[k : k + 10] for k in range(0, 120, 10)],
+        [pit_rows[k : k + 10] for k in range(0, 120, 10)],
+    )
+    expected = enrich_complete(tables.laps(spark, lap_rows), tables.pits(spark, pit_rows), max_lap="10 minutes")
+    assert {**settled, **rest} == {r.seq: (r.pit_duration, r.had_pit_stop) for r in expected.collect()}
+    assert len(settled) > 60 and len(rest) > 5 and late == []
+
+
+def test_what_a_micro_batch_writes_does_not_grow(spark, tmp_path):
+    """The state takes the new rows only, and buckets go once they are settled."""
+    lap_rows = [(60 * i, i, 1, i) for i in range(60)]
+    pit_rows = [(60 * i, i, 2, i, 1.0) for i in range(60)]
+    laps = Feed(spark, tmp_path / "laps").add(*[tables.laps(spark, lap_rows[k : k + 6]) for k in range(0, 60, 6)])
+    pits = Feed(spark, tmp_path / "pits").add(*[tables.pits(spark, pit_rows[k : k + 6]) for k in range(0, 60, 6)])
+    held = []
+
+    def write(rows, batch_id):
+        found = [p.parent for p in (tmp_path / "state" / "rows").glob("batch=*/bucket=*/*.parquet")]
+        mine = [p for p in found if p.parent.name == f"batch={batch_id}"]
+        held.append((len(set(mine)), len(set(found))))
+
+    run(enrich_complete_stream(laps.stream(), pits.stream(), f"{tmp_path}/state", write), tmp_path / "checkpoint")
+    assert len(held) >= 6
+    assert all(own <= 12 for own, _ in held)
+    assert max(total for _, total in held) <= 40
 
 
 def publish(spark, topics, topic, documents):
@@ -289,5 +372,6 @@ def test_complete_enrichment_job(spark, tmp_path):
     pits = tables.pits(spark, [(80, 1, 44, 1, 20.0), (2000, 3, 63, 3, 22.0)])
     jobs.replay_job({"laps": laps, "pit_stops": pits}, topics)
     run(jobs.complete_enrichment_job(spark, topics, checkpoint), checkpoint)
+    jobs.release_laps(spark, topics, checkpoint)
     values = [json.loads(r.value) for r in topics.read(spark, settings.TOPIC_LAPS_ENRICHED).collect()]
-    assert [(v["lap_number"], v["pit_duration"]) for v in values] == [(1, 20.0)]
+    assert sorted((v["lap_number"], v["pit_duration"]) for v in values) == [(1, 20.0), (3, None)]
