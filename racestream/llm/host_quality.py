@@ -36,6 +36,8 @@ HOST_RULES = ["repeats", "symbols", "duplicate_lines", "word_length"]
 
 #: A host is condemned beyond this shrunk failure rate.
 HOST_LIMIT = 0.5
+#: Up to so many condemned hosts are broadcast, a few megabytes.
+BROADCAST_HOSTS = 50_000
 #: The strength of the prior, in documents, lies between these bounds.
 WEAKEST, STRONGEST = 2.0, 10_000.0
 
@@ -128,11 +130,14 @@ def beta_prior(mean: float | None, variance: float | None, noise: float | None)
 def with_verdicts(counted: DataFrame, host: str, counts: str, limit: float = HOST_LIMIT) -> DataFrame:
     """Adds ``_host_failed`` to counted rows. They are read twice, so they should be a written table.
 
-    Only the condemned hosts are joined back. A row without a host has no verdict against it.
+    Only the condemned hosts are joined back, by broadcast if they are few. A row without a host has no verdict against it.
     """
     rates = host_rates(counted, host, counts)
     worst = F.greatest(*[F.col(f"{rule}_rate") for rule in HOST_RULES])
-    condemned = rates.where(worst > limit).select(F.col("host").alias("_host"), F.lit(True).alias("_condemned"))
+    condemned = written(rates.where(worst > limit).select(F.col("host").alias("_host")), "host-condemned")
+    if condemned.count() <= BROADCAST_HOSTS:
+        condemned = F.broadcast(condemned)
+    condemned = condemned.withColumn("_condemned", F.lit(True))
     return (
         counted.join(condemned, F.col(host) == F.col("_host"), "left")
         .withColumn("_host_failed", F.coalesce("_condemned", F.lit(False)))
