@@ -75,7 +75,8 @@ def token_counts(documents: DataFrame) -> DataFrame:
         return {"token": pa.array(list(counts), pa.binary()).cast(pa.string()), "n": pa.array(counts.values(), pa.int64())}
 
     learned_from = doc_texts(documents).where(_fold("doc_id") != 2).select("text")
-    return map_rows(learned_from, count, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counted = map_rows(learned_from, count, "token string, n long", rows=None)
+    return counted.groupBy("token").agg(F.sum("n").alias("n"))
 
 
 @dataclass

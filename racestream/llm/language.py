@@ -172,8 +172,8 @@ def learn(documents: DataFrame) -> Trees:
             out["times"] += times.tolist()
         return out
 
-    counted = map_rows(sample, count, "lang string, gram long, times long").groupBy("lang", "gram").agg(F.sum("times").alias("times"))
-    table: pa.Table = counted.toArrow()
+    counted = map_rows(sample, count, "lang string, gram long, times long", rows=None)
+    table: pa.Table = counted.groupBy("lang", "gram").agg(F.sum("times").alias("times")).toArrow()
     language, gram, times = (table.column(c).to_numpy(zero_copy_only=False) for c in ("lang", "gram", "times"))
     return grow({str(x): (gram[language == x], times[language == x]) for x in sorted(set(language))})
 

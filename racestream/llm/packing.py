@@ -27,8 +27,8 @@ from racestream.session import written
 
 SEQUENCE = 2048
 END_ID = 1
-#: Entries of a worker's memory of encoded words; about 100 MB. Words beyond are encoded each time.
-REMEMBERED = 400_000
+#: Entries of a worker's memory of encoded words; about 60 MB. Words beyond are encoded each time.
+REMEMBERED = 250_000
 #: Pieces of a bin numbered by one task.
 SLICE = 1_000
 

@@ -50,15 +50,27 @@ def ship(spark: SparkSession) -> None:
 _shipped: list = []
 
 
-def map_rows(df: DataFrame, function: Callable[[dict[str, list]], dict[str, list]], schema: str) -> DataFrame:
-    """Applies a function from columns to columns (as lists) to every Arrow batch."""
+#: Rows of a batch that are Python objects at a time.
+ROWS = 1_000
+
+
+def _slices(batch: pa.RecordBatch, rows: int | None) -> Iterator[pa.RecordBatch]:
+    step = rows or max(batch.num_rows, 1)
+    for at in range(0, batch.num_rows, step):
+        yield batch.slice(at, step)
+
+
+def map_rows(
+    df: DataFrame, function: Callable[[dict[str, list]], dict[str, list]], schema: str, rows: int | None = ROWS
+) -> DataFrame:
+    """Applies a function from columns to columns (as lists) to every ``rows`` rows, or with None to whole batches."""
     ship(df.sparkSession)
     names = [field.split()[0] for field in schema.split(",")]
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            if batch.num_rows:
-                out = function(batch.to_pydict())
+            for part in _slices(batch, rows):
+                out = function(part.to_pydict())
                 yield pa.RecordBatch.from_pydict({name: out[name] for name in names}, target)
 
     target = to_arrow_schema(StructType.fromDDL(schema))
@@ -84,9 +96,10 @@ def with_arrow_columns(df: DataFrame, text: str, function: Callable[[list], dict
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            made = function(batch.column(position).to_pylist())
-            arrays = [pa.array(made[field.name], field.type) for field in fields]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], schema=pa.schema([*batch.schema, *fields]))
+            for part in _slices(batch, ROWS):
+                made = function(part.column(position).to_pylist())
+                arrays = [pa.array(made[field.name], field.type) for field in fields]
+                yield pa.RecordBatch.from_arrays([*part.columns, *arrays], schema=pa.schema([*part.schema, *fields]))
 
     position = df.columns.index(text)
     return df.mapInArrow(batches, StructType(df.schema.fields + added.fields))
