@@ -47,6 +47,9 @@ EXAMPLES = [
     "paid by {card:4111 1111 1111 1111} in May",
     "card {card:5500000000000004} and {card:3400-0000-0000-009} on file",
     "order 4111111111111112 was shipped",
+    "two {card:4012888888881881} {card:5105105105105100} on file",
+    "the {card:30569309025904} {card:6011111111111117} were paid",
+    "numbers {card:4111111111111111} {card:5555555555554444} and {card:4222222222222}",
     "ticket 1234567890123456 and 99887766554433221 closed",
     "on 2021-03-04 and 04-03-2021 at 12:30",
     "from 1999 to 2004, 12 of 30 came",
