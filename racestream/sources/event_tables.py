@@ -124,7 +124,7 @@ def in_time_order(events: DataFrame, files: int) -> str:
     return folder
 
 
-def stream_tables(spark: SparkSession, folder: str, *names: str, files: int = 8) -> dict[str, DataFrame]:
+def stream_tables(spark: SparkSession, folder: str, *names: str, files: int = 10) -> dict[str, DataFrame]:
     """The tables as streams over the events in time order, a file and so a micro-batch at a time."""
     events = _events(spark, folder)
     first = events.agg(F.min("ts").alias("first")).first().first
