@@ -37,7 +37,7 @@ WORDS, PERCENT = 5, 80
 GROUP = 3
 #: Chance that a pair of just the least similarity shares no table.
 MISSED = 1e-6
-#: Ids of candidates are broadcast up to this number (16 MB), and joined by shuffle beyond.
+#: Ids of candidates, or of dropped documents, are broadcast up to this number (16 MB), and joined by shuffle beyond.
 BROADCAST_IDS = 1_000_000
 
 #: Sets, and shingles of sets, of a block of a hub's classes; a task compares two blocks.
@@ -314,7 +314,10 @@ def keep_one(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     """
     members = written(near_duplicates(documents, words, percent), "minhash-members").where(F.col("doc_id").isNotNull())
     ids = members.groupBy(F.col("doc_id").alias("_id")).agg(F.max("kept").alias("kept"), F.count("doc_id").alias("n"))
-    dropped, repeated = ids.where(~F.col("kept")).select("_id"), ids.where("kept AND n > 1").select("_id")
+    dropped = written(ids.where(~F.col("kept")).select("_id"), "minhash-dropped")
+    if dropped.count() <= BROADCAST_IDS:
+        dropped = F.broadcast(dropped)  # so the texts are not shuffled
+    repeated = ids.where("kept AND n > 1").select("_id")
     same = F.col("doc_id") == F.col("_id")
     stay = documents.join(dropped, same, "left_anti")
     if repeated.isEmpty():
