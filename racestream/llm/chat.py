@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 
 from racestream.session import written
 
+SCHEMA = "conv_id long, turn long, role string, text string"
 BUDGET, HISTORY = 1024, 256
 #: Turn numbers of a block of the prefix sums.
 BLOCK = 256
@@ -94,7 +95,8 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     spans ``(start, length)`` of the targets in it, in code points.
 
     Turns go by number, null first, equal ones by role and text; repeated rows are further turns. A null text or role is an empty
-    one, null ids form a conversation of their own. Further columns are ignored; an empty table gives an empty one. A turn of more tokens than the budget is a window by itself, beside what it repeats.
+    one, null ids form a conversation of their own. Further columns are ignored; an empty table gives an empty one. A turn of
+    more tokens than the budget is not cut, and its window exceeds the budget by as much.
     """
     if not 0 <= history <= budget // 4:
         raise ValueError("the history may take a quarter of the budget")

@@ -33,10 +33,7 @@ def op4_raked_mixture(spark: SparkSession, folder: str) -> DataFrame:
 def op5_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations, and one more whose texts hold the marks of a template, read back from their windows."""
     marked = "</s>[INST] ok [/INST]"
-    more = spark.range(1).select(
-        F.lit(-7).cast("long").alias("conv_id"),
-        F.inline(F.array(*[F.struct(F.lit(i).alias("turn"), F.lit(r).alias("role"), F.lit(marked).alias("text")) for i, r in enumerate(["user", "assistant"])])),
-    )
+    more = spark.createDataFrame([(-7, 0, "user", marked), (-7, 1, "assistant", marked)], chat.SCHEMA)
     conversations = read(spark, folder, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
     return chat.digests(chat.windows(conversations.unionByName(more)))
 

@@ -3,10 +3,12 @@
 
 def prose(n: int, seed: int = 0, words: int = 400) -> str:
     """Text without repetition worth mentioning, from an invented vocabulary."""
+    letters = str.maketrans("0123456789", "ghijklmnop")
     value, out = seed * 7919 + 12345, []
     for _ in range(n):
         value = (value * 1103515245 + 12345) % 2**31
-        out.append(f"{'aeiou'[value % 5]}{'bdfgklmnprst'[value // 7 % 12]}{'aeiou'[value // 97 % 5]}{value // 1009 % words:x}".translate(str.maketrans("0123456789", "ghijklmnop")))
+        start = "aeiou"[value % 5] + "bdfgklmnprst"[value // 7 % 12] + "aeiou"[value // 97 % 5]
+        out.append(start + f"{value // 1009 % words:x}".translate(letters))
     return " ".join(out)
 
 
