@@ -6,23 +6,24 @@ rank, and within it the probability (count + 1) / sum. The output softmax is fac
 
 * Training: truncated backpropagation through time in numpy, by several tasks side by side on a bounded sample of whole
   documents; after each round their weights are averaged.
-* Scoring: the texts of a batch are laid end to end in lanes, one matrix product per step moves all lanes on, and the state is
-  carried from window to window until a text ends. So every text is scored whole, whatever its length.
+* Scoring: texts are laid end to end in lanes, a window at a time; one matrix product per step moves all lanes on, and the state
+  is carried from window to window until a text ends. So every text is scored whole, whatever its length.
 * The counts of rare tokens, whose number grows with the corpus, are joined, not broadcast.
 """
 
 from __future__ import annotations
 
-import heapq
 import math
 import pickle
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,6 +48,8 @@ TRAIN_LANES, TRAIN_WINDOW = 64, 32
 RATE = 0.01
 
 LANES, WINDOW = 384, 128
+#: Bytes of text, and one text more, whose tokens a worker holds at a time.
+PART_BYTES = 16 << 20
 
 
 def _fold(doc_id: str) -> Column:
@@ -207,60 +210,72 @@ def log10_shares(w: Weights, v: Vocabulary, h: np.ndarray, target: np.ndarray) -
 
 
 class Lanes:
-    """Texts laid end to end in lanes of about equal length, the longest text first; lanes by falling length."""
-
-    def __init__(self, texts: list[np.ndarray], lanes: int, end: int):
-        lanes = max(1, min(lanes, len(texts)))
-        heap = [(0, k) for k in range(lanes)]
-        inside: list[list[int]] = [[] for _ in range(lanes)]
-        for i in sorted(range(len(texts)), key=lambda i: -len(texts[i])):
-            length, k = heapq.heappop(heap)
-            inside[k].append(i)
-            heapq.heappush(heap, (length + len(texts[i]) + 1, k))
-        lengths = [sum(len(texts[i]) + 1 for i in members) for members in inside]
-        order = sorted(range(lanes), key=lambda k: -lengths[k])
-        self.lengths = np.array([lengths[k] for k in order])
-        steps = int(self.lengths[0]) if len(texts) else 0
-        self.x = np.zeros((steps, lanes), np.int32)
-        self.y = np.full((steps, lanes), -1, np.int32)
-        self.owner = np.zeros((steps, lanes), np.int32)
-        self.first = np.zeros((steps, lanes), bool)
-        for lane, k in enumerate(order):
-            at = 0
-            for i in inside[k]:
-                n = len(texts[i])
-                self.x[at, lane] = end
-                self.x[at + 1 : at + n + 1, lane] = texts[i]
-                self.y[at : at + n, lane] = texts[i]
-                self.y[at + n, lane] = end
-                self.owner[at : at + n + 1, lane] = i
-                self.first[at, lane] = True
-                at += n + 1
+    """Texts one after another in lanes, laid out a window at a time: a lane that ends its text takes the next one.
+
+    ``x``, ``y``, ``owner`` and ``first`` hold the current window, steps by lanes; without ``window``, all there is. ``kept`` are
+    those lanes of the window before that go on. So memory is that of one window and of the texts in the lanes.
+    """
+
+    def __init__(self, texts: Iterable[np.ndarray], lanes: int, end: int, window: int | None = None):
+        if window is None:
+            texts = list(texts)
+            window = sum(len(text) + 1 for text in texts)
+        self.end, self.window = end, window
+        self.waiting = ((i, text, 0) for i, text in enumerate(texts))
+        self.places: list[tuple[int, np.ndarray, int] | None] = list(islice(self.waiting, lanes))
+        self.advance()
+
+    def advance(self) -> bool:
+        """Lays out the next window; false, and an empty one, if nothing is left."""
+        self.kept = np.array([k for k, place in enumerate(self.places) if place is not None], np.int64)
+        self.places = [place for place in self.places if place is not None]
+        shape = (len(self.places), self.window if self.places else 0)
+        x, y = np.zeros(shape, np.int32), np.full(shape, -1, np.int32)
+        owner, first = np.zeros(shape, np.int32), np.zeros(shape, bool)
+        steps = 0
+        for lane, place in enumerate(self.places):
+            t = 0
+            while place is not None and t < self.window:
+                i, ids, at = place
+                stop = min(len(ids) + 1, at + self.window - t)
+                to = t + stop - at
+                part = ids[at:stop]
+                y[lane, t : t + len(part)] = part
+                y[lane, t + len(part) : to] = self.end
+                if at:
+                    x[lane, t:to] = ids[at - 1 : stop - 1]
+                else:
+                    x[lane, t], first[lane, t] = self.end, True
+                    x[lane, t + 1 : to] = ids[: stop - 1]
+                owner[lane, t:to] = i
+                t, place = to, (i, ids, stop) if stop <= len(ids) else next(self.waiting, None)
+            self.places[lane] = place
+            steps = max(steps, t)
+        self.x, self.y, self.owner, self.first = (np.ascontiguousarray(a[:, :steps].T) for a in (x, y, owner, first))
+        return steps > 0
 
 
 def score(w: Weights, v: Vocabulary, texts: list[np.ndarray], lanes: int = LANES) -> np.ndarray:
     """log10 of each text's probability, end included, but for the shares of tokens of the last class."""
-    total = np.zeros(len(texts))
-    if not texts:
-        return total
-    laid = Lanes(texts, lanes, v.rank[END.encode()])
-    h = np.zeros((len(laid.lengths), HIDDEN), np.float32)
-    inputs = v.as_input[laid.x]
-    for at in range(0, len(laid.x), WINDOW):
-        active = int((laid.lengths > at).sum())
-        stop = min(at + WINDOW, len(laid.x))
-        states = np.empty((stop - at, active, HIDDEN), np.float32)
-        h = h[:active]
-        for t in range(at, stop):
-            begins = laid.first[t, :active]
+    order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
+    sums = np.zeros(len(texts))
+    laid = Lanes((texts[i] for i in order), lanes, v.rank[END.encode()], WINDOW)
+    h = np.zeros((len(laid.kept), HIDDEN), np.float32)
+    while len(laid.x):
+        h = h[laid.kept]
+        inputs = v.as_input[laid.x]
+        states = np.empty((*laid.x.shape, HIDDEN), np.float32)
+        for t, begins in enumerate(laid.first):
             if begins.any():
                 h[begins] = 0
-            h = _step(w, h, inputs[t, :active])[0]
-            states[t - at] = h
-        targets = laid.y[at:stop, :active].reshape(-1)
-        real = targets >= 0
-        shares = log10_shares(w, v, states.reshape(-1, HIDDEN)[real], targets[real])
-        total += np.bincount(laid.owner[at:stop, :active].reshape(-1)[real], shares, len(texts))
+            h = _step(w, h, inputs[t])[0]
+            states[t] = h
+        real = laid.y.reshape(-1) >= 0
+        shares = log10_shares(w, v, states.reshape(-1, HIDDEN)[real], laid.y.reshape(-1)[real])
+        np.add.at(sums, laid.owner.reshape(-1)[real], shares)
+        laid.advance()
+    total = np.zeros(len(texts))
+    total[order] = sums
     return total
 
 
@@ -270,18 +285,19 @@ def train(w: Weights, v: Vocabulary, texts: list[np.ndarray]) -> Weights:
         return w
     w = {name: value.copy() for name, value in w.items()}
     moments = {name: (np.zeros_like(value), np.zeros_like(value)) for name, value in w.items()}
-    laid = Lanes(texts, TRAIN_LANES, v.rank[END.encode()])
-    h = np.zeros((laid.x.shape[1], HIDDEN), np.float32)
-    inputs = v.as_input[laid.x]
-    for step, at in enumerate(range(0, len(laid.x), TRAIN_WINDOW), 1):
-        stop = min(at + TRAIN_WINDOW, len(laid.x))
-        slopes, h = _window(w, v, h, inputs[at:stop], laid.y[at:stop], laid.first[at:stop])
+    laid = Lanes(texts, TRAIN_LANES, v.rank[END.encode()], TRAIN_WINDOW)
+    h = np.zeros((len(laid.kept), HIDDEN), np.float32)
+    step = 0
+    while len(laid.x):
+        step += 1
+        slopes, h = _window(w, v, h[laid.kept], v.as_input[laid.x], laid.y, laid.first)
         for name, slope in slopes.items():
             first, second = moments[name]
             first += 0.1 * (slope - first)
             second += 0.01 * (slope**2 - second)
             size = np.sqrt(second / (1 - 0.99**step)) + 1e-6
             w[name] -= RATE * (first / (1 - 0.9**step)) / size
+        laid.advance()
     return w
 
 
@@ -383,6 +399,17 @@ _ROWS = (
 )
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``PART_BYTES`` of text; a longer text is a slice of its own."""
+    ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + PART_BYTES, "right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def _first_pass(documents: DataFrame, v: Vocabulary, weights: Weights) -> DataFrame:
     """All but the shares of the tokens that are not broadcast; those are listed."""
     spark = documents.sparkSession
@@ -395,8 +422,8 @@ def _first_pass(documents: DataFrame, v: Vocabulary, weights: Weights) -> DataFr
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, w = model.value
         row_id = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            columns = batch.to_pydict()
+        for part in (part for batch in batches for part in _parts(batch)):
+            columns = part.to_pydict()
             ids, rest = [], []
             for text in columns["text"]:
                 tokens = words(text)

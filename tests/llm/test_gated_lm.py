@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -128,3 +129,23 @@ def test_model_beats_the_base_on_held_out_texts(spark):
 
 def test_empty_table(documents):
     assert lm.score_documents(documents([])).count() == 0
+
+
+def test_memory_of_lanes_follows_tokens_not_the_longest_text():
+    v, random = small_vocabulary(), np.random.default_rng(5)
+    w = lm.initial(v)
+    texts = [random.integers(0, v.others + 1, n).astype(np.int32) for n in (*[3] * 383, 20_000)]
+    tracemalloc.start()
+    found = lm.score(w, v, texts)
+    lm.train(w, v, texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20  # all steps of all lanes are 130 MB
+    assert np.allclose(found[[0, 383]], lm.score(w, v, [texts[0], texts[383]], 1), rtol=1e-4)
+
+
+def test_parts_are_cut_by_bytes(monkeypatch):
+    monkeypatch.setattr(lm, "PART_BYTES", 10)
+    texts = ["", "a" * 4, "b" * 6, "c" * 30, "d", "", "e" * 10]
+    parts = [part.to_pydict()["text"] for part in lm._parts(lm.pa.RecordBatch.from_pydict({"text": texts}))]
+    assert parts == [["", "a" * 4, "b" * 6], ["c" * 30], ["d", ""], ["e" * 10]]
