@@ -4,8 +4,8 @@ Tokens are words (ASCII capitals as small letters) and one end per text. Token c
 frequent tokens have output weights of their own, in classes of equal size; further ones share a class with tokens of similar
 rank, and within it the probability (count + 1) / sum. The output softmax is factored accordingly: class, then token.
 
-* Training: truncated backpropagation through time in numpy, by several tasks side by side on a bounded sample of whole
-  documents; after each round their weights are averaged.
+* Training: truncated backpropagation through time in numpy over all whole texts of the training fold, by one task per partition;
+  after each round their weights are averaged by tokens.
 * Scoring: texts are laid end to end in lanes, a window at a time; one matrix product per step moves all lanes on, and the state
   is carried from window to window until a text ends. So every text is scored whole, whatever its length.
 * The counts of rare tokens, whose number grows with the corpus, are joined, not broadcast.
@@ -21,7 +21,6 @@ from dataclasses import dataclass
 from itertools import islice
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -30,22 +29,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from racestream.llm.tables import doc_texts, map_rows, ship
-from racestream.session import written
+from racestream.session import new_folder, written
 
 #: The end of a text, as a token. No word holds white space.
 END = "\n"
 #: Tokens whose counts are broadcast, by falling count; at most about 10 MB. Those of all others are joined.
 FREQUENT = 200_000
-#: Tokens with output weights of their own, and how many make a class.
-LEARNED, CLASS_SIZE = 1024, 32
+#: Tokens with output weights of their own cover this part of the training fold, and are so many at least; how many make a class.
+COVERAGE, LEAST_LEARNED, CLASS_SIZE = 0.6, 1024, 32
 #: Further classes take twice as many ranks each, up to the frequent ones; the last class holds all others.
 HIDDEN = 24
 
-#: About so many documents, up to twice as many, train the weights, in so many tasks and rounds.
-SAMPLE_DOCS = 1_000
-TASKS, ROUNDS = 4, 3
-TRAIN_LANES, TRAIN_WINDOW = 64, 32
-RATE = 0.01
+#: The parts of the training fold that the rounds of a pass take, in 32nds: the weights of the tasks are averaged after each.
+ROUNDS = [1, 1, 2, 4, 8, 8, 8]
+#: A training fold of fewer tokens is passed over several times, up to so many, each time as one round.
+PASS_TOKENS, MOST_PASSES = 4_000_000, 4
+TRAIN_LANES, TRAIN_WINDOW = 256, 32
+#: Step size, and the tokens behind one step; a last step of fewer is shorter.
+RATE, STEP_TOKENS = 0.01, 4096
 
 LANES, WINDOW = 384, 128
 #: Bytes of text, and one text more, whose tokens a worker holds at a time.
@@ -95,18 +96,23 @@ class Vocabulary:
         self.rank = {token: i for i, token in enumerate(self.tokens)}
         self.others = len(self.tokens)  # the rank of all further tokens
         ranks = np.arange(self.others + 1)
-        classes = ranks // CLASS_SIZE
-        beyond = np.maximum(ranks // LEARNED, 1)
-        self.learned_classes = LEARNED // CLASS_SIZE
-        classes = np.where(ranks < LEARNED, classes, self.learned_classes + np.log2(beyond).astype(int))
-        last = self.learned_classes + max(1, int(math.log2(max(FREQUENT // LEARNED, 1))) + 1)
+        covering = int(np.searchsorted(np.cumsum(self.counts), COVERAGE * self.total)) + 1
+        #: Tokens with weights of their own, a whole number of classes.
+        self.learned = max(LEAST_LEARNED, -(-min(covering, self.others) // CLASS_SIZE) * CLASS_SIZE)
+        beyond = np.maximum(ranks // self.learned, 1)
+        self.learned_classes = self.learned // CLASS_SIZE
+        classes = np.where(ranks < self.learned, ranks // CLASS_SIZE, self.learned_classes + np.log2(beyond).astype(int))
+        last = self.learned_classes + max(1, int(math.log2(max(FREQUENT // self.learned, 1))) + 1)
         classes[-1] = last
         self.token_class = classes.astype(np.int32)
         self.n_classes = last + 1
         #: What a token is as input: itself, or its class.
-        self.as_input = np.where(ranks < LEARNED, ranks, LEARNED + classes - self.learned_classes).astype(np.int32)
-        self.as_input[-1] = LEARNED + last - self.learned_classes
-        self.n_inputs = LEARNED + self.n_classes - self.learned_classes
+        self.as_input = np.where(ranks < self.learned, ranks, self.learned + classes - self.learned_classes).astype(np.int32)
+        self.as_input[-1] = self.learned + last - self.learned_classes
+        self.n_inputs = self.learned + self.n_classes - self.learned_classes
+        #: A token of each input; training needs no more of a token than its input.
+        self.of_input = np.zeros(self.n_inputs, np.int32)
+        self.of_input[self.as_input[::-1]] = ranks[::-1]
         smoothed = self.counts + 1.0
         sums = np.bincount(classes[:-1], smoothed, self.n_classes)
         # One more in the last class, for tokens never seen.
@@ -115,7 +121,7 @@ class Vocabulary:
         with np.errstate(divide="ignore", invalid="ignore"):
             inside = np.log10(smoothed / sums[classes[:-1]])
         #: log10 of a token's share of its class; zero for those whose share the model gives, or the join.
-        self.inside = np.where(ranks[:-1] < LEARNED, 0.0, inside)
+        self.inside = np.where(ranks[:-1] < self.learned, 0.0, inside)
         self.inside = np.append(self.inside, 0.0)
         self.base = np.append(np.log10(smoothed), 0.0)
         self.known = np.append(self.counts > 0, False)
@@ -160,8 +166,8 @@ def initial(v: Vocabulary) -> Weights:
     smoothed = v.counts + 1.0
     mass = np.bincount(v.token_class[:-1], smoothed, v.n_classes)
     mass[-1] = v.rest_sum
-    inside = np.full(LEARNED, -30.0, np.float32)
-    learned = min(LEARNED, v.others)
+    inside = np.full(v.learned, -30.0, np.float32)
+    learned = min(v.learned, v.others)
     inside[:learned] = np.log(smoothed[:learned])
     return {
         "x": small(v.n_inputs, 3 * HIDDEN),
@@ -169,7 +175,7 @@ def initial(v: Vocabulary) -> Weights:
         "b": np.zeros(3 * HIDDEN, np.float32),
         "c": small(HIDDEN, v.n_classes),
         "cb": np.log(np.maximum(mass, 1e-3) / max(mass.sum(), 1.0)).astype(np.float32),
-        "w": small(LEARNED, HIDDEN),
+        "w": small(v.learned, HIDDEN),
         "wb": inside,
     }
 
@@ -279,26 +285,37 @@ def score(w: Weights, v: Vocabulary, texts: list[np.ndarray], lanes: int = LANES
     return total
 
 
-def train(w: Weights, v: Vocabulary, texts: list[np.ndarray]) -> Weights:
-    """One pass over the texts: truncated backpropagation in windows whose state is carried on, with adaptive steps."""
-    if not texts:
-        return w
+def train(w: Weights, v: Vocabulary, texts: Iterable[np.ndarray]) -> tuple[Weights, int]:
+    """One pass over the texts: truncated backpropagation in windows whose state is carried on, with adaptive steps.
+
+    A step takes the windows of ``STEP_TOKENS`` tokens or more, so that a few long texts left over do not steer many steps.
+    Returns the weights and the tokens learned from.
+    """
     w = {name: value.copy() for name, value in w.items()}
     moments = {name: (np.zeros_like(value), np.zeros_like(value)) for name, value in w.items()}
     laid = Lanes(texts, TRAIN_LANES, v.rank[END.encode()], TRAIN_WINDOW)
     h = np.zeros((len(laid.kept), HIDDEN), np.float32)
-    step = 0
+    step = tokens = held = 0
+    sums: Weights = {}
     while len(laid.x):
-        step += 1
+        n = int((laid.y >= 0).sum())
         slopes, h = _window(w, v, h[laid.kept], v.as_input[laid.x], laid.y, laid.first)
-        for name, slope in slopes.items():
+        sums = {name: slope * np.float32(n) + (sums[name] if held else 0) for name, slope in slopes.items()}
+        tokens, held = tokens + n, held + n
+        more = laid.advance()
+        if held < STEP_TOKENS and more:
+            continue
+        step += 1
+        rate = RATE * min(1.0, held / STEP_TOKENS)
+        for name, total in sums.items():
+            slope = total / np.float32(held)
             first, second = moments[name]
-            first += 0.1 * (slope - first)
-            second += 0.01 * (slope**2 - second)
-            size = np.sqrt(second / (1 - 0.99**step)) + 1e-6
-            w[name] -= RATE * (first / (1 - 0.9**step)) / size
-        laid.advance()
-    return w
+            first += np.float32(0.1) * (slope - first)
+            second += np.float32(0.01) * (slope * slope - second)
+            size = np.sqrt(second / np.float32(1 - 0.99**step)) + np.float32(1e-6)
+            w[name] -= np.float32(rate / (1 - 0.9**step)) * first / size
+        held = 0
+    return w, tokens
 
 
 def _window(
@@ -326,8 +343,10 @@ def _window(
     slopes["c"] += used.T @ error
     slopes["cb"] += error.sum(0)
     d_used = error @ w["c"].T
-    for k in np.unique(classes[classes < v.learned_classes]):
-        chosen = np.flatnonzero(classes == k)
+    order = np.argsort(classes, kind="stable")
+    ends = np.searchsorted(classes[order], np.arange(v.learned_classes + 1))
+    for k in np.flatnonzero(np.diff(ends)):
+        chosen = order[ends[k] : ends[k + 1]]
         of = slice(k * CLASS_SIZE, (k + 1) * CLASS_SIZE)
         error = np.exp(_log_softmax(used[chosen] @ w["w"][of].T + w["wb"][of]))
         error[np.arange(len(chosen)), target[chosen] - k * CLASS_SIZE] -= 1
@@ -350,7 +369,10 @@ def _window(
         through = np.concatenate([d_z, d_r, d_n * r], 1)
         slopes["u"] += before.T @ through
         d_h = (d_h * z + through @ w["u"].T) * ~first[t][:, None]
-    np.add.at(slopes["x"], x.reshape(-1), d_gates.reshape(-1, 3 * HIDDEN))
+    order = np.argsort(x.reshape(-1), kind="stable")
+    inputs = x.reshape(-1)[order]
+    starts = np.flatnonzero(np.append(True, inputs[1:] != inputs[:-1]))
+    slopes["x"][inputs[starts]] = np.add.reduceat(d_gates.reshape(-1, 3 * HIDDEN)[order], starts, axis=0)
     slopes["b"] += d_gates.sum((0, 1))
     norm = math.sqrt(sum(float((s**2).sum()) for s in slopes.values()))
     if norm > 1:
@@ -358,36 +380,72 @@ def _window(
     return slopes, h
 
 
-def fit(documents: DataFrame, v: Vocabulary) -> Weights:
-    """Weights from the sample: each round, every task passes over its share of it, and the results are averaged."""
+def _rounds(v: Vocabulary) -> list[tuple[int, int]]:
+    """What each round takes of the 32 parts of the training fold, as the first and the last; every pass takes all."""
+    if v.total < PASS_TOKENS:
+        return [(0, 31)] * min(MOST_PASSES, -(-PASS_TOKENS // max(v.total, 1)))
+    ends = np.cumsum(ROUNDS)
+    return [(int(end - n), int(end) - 1) for end, n in zip(ends, ROUNDS)]
+
+
+def _numbered(documents: DataFrame, v: Vocabulary) -> DataFrame:
+    """``(ids, part)`` of every text of the training fold, written by part; ids as inputs, in as few bytes as hold them."""
     spark = documents.sparkSession
-    texts = doc_texts(documents).where(_fold("doc_id") != 2)
-    share = max(1, texts.count() // SAMPLE_DOCS)
+    ship(spark)
     known = spark.sparkContext.broadcast(v)
+    kind = np.min_scalar_type(v.n_inputs)
+    schema = "ids binary, part int"
+    target = pa.schema([("ids", pa.binary()), ("part", pa.int32())])
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = known.value
+        for part in (part for batch in batches for part in _parts(batch)):
+            ids = [v.as_input[v.ids(words(text))].astype(kind).tobytes() for text in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), part.column("part")], schema=target)
+
+    first_of = [first for first, _ in sorted(set(_rounds(v)))]
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(32))
+    part = sum(((drawn >= first).cast("int") for first in first_of[1:]), F.lit(0))
+    texts = doc_texts(documents).where(_fold("doc_id") != 2).select("text", part.cast("int").alias("part"))
+    folder = new_folder(spark, "lm-train")
+    texts.mapInArrow(number, schema).write.partitionBy("part").parquet(folder)
+    return spark.read.schema(schema).parquet(folder)
+
 
-    def number(columns: dict[str, list]) -> dict[str, list]:
-        return {"task": columns["task"], "doc_id": columns["doc_id"], "ids": [known.value.ids(words(t)) for t in columns["text"]]}
+def fit(documents: DataFrame, v: Vocabulary) -> Weights:
+    """Weights from all texts of the training fold: in a round every partition passes over its texts, and the results are averaged.
 
-    sample = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0)
-    sample = sample.withColumn("task", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(TASKS)))
-    numbered = written(map_rows(sample, number, "task long, doc_id long, ids array<int>"), "lm-sample")
+    A round takes whole texts, chosen by the hash of their ids; the rounds of a pass together take every text once. The weights
+    come back one task's at a time.
+    """
     weights = initial(v)
-    for _ in range(ROUNDS):
+    if not v.total:
+        return weights
+    spark = documents.sparkSession
+    numbered = _numbered(documents, v)
+    kind = np.min_scalar_type(v.n_inputs)
+    known = spark.sparkContext.broadcast(v)
+    rounds = _rounds(v)
+    parts = sorted(set(rounds))
+    for taken in rounds:
         current = spark.sparkContext.broadcast(weights)
 
-        def one_task(rows: pd.DataFrame) -> pd.DataFrame:
-            rows = rows.sort_values("doc_id", kind="stable")
-            mine = [np.asarray(ids, np.int32) for ids in rows["ids"]]
-            trained = train(current.value, known.value, mine)
-            return pd.DataFrame({"tokens": [sum(map(len, mine)) + len(mine)], "weights": [pickle.dumps(trained)]})
-
-        results = numbered.groupBy("task").applyInPandas(one_task, "tokens long, weights binary").collect()
-        parts = [(row["tokens"], pickle.loads(row["weights"])) for row in results]
-        whole = sum(n for n, _ in parts)
+        def one_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            v = known.value
+            ids = (np.frombuffer(raw.as_buffer(), kind) for batch in batches for raw in batch.column("ids"))
+            trained, tokens = train(current.value, v, (v.of_input[own] for own in ids))
+            if tokens:
+                yield pa.RecordBatch.from_pydict({"tokens": [tokens], "weights": [pickle.dumps(trained)]})
+
+        of_round = numbered.where(F.col("part") == parts.index(taken)).select("ids")
+        results = written(of_round.mapInArrow(one_task, "tokens long, weights binary"), "lm-weights")
+        whole, sums = 0, {name: np.zeros(value.shape) for name, value in weights.items()}
+        for row in results.toLocalIterator():
+            whole += row["tokens"]
+            for name, value in pickle.loads(row["weights"]).items():
+                sums[name] += value * float(row["tokens"])
         if whole:
-            weights = {
-                name: sum(part[name] * np.float32(n / whole) for n, part in parts).astype(np.float32) for name in weights
-            }
+            weights = {name: (value / whole).astype(np.float32) for name, value in sums.items()}
     return weights
 
 

@@ -1,6 +1,7 @@
 import math
 import tracemalloc
 from collections import Counter
+from zlib import crc32
 
 import numpy as np
 import pytest
@@ -149,3 +150,37 @@ def test_parts_are_cut_by_bytes(monkeypatch):
     texts = ["", "a" * 4, "b" * 6, "c" * 30, "d", "", "e" * 10]
     parts = [part.to_pydict()["text"] for part in lm._parts(lm.pa.RecordBatch.from_pydict({"text": texts}))]
     assert parts == [["", "a" * 4, "b" * 6], ["c" * 30], ["d", ""], ["e" * 10]]
+
+
+def test_all_texts_of_the_fold_are_learned_from(spark, documents, monkeypatch):
+    rows = [(i, prose(3 + i % 9, i)) for i in range(6_000)]
+    docs = documents([*rows, (None, "no id")], **CLASHING).repartition(3)
+    learned = [(str(i), t) for i, t in rows if crc32(str(i).encode()) % 7 != 2]
+    expected = sum(len(t.split()) + 1 for _, t in learned)
+    v = lm.vocabulary(lm.token_counts(docs))
+    assert v.total == expected
+    for pass_tokens in (1, 1 << 40):
+        monkeypatch.setattr(lm, "PASS_TOKENS", pass_tokens)
+        taken = lm._rounds(v)
+        numbered = lm._numbered(docs, v).collect()
+        kind = np.min_scalar_type(v.n_inputs)
+        found = sorted(np.frombuffer(r["ids"], kind).tolist() for r in numbered)
+        assert found == sorted(v.as_input[v.ids(lm.words(t))].tolist() for _, t in learned)
+        assert {r["part"] for r in numbered} == set(range(len(set(taken))))
+    monkeypatch.setattr(lm, "PASS_TOKENS", 1)
+    seen = []
+    monkeypatch.setattr(lm, "written", lambda df, purpose: seen.append(df.collect()) or spark.createDataFrame(seen[-1], df.schema))
+    lm.fit(docs, v)
+    assert len(seen) == len(lm.ROUNDS)
+    assert sum(r["tokens"] for rows in seen for r in rows) == expected
+    assert max(len(rows) for rows in seen) > 1
+
+
+def test_learned_tokens_follow_the_coverage():
+    for n in (500, 4_000, 40_000):
+        counts = np.full(n, 9, np.int64)
+        v = lm.Vocabulary([b"\n", *(f"w{i}".encode() for i in range(n - 1))], counts, int(counts.sum()), n)
+        assert v.learned % lm.CLASS_SIZE == 0
+        assert v.learned >= max(lm.LEAST_LEARNED, lm.COVERAGE * n)
+        assert len(lm.initial(v)["w"]) == v.learned
+        assert (v.as_input[v.of_input[v.as_input]] == v.as_input).all()
