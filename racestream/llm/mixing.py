@@ -3,19 +3,24 @@
 Documents fall into cells by source, language and topic. Each cell's tokens get a weight, the product of one factor per margin, such
 that the weighted tokens of every source, every language and every topic reach their target shares; the factors are fitted margin by
 margin, in turns, until all margins hold. A cell's weighted tokens over its tokens, times the budget, are the expected copies of
-each of its documents, which are drawn by a hash of the document.
+each of its documents, which are drawn by a hash of the document. Where a document is kept at most once, expected copies are bounded by one
+while the factors are fitted, so that the other cells make up for those at the bound.
 
 DataFrame operations only. The table of cells and the factors are written tables, as every turn reads them again.
 """
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from racestream.llm.tables import fresh, n_words
 from racestream.session import written
 
+log = logging.getLogger(__name__)
+
 MARGINS = ["source", "lang", "topic"]
 
 #: A target share is the share of tokens to this power, made to sum to one, unless targets are given.
@@ -61,20 +66,38 @@ def tempered(cells: DataFrame, margin: str, temper: float = TEMPER) -> DataFrame
     return sums.withColumn("share", F.col("share") / F.lit(whole))
 
 
-def _weighted(cells: DataFrame, factors: dict[str, DataFrame]) -> DataFrame:
-    """The cells with their tokens weighted by the factors of all margins that have some."""
+def _weighted(cells: DataFrame, factors: dict[str, DataFrame], most: float | None = None) -> DataFrame:
+    """The cells with their tokens weighted by the factors of all margins that have some, by ``most`` at most."""
     out = cells.withColumn("weighted", F.col("tokens").cast("double"))
     for margin, factor in factors.items():
         named = factor.select(F.col("value").alias(margin), "factor")
         out = out.join(named, margin).withColumn("weighted", F.col("weighted") * F.col("factor")).drop("factor")
+    if most is not None:
+        out = out.withColumn("weighted", F.least(F.col("weighted"), F.col("tokens") * F.lit(most)))
     return out
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
+def _within(goals: DataFrame, total: float) -> DataFrame:
+    """Goals no larger than what their values ``hold``; the others grow alike, so that the sum stays, as far as there is enough."""
+    scale = 1.0
+    while True:
+        scaled = F.col("goal") * F.lit(scale)
+        free = F.col("hold") > scaled
+        row = goals.agg(F.sum(F.when(free, scaled)).alias("free"), F.sum(F.when(~free, F.col("hold"))).alias("held")).first()
+        rest = total - (row["held"] or 0.0)
+        if not row["free"] or rest <= row["free"] * (1 + 1e-9):
+            return goals.withColumn("goal", F.least(scaled, F.col("hold")))
+        scale *= rest / row["free"]
+
+
+def rake(cells: DataFrame, targets: dict[str, DataFrame], most: float | None = None) -> DataFrame:
     """Adds ``weighted`` to a written table of cells with ``tokens``: weighted tokens that meet the target shares of each margin.
 
     A value without a target has share zero. Shares count among those values that occur. If targets contradict each other, given
     which cells are empty, the last margin is met and the others are approached.
+
+    No cell's weight is above ``most``, if given; the other cells make up for it. A target beyond what its value then holds is
+    lowered to that, and the others of its margin are raised.
     """
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
     wanted = {}
@@ -82,36 +105,41 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
         present = cells.select(F.col(margin).alias("value")).distinct().join(target, "value", "left")
         present = written(present.withColumn("share", F.coalesce("share", F.lit(0.0))), "mixing-targets")
         whole = present.agg(F.sum("share")).first()[0] or 1.0
-        wanted[margin] = present.select("value", (F.col("share") * F.lit(total / whole)).alias("goal"))
+        goals = present.select("value", (F.col("share") * F.lit(total / whole)).alias("goal"))
+        if most is not None:
+            hold = cells.groupBy(F.col(margin).alias("value")).agg((F.sum("tokens") * F.lit(most)).alias("hold"))
+            goals = _within(written(goals.join(hold, "value"), "mixing-goals"), total).select("value", "goal")
+        wanted[margin] = goals
     factors: dict[str, DataFrame] = {}
     for _ in range(MOST_ROUNDS):
         worst = 0.0
         for margin, goals in wanted.items():
-            others = {name: factor for name, factor in factors.items() if name != margin}
-            sums = _weighted(cells, others).groupBy(F.col(margin).alias("value")).agg(F.sum("weighted").alias("sum"))
-            ratio = F.when(F.col("sum") > 0, F.col("goal") / F.col("sum")).otherwise(0.0)
-            fitted = sums.join(goals, "value").select("value", ratio.alias("factor"))
-            if margin in factors:
-                old = factors[margin].withColumnRenamed("factor", "old")
-                fitted = fitted.join(old, "value")
-                off = F.when(F.col("old") > 0, F.abs(F.col("factor") / F.col("old") - 1)).otherwise(0.0)
-                fitted = written(fitted.withColumn("off", off), "mixing-factors")
-                worst = max(worst, fitted.agg(F.max("off")).first()[0] or 0.0)
+            sums = _weighted(cells, factors, most).groupBy(F.col(margin).alias("value")).agg(F.sum("weighted").alias("sum"))
+            fitted = sums.join(goals, "value")
+            first = margin not in factors
+            if first:
+                fitted = fitted.withColumn("old", F.lit(1.0))
             else:
-                fitted = written(fitted, "mixing-factors")
-                worst = float("inf")
+                fitted = fitted.join(factors[margin].withColumnRenamed("factor", "old"), "value")
+            ratio = F.when(F.col("sum") > 0, F.col("goal") / F.col("sum")).otherwise(0.0)
+            off = F.when(F.col("old") > 0, F.abs(ratio - 1)).otherwise(0.0)
+            fitted = written(fitted.select("value", (F.col("old") * ratio).alias("factor"), off.alias("off")), "mixing-factors")
+            worst = float("inf") if first else max(worst, fitted.agg(F.max("off")).first()[0] or 0.0)
             factors[margin] = fitted.select("value", "factor")
         if worst <= TOLERANCE:
             break
-    return _weighted(cells, factors)
+    else:
+        log.warning("a margin was still off by %.2g of its target after %d rounds", worst, MOST_ROUNDS)
+    return _weighted(cells, factors, most)
 
 
-def rates(rows: DataFrame, targets: dict[str, DataFrame] | None, budget: float) -> DataFrame:
-    """Expected copies of a document by cell, from rows of margins and tokens."""
+def rates(rows: DataFrame, targets: dict[str, DataFrame] | None, budget: float, once: bool = False) -> DataFrame:
+    """Expected copies of a document by cell, from rows of margins and tokens; with ``once``, one at most."""
     cells = written(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")), "mixing-cells")
     targets = targets or {margin: tempered(cells, margin) for margin in MARGINS}
     expected = F.lit(budget) * F.col("weighted") / F.col("tokens")
-    return written(rake(cells, targets).select(*MARGINS, expected.alias("expected")), "mixing-rates")
+    expected = F.when(F.lit(once) & (expected > 1 - 1e-9), 1.0).otherwise(expected)
+    return written(rake(cells, targets, 1 / budget if once else None).select(*MARGINS, expected.alias("expected")), "mixing-rates")
 
 
 def _drawn(expected: Column, u: Column) -> Column:
@@ -136,13 +164,13 @@ def sample(documents: DataFrame, targets: dict[str, DataFrame] | None = None, bu
 
 
 def thin(documents: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float = BUDGET) -> DataFrame:
-    """The documents that are drawn at least once, each once, with all their columns. Cases are as in ``sample``.
+    """Documents drawn to the target shares, each at most once, with all their columns. Cases are as in ``sample``.
 
     The features are computed twice, as that is cheaper than to write the texts.
     """
     mix, rate = fresh(documents, "mix"), fresh(documents, "expected_copies")
     featured = documents.withColumn(mix, _features())
-    by_cell = rates(featured.select(f"{mix}.*"), targets, budget)
+    by_cell = rates(featured.select(f"{mix}.*"), targets, budget, once=True)
     by_cell = by_cell.select(F.struct(*MARGINS).alias("cell"), F.col("expected").alias(rate))
     cell = F.struct(*[F.col(f"{mix}.{margin}") for margin in MARGINS])
     drawn = featured.join(by_cell, cell == F.col("cell")).where(_drawn(F.col(rate), F.col(f"{mix}.u")) > 0)

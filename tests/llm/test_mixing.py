@@ -82,3 +82,32 @@ def test_no_python_in_the_plan(documents):
     for frame in (mixing.sample(docs), mixing.thin(docs)):
         plan = frame._jdf.queryExecution().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_thinning_spends_the_budget_and_meets_what_can_be_met(spark):
+    """Cells that would need more than one copy are kept whole, and the others make up for them."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rows = docs.select(mixing._features().alias("m")).select("m.*")
+    cells = [(tuple(r[m] for m in mixing.MARGINS), r["n"]) for r in rows.groupBy(*mixing.MARGINS).agg(F.sum("n_tokens").alias("n")).collect()]
+    total = sum(n for _, n in cells)
+    rate = {tuple(r[m] for m in mixing.MARGINS): r["expected"] for r in mixing.rates(rows, None, mixing.BUDGET, once=True).collect()}
+    assert max(rate.values()) <= 1 and sum(e == 1 for e in rate.values()) > 0
+    assert sum(n * rate[c] for c, n in cells) == pytest.approx(total * mixing.BUDGET, rel=0.005)
+    residuals = {}
+    for k, margin in enumerate(mixing.MARGINS):
+        held, got = defaultdict(int), defaultdict(float)
+        for c, n in cells:
+            held[c[k]] += n
+            got[c[k]] += n * rate[c]
+        whole = sum(n**mixing.TEMPER for n in held.values())
+        goal = {x: total * mixing.BUDGET * n**mixing.TEMPER / whole for x, n in held.items()}
+        scale = 1.0
+        for _ in range(100):
+            kept = sum(held[x] for x in goal if scale * goal[x] >= held[x])
+            scale = (total * mixing.BUDGET - kept) / sum(goal[x] for x in goal if scale * goal[x] < held[x])
+        residuals[margin] = max(abs(got[x] / min(held[x], scale * goal[x]) - 1) for x in goal)
+        print(margin, "residual", residuals[margin], "least share of the plain target", min(got[x] / goal[x] for x in goal))
+    assert max(residuals.values()) < 0.01
+    words = mixing.thin(docs).select(F.sum(F.greatest(mixing.n_words(F.col("text")), F.lit(1)))).first()[0]
+    print("tokens drawn, of the budget", words / (total * mixing.BUDGET))
+    assert words == pytest.approx(total * mixing.BUDGET, rel=0.05)
