@@ -46,7 +46,7 @@ def op6_cross_polytope(spark: SparkSession, folder: str) -> DataFrame:
 def op7_lookup_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """The shard of every document, among 256."""
     shards = [f"shard-{i:05d}" for i in range(256)]
-    return sharding.place(read(spark, folder, "documents").select("doc_id"), "doc_id", shards)
+    return sharding.place(read(spark, folder, "documents"), "doc_id", shards).select("doc_id", "slot", "shard")
 
 
 def op8_ppm_language(spark: SparkSession, folder: str) -> DataFrame:

@@ -3,7 +3,7 @@ from collections import Counter
 import pytest
 
 from conftest_llm import CLASHING, HARD
-from racestream.llm import sharding
+from racestream.llm import queries, sharding
 
 NAMES = [f"s{i}" for i in range(10)]
 
@@ -67,3 +67,11 @@ def test_written_shards(spark, documents, tmp_path):
 def test_no_python_in_the_plan(documents):
     plan = sharding.place(documents([(1, "a")]), "doc_id", NAMES)._jdf.queryExecution().toString()
     assert "BroadcastHashJoin" in plan and "Python" not in plan and "Arrow" not in plan
+
+
+def test_rows_without_id_of_the_registered_query_do_not_share_a_slot(spark, documents, tmp_path):
+    documents([*[(None, f"text {i}") for i in range(200)], (7, "a"), (7, "b")]).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = queries.op7_lookup_sharding(spark, str(tmp_path)).collect()
+    assert len(rows) == 202 and rows[0].asDict().keys() == {"doc_id", "slot", "shard"}
+    assert len({r["shard"] for r in rows if r["doc_id"] is None}) > 50
+    assert len({r["slot"] for r in rows if r["doc_id"] == 7}) == 1
