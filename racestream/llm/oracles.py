@@ -1,6 +1,7 @@
 """DuckDB SQL for those queries that SQL can express over whole tables."""
 
 from racestream.llm.chat import ASSISTANT, BUDGET, CLOSE, END, HISTORY, OPEN, REFERENCES, SYSTEM
+from racestream.llm.fill_in_middle import CUT, MARKS, MIDDLE, PREFIX, SUFFIX, SUFFIX_FIRST
 from racestream.llm.host_quality import HOST_LIMIT, HOST_RULES, RULES, STRONGEST, WEAKEST
 
 
@@ -102,9 +103,30 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(targets) AS
   CAST(n AS BIGINT) AS formatted_chars FROM texts JOIN total USING (conv_id)"""
 
 
+def _fill_in_middle() -> str:
+    number = lambda i: f"CAST('0x' || substr(h, {8 * i + 1}, 8) AS BIGINT) AS h{i + 1}"
+    marked = " OR ".join(f"contains(t, '{mark}')" for mark in MARKS)
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+k AS (SELECT *, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS tokens, {", ".join(map(number, range(4)))} FROM d),
+c AS (SELECT *, len(tokens) AS n, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+        CASE WHEN t = '' OR {marked} OR h3 % 100 >= {CUT} THEN 'plain' WHEN h4 % 100 < {SUFFIX_FIRST} THEN 'spm' ELSE 'psm' END AS form
+      FROM k),
+p AS (SELECT *, array_to_string(tokens[1:low], '') AS pre, array_to_string(tokens[low + 1:high], '') AS mid,
+        array_to_string(tokens[high + 1:], '') AS suf FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '{PREFIX}' || pre || '{SUFFIX}' || suf || '{MIDDLE}' || mid
+    ELSE '{SUFFIX}' || suf || '{PREFIX}' || pre || '{MIDDLE}' || mid END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p"""
+
+
 ORACLES: dict[str, str] = {
     "op2_host_quality": _host_quality(),
     "op3_tensored_minhash": _near_documents(3, 85),
     "op5_chat_windows": _chat(),
     "op6_cross_polytope": _NEAR_VECTORS,
+    "op12_learned_rank_fim": _fill_in_middle(),
 }

@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from racestream.llm import chat, gated_lm, host_quality, language, minhash, mixing, packing, personal_data, polytope, sharding
+from racestream.llm import (
+    chat,
+    fill_in_middle,
+    gated_lm,
+    host_quality,
+    language,
+    minhash,
+    mixing,
+    packing,
+    periodic_runs,
+    personal_data,
+    polytope,
+    secret_scan,
+    sharding,
+)
 from racestream.llm.tables import read
 
 
@@ -64,6 +78,21 @@ def op10_nnls_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_crf_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in every document."""
+    return secret_scan.find(read(spark, folder, "documents"))
+
+
+def op12_learned_rank_fim(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document arranged for filling in its middle, and restored."""
+    return fill_in_middle.digests(fill_in_middle.transform(read(spark, folder, "documents")))
+
+
+def op13_block_convolution_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The periodic runs of every document; a tenth of them is made to repeat a part of its words."""
+    return periodic_runs.digests(periodic_runs.find(periodic_runs.repeated(read(spark, folder, "documents"))))
+
+
 QUERIES = {
     "op1_crf_personal_data": op1_crf_personal_data,
     "op2_host_quality": op2_host_quality,
@@ -75,4 +104,7 @@ QUERIES = {
     "op8_ppm_language": op8_ppm_language,
     "op9_gated_lm": op9_gated_lm,
     "op10_nnls_packing": op10_nnls_packing,
+    "op11_crf_secrets": op11_crf_secrets,
+    "op12_learned_rank_fim": op12_learned_rank_fim,
+    "op13_block_convolution_runs": op13_block_convolution_runs,
 }

@@ -65,7 +65,7 @@ def map_rows(
 ) -> DataFrame:
     """Applies a function from columns to columns (as lists) to every ``rows`` rows, or with None to whole batches."""
     ship(df.sparkSession)
-    names = [field.split()[0] for field in schema.split(",")]
+    names = StructType.fromDDL(schema).names
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:

@@ -4,7 +4,7 @@ from conftest_llm import CLASHING, HARD, prose
 from racestream.llm import host_quality
 from test_minhash import brute as near
 
-OPERATORS = range(1, 11)
+OPERATORS = range(1, 14)
 
 
 def test_every_operator_is_registered():
