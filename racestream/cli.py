@@ -41,6 +41,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--table", help="raw table whose malformed records are collected")
     parser.add_argument("--landing", help="root folder of landed session data")
     parser.add_argument("--format", default="json", help="format of landed data")
+    parser.add_argument("--unordered", action="store_true", help="replay in fewer steps, without the order of each key")
     parser.add_argument("--missing-time", choices=("epoch", "drop"), default="epoch")
     parser.add_argument("--output", help="folder for the results of 'malformed' and 'schedule'")
     args = parser.parse_args(argv)
@@ -96,7 +97,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         spark, args.landing, config.session_key, format=args.format, on_malformed=args.on_malformed or "fail"
     )
     if args.job == "replay":
-        jobs.replay_job(session, topics, args.missing_time)
+        jobs.replay_job(session, topics, args.missing_time, in_order=not args.unordered)
     else:
         scheduled = schedule(merged(session, args.missing_time), config.replay_speed).orderBy(*TIMELINE_ORDER)
         messages(scheduled).write.parquet(args.output)

@@ -195,6 +195,12 @@ dropped AS (SELECT * FROM merged WHERE NOT (topic = 'f1.pit_stops' AND seq % 50
 
 _ONE_SESSION = "SELECT session_key, driver_number, position, date FROM positions WHERE session_key = 9161"
 
+# The place of each record among those of its key, by time and then by the order of the source.
+_IN_KEY_ORDER = f""",
+sent AS ({_MESSAGES}),
+timed AS (SELECT sent.topic, sent.key, sent.value, merged.time, merged.seq FROM sent JOIN merged USING (topic, seq))
+SELECT topic, key, row_number() OVER (PARTITION BY topic, key ORDER BY time, seq) AS nth, time, value FROM timed"""
+
 # The last position of a window by event time, then by arrival; so too among drivers that claim a position.
 _EVENT_ORDER = """
 SELECT w AS window_start, p AS position, max_by(driver_number, s) AS driver_number
@@ -240,5 +246,6 @@ ORACLES: dict[str, str] = {
     "replay_schedule": _with(*_ALL) + _MERGED + _schedule("2.0"),
     "replay_schedule_undated_first": _with(*_ALL) + _MERGED + _UNDATED + _schedule("3.0", "undated"),
     "replay_schedule_undated_dropped": _with(*_ALL) + _MERGED + _DROPPED + _schedule("3.0", "dropped"),
+    "published_in_key_order": _with(*_ALL) + _MERGED + _IN_KEY_ORDER,
     "topic_counts": _with(*_ALL) + _MERGED + "\nSELECT topic, count(*) AS records FROM merged GROUP BY topic",
 }

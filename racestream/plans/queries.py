@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -16,12 +17,14 @@ from racestream.operators import enrichment as lap_ops
 from racestream.operators import leaderboard as board_ops
 from racestream.operators import replay as replay_ops
 from racestream.plans import defects
+from racestream.schemas import RAW_TABLES
 from racestream.session import new_folder
 from racestream.sources.event_tables import read_table, read_tables, stream_tables, three_sessions
 from racestream.sources.landing import read_landed
+from racestream.sources.topics import FileTopics
 from racestream.streaming.arrival_enrichment import enrich_arrival_stream, to_folder
 from racestream.streaming.complete_enrichment import enrich_complete_stream, release
-from racestream.streaming.jobs import leaderboard_snapshots, prepare
+from racestream.streaming.jobs import leaderboard_snapshots, prepare, replay_job
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -215,6 +218,26 @@ def replay_schedule_undated_dropped(spark: SparkSession, folder: str) -> DataFra
     return _scheduled(_some_undated(spark, folder), "drop", 3.0)
 
 
+def published_in_key_order(spark: SparkSession, folder: str) -> DataFrame:
+    """All topics after a replay in many small parts: of each key, the place of a record by offset, and its time.
+
+    Payloads without fractions, whose text may differ by engine, tell records of equal times apart.
+    """
+    topics = FileTopics(new_folder(spark, "topics"))
+    tables = read_tables(spark, folder)
+    replay_job(tables, topics, lanes=7, part_rows=997)
+    by_offset = Window.partitionBy("topic", "key").orderBy("offset")
+    logs = [topics.read(spark, RAW_TABLES[name].topic).withColumn("topic", F.lit(RAW_TABLES[name].topic)) for name in tables]
+    exact = F.col("topic").isin(settings.TOPIC_POSITIONS, settings.TOPIC_RACE_CONTROL)
+    return reduce(DataFrame.unionByName, logs).select(
+        "topic",
+        "key",
+        F.row_number().over(by_offset).cast("long").alias("nth"),
+        F.col("ingest_time").cast("timestamp_ntz").alias("time"),
+        F.when(exact, F.col("value")).alias("value"),
+    )
+
+
 def topic_counts(spark: SparkSession, folder: str) -> DataFrame:
     return replay_ops.topic_counts(replay_ops.merged(read_tables(spark, folder)))
 
@@ -294,4 +317,5 @@ QUERIES: dict[str, Query] = {
     "replay_schedule_undated_first": replay_schedule_undated_first,
     "replay_schedule_undated_dropped": replay_schedule_undated_dropped,
     "topic_counts": topic_counts,
+    "published_in_key_order": published_in_key_order,
 }

@@ -16,12 +16,14 @@ from dataclasses import dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from racestream import schemas, settings
 from racestream.functions.event_time import event_time
 from racestream.functions.json_codec import MALFORMED, decode
 from racestream.schemas import RAW_TABLES
+from racestream.sources.key_order import end_offsets, waves
 
 
 def is_path_missing(error: AnalysisException) -> bool:
@@ -45,12 +47,15 @@ class KafkaTopics:
             **self.options,
         }
 
-    def write_options(self) -> dict[str, str]:
+    def write_options(self, in_order: bool = False) -> dict[str, str]:
+        """With ``in_order`` a batch of records is sent when the one before is acknowledged, so that retries cannot overtake."""
+        one_by_one = {"kafka.max.in.flight.requests.per.connection": "1"} if in_order else {}
         return {
             "kafka.bootstrap.servers": self.bootstrap_servers,
             "kafka.acks": settings.PRODUCER_ACKS,
             "kafka.retries": settings.PRODUCER_RETRIES,
             "kafka.linger.ms": settings.PRODUCER_LINGER_MS,
+            **one_by_one,
             **self.options,
         }
 
@@ -74,6 +79,15 @@ class KafkaTopics:
         """One write for all topics: ``messages`` has ``topic, key, value``."""
         messages.select("topic", "key", "value").write.format("kafka").options(**self.write_options()).save()
 
+    def write_in_order(self, arranged: DataFrame) -> None:
+        """An arranged table (see ``sources.key_order``), wave by wave.
+
+        A task that is retried sends its records again from the first, so a consumer can see a stretch of a key twice, but
+        the last record of a key is the newest.
+        """
+        for wave in waves(arranged):
+            wave.select("topic", "key", "value").write.format("kafka").options(**self.write_options(in_order=True)).save()
+
     def write_stream(self, messages: DataFrame, topic: str, checkpoint: str) -> DataStreamWriter:
         """Values only; as there is no key, records of a driver are spread over the topic's partitions."""
         writer = messages.select("value").writeStream.format("kafka").options(**self.write_options())
@@ -116,6 +130,21 @@ class FileTopics:
         ordered = records.sortWithinPartitions("topic", "ingest_time", "offset")
         ordered.write.mode("append").partitionBy("topic").format(self.format).save(self.root)
 
+    def write_in_order(self, arranged: DataFrame) -> None:
+        """An arranged table (see ``sources.key_order``): lanes become partitions, whose offsets go on from what is there."""
+        try:
+            log = T.StructType([*schemas.TOPIC_RECORD.fields, T.StructField("topic", T.StringType())])
+            ends = end_offsets(arranged.sparkSession.read.schema(log).format(self.format).load(self.root))
+            joined = arranged.join(ends, ["topic", "lane"], "left").withColumn("place", F.col("place") + F.coalesce("end", F.lit(0)))
+        except AnalysisException as error:
+            if not is_path_missing(error):
+                raise
+            joined = arranged
+        records = joined.select(
+            "topic", "key", "value", F.col("time").alias("ingest_time"), F.col("lane").alias("partition"), F.col("place").alias("offset")
+        )
+        records.write.mode("append").partitionBy("topic").format(self.format).save(self.root)
+
     def write_stream(self, messages: DataFrame, topic: str, checkpoint: str) -> DataStreamWriter:
         writer = messages.select("value").writeStream.format(self.format).option("path", self.path(topic))
         return writer.option("checkpointLocation", checkpoint).outputMode("append")

@@ -20,6 +20,7 @@ from racestream.operators import replay as replay_ops
 from racestream.operators.enrichment import KEYS, enriched_json, tag
 from racestream.schemas import RAW_TABLES
 from racestream.session import use_utc
+from racestream.sources.key_order import LANES, PART_ROWS, arranged
 from racestream.sources.topics import KafkaTopics, Topics, typed
 from racestream.streaming.arrival_enrichment import enrich_arrival_stream
 from racestream.streaming.complete_enrichment import enrich_complete_stream, release
@@ -145,11 +146,22 @@ def malformed_job(spark: SparkSession, topics: Topics, table: str, folder: str,
     return writer.option("checkpointLocation", checkpoint).outputMode("append")
 
 
-def replay_job(tables: Mapping[str, DataFrame], topics: Topics, missing_time: str = "epoch") -> None:
+def replay_job(
+    tables: Mapping[str, DataFrame],
+    topics: Topics,
+    missing_time: str = "epoch",
+    in_order: bool = True,
+    lanes: int = LANES,
+    part_rows: int = PART_ROWS,
+) -> None:
     """Publish the raw tables of a session to their topics, in time order; an empty session publishes nothing.
 
-    The timeline is written by many tasks at once, so a broker may receive neighbouring ranges of time side by side, and the offsets
-    of a key need not follow its event times. The leaderboard of such topics needs ``last_by='event_time'``; the
-    arrival-order enrichment goes by event time within a micro-batch, and by arrival across them.
+    The offsets of each key follow its event times, ties in the order of the source, see ``sources.key_order``. Without ``in_order``
+    the timeline is written by many tasks at once, in fewer steps, and a broker may receive neighbouring ranges of time side by side;
+    the leaderboard of such topics needs ``last_by='event_time'``.
     """
-    topics.write(replay_ops.timeline(tables, missing_time))
+    if in_order:
+        records = replay_ops.merged(tables, missing_time)
+        topics.write_in_order(arranged(records, replay_ops.TIMELINE_ORDER, replay_ops.messages, lanes, part_rows))
+    else:
+        topics.write(replay_ops.timeline(tables, missing_time))
