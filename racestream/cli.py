@@ -2,6 +2,7 @@
 
     spark-submit run_job.py leaderboard --checkpoint <folder>
     spark-submit run_job.py replay --landing <folder> --topics <folder>
+    spark-submit run_job.py late --checkpoint <folder of the leaderboard> --output <folder>
 
 Topics are those of the Kafka broker in KAFKA_BOOTSTRAP_SERVERS, or with ``--topics`` folders of files.
 """
@@ -21,7 +22,7 @@ from racestream.sources.topics import FileTopics, KafkaTopics, Topics
 from racestream.streaming import jobs
 
 STREAMS = ("leaderboard", "enrichment", "complete-enrichment", "alerts", "malformed")
-BATCHES = ("replay", "schedule")
+BATCHES = ("replay", "schedule", "late")
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -34,6 +35,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--whole-words", action="store_true", help="match alert patterns at word boundaries")
     parser.add_argument("--on-malformed", choices=("drop", "fail"), help="default: the job's own")
     parser.add_argument("--keep-for", help="forget pit stops older than this, such as '2 hours'")
+    parser.add_argument("--keep-by", choices=("event_time", "ingest_time"), default="event_time", help="what --keep-for goes by")
     parser.add_argument("--time-fallback", choices=("ingest", "epoch", "null"), default="ingest", help="time of records without a date")
     parser.add_argument("--last-by", choices=("arrival", "event_time"), default="arrival", help="which position of a window counts")
     parser.add_argument("--max-lap", default="10 minutes", help="how long after its start a lap's pit stop can come")
@@ -43,9 +45,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--format", default="json", help="format of landed data")
     parser.add_argument("--unordered", action="store_true", help="replay in fewer steps, without the order of each key")
     parser.add_argument("--missing-time", choices=("epoch", "drop"), default="epoch")
-    parser.add_argument("--output", help="folder for the results of 'malformed' and 'schedule'")
+    parser.add_argument("--output", help="folder for the results of 'malformed', 'schedule' and 'late'")
     args = parser.parse_args(argv)
-    needed = {"malformed": ("checkpoint", "table", "output"), "replay": ("landing",), "schedule": ("landing", "output")}
+    needed = {"malformed": ("checkpoint", "table", "output"), "replay": ("landing",), "schedule": ("landing", "output"), "late": ("checkpoint", "output")}
     for name in needed.get(args.job, ("checkpoint",)):
         if getattr(args, name) is None:
             parser.error(f"{args.job} needs --{name}")
@@ -72,7 +74,7 @@ def stream(spark: SparkSession, topics: Topics, args: argparse.Namespace):
         return jobs.alerts_job(spark, topics, args.checkpoint, whole_words=args.whole_words, **policy)
     if args.job == "enrichment":
         return jobs.enrichment_job(
-            spark, topics, args.checkpoint, keys=keys, keep_for=args.keep_for, time_fallback=args.time_fallback, **policy
+            spark, topics, args.checkpoint, keys=keys, keep_for=args.keep_for, time_fallback=args.time_fallback, keep_by=args.keep_by, **policy
         )
     if args.job == "complete-enrichment":
         return jobs.complete_enrichment_job(
@@ -93,6 +95,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
             keys = SESSION_KEYS if args.by_session else KEYS
             jobs.release_laps(spark, topics, args.checkpoint, keys, args.max_lap)
         return
+    if args.job == "late":
+        dropped = jobs.late_positions(spark, topics, args.checkpoint, args.on_malformed or "drop", args.time_fallback)
+        dropped.write.parquet(args.output)
+        return
     session = read_session(
         spark, args.landing, config.session_key, format=args.format, on_malformed=args.on_malformed or "fail"
     )

@@ -36,11 +36,11 @@ ARRIVAL_ORDER = ("t", "source_rank", "seq")
 _LAP_COLUMNS = schemas.LAPS.names
 
 
-def tag(laps: DataFrame, pits: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Both inputs in one table. ``pit`` is a struct, so that a pit stop without duration is still a pit stop."""
-    lap_rows = laps.select(*_LAP_COLUMNS, "t", "seq", F.lit(LAP_RANK).alias("source_rank"))
+def tag(laps: DataFrame, pits: DataFrame, keys: Sequence[str] = KEYS, keep: Sequence[str] = ()) -> DataFrame:
+    """Both inputs in one table, with the columns ``keep`` of both. ``pit`` is a struct, so that a pit stop without duration is still a pit stop."""
+    lap_rows = laps.select(*_LAP_COLUMNS, "t", "seq", *keep, F.lit(LAP_RANK).alias("source_rank"))
     pit_rows = pits.select(
-        *keys, "t", "seq", F.lit(PIT_RANK).alias("source_rank"), F.struct("pit_duration").alias("pit")
+        *keys, "t", "seq", *keep, F.lit(PIT_RANK).alias("source_rank"), F.struct("pit_duration").alias("pit")
     )
     return lap_rows.unionByName(pit_rows, allowMissingColumns=True)
 

@@ -85,6 +85,55 @@ p AS (SELECT laps.seq, max_by(struct_pack(d := pit_duration), struct_pack(t := p
   WHERE pits.t >= laps.t AND pits.t <= laps.t + INTERVAL 10 MINUTE GROUP BY 1)
 SELECT {_LAP_COLUMNS}, m.d AS pit_duration, m.d IS NOT NULL AS had_pit_stop FROM laps LEFT JOIN p USING (seq)"""
 
+# Delayed records: micro-batches by arrival, the watermark of each (five seconds behind the newest record of earlier batches), and what
+# the leaderboard drops and holds. The epoch stands for no watermark.
+
+_ARRIVING = """
+arriving AS (SELECT *, t + to_milliseconds(CASE event_id % 9 WHEN 4 THEN 600000 WHEN 7 THEN 1100000 ELSE 0 END) AS i FROM ev),
+bucketed AS (SELECT *, CAST(floor((epoch_ms(i) - epoch_ms(TIMESTAMP '2023-05-28 13:00:00')) / 500000.0) AS BIGINT) AS bucket FROM arriving),
+batched AS (SELECT *, dense_rank() OVER (ORDER BY bucket) - 1 AS b FROM bucketed),
+sizes AS (SELECT b, count(*) AS input_rows FROM batched GROUP BY b)"""
+
+_DELAYED_POSITIONS = f"""{_ARRIVING},
+positions AS (SELECT b, event_id AS seq, t, driver_number, k % 20 + 1 AS position, time_bucket(INTERVAL 10 SECOND, t) AS w
+  FROM batched WHERE event_type IN ('click', 'signup')),
+marks AS (SELECT s.b, input_rows, coalesce(max(t) - INTERVAL 5 SECOND, TIMESTAMP '1970-01-01') AS mark
+  FROM sizes s LEFT JOIN positions p ON p.b < s.b GROUP BY ALL),
+judged AS (SELECT p.*, w + INTERVAL 10 SECOND <= coalesce(m.mark, TIMESTAMP '1970-01-01') AS late
+  FROM positions p LEFT JOIN marks m ON m.b = p.b - 1),
+late AS (SELECT b, count(*) AS late_records, count(DISTINCT (w, driver_number)) AS late_groups FROM judged WHERE late GROUP BY b),
+held AS (SELECT m.b, count(DISTINCT (w, driver_number)) AS open_groups
+  FROM marks m JOIN judged j ON j.b <= m.b AND NOT late AND w + INTERVAL 10 SECOND > m.mark GROUP BY m.b)"""
+
+_LATE_BY_BATCH = """
+SELECT b AS batch_id, input_rows, coalesce(late_records, 0) AS late_records, coalesce(late_groups, 0) AS late_groups,
+  coalesce(late_groups, 0) AS dropped_groups, coalesce(open_groups, 0) AS open_groups
+FROM marks LEFT JOIN late USING (b) LEFT JOIN held USING (b)"""
+
+_OPEN_WINDOWS = """
+SELECT w AS window_start, driver_number, max_by(position, seq) AS position FROM judged
+WHERE NOT late AND w + INTERVAL 10 SECOND > (SELECT max(t) FROM positions) - INTERVAL 5 SECOND GROUP BY 1, 2"""
+
+# A lap sees the latest pit stop of its micro-batch that is older by event time, or else that of the newest batch before, unless it came
+# more than five minutes before the watermark of ingest time: five seconds behind the newest of the slower input in earlier batches.
+_BY_INGEST_TIME = f"""{_ARRIVING},
+laps AS (SELECT b, event_id AS seq, 9161 AS session_key, driver_number, k % 78 + 1 AS lap_number,
+  CASE WHEN event_id % 17 = 0 THEN NULL ELSE value END AS lap_duration, t, i,
+  strftime(t, '%Y-%m-%dT%H:%M:%S.%g+00:00') AS date_start, event_id % 10 = 0 AS is_pit_out_lap FROM batched WHERE event_type = 'view'),
+pits AS (SELECT b, event_id AS seq, driver_number, k % 78 + 1 AS lap_number,
+  CASE WHEN event_id % 13 = 0 THEN NULL ELSE value END AS pit_duration, t, i FROM batched WHERE event_type = 'purchase'),
+newest AS (SELECT b, (SELECT max(i) FROM laps l WHERE l.b < s.b) AS lap, (SELECT max(i) FROM pits p WHERE p.b < s.b) AS pit FROM sizes s),
+marks AS (SELECT b, CASE WHEN lap IS NULL OR pit IS NULL THEN TIMESTAMP '1970-01-01' ELSE least(lap, pit) - INTERVAL 5 SECOND END AS mark
+  FROM newest),
+latest AS (SELECT b, driver_number, lap_number, max_by(struct_pack(d := pit_duration, i := i), struct_pack(t := t, s := seq)) AS m
+  FROM pits GROUP BY ALL),
+now AS (SELECT l.seq, max_by(struct_pack(d := pit_duration), struct_pack(t := p.t, s := p.seq)) AS m
+  FROM laps l JOIN pits p USING (b, driver_number, lap_number) WHERE p.t < l.t GROUP BY 1),
+before AS (SELECT l.seq, l.b, max_by(p.m, p.b) AS m FROM laps l JOIN latest p USING (driver_number, lap_number) WHERE p.b < l.b GROUP BY ALL),
+seen AS (SELECT l.seq, CASE WHEN now.m IS NOT NULL THEN now.m.d WHEN before.m.i >= mark - INTERVAL 5 MINUTE THEN before.m.d END AS d
+  FROM laps l JOIN marks USING (b) LEFT JOIN now USING (seq) LEFT JOIN before USING (seq))
+SELECT {_LAP_COLUMNS}, d AS pit_duration, d IS NOT NULL AS had_pit_stop FROM laps JOIN seen USING (seq)"""
+
 # Alerts
 
 _SEVERITY = """,
@@ -227,6 +276,13 @@ ORACLES: dict[str, str] = {
     "laps_enriched_complete_by_session": _with(_sessions(_LAPS), _sessions(_PITS)) + _complete(_SESSION_KEYS),
     "laps_enriched_stream": _with(_LAPS, _PITS) + _arrival(_KEYS),
     "laps_enriched_complete_stream": _with(_LAPS, _PITS) + _COMPLETE_STREAM,
+    "leaderboard_stream_restarted": _with(_POSITIONS, _LAST)
+    + "SELECT * FROM snapshots WHERE window_end <= (SELECT max(t) FROM positions) - INTERVAL 5 SECOND",
+    "laps_enriched_stream_restarted": _with(_LAPS, _PITS) + _arrival(_KEYS),
+    "laps_enriched_complete_stream_restarted": _with(_LAPS, _PITS) + _COMPLETE_STREAM,
+    "laps_enriched_stream_by_ingest_time": _with(_BY_INGEST_TIME),
+    "leaderboard_late_by_batch": _with(_DELAYED_POSITIONS) + _LATE_BY_BATCH,
+    "leaderboard_open_windows": _with(_DELAYED_POSITIONS) + _OPEN_WINDOWS,
     "race_alerts": _with(_RACE_CONTROL) + _SEVERITY + _ALERTS,
     "race_alerts_whole_words": _with(_RACE_CONTROL) + _WHOLE_WORDS + _ALERTS,
     "race_alerts_json": _with(_RACE_CONTROL) + _SEVERITY + _ALERTS_JSON,

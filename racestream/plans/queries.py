@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from racestream import schemas, settings
 from racestream.functions.event_time import event_time
@@ -19,9 +20,10 @@ from racestream.operators import replay as replay_ops
 from racestream.plans import defects
 from racestream.schemas import RAW_TABLES
 from racestream.session import new_folder
-from racestream.sources.event_tables import read_table, read_tables, stream_tables, three_sessions
+from racestream.sources.event_tables import DelayedEvents, delayed_events, read_table, read_tables, stream_tables, three_sessions
 from racestream.sources.landing import read_landed
 from racestream.sources.topics import FileTopics
+from racestream.streaming import progress
 from racestream.streaming.arrival_enrichment import enrich_arrival_stream, to_folder
 from racestream.streaming.complete_enrichment import enrich_complete_stream, release
 from racestream.streaming.jobs import leaderboard_snapshots, prepare, replay_job
@@ -284,6 +286,115 @@ def laps_enriched_complete_stream(spark: SparkSession, folder: str) -> DataFrame
     return spark.read.parquet(f"{target}/out").drop("batch")
 
 
+# Restarts, and what the checkpoints tell
+
+
+class _Stopped(Exception):
+    """Stands for the loss of the driver."""
+
+
+def _run_interrupted(make: Callable[[Callable], DataStreamWriter], write: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    """Runs a stream that is stopped twice: before a micro-batch is written, and between its write and its commit."""
+    stops = {2: "before", 5: "after"}
+
+    def stopping(rows: DataFrame, batch_id: int) -> None:
+        when = stops.pop(batch_id, None)
+        if when != "before":
+            write(rows, batch_id)
+        if when is not None:
+            raise _Stopped(f"stopped {when} the write of batch {batch_id}")
+
+    while True:
+        try:
+            _run(make(stopping), checkpoint)
+        except StreamingQueryException as error:
+            if _Stopped.__name__ not in str(error):
+                raise
+        else:
+            return
+
+
+def leaderboard_stream_restarted(spark: SparkSession, folder: str) -> DataFrame:
+    prepare(spark)
+    snapshots = leaderboard_snapshots(stream_tables(spark, folder, "positions")["positions"])
+    target = new_folder(spark, "leaderboard")
+    make = lambda write: snapshots.writeStream.outputMode("append").foreachBatch(write)
+    _run_interrupted(make, to_folder(f"{target}/out"), f"{target}/checkpoint")
+    rows = spark.read.schema(snapshots.schema).parquet(f"{target}/out")
+    return rows.select(_plain("window_start"), _plain("window_end"), "value")
+
+
+def laps_enriched_stream_restarted(spark: SparkSession, folder: str) -> DataFrame:
+    tables = stream_tables(spark, folder, "laps", "pit_stops")
+    target = new_folder(spark, "laps-enriched")
+    make = lambda write: enrich_arrival_stream(tables["laps"], tables["pit_stops"], f"{target}/state", write, fold_every=3)
+    _run_interrupted(make, to_folder(f"{target}/out"), f"{target}/checkpoint")
+    return spark.read.parquet(f"{target}/out").drop("batch")
+
+
+def laps_enriched_complete_stream_restarted(spark: SparkSession, folder: str) -> DataFrame:
+    tables = stream_tables(spark, folder, "laps", "pit_stops")
+    target = new_folder(spark, "laps-complete")
+    out = to_folder(f"{target}/out")
+    make = lambda write: enrich_complete_stream(tables["laps"], tables["pit_stops"], f"{target}/state", write)
+    _run_interrupted(make, out, f"{target}/checkpoint")
+    release(spark, f"{target}/state", lap_ops.tag(tables["laps"], tables["pit_stops"]).schema, out)
+    return spark.read.parquet(f"{target}/out").drop("batch")
+
+
+def laps_enriched_stream_by_ingest_time(spark: SparkSession, folder: str) -> DataFrame:
+    """Laps whose pit stops arrive late or early, and are forgotten five minutes of ingest time after they came."""
+    tables = delayed_events(spark, folder).streams("laps", "pit_stops")
+    target = new_folder(spark, "laps-enriched")
+    writer = enrich_arrival_stream(
+        tables["laps"],
+        tables["pit_stops"],
+        f"{target}/state",
+        to_folder(f"{target}/out"),
+        keep_for="5 minutes",
+        fold_every=3,
+        keep_by="ingest_time",
+        checkpoint=f"{target}/checkpoint",
+    )
+    _run(writer, f"{target}/checkpoint")
+    return spark.read.parquet(f"{target}/out").drop("batch")
+
+
+def _delayed_leaderboard(spark: SparkSession, folder: str) -> tuple[DelayedEvents, str, StreamingQuery]:
+    """Delayed events, the checkpoint of a leaderboard of them, and the query that has run."""
+    prepare(spark)
+    events = delayed_events(spark, folder)
+    target = new_folder(spark, "leaderboard")
+    writer = leaderboard_snapshots(events.streams("positions")["positions"]).writeStream.format("parquet").option("path", f"{target}/out").outputMode("append")
+    query = writer.option("checkpointLocation", f"{target}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return events, f"{target}/checkpoint", query
+
+
+def leaderboard_late_by_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """Per micro-batch: rows read, records too late and groups of them, and Spark's counters of dropped and open groups."""
+    events, checkpoint, query = _delayed_leaderboard(spark, folder)
+    read = progress.files_of(spark, checkpoint)
+    positions = events.read("positions", lambda rows: progress.of_files(rows, read))
+    late = progress.late(positions, progress.micro_batches(spark, checkpoint)).groupBy("batch_id")
+    late = late.agg(F.count(F.lit(1)).alias("late_records"), F.count_distinct("window", "driver_number").alias("late_groups"))
+    counted = progress.counters(query).where("input_rows > 0").join(late, "batch_id", "left")
+    return counted.select(
+        "batch_id",
+        "input_rows",
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("late_records", "late_groups")],
+        "dropped_groups",
+        "open_groups",
+    )
+
+
+def leaderboard_open_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """What the leaderboard still holds when its input has ended: the last position of each driver of an open window."""
+    _, checkpoint, _ = _delayed_leaderboard(spark, folder)
+    held = progress.state(spark, checkpoint, operator=1)
+    return held.select(_plain("key.window.start").alias("window_start"), "key.driver_number", F.col("value.valueWithExtremumOrdering").alias("position"))
+
+
 QUERIES: dict[str, Query] = {
     "leaderboard_10s": leaderboard_10s,
     "leaderboard_by_session": leaderboard_by_session,
@@ -298,6 +409,12 @@ QUERIES: dict[str, Query] = {
     "laps_enriched_complete_by_session": laps_enriched_complete_by_session,
     "laps_enriched_stream": laps_enriched_stream,
     "laps_enriched_complete_stream": laps_enriched_complete_stream,
+    "leaderboard_stream_restarted": leaderboard_stream_restarted,
+    "laps_enriched_stream_restarted": laps_enriched_stream_restarted,
+    "laps_enriched_complete_stream_restarted": laps_enriched_complete_stream_restarted,
+    "laps_enriched_stream_by_ingest_time": laps_enriched_stream_by_ingest_time,
+    "leaderboard_late_by_batch": leaderboard_late_by_batch,
+    "leaderboard_open_windows": leaderboard_open_windows,
     "race_alerts": race_alerts,
     "race_alerts_whole_words": race_alerts_whole_words,
     "race_alerts_json": race_alerts_json,

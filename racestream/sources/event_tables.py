@@ -7,6 +7,9 @@ stops, error race-control messages. ``seq`` is the event id.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,10 +73,11 @@ def _rounded_millis(ts: Column) -> Column:
     return F.unix_millis(ts.cast("timestamp") + F.expr("INTERVAL 500 MICROSECONDS"))
 
 
-def _race_columns(events: DataFrame, first: Column) -> DataFrame:
+def _race_columns(events: DataFrame, first: Column, *keep: str) -> DataFrame:
     """``first`` is the earliest ``ts`` of all events."""
     since_start = F.floor((_rounded_millis(F.col("ts")) - _rounded_millis(first)) / COMPRESSION)
     return events.withColumn("t", F.timestamp_millis(since_start + START_MILLIS)).selectExpr(
+        *keep,
         "event_type",
         "event_id AS seq",
         f"{settings.DEFAULT_SESSION_KEY} AS session_key",
@@ -85,9 +89,9 @@ def _race_columns(events: DataFrame, first: Column) -> DataFrame:
     )
 
 
-def _derive(race: DataFrame, name: str) -> DataFrame:
+def _derive(race: DataFrame, name: str, *keep: str) -> DataFrame:
     condition, columns = _DERIVED[name]
-    return race.where(condition).selectExpr(*columns)
+    return race.where(condition).selectExpr(*keep, *columns)
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
@@ -116,12 +120,57 @@ def in_time_order(events: DataFrame, files: int) -> str:
     spark = events.sparkSession
     folder = new_folder(spark, "events")
     events.repartitionByRange(files, "ts").sortWithinPartitions("ts", "event_id").write.parquet(folder)
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/part-*")
+    _touch_in_order(spark, f"{folder}/part-*", lambda path: path.getName())
+    return folder
+
+
+def _touch_in_order(spark: SparkSession, pattern: str, key) -> None:
+    """Sets the times of files to the order of a key of their paths."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     store = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = sorted((f.getPath() for f in store.globStatus(path)), key=lambda p: p.getName())
-    for i, file in enumerate(found):
+    for i, file in enumerate(sorted((f.getPath() for f in store.globStatus(path)), key=key)):
         store.setTimes(file, 1_000_000_000_000 + 1000 * i, -1)
-    return folder
+
+
+#: SQL of the milliseconds of race time by which a record arrives late, and the race time that a micro-batch of the delayed stream holds.
+DELAY = "CASE event_id % 9 WHEN 4 THEN 600000 WHEN 7 THEN 1100000 ELSE 0 END"
+BATCH_MILLIS = 500_000
+
+
+@dataclass(frozen=True)
+class DelayedEvents:
+    """Events in the order of their arrival, which for some is minutes after their event time, as a folder of one file per micro-batch.
+
+    A micro-batch holds what arrives in ``BATCH_MILLIS`` of race time, so the records themselves tell which batch they are in.
+    """
+
+    spark: SparkSession
+    folder: str
+    first: object
+
+    def streams(self, *names: str) -> dict[str, DataFrame]:
+        """The tables as streams, with ``ingest_time``, their arrival."""
+        reader = self.spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True)
+        race = _race_columns(reader.parquet(self.folder), F.lit(self.first))
+        arrival = F.timestamp_millis(F.unix_millis("t") + F.expr(DELAY.replace("event_id", "seq")))
+        return {name: _derive(race, name).withColumn("ingest_time", arrival) for name in names}
+
+    def read(self, name: str, in_batch: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """A table with the ``batch_id`` that ``in_batch`` adds to the rows of the files."""
+        events = in_batch(self.spark.read.schema(EVENTS).option("recursiveFileLookup", True).parquet(self.folder))
+        return _derive(_race_columns(events, F.lit(self.first), "batch_id"), name, "batch_id")
+
+
+def delayed_events(spark: SparkSession, folder: str) -> DelayedEvents:
+    events = _events(spark, folder)
+    first = events.agg(F.min("ts").alias("first")).first().first
+    since_start = F.floor((_rounded_millis(F.col("ts")) - _rounded_millis(F.lit(first))) / COMPRESSION)
+    arriving = events.withColumn("bucket", F.floor((since_start + F.expr(DELAY)) / BATCH_MILLIS))
+    target = new_folder(spark, "events")
+    # A bucket is a single value of the range, so it lies in one task and becomes one file.
+    arriving.repartitionByRange(8, "bucket").write.partitionBy("bucket").parquet(target)
+    _touch_in_order(spark, f"{target}/bucket=*/part-*", lambda path: int(path.getParent().getName().partition("=")[2]))
+    return DelayedEvents(spark, target, first)
 
 
 def stream_tables(spark: SparkSession, folder: str, *names: str, files: int = 10) -> dict[str, DataFrame]:

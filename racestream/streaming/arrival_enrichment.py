@@ -22,8 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from racestream import settings
 from racestream.operators.carry_forward import MAX_GROUP_ROWS, carry_forward
 from racestream.operators.enrichment import ARRIVAL_ORDER, KEYS, LAP_RANK, PIT_RANK, project, tag
+from racestream.streaming.progress import watermark_of
 
 FOLD_EVERY = 32
 
@@ -68,26 +70,46 @@ def enrich_arrival_stream(
     keep_for: str | None = None,
     max_group_rows: int | None = MAX_GROUP_ROWS,
     fold_every: int | None = None,
+    keep_by: str = "event_time",
+    watermark: str = settings.OUT_OF_ORDERNESS,
+    checkpoint: str | None = None,
 ) -> DataStreamWriter:
     """A writer that passes the enriched laps of each micro-batch to ``write(rows, batch_id)``.
 
     Within a micro-batch rows are ordered by ``(t, laps first, seq)``, across micro-batches by arrival.
     ``write`` may be called again for a batch after a failure. ``keep_for`` (such as ``'2 hours'``) forgets
-    pit stops older than that, measured from the newest event time of a batch; by default nothing is
-    forgotten. ``state_folder`` must be shared by all executors and belong to one checkpoint.
+    pit stops older than that; by default nothing is forgotten. ``state_folder`` must be shared by all executors and belong to one checkpoint.
+
+    With ``keep_by='event_time'`` age is measured from the newest event time of a batch. With ``'ingest_time'`` both inputs carry that
+    column, and age is measured from the watermark on it: ``watermark`` behind the newest of the slower input in earlier batches. Spark keeps
+    that watermark in the query's ``checkpoint``, so a repeated batch forgets the same, and bad event times forget nothing.
     """
-    columns = [*keys, *_ORDER, "pit"]
+    if keep_by not in ("event_time", "ingest_time"):
+        raise ValueError(f"keep_by must be 'event_time' or 'ingest_time', got {keep_by!r}")
+    by_ingest = keep_by == "ingest_time"
+    if by_ingest and checkpoint is None:
+        raise ValueError("keep_by='ingest_time' needs the checkpoint")
+    extra = ["ingest_time"] if by_ingest else []
+    if by_ingest:
+        laps, pits = (rows.withWatermark("ingest_time", watermark) for rows in (laps, pits))
+    columns = [*keys, *_ORDER, "pit", *extra]
     every = fold_every or FOLD_EVERY
 
+    def forgetting(seen: DataFrame, rows: DataFrame, batch_id: int) -> DataFrame:
+        if keep_for is None:
+            return seen
+        if by_ingest:
+            newest = watermark_of(rows.sparkSession, checkpoint, batch_id)
+        else:
+            newest = rows.agg(F.max("t")).scalar()
+        recent = F.col(keep_by if by_ingest else "t") >= newest - F.expr(f"INTERVAL {keep_for}")
+        return seen.where(F.coalesce(recent, F.lit(True)))
+
     def step(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             lap_rows, pit_rows = (rows.where(F.col("source_rank") == rank) for rank in (LAP_RANK, PIT_RANK))
-            seen = _seen_before(rows.select(*columns), state_folder, batch_id, every)
-            if keep_for is not None:
-                newest = rows.agg(F.max("t")).scalar()
-                recent = F.col("t") >= newest - F.expr(f"INTERVAL {keep_for}")
-                seen = seen.where(F.coalesce(recent, F.lit(True)))
+            seen = forgetting(_seen_before(rows.select(*columns), state_folder, batch_id, every), rows, batch_id)
 
             _latest(pit_rows, keys, columns).write.mode("overwrite").parquet(_append_path(state_folder, batch_id, every))
             if batch_id and batch_id % every == 0:
@@ -104,7 +126,7 @@ def enrich_arrival_stream(
         finally:
             rows.unpersist()
 
-    return tag(laps, pits, keys).writeStream.foreachBatch(step)
+    return tag(laps, pits, keys, extra).writeStream.foreachBatch(step)
 
 
 def to_folder(folder: str) -> Callable[[DataFrame, int], None]:

@@ -22,6 +22,7 @@ from racestream.schemas import RAW_TABLES
 from racestream.session import use_utc
 from racestream.sources.key_order import LANES, PART_ROWS, arranged
 from racestream.sources.topics import KafkaTopics, Topics, typed
+from racestream.streaming import progress
 from racestream.streaming.arrival_enrichment import enrich_arrival_stream
 from racestream.streaming.complete_enrichment import enrich_complete_stream, release
 
@@ -102,10 +103,19 @@ def enrichment_job(
     keys: Sequence[str] = KEYS,
     keep_for: str | None = None,
     time_fallback: str = "ingest",
+    keep_by: str = "event_time",
 ) -> DataStreamWriter:
-    """Laps and pit stops to laps with the pit stop seen before them. State is kept below the checkpoint."""
-    laps, pits = _laps_and_pits(prepare(spark), topics, on_malformed, time_fallback)
-    writer = enrich_arrival_stream(laps, pits, f"{checkpoint}/seen-pit-stops", _publish_laps(topics), keys, keep_for)
+    """Laps and pit stops to laps with the pit stop seen before them. State is kept below the checkpoint.
+
+    ``keep_by='ingest_time'`` measures ``keep_for`` by the time of the records in their topics.
+    """
+    laps, pits = (
+        rows.withColumn("ingest_time", F.col("seq.ingest_time"))
+        for rows in _laps_and_pits(prepare(spark), topics, on_malformed, time_fallback)
+    )
+    writer = enrich_arrival_stream(
+        laps, pits, f"{checkpoint}/seen-pit-stops", _publish_laps(topics), keys, keep_for, keep_by=keep_by, checkpoint=checkpoint
+    )
     return writer.option("checkpointLocation", checkpoint)
 
 
@@ -135,6 +145,18 @@ def release_laps(
     release(spark, f"{checkpoint}/waiting", tag(laps, pits, keys).schema, _publish_laps(topics), keys, max_lap)
 
 
+def late_positions(spark: SparkSession, topics: Topics, checkpoint: str, on_malformed: str = "drop", time_fallback: str = "ingest") -> DataFrame:
+    """The records that a leaderboard job has dropped as too late, with their micro-batch and window; options are those of the job."""
+    batches = progress.micro_batches(use_utc(spark), checkpoint)
+    records = topics.read(spark, settings.TOPIC_POSITIONS)
+    if isinstance(topics, KafkaTopics):
+        read = progress.of_offsets(records, batches, settings.TOPIC_POSITIONS)
+    else:
+        read = progress.of_files(records, progress.files_of(spark, checkpoint))
+    kept = typed(read.select("key", "value", "ingest_time", F.struct("batch_id", "partition").alias("partition"), "offset"), "positions", on_malformed, time_fallback)
+    return progress.late(kept.withColumn("batch_id", F.col("seq.partition.batch_id")), batches).drop("seq")
+
+
 def malformed_job(spark: SparkSession, topics: Topics, table: str, folder: str, checkpoint: str) -> DataStreamWriter:
     """The malformed records of a raw topic, as raw text with their place in the topic, to parquet files.
 
