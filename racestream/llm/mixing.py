@@ -6,14 +6,14 @@ margin, in turns, until all margins hold. A cell's weighted tokens over its toke
 each of its documents, which are drawn by a hash of the document. Where a document is kept at most once, expected copies are bounded by one
 while the factors are fitted, so that the other cells make up for those at the bound.
 
-DataFrame operations only. The table of cells and the factors are written tables, as every turn reads them again.
+DataFrame operations only. Each cell carries the product of its factors, and the cells are written between rounds.
 """
 
 from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from racestream.llm.tables import fresh, n_words
@@ -25,8 +25,10 @@ MARGINS = ["source", "lang", "topic"]
 
 #: A target share is the share of tokens to this power, made to sum to one, unless targets are given.
 TEMPER = 0.7
-#: Turns stop when every margin is within this of its target, relatively, or after so many rounds.
+#: Rounds end when every margin was within this of its target, relatively, or after so many; what is left is returned.
 TOLERANCE, MOST_ROUNDS = 0.001, 25
+#: Rounds between two looks at the margins; those of up to so many cells are one plan.
+ROUNDS_AT_ONCE, FEW_CELLS = 5, 1_000_000
 #: Sampled tokens, as a part of all.
 BUDGET = 0.5
 #: What stands for a missing value of a margin.
@@ -66,15 +68,26 @@ def tempered(cells: DataFrame, margin: str, temper: float = TEMPER) -> DataFrame
     return sums.withColumn("share", F.col("share") / F.lit(whole))
 
 
-def _weighted(cells: DataFrame, factors: dict[str, DataFrame], most: float | None = None) -> DataFrame:
-    """The cells with their tokens weighted by the factors of all margins that have some, by ``most`` at most."""
-    out = cells.withColumn("weighted", F.col("tokens").cast("double"))
-    for margin, factor in factors.items():
-        named = factor.select(F.col("value").alias(margin), "factor")
-        out = out.join(named, margin).withColumn("weighted", F.col("weighted") * F.col("factor")).drop("factor")
-    if most is not None:
-        out = out.withColumn("weighted", F.least(F.col("weighted"), F.col("tokens") * F.lit(most)))
-    return out
+def _weighted(most: float | None) -> Column:
+    """The tokens of a cell times its factor, by ``most`` at most."""
+    weighted = F.col("tokens") * F.col("factor")
+    return weighted if most is None else F.least(weighted, F.col("tokens") * F.lit(most))
+
+
+def _scaled(cells: DataFrame, margin: str, most: float | None, few: bool) -> DataFrame:
+    """The cells with factors scaled so that one margin holds, and how far off its value was.
+
+    Sums of few cells are taken by a window, without a join. Otherwise they are taken before the shuffle, and a value with many cells is
+    split by adaptive execution, so no task takes a value whole.
+    """
+    if few:
+        summed = cells.withColumn("sum", F.sum(_weighted(most)).over(Window.partitionBy(margin)))
+    else:
+        sums = cells.groupBy(F.col(margin).alias("value")).agg(F.sum(_weighted(most)).alias("sum"))
+        summed = cells.join(sums.hint("merge"), F.col(margin) == F.col("value")).drop("value")
+    ratio = F.when(F.col("sum") > 0, F.col(f"goal_{margin}") / F.col("sum")).otherwise(0.0)
+    off = F.when(F.col("factor") > 0, F.abs(ratio - 1)).otherwise(0.0)
+    return summed.withColumn("residual", F.greatest("residual", off)).withColumn("factor", F.col("factor") * ratio).drop("sum")
 
 
 def _within(goals: DataFrame, total: float) -> DataFrame:
@@ -94,52 +107,49 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], most: float | None = N
     """Adds ``weighted`` to a written table of cells with ``tokens``: weighted tokens that meet the target shares of each margin.
 
     A value without a target has share zero. Shares count among those values that occur. If targets contradict each other, given
-    which cells are empty, the last margin is met and the others are approached.
+    which cells are empty, the last margin is met and the others are approached. ``residual`` tells how far off the values of a cell were,
+    relatively, when the last round began: within ``TOLERANCE``, unless ``MOST_ROUNDS`` did not suffice.
 
     No cell's weight is above ``most``, if given; the other cells make up for it. A target beyond what its value then holds is
     lowered to that, and the others of its margin are raised.
     """
+    columns = cells.columns
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
-    wanted = {}
+    fitted = cells.withColumn("factor", F.lit(1.0))
     for margin, target in targets.items():
-        present = cells.select(F.col(margin).alias("value")).distinct().join(target, "value", "left")
+        hold = cells.groupBy(F.col(margin).alias("value")).agg((F.sum("tokens") * F.lit(most or 1.0)).alias("hold"))
+        present = hold.join(target, "value", "left")
         present = written(present.withColumn("share", F.coalesce("share", F.lit(0.0))), "mixing-targets")
         whole = present.agg(F.sum("share")).first()[0] or 1.0
-        goals = present.select("value", (F.col("share") * F.lit(total / whole)).alias("goal"))
+        goals = present.select("value", "hold", (F.col("share") * F.lit(total / whole)).alias("goal"))
         if most is not None:
-            hold = cells.groupBy(F.col(margin).alias("value")).agg((F.sum("tokens") * F.lit(most)).alias("hold"))
-            goals = _within(written(goals.join(hold, "value"), "mixing-goals"), total).select("value", "goal")
-        wanted[margin] = goals
-    factors: dict[str, DataFrame] = {}
-    for _ in range(MOST_ROUNDS):
-        worst = 0.0
-        for margin, goals in wanted.items():
-            sums = _weighted(cells, factors, most).groupBy(F.col(margin).alias("value")).agg(F.sum("weighted").alias("sum"))
-            fitted = sums.join(goals, "value")
-            first = margin not in factors
-            if first:
-                fitted = fitted.withColumn("old", F.lit(1.0))
-            else:
-                fitted = fitted.join(factors[margin].withColumnRenamed("factor", "old"), "value")
-            ratio = F.when(F.col("sum") > 0, F.col("goal") / F.col("sum")).otherwise(0.0)
-            off = F.when(F.col("old") > 0, F.abs(ratio - 1)).otherwise(0.0)
-            fitted = written(fitted.select("value", (F.col("old") * ratio).alias("factor"), off.alias("off")), "mixing-factors")
-            worst = float("inf") if first else max(worst, fitted.agg(F.max("off")).first()[0] or 0.0)
-            factors[margin] = fitted.select("value", "factor")
+            goals = _within(goals, total)
+        fitted = fitted.join(goals.select(F.col("value").alias(margin), F.col("goal").alias(f"goal_{margin}")), margin)
+    fitted = written(fitted, "mixing-cells")
+    few = fitted.count() <= FEW_CELLS
+    for done in range(1, MOST_ROUNDS + 1):
+        fitted = fitted.withColumn("residual", F.lit(0.0))
+        for margin in targets:
+            fitted = _scaled(fitted, margin, most, few)
+        if not few or done % ROUNDS_AT_ONCE == 0:
+            fitted = written(fitted, "mixing-cells")
+        if done % ROUNDS_AT_ONCE:
+            continue
+        worst = fitted.agg(F.max("residual")).first()[0] or 0.0
         if worst <= TOLERANCE:
             break
     else:
         log.warning("a margin was still off by %.2g of its target after %d rounds", worst, MOST_ROUNDS)
-    return _weighted(cells, factors, most)
+    return fitted.select(*columns, _weighted(most).alias("weighted"), "residual")
 
 
 def rates(rows: DataFrame, targets: dict[str, DataFrame] | None, budget: float, once: bool = False) -> DataFrame:
-    """Expected copies of a document by cell, from rows of margins and tokens; with ``once``, one at most."""
+    """Expected copies of a document by cell, and their residual, from rows of margins and tokens; with ``once``, one at most."""
     cells = written(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")), "mixing-cells")
     targets = targets or {margin: tempered(cells, margin) for margin in MARGINS}
     expected = F.lit(budget) * F.col("weighted") / F.col("tokens")
     expected = F.when(F.lit(once) & (expected > 1 - 1e-9), 1.0).otherwise(expected)
-    return written(rake(cells, targets, 1 / budget if once else None).select(*MARGINS, expected.alias("expected")), "mixing-rates")
+    return written(rake(cells, targets, 1 / budget if once else None).select(*MARGINS, expected.alias("expected"), "residual"), "mixing-rates")
 
 
 def _drawn(expected: Column, u: Column) -> Column:
@@ -148,7 +158,7 @@ def _drawn(expected: Column, u: Column) -> Column:
 
 
 def sample(documents: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float = BUDGET) -> DataFrame:
-    """The sampled of ``documents(doc_id, text, lang, source)``: margins, tokens, expected and drawn copies (one or more).
+    """The sampled of ``documents(doc_id, text, lang, source)``: margins, tokens, expected and drawn copies (one or more), residual.
 
     ``targets`` gives shares ``(value, share)`` per margin; by default they are tempered. Null sources and languages are values of
     their own; null and empty texts are prose of one token. Repeated rows are drawn alike. Further columns are ignored; an
@@ -159,7 +169,7 @@ def sample(documents: DataFrame, targets: dict[str, DataFrame] | None = None, bu
         rows.join(rates(rows, targets, budget), MARGINS)
         .withColumn("copies", _drawn(F.col("expected"), F.col("u")))
         .where("copies > 0")
-        .select("doc_id", *MARGINS, "n_tokens", "expected", "copies")
+        .select("doc_id", *MARGINS, "n_tokens", "expected", "copies", "residual")
     )
 
 
