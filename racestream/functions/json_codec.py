@@ -10,7 +10,9 @@ rejects numbers in quotes or with a fraction. The rules, per type of field:
 * DOUBLE: absent, null or blank is NULL; numbers, ``NaN`` and infinities in quotes;
 * STRING: taken as it is, numbers and booleans in their text form (``1.50`` as ``1.5``).
 
-Read as text, the string ``"44.0"`` cannot be told from the number 44.0 and is accepted as one.
+Read as text, the string ``"44.0"`` cannot be told from the number 44.0 and is accepted as one. With ``exact=True`` documents are parsed to
+variants, which keep the type of each value: quoted numbers must be whole for an INT, quoted booleans words, and an object or an array is
+malformed for a STRING; a document that repeats a key is malformed, too.
 Unknown fields are ignored. A value that is no JSON object is malformed.
 """
 
@@ -49,6 +51,17 @@ _CONVERT = {
 _DEFAULT = {T.IntegerType(): "0", T.DoubleType(): "NULL", T.BooleanType(): "false"}
 
 
+# SQL of the text of a field, given that and the kind of its value, where the text alone says too little. The mark '!' fits no type.
+_EXACT = {
+    T.IntegerType(): r"CASE WHEN {kind} = 'STRING' AND NOT {blank} AND NOT {text} RLIKE r'^\s*[+-]?\d+\s*\z' THEN '!' ELSE {text} END",
+    T.DoubleType(): r"{text}",
+    T.BooleanType(): r"""CASE WHEN {kind} IN ('VOID', 'BIGINT', 'BOOLEAN') OR {kind} IS NULL THEN {text}
+        WHEN {kind} = 'STRING' AND ({blank} OR lower(trim({text})) IN ('true', 'false')) THEN {text} ELSE '!' END""",
+    T.StringType(): r"{text}",
+}
+_FIELDS, _PARTS = "_fields", "_parts"
+
+
 def text_schema(schema: T.StructType) -> T.StructType:
     """The same fields, all as text, and a column for documents that cannot be read."""
     fields = [T.StructField(f.name, T.StringType()) for f in schema.fields]
@@ -100,15 +113,38 @@ def apply_policy(rows: DataFrame, on_malformed: str, describe: Column) -> DataFr
     raise ValueError(f"on_malformed must be 'drop', 'fail' or 'keep', got {on_malformed!r}")
 
 
-def decode(df: DataFrame, schema: T.StructType, on_malformed: str = "fail", value: str = "value") -> DataFrame:
-    """Parse the JSON text in column ``value`` once; all other columns are kept.
+def _texts_of_variants(df: DataFrame, schema: T.StructType, value: str, others: list[str]) -> DataFrame:
+    """The rows with ``_document``, the fields as text, by way of variants. Each step is unnested, so that it runs once."""
+    parsed = F.expr(f"try_variant_get(try_parse_json(`{value}`), '$', 'map<string, variant>')")
+    rows = df.select(*others, value, F.explode(F.array(parsed)).alias(_FIELDS))
+    parts = ", ".join(
+        f"try_variant_get({_FIELDS}['{f.name}'], '$', 'string') AS `t_{f.name}`, "
+        f"split(schema_of_variant({_FIELDS}['{f.name}']), '[<(]')[0] AS `k_{f.name}`"
+        for f in schema.fields
+    )
+    rows = rows.selectExpr(*[f"`{c}`" for c in (*others, value)], f"{_FIELDS} IS NULL AS _no_object", f"inline(array(struct(struct({parts}) AS {_PARTS})))")
+    nested = [f"{_PARTS}.`k_{f.name}` IN ('OBJECT', 'ARRAY')" for f in schema.fields if isinstance(f.dataType, T.StringType)]
+    corrupt = " OR ".join(["_no_object", *[f"coalesce({n}, false)" for n in nested]])
+    texts = []
+    for f in schema.fields:
+        text, kind = f"{_PARTS}.`t_{f.name}`", f"{_PARTS}.`k_{f.name}`"
+        texts.append(f"{_EXACT[f.dataType].format(text=text, kind=kind, blank=_blank(text))} AS `{f.name}`")
+    document = f"struct({', '.join(texts)}, CASE WHEN {corrupt} THEN '' END AS {_CORRUPT})"
+    return rows.selectExpr(*[f"`{c}`" for c in (*others, value)], f"inline(array(struct({document} AS {_DOCUMENT})))")
+
+
+def decode(df: DataFrame, schema: T.StructType, on_malformed: str = "fail", value: str = "value", exact: bool = False) -> DataFrame:
+    """Parse the JSON text in column ``value`` once; all other columns are kept. ``exact`` tells quoted values from others.
 
     With ``on_malformed='keep'`` the raw text stays too, next to the flag ``malformed``; split the result
     with ``split_malformed`` to put bad records in quarantine.
     """
     others = [c for c in df.columns if c != value]
-    parsed = F.from_json(F.col(value), text_schema(schema), STRICT_JSON)
-    documents = df.select(*others, value, F.explode(F.array(parsed)).alias(_DOCUMENT))
+    if exact:
+        documents = _texts_of_variants(df, schema, value, others)
+    else:
+        parsed = F.from_json(F.col(value), text_schema(schema), STRICT_JSON)
+        documents = df.select(*others, value, F.explode(F.array(parsed)).alias(_DOCUMENT))
     rows = coerce(documents, schema, [*others, value])
     rows = apply_policy(rows, on_malformed, F.col(value))
     return rows if on_malformed == "keep" else rows.drop(value)

@@ -134,3 +134,52 @@ def odd_dates(table: DataFrame) -> DataFrame:
         for kind, (pattern, offset) in enumerate(_SPELLINGS)
     )
     return table.selectExpr("seq", "t", f"CASE seq % {len(_SPELLINGS) + 1} {cases} END AS text")
+
+
+# Every kind of value that a field of each type can hold, and what it must become: the text of the JSON value (None: the field is left
+# out), the decoded value as SQL, and whether the document is malformed. The field stands in an otherwise intact lap.
+MATRIX = {
+    "lap_number": [
+        (None, "0", False), ("null", "0", False), ('""', "0", False), ('"  "', "0", False), ('"44"', "44", False), ('" 7 "', "7", False),
+        ("44", "44", False), ("44.0", "44", False), ("44.7", "44", False), ("-44.7", "-44", False), ("1e2", "100", False),
+        ('"44.0"', "0", True), ('"1e2"', "0", True), ("true", "0", True), ("{}", "0", True), ("[1]", "0", True), ("3000000000", "0", True),
+        ('"x"', "0", True),
+    ],
+    "is_pit_out_lap": [
+        (None, "false", False), ("null", "false", False), ('""', "false", False), ("1", "true", False), ("0", "false", False),
+        ("true", "true", False), ("false", "false", False), ('"true"', "true", False), ('"False"', "false", False), ("1.5", "false", True),
+        ('"yes"', "false", True), ('"1"', "false", True), ("{}", "false", True), ("[true]", "false", True),
+    ],
+    "lap_duration": [
+        (None, "NULL", False), ("null", "NULL", False), ('""', "NULL", False), ('"20.5"', "20.5", False), ("44", "44", False),
+        ("44.75", "44.75", False), ("1e2", "100", False), ('"NaN"', "'NaN'", False), ("NaN", "NULL", True), ("true", "NULL", True),
+        ("{}", "NULL", True), ('"fast"', "NULL", True),
+    ],
+    "date_start": [
+        (None, "NULL", False), ("null", "NULL", False), ('""', "''", False), ("5", "'5'", False), ("true", "'true'", False),
+        ('"2023"', "'2023'", False), ("{}", "NULL", True), ("[]", "NULL", True), ('{"a":1}', "NULL", True),
+    ],
+}
+
+# Whole documents: their text and whether they are malformed. Those that are not hold lap 1.
+WHOLE = [
+    ('{"lap_number":1}{"lap_number":2}', False),
+    ('{"lap_number":1,"unknown":{"a":[1,2]}}', False),
+    ("", True),
+    ("not json", True),
+    ("null", True),
+    ('[{"lap_number":1}]', True),
+    ('{"lap_number":', True),
+]
+
+_INTACT = {"session_key": "9161", "driver_number": "44", "lap_number": "7", "lap_duration": "80.5", "date_start": '"d"', "is_pit_out_lap": "true"}
+
+
+def matrix_documents() -> list[str]:
+    """The documents of the matrix, field by field, and then the whole ones."""
+    found = []
+    for name, cases in MATRIX.items():
+        for text, _, _ in cases:
+            fields = {**_INTACT, name: text}
+            found.append("{" + ",".join(f'"{k}":{v}' for k, v in fields.items() if v is not None) + "}")
+    return found + [text for text, _ in WHOLE]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from racestream.plans import defects
+
 _EVENTS = """
 ev AS (SELECT event_id, event_type, value, CAST(user_id % 20 + 1 AS INT) AS driver_number,
   CAST(json_extract_string(props, '$.k') AS INT) AS k,
@@ -197,6 +199,32 @@ SELECT seq, CASE WHEN n = 7 THEN 0 ELSE session_key END AS session_key,
   CASE WHEN n IN (0, 3) THEN 44 WHEN n IN (1, 2, 7) THEN NULL ELSE driver_number END AS driver_number
 FROM (SELECT *, seq % 12 AS n FROM race_control) WHERE n NOT IN (4, 5, 6)"""
 
+def _decode_matrix() -> str:
+    intact = {"lap_number": "7", "lap_duration": "80.5", "date_start": "'d'", "is_pit_out_lap": "true"}
+    rows = []
+    for name, cases in defects.MATRIX.items():
+        for _, value, malformed in cases:
+            rows.append({name: "NULL" for name in intact} if malformed else {**intact, name: value})
+    for _, malformed in defects.WHOLE:
+        whole = {"lap_number": "1", "lap_duration": "NULL", "date_start": "NULL", "is_pit_out_lap": "false"}
+        rows.append({name: "NULL" for name in intact} if malformed else whole)
+    bad = [m for cases in defects.MATRIX.values() for *_, m in cases] + [m for _, m in defects.WHOLE]
+    types = {"lap_number": "INT", "lap_duration": "DOUBLE", "date_start": "VARCHAR", "is_pit_out_lap": "BOOLEAN"}
+    values = ", ".join(
+        f"({i}, {str(bad[i]).lower()}, {', '.join(f'CAST({row[c]} AS {kind})' for c, kind in types.items())})" for i, row in enumerate(rows)
+    )
+    return f""",
+m(n, malformed, {", ".join(types)}) AS (VALUES {values})
+SELECT seq, malformed, {", ".join(f"m.{c} AS {c}" for c in types)} FROM laps JOIN m ON m.n = seq % {len(rows)}"""
+
+
+# The last positions of those drivers and records that the parts hold, of the windows that the last part touches.
+_CHANGED = """,
+held AS (SELECT *, time_bucket(INTERVAL 10 SECOND, t) AS w FROM positions WHERE driver_number <= 12 OR seq % 40 < 20 OR seq % 40 = 39),
+l AS (SELECT w, driver_number, max(seq) AS s, max_by(position, seq) AS p FROM held
+  WHERE w IN (SELECT w FROM held WHERE seq % 40 = 39) GROUP BY 1, 2)
+SELECT w AS window_start, p AS position, max_by(driver_number, s) AS driver_number FROM l GROUP BY 1, 2"""
+
 _EVENT_TIME = """,
 o AS (SELECT seq, t, CASE seq % 16 WHEN 0 THEN t WHEN 1 THEN t WHEN 2 THEN date_trunc('second', t)
   WHEN 3 THEN date_trunc('minute', t) WHEN 4 THEN t - INTERVAL 2 HOUR WHEN 5 THEN t + INTERVAL 5 HOUR
@@ -303,5 +331,9 @@ ORACLES: dict[str, str] = {
     "replay_schedule_undated_first": _with(*_ALL) + _MERGED + _UNDATED + _schedule("3.0", "undated"),
     "replay_schedule_undated_dropped": _with(*_ALL) + _MERGED + _DROPPED + _schedule("3.0", "dropped"),
     "published_in_key_order": _with(*_ALL) + _MERGED + _IN_KEY_ORDER,
+    "published_counts": _with(*_ALL) + _MERGED + "\nSELECT topic, count(*) AS records FROM merged GROUP BY topic",
+    "leaderboard_by_increments": _with(_POSITIONS, _LAST) + "SELECT w AS window_start, p AS position, d AS driver_number FROM ranked",
+    "leaderboard_changed_by_increment": _with(_POSITIONS) + _CHANGED,
+    "decode_matrix_exact": _with(_LAPS) + _decode_matrix(),
     "topic_counts": _with(*_ALL) + _MERGED + "\nSELECT topic, count(*) AS records FROM merged GROUP BY topic",
 }

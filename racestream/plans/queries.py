@@ -14,6 +14,7 @@ from racestream import schemas, settings
 from racestream.functions.event_time import event_time
 from racestream.functions.json_codec import decode, encode, split_malformed
 from racestream.operators import alerts as alert_ops
+from racestream.operators import board_increments
 from racestream.operators import enrichment as lap_ops
 from racestream.operators import leaderboard as board_ops
 from racestream.operators import replay as replay_ops
@@ -126,6 +127,16 @@ def _decoded(name: str) -> Query:
     return query
 
 
+def decode_matrix_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """Laps whose documents take all kinds of values in turn; malformed ones without their values."""
+    kinds = F.array(*[F.lit(text) for text in defects.matrix_documents()])
+    laps = read_table(spark, folder, "laps").select("seq")
+    documents = laps.select("seq", F.get(kinds, (F.col("seq") % F.size(kinds)).cast("int")).alias("value"))
+    rows = decode(documents, schemas.LAPS, on_malformed="keep", exact=True)
+    fields = ["lap_number", "lap_duration", "date_start", "is_pit_out_lap"]
+    return rows.select("seq", "malformed", *[F.when(~F.col("malformed"), F.col(c)).alias(c) for c in fields])
+
+
 def malformed_positions(spark: SparkSession, folder: str) -> DataFrame:
     documents = defects.documents(read_table(spark, folder, "positions"), "positions")
     _, bad = split_malformed(decode(documents, schemas.POSITIONS, on_malformed="keep"))
@@ -240,6 +251,34 @@ def published_in_key_order(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def published_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Records by topic, counted while they are published."""
+    counts = replay_job(read_tables(spark, folder), FileTopics(new_folder(spark, "topics")))
+    return spark.createDataFrame(list(counts.items()), "topic STRING, records BIGINT")
+
+
+def leaderboard_by_increments(spark: SparkSession, folder: str) -> DataFrame:
+    """Positions that arrive in five parts, out of order; each is reduced and stored once, and merged with the others."""
+    positions = read_table(spark, folder, "positions")
+    store = new_folder(spark, "board")
+    for part in range(5):
+        board_increments.add(store, part, positions.where(F.col("seq") % 5 == (3 * part + 2) % 5))
+        if part == 2:
+            board_increments.fold(spark, store)
+    return board_ops.rankings(board_increments.last_positions(spark, store)).select(_window_start(), "position", "driver_number")
+
+
+def leaderboard_changed_by_increment(spark: SparkSession, folder: str) -> DataFrame:
+    """The boards of those windows that the last of several parts has touched."""
+    positions = read_table(spark, folder, "positions")
+    store = new_folder(spark, "board")
+    parts = [F.col("driver_number") <= 12, F.col("seq") % 40 < 20, F.col("seq") % 40 == 39]
+    for part, condition in enumerate(parts):
+        board_increments.add(store, part, positions.where(condition))
+    changed = board_increments.last_positions(spark, store, changed_by=2)
+    return board_ops.rankings(changed).select(_window_start(), "position", "driver_number")
+
+
 def topic_counts(spark: SparkSession, folder: str) -> DataFrame:
     return replay_ops.topic_counts(replay_ops.merged(read_tables(spark, folder)))
 
@@ -435,4 +474,8 @@ QUERIES: dict[str, Query] = {
     "replay_schedule_undated_dropped": replay_schedule_undated_dropped,
     "topic_counts": topic_counts,
     "published_in_key_order": published_in_key_order,
+    "published_counts": published_counts,
+    "leaderboard_by_increments": leaderboard_by_increments,
+    "leaderboard_changed_by_increment": leaderboard_changed_by_increment,
+    "decode_matrix_exact": decode_matrix_exact,
 }

@@ -34,11 +34,12 @@ def arranged(
     encode: Callable[[DataFrame], DataFrame] = lambda rows: rows,
     lanes: int = LANES,
     part_rows: int = PART_ROWS,
+    observe: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
     """A written table of ``records(topic, key, ...)`` with ``lane``, ``nth`` (the part's place in its lane) and ``place`` (the record's).
 
     ``order`` must be total within a key. ``encode`` makes the payload; it runs behind the sort, as finding the ranges runs everything
-    before it a second time. Records without a key are one more lane of their topic.
+    before it a second time, and ``observe`` sees the rows as they are written. Records without a key are one more lane of their topic.
     """
     if lanes < 1 or part_rows < 1:
         raise ValueError("lanes and part_rows must be positive")
@@ -47,7 +48,7 @@ def arranged(
     by = ("topic", "lane", *order)
     numbered = laned.repartitionByRange(parts, *by).sortWithinPartitions(*by).withColumn("row", F.monotonically_increasing_id())
     numbered = numbered.withColumns({"part": F.shiftright("row", _ROW_BITS), "row": F.col("row").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))})
-    table = written(encode(numbered), "published")
+    table = written(observe(encode(numbered)), "published")
     parts_of = table.groupBy("topic", "lane", "part").agg(F.count(F.lit(1)).alias("records"), F.min("row").alias("first"))
     in_lane = Window.partitionBy("topic", "lane").orderBy("part")
     before = F.coalesce(F.sum("records").over(in_lane.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

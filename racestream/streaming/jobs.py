@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -175,15 +175,22 @@ def replay_job(
     in_order: bool = True,
     lanes: int = LANES,
     part_rows: int = PART_ROWS,
-) -> None:
+) -> dict[str, int]:
     """Publish the raw tables of a session to their topics, in time order; an empty session publishes nothing.
 
+    Returns the records of each topic that got any, counted as they are written.
+
     The offsets of each key follow its event times, ties in the order of the source, see ``sources.key_order``. Without ``in_order``
     the timeline is written by many tasks at once, in fewer steps, and a broker may receive neighbouring ranges of time side by side;
     the leaderboard of such topics needs ``last_by='event_time'``.
     """
+    observation = Observation()
+    names = [RAW_TABLES[name].topic for name in tables]
+    counts = [F.count_if(F.col("topic") == topic).alias(topic) for topic in names]
+    observe = lambda rows: rows.observe(observation, *counts)
     if in_order:
         records = replay_ops.merged(tables, missing_time)
-        topics.write_in_order(arranged(records, replay_ops.TIMELINE_ORDER, replay_ops.messages, lanes, part_rows))
+        topics.write_in_order(arranged(records, replay_ops.TIMELINE_ORDER, replay_ops.messages, lanes, part_rows, observe))
     else:
-        topics.write(replay_ops.timeline(tables, missing_time))
+        topics.write(observe(replay_ops.timeline(tables, missing_time)))
+    return {topic: n for topic, n in observation.get.items() if n}

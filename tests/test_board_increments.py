@@ -1,0 +1,58 @@
+"""Stored partial aggregates of the leaderboard."""
+
+from pyspark.sql import functions as F
+
+import tables
+from racestream.operators import board_increments
+from racestream.operators.leaderboard import leaderboard, rankings
+
+
+def rows(board):
+    return sorted((r.window.start, r.position, r.driver_number) for r in board.collect())
+
+
+def test_increments_equal_one_batch(spark, tmp_path):
+    whole = tables.positions(spark, [(i * 0.6, i * 7 % 20, i * 3 % 12) for i in range(200)])
+    store = str(tmp_path / "board")
+    for number, part in enumerate((3, 0, 2, 1)):
+        board_increments.add(store, number, whole.where(F.col("seq") % 4 == part))
+        if number in (1, 2):
+            board_increments.fold(spark, store)
+    board_increments.add(store, 3, whole.where(F.col("seq") % 4 == 1))
+    assert rows(rankings(board_increments.last_positions(spark, store))) == rows(leaderboard(whole))
+    left = {r.increment for r in spark.read.parquet(store).select("increment").distinct().collect()}
+    assert left == {-2, 3}
+
+
+def test_an_increment_reads_stored_partials_only(spark, tmp_path):
+    store = str(tmp_path / "board")
+    many = tables.positions(spark, [(i % 10, 44, i % 5) for i in range(500)])
+    board_increments.add(store, 0, many)
+    board_increments.add(store, 1, tables.positions(spark, [(25, 63, 1)]))
+    merged = board_increments.last_positions(spark, store)
+    assert spark.read.parquet(store).count() == 2 and merged.count() == 2
+    files = merged.inputFiles()
+    assert files and all(store in f for f in files)
+    changed = board_increments.last_positions(spark, store, changed_by=1).collect()
+    assert [(r.driver_number, r.position) for r in changed] == [(63, 1)]
+
+
+def test_sessions_stay_apart(spark, tmp_path):
+    store = str(tmp_path / "board")
+    for number, session in enumerate((1, 2)):
+        board_increments.add(store, number, tables.positions(spark, [(1, 44, session)], session=session), by_session=True)
+    found = board_increments.last_positions(spark, store).collect()
+    assert sorted((r.session_key, r.position) for r in found) == [(1, 1), (2, 2)]
+
+
+def test_folding_again_after_a_failure(spark, tmp_path, monkeypatch):
+    store = str(tmp_path / "board")
+    whole = tables.positions(spark, [(i, i % 3, i % 4) for i in range(60)])
+    for number in range(3):
+        board_increments.add(store, number, whole.where(F.col("seq") % 3 == number))
+    monkeypatch.setattr(board_increments, "remove", lambda *_: None)
+    board_increments.fold(spark, store)
+    monkeypatch.undo()
+    assert rows(rankings(board_increments.last_positions(spark, store))) == rows(leaderboard(whole))
+    board_increments.fold(spark, store)
+    assert rows(rankings(board_increments.last_positions(spark, store))) == rows(leaderboard(whole))

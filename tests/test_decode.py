@@ -119,3 +119,16 @@ def test_parsed_once_even_under_a_filter(mixed):
 def test_encode_writes_nulls(spark):
     rows = spark.sql("SELECT 1 AS a, CAST(NULL AS STRING) AS b, CAST(NULL AS DOUBLE) AS c")
     assert rows.select(encode("a", "b", "c").alias("v")).first().v == '{"a":1,"b":null,"c":null}'
+
+
+def test_exact_decoding_tells_types_apart(spark):
+    """Read as text these are the same; a document is parsed once."""
+    documents = ['{"position":"44.0"}', '{"position":44.0}', '{"date":{}}', '{"date":"{}"}', '{"position":1,"position":2}', None]
+    rows = spark.createDataFrame([(d,) for d in documents], "value STRING")
+    exact = decode(rows, POSITIONS, on_malformed="keep", exact=True)
+    found = {r.value: (r.position, r.date, r.malformed) for r in exact.collect()}
+    assert found['{"position":"44.0"}'][2] and found['{"date":{}}'][2] and found[None][2]
+    assert found['{"position":44.0}'] == (44, None, False) and found['{"date":"{}"}'] == (0, "{}", False)
+    assert found['{"position":1,"position":2}'][2]
+    plan = exact._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parse_json") == 1 or plan.lower().count("parsejson") == 1

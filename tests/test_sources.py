@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 import tables
 from racestream import settings
 from racestream.schemas import LAPS, POSITIONS, TOPIC_RECORD
-from racestream.sources.landing import FOLDERS, read_landed, read_session
+from racestream.sources.landing import FOLDERS, files_without_rows, read_landed, read_session
 from racestream.sources.topics import FileTopics, KafkaTopics, typed
 from racestream.streaming.jobs import replay_job
 
@@ -112,3 +112,22 @@ def test_settings():
     assert settings.Settings.from_env(env) == settings.Settings("b:1", 7, 4.0)
     with pytest.raises(ValueError):
         settings.Settings.from_env({"REPLAY_SPEED": "0"})
+
+
+@pytest.mark.parametrize("format", ["parquet", "json"])
+def test_unreadable_files_are_left_out_and_named(spark, tmp_path, format):
+    path = tmp_path / "position"
+    rows = spark.createDataFrame([(7, 44, i, "2023-05-28T13:00:00Z") for i in range(1, 401)], POSITIONS)
+    rows.repartition(2).write.format(format).option("compression", "gzip").save(str(path))
+    first, second = sorted(path.glob("part-*"))
+    good = spark.read.schema(POSITIONS).format(format).load(str(second)).count()
+    first.write_bytes(first.read_bytes()[:8])
+    (path / f".{first.name}.crc").unlink()
+    with pytest.raises(Exception):
+        read_landed(spark, str(path), "positions", format=format).collect()
+    rows = read_landed(spark, str(path), "positions", format=format, on_unreadable="skip")
+    assert rows.count() == len(rows.collect()) == good
+    named = files_without_rows(spark, str(path), "positions", format).collect()
+    assert [(r.path.rpartition("/")[2], r.length) for r in named] == [(first.name, 8)]
+    with pytest.raises(ValueError):
+        read_landed(spark, str(path), "positions", on_unreadable="maybe")
