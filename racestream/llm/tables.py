@@ -33,6 +33,16 @@ def n_words(text: Column) -> Column:
     return F.size(F.filter(parts, lambda w: w != ""))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of as many rows as are worked on at a time, unless the session sets their size.
+
+    By default they have ten thousand, which JVM and Python hold several times over.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(ROWS))
+
+
 def ship(spark: SparkSession) -> None:
     """Sends the package to the Python workers, as ``--py-files`` would; once per application."""
     context = spark.sparkContext
