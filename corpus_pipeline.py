@@ -10,32 +10,37 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from racestream.llm import host_quality, minhash, mixing, packing, personal_data
-from racestream.llm.tables import read
+from racestream.llm.tables import read, small_batches
 from racestream.session import written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail no rule, from hosts that are not condemned."""
+    small_batches(spark)
     return host_quality.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose five-word shingles have a similarity of 0.8 or more."""
+    small_batches(spark)
     return minhash.keep_one(docs, words=5, percent=80)
 
 
 def personal_data_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind."""
+    small_batches(spark)
     return personal_data.mask(docs)
 
 
 def target_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn so that sources, languages and topics approach their tempered shares."""
+    small_batches(spark)
     return mixing.thin(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 2048 tokens."""
+    small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
