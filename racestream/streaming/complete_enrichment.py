@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
@@ -31,7 +31,7 @@ from racestream.sources.topics import is_path_missing
 # Laps are settled by buckets of this length.
 BUCKET_SECONDS = 60
 
-_MARKS = T.StructType([T.StructField("lap", T.LongType()), T.StructField("pit", T.LongType())])
+_MARKS = T.StructType([T.StructField(name, T.LongType()) for name in ("lap", "pit", "rows")])
 
 
 @dataclass(frozen=True)
@@ -67,16 +67,28 @@ def _micros(spark: SparkSession, interval: str) -> int:
     return spark.range(1).select(F.unix_micros(F.timestamp_micros(F.lit(0)) + F.expr(f"INTERVAL {interval}"))).first()[0]
 
 
-def _marks(spark: SparkSession, folder: str, batch_id: int) -> tuple[int | None, int | None]:
-    """The newest event times of both inputs, through a micro-batch."""
-    if batch_id < 0:
-        return None, None
-    return tuple(spark.read.schema(_MARKS).parquet(f"{folder}/marks/batch={batch_id}").first())
+@dataclass(frozen=True)
+class Marks:
+    """The newest event times of both inputs through a micro-batch, and how many rows have come until then."""
+
+    lap: int | None = None
+    pit: int | None = None
+    rows: int = 0
 
+    @classmethod
+    def read(cls, spark: SparkSession, folder: str, batch_id: int) -> "Marks":
+        return cls() if batch_id < 0 else cls(*spark.read.schema(_MARKS).parquet(f"{folder}/marks/batch={batch_id}").first())
 
-def _newest(rows: DataFrame, before: tuple[int | None, int | None]) -> tuple[int | None, int | None]:
-    now = rows.agg(*[F.unix_micros(F.max(F.when(F.col("source_rank") == r, F.col("t")))) for r in (LAP_RANK, PIT_RANK)]).first()
-    return tuple(max((t for t in pair if t is not None), default=None) for pair in zip(before, now))
+    def write(self, spark: SparkSession, folder: str, batch_id: int) -> None:
+        frame = spark.createDataFrame([(self.lap, self.pit, self.rows)], _MARKS)
+        frame.coalesce(1).write.mode("overwrite").parquet(f"{folder}/marks/batch={batch_id}")
+
+    def after(self, rows: DataFrame, late: Column) -> tuple["Marks", int]:
+        """The marks after some more rows, and how many of those are late, in one pass."""
+        newest = [F.unix_micros(F.max(F.when(F.col("source_rank") == r, F.col("t")))) for r in (LAP_RANK, PIT_RANK)]
+        lap, pit, count, n_late = rows.agg(*newest, F.count(F.lit(1)), F.count_if(late)).first()
+        latest = lambda a, b: max((t for t in (a, b) if t is not None), default=None)
+        return Marks(latest(self.lap, lap), latest(self.pit, pit), self.rows + count), n_late
 
 
 def _bucketed(rows: DataFrame) -> DataFrame:
@@ -111,6 +123,13 @@ def _forget(spark: SparkSession, folder: str, first_open: int | None) -> None:
         remove(spark, f"{folder}/rows/batch=*/bucket=*", lambda name: int(name.partition("=")[2]) < first_open)
 
 
+def _limit(found: DataFrame, marks: Marks, max_group_rows: int | None) -> int | None:
+    """The limit beyond which keys are cut; none is needed if there are no more rows than that, and their keys need not be counted."""
+    if max_group_rows is None or marks.rows <= max_group_rows or found.count() <= max_group_rows:
+        return None
+    return max_group_rows
+
+
 def enrich_complete_stream(
     laps: DataFrame,
     pits: DataFrame,
@@ -127,7 +146,7 @@ def enrich_complete_stream(
     A lap is given out once: when the watermark is ``max_lap`` past the end of its bucket, matched or not. The watermark is that of the
     slower input, but never more than ``idle`` behind the faster one, so that an input that falls silent does not stop the
     other. Laps that come after their bucket was settled, or have no time, are not given out, as their pit stops may be gone; they
-    are kept in ``<state_folder>/late``. What still waits when the input ends is given out by ``release``.
+    are kept in ``<state_folder>/late``, where a micro-batch that has any adds a folder, and the first one always. What still waits when the input ends is given out by ``release``.
 
     ``write`` may be called again for a batch after a failure, and is not called if nothing fell due; ``state_folder`` must be
     shared by all executors and belong to one checkpoint.
@@ -139,23 +158,25 @@ def enrich_complete_stream(
         session = batch.sparkSession
         rows = _bucketed(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            before = _marks(session, state_folder, batch_id - 1)
-            after = _newest(rows, before)
-            session.createDataFrame([after], _MARKS).write.mode("overwrite").parquet(f"{state_folder}/marks/batch={batch_id}")
-            done, due = (settling.settled_through(settling.mark(*newest)) for newest in (before, after))
-            _forget(session, state_folder, None if done is None else done + 1)
-            remove(session, f"{state_folder}/marks/batch=*", lambda name: int(name.partition("=")[2]) < batch_id - 1)
-
+            before = Marks.read(session, state_folder, batch_id - 1)
+            done = settling.settled_through(settling.mark(before.lap, before.pit))
             in_time = F.col("bucket") > F.lit(done) if done is not None else F.col("bucket").isNotNull()
             in_time = F.coalesce(in_time, F.lit(False))
-            late = rows.where(~in_time & (F.col("source_rank") == LAP_RANK))
-            late.drop("bucket").write.mode("overwrite").parquet(f"{state_folder}/late/batch={batch_id}")
+            is_late = ~in_time & (F.col("source_rank") == LAP_RANK)
+            after, n_late = before.after(rows, is_late)
+            after.write(session, state_folder, batch_id)
+            due = settling.settled_through(settling.mark(after.lap, after.pit))
+            if done is not None:
+                _forget(session, state_folder, done + 1)
+            remove(session, f"{state_folder}/marks/batch=*", lambda name: int(name.partition("=")[2]) < batch_id - 1)
+            if n_late or batch_id == 0:
+                rows.where(is_late).drop("bucket").write.mode("overwrite").parquet(f"{state_folder}/late/batch={batch_id}")
             target = f"{state_folder}/rows/batch={batch_id}"
             rows.where(in_time).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(target)
             if due is not None and (done is None or due > done):
                 stored = _stored(session, state_folder, batch.schema, batch_id)
                 found = _due(stored, None if done is None else done + 1, due, settling.buckets_ahead)
-                write(look_ahead(found, keys, max_lap, max_group_rows), batch_id)
+                write(look_ahead(found, keys, max_lap, _limit(found, after, max_group_rows)), batch_id)
         finally:
             rows.unpersist()
 
@@ -180,8 +201,9 @@ def release(
     settling = Settling(*(_micros(spark, interval) for interval in (max_lap, watermark, idle)))
     batches = spark.read.schema(T.StructType([*_MARKS.fields, T.StructField("batch", T.LongType())]))
     batch_id = batches.parquet(f"{state_folder}/marks").agg(F.max("batch")).first()[0]
-    done = settling.settled_through(settling.mark(*_marks(spark, state_folder, batch_id)))
+    marks = Marks.read(spark, state_folder, batch_id)
+    done = settling.settled_through(settling.mark(marks.lap, marks.pit))
     waiting = _due(_stored(spark, state_folder, schema), None if done is None else done + 1, None, 0)
-    write(look_ahead(waiting, keys, max_lap, max_group_rows), batch_id + 1)
+    write(look_ahead(waiting, keys, max_lap, _limit(waiting, marks, max_group_rows)), batch_id + 1)
     remove(spark, f"{state_folder}/rows")
     remove(spark, f"{state_folder}/marks")
