@@ -74,8 +74,9 @@ def files_of(spark: SparkSession, checkpoint: str, source: int = 0) -> DataFrame
     files = log.select(F.from_json("line", "path STRING, batchId BIGINT").alias("f")).select("f.*").distinct()
     ranges = _ranges(micro_batches(spark, checkpoint), source, "logOffset BIGINT")
     ranges = ranges.select("batch_id", F.col("end.logOffset").alias("last"), F.coalesce("start.logOffset", F.lit(-1)).alias("before"))
-    inside = (F.col("batchId") > F.col("before")) & (F.col("batchId") <= F.col("last"))
-    return files.join(F.broadcast(ranges), inside).select("batch_id", _same_form(F.col("path")).alias("path"))
+    # A batch reads a stretch of the source's own log, none if there was nothing new.
+    logged = ranges.where("last > before").select("batch_id", F.explode(F.sequence(F.col("before") + 1, F.col("last"))).alias("batchId"))
+    return files.join(logged, "batchId").select("batch_id", _same_form(F.col("path")).alias("path"))
 
 
 def of_files(records: DataFrame, files: DataFrame) -> DataFrame:
