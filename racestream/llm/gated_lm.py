@@ -4,8 +4,10 @@ Tokens are words (ASCII capitals as small letters) and one end per text. Token c
 frequent tokens have output weights of their own, in classes of equal size; further ones share a class with tokens of similar
 rank, and within it the probability (count + 1) / sum. The output softmax is factored accordingly: class, then token.
 
-* Training: truncated backpropagation through time in numpy over all whole texts of the training fold, by one task per partition;
-  after each round their weights are averaged by tokens.
+* Training: truncated backpropagation through time in numpy, once over all whole texts of the training fold. Texts are dealt by the
+  hash of their ids to shards of about as many tokens whatever the size of the corpus, in an order that follows from the ids. A
+  round trains its shards side by side from the same weights and averages them by tokens, in whole numbers, on the executors; each
+  round takes twice as many shards as the one before. So the weights follow from the documents, not from partitions or tasks.
 * Scoring: texts are laid end to end in lanes, a window at a time; one matrix product per step moves all lanes on, and the state
   is carried from window to window until a text ends. So every text is scored whole, whatever its length.
 * The counts of rare tokens, whose number grows with the corpus, are joined, not broadcast.
@@ -14,11 +16,10 @@ rank, and within it the probability (count + 1) / sum. The output softmax is fac
 from __future__ import annotations
 
 import math
-import pickle
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import islice
+from itertools import groupby, islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,19 +37,22 @@ END = "\n"
 #: Tokens whose counts are broadcast, by falling count; at most about 10 MB. Those of all others are joined.
 FREQUENT = 200_000
 #: Tokens with output weights of their own cover this part of the training fold, and are so many at least; how many make a class.
-COVERAGE, LEAST_LEARNED, CLASS_SIZE = 0.6, 1024, 32
+COVERAGE, LEAST_LEARNED, CLASS_SIZE = 0.6, 1024, 64
 #: Further classes take twice as many ranks each, up to the frequent ones; the last class holds all others.
-HIDDEN = 24
+HIDDEN = 16
 
-#: The parts of the training fold that the rounds of a pass take, in 32nds: the weights of the tasks are averaged after each.
-ROUNDS = [1, 1, 2, 4, 8, 8, 8]
-#: A training fold of fewer tokens is passed over several times, up to so many, each time as one round.
-PASS_TOKENS, MOST_PASSES = 4_000_000, 4
+#: Tokens of a shard, about: what is trained in sequence between two averages.
+SHARD_TOKENS = 1 << 20
 TRAIN_LANES, TRAIN_WINDOW = 256, 32
-#: Step size, and the tokens behind one step; a last step of fewer is shorter.
+#: Step size in the first round, and the tokens behind one step; a last step of fewer is shorter.
 RATE, STEP_TOKENS = 0.01, 4096
+#: Averages are sums of whole numbers, so that their order does not matter: changes of weights in millionths (about), at most
+#: eight, times thousands (about) of tokens. They are exact up to some 10^15 tokens. Sums travel in blocks of so many weights.
+UNIT, MOST_CHANGE, BLOCK = 2.0**20, 8.0, 1 << 14
+#: Tasks of a round at most; further shards share them.
+MOST_TASKS = 1 << 15
 
-LANES, WINDOW = 384, 128
+LANES, WINDOW = 384, 64
 #: Bytes of text, and one text more, whose tokens a worker holds at a time.
 PART_BYTES = 16 << 20
 
@@ -127,8 +131,7 @@ class Vocabulary:
         self.known = np.append(self.counts > 0, False)
 
     def ids(self, tokens: list[bytes]) -> np.ndarray:
-        rank, others = self.rank, self.others
-        return np.fromiter((rank.get(t, others) for t in tokens), np.int32, len(tokens))
+        return np.fromiter(map(self.rank.get, tokens, repeat(self.others)), np.int32, len(tokens))
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
@@ -180,41 +183,74 @@ def initial(v: Vocabulary) -> Weights:
     }
 
 
-def _sigmoid(a: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * a) + 0.5
+def _advance(
+    w: Weights, h: np.ndarray, x: np.ndarray, first: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All steps of a window: the states before and after each step, the gates z, r and n, and what r lets through.
 
-
-def _log_softmax(a: np.ndarray) -> np.ndarray:
-    a = a - a.max(-1, keepdims=True)
-    return a - np.log(np.exp(a).sum(-1, keepdims=True))
+    Arrays are steps by units by lanes, so that a gate of all lanes is one piece of memory; ``h`` is units by lanes.
+    """
+    steps, lanes = x.shape
+    half = np.ones(3 * HIDDEN, w["x"].dtype)
+    half[: 2 * HIDDEN] = 0.5  # the logistic function by the hyperbolic tangent of half its argument
+    gates = np.ascontiguousarray(((w["x"] + w["b"]) * half)[x].transpose(0, 2, 1))
+    u = np.ascontiguousarray((w["u"] * half).T)
+    before = np.empty((steps, HIDDEN, lanes), gates.dtype)
+    after, through = np.empty_like(before), np.empty_like(before)
+    begins = first.any(1)
+    for t in range(steps):
+        np.multiply(h, ~first[t], out=before[t]) if begins[t] else np.copyto(before[t], h)
+        a = u @ before[t]
+        zr, n = gates[t, : 2 * HIDDEN], gates[t, 2 * HIDDEN :]
+        zr += a[: 2 * HIDDEN]
+        np.tanh(zr, out=zr)
+        zr *= 0.5
+        zr += 0.5
+        through[t] = a[2 * HIDDEN :]
+        n += zr[HIDDEN:] * through[t]
+        np.tanh(n, out=n)
+        h = after[t]
+        np.subtract(before[t], n, out=h)
+        h *= zr[:HIDDEN]
+        h += n
+    return before, after, gates, through
+
+
+def _by_class(v: Vocabulary, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The class of each target, an order that sorts them by class, and where the learned classes begin in it."""
+    classes = v.token_class[target]
+    order = np.argsort(classes, kind="stable")
+    return classes, order, np.searchsorted(classes[order], np.arange(v.learned_classes + 1))
 
 
-def _step(w: Weights, h: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, ...]:
-    """One step of all lanes: the new state, and the gates."""
-    g = w["x"][x] + w["b"]
-    a = h @ w["u"]
-    zr = _sigmoid(g[:, : 2 * HIDDEN] + a[:, : 2 * HIDDEN])
-    z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-    n = np.tanh(g[:, 2 * HIDDEN :] + r * a[:, 2 * HIDDEN :])
-    return n + z * (h - n), z, r, n, a[:, 2 * HIDDEN :]
+def _normalized(a: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Turns rows of logits into probabilities, in place, and returns the logarithms of the chosen ones."""
+    a -= a.max(1, keepdims=True)
+    value = a[np.arange(len(a)), chosen]
+    np.exp(a, out=a)
+    sums = a.sum(1, keepdims=True)
+    a /= sums
+    return value - np.log(sums[:, 0])
 
 
 def log10_shares(w: Weights, v: Vocabulary, h: np.ndarray, target: np.ndarray) -> np.ndarray:
     """log10 of each target's probability after its state, but for the share of a token of the last class."""
-    rows = np.arange(len(target))
-    classes = v.token_class[target]
-    value = _log_softmax(h @ w["c"] + w["cb"])[rows, classes].astype(np.float64)
-    order = np.argsort(classes, kind="stable")
-    ends = np.searchsorted(classes[order], np.arange(v.learned_classes + 1))
-    for k in range(v.learned_classes):
-        chosen = order[ends[k] : ends[k + 1]]
-        if len(chosen):
-            of = slice(k * CLASS_SIZE, (k + 1) * CLASS_SIZE)
-            inside = _log_softmax(h[chosen] @ w["w"][of].T + w["wb"][of])
-            value[chosen] += inside[np.arange(len(chosen)), target[chosen] - k * CLASS_SIZE]
+    classes, order, ends = _by_class(v, target)
+    value = _normalized(h @ w["c"] + w["cb"], classes).astype(np.float64)
+    used, goal = h[order], target[order]
+    inside = np.zeros(len(order))
+    for k in np.flatnonzero(np.diff(ends)):
+        part, of = slice(ends[k], ends[k + 1]), slice(k * CLASS_SIZE, (k + 1) * CLASS_SIZE)
+        inside[part] = _normalized(used[part] @ w["w"][of].T + w["wb"][of], goal[part] - k * CLASS_SIZE)
+    value[order] += inside
     return value / math.log(10) + v.inside[target]
 
 
+def _in_rows(states: np.ndarray) -> np.ndarray:
+    """Steps by units by lanes as rows of units, in the order of steps and lanes."""
+    return np.ascontiguousarray(states.transpose(0, 2, 1)).reshape(-1, states.shape[1])
+
+
 class Lanes:
     """Texts one after another in lanes, laid out a window at a time: a lane that ends its text takes the next one.
 
@@ -266,18 +302,12 @@ def score(w: Weights, v: Vocabulary, texts: list[np.ndarray], lanes: int = LANES
     order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
     sums = np.zeros(len(texts))
     laid = Lanes((texts[i] for i in order), lanes, v.rank[END.encode()], WINDOW)
-    h = np.zeros((len(laid.kept), HIDDEN), np.float32)
+    h = np.zeros((HIDDEN, len(laid.kept)), np.float32)
     while len(laid.x):
-        h = h[laid.kept]
-        inputs = v.as_input[laid.x]
-        states = np.empty((*laid.x.shape, HIDDEN), np.float32)
-        for t, begins in enumerate(laid.first):
-            if begins.any():
-                h[begins] = 0
-            h = _step(w, h, inputs[t])[0]
-            states[t] = h
+        states = _advance(w, h[:, laid.kept], v.as_input[laid.x], laid.first)[1]
+        h = states[-1]
         real = laid.y.reshape(-1) >= 0
-        shares = log10_shares(w, v, states.reshape(-1, HIDDEN)[real], laid.y.reshape(-1)[real])
+        shares = log10_shares(w, v, _in_rows(states)[real], laid.y.reshape(-1)[real])
         np.add.at(sums, laid.owner.reshape(-1)[real], shares)
         laid.advance()
     total = np.zeros(len(texts))
@@ -285,7 +315,7 @@ def score(w: Weights, v: Vocabulary, texts: list[np.ndarray], lanes: int = LANES
     return total
 
 
-def train(w: Weights, v: Vocabulary, texts: Iterable[np.ndarray]) -> tuple[Weights, int]:
+def train(w: Weights, v: Vocabulary, texts: Iterable[np.ndarray], rate: float = RATE) -> tuple[Weights, int]:
     """One pass over the texts: truncated backpropagation in windows whose state is carried on, with adaptive steps.
 
     A step takes the windows of ``STEP_TOKENS`` tokens or more, so that a few long texts left over do not steer many steps.
@@ -294,26 +324,26 @@ def train(w: Weights, v: Vocabulary, texts: Iterable[np.ndarray]) -> tuple[Weigh
     w = {name: value.copy() for name, value in w.items()}
     moments = {name: (np.zeros_like(value), np.zeros_like(value)) for name, value in w.items()}
     laid = Lanes(texts, TRAIN_LANES, v.rank[END.encode()], TRAIN_WINDOW)
-    h = np.zeros((len(laid.kept), HIDDEN), np.float32)
+    h = np.zeros((HIDDEN, len(laid.kept)), np.float32)
     step = tokens = held = 0
     sums: Weights = {}
     while len(laid.x):
         n = int((laid.y >= 0).sum())
-        slopes, h = _window(w, v, h[laid.kept], v.as_input[laid.x], laid.y, laid.first)
+        slopes, h = _window(w, v, h[:, laid.kept], v.as_input[laid.x], laid.y, laid.first)
         sums = {name: slope * np.float32(n) + (sums[name] if held else 0) for name, slope in slopes.items()}
         tokens, held = tokens + n, held + n
         more = laid.advance()
         if held < STEP_TOKENS and more:
             continue
         step += 1
-        rate = RATE * min(1.0, held / STEP_TOKENS)
+        size = rate * min(1.0, held / STEP_TOKENS) / (1 - 0.9**step)
         for name, total in sums.items():
             slope = total / np.float32(held)
             first, second = moments[name]
             first += np.float32(0.1) * (slope - first)
             second += np.float32(0.01) * (slope * slope - second)
-            size = np.sqrt(second / np.float32(1 - 0.99**step)) + np.float32(1e-6)
-            w[name] -= np.float32(rate / (1 - 0.9**step)) * first / size
+            spread = np.sqrt(second / np.float32(1 - 0.99**step)) + np.float32(1e-6)
+            w[name] -= np.float32(size) * first / spread
         held = 0
     return w, tokens
 
@@ -322,130 +352,183 @@ def _window(
     w: Weights, v: Vocabulary, h: np.ndarray, x: np.ndarray, y: np.ndarray, first: np.ndarray
 ) -> tuple[Weights, np.ndarray]:
     """Gradients of the mean loss of a window, and the state after it."""
-    steps, lanes = x.shape
-    kept = []
-    for t in range(steps):
-        before = np.where(first[t][:, None], np.float32(0), h)
-        h, z, r, n, a = _step(w, before, x[t])
-        kept.append((before, z, r, n, a, h))
+    before, after, gates, through = _advance(w, h, x, first)
+    h = after[-1]
     slopes = {name: np.zeros_like(value) for name, value in w.items()}
-    states = np.stack([k[-1] for k in kept]).reshape(-1, HIDDEN)
     target = y.reshape(-1)
     real = np.flatnonzero(target >= 0)
     if not len(real):
         return slopes, h
-    target, used = target[real], states[real]
-    scale = np.float32(1 / len(real))
-    classes = v.token_class[target]
-    error = np.exp(_log_softmax(used @ w["c"] + w["cb"]))
+    target, used = target[real], _in_rows(after)[real]
+    scale = 1 / len(real)
+    classes, order, ends = _by_class(v, target)
+    error = used @ w["c"] + w["cb"]
+    _normalized(error, classes)
     error[np.arange(len(real)), classes] -= 1
     error *= scale
     slopes["c"] += used.T @ error
     slopes["cb"] += error.sum(0)
     d_used = error @ w["c"].T
-    order = np.argsort(classes, kind="stable")
-    ends = np.searchsorted(classes[order], np.arange(v.learned_classes + 1))
+    used, goal, d_inside = used[order], target[order], np.zeros_like(used)
     for k in np.flatnonzero(np.diff(ends)):
-        chosen = order[ends[k] : ends[k + 1]]
-        of = slice(k * CLASS_SIZE, (k + 1) * CLASS_SIZE)
-        error = np.exp(_log_softmax(used[chosen] @ w["w"][of].T + w["wb"][of]))
-        error[np.arange(len(chosen)), target[chosen] - k * CLASS_SIZE] -= 1
+        part, of = slice(ends[k], ends[k + 1]), slice(k * CLASS_SIZE, (k + 1) * CLASS_SIZE)
+        error = used[part] @ w["w"][of].T + w["wb"][of]
+        _normalized(error, goal[part] - k * CLASS_SIZE)
+        error[np.arange(len(error)), goal[part] - k * CLASS_SIZE] -= 1
         error *= scale
-        slopes["w"][of] += error.T @ used[chosen]
-        slopes["wb"][of] += error.sum(0)
-        d_used[chosen] += error @ w["w"][of]
-    d_states = np.zeros_like(states)
+        slopes["w"][of] = error.T @ used[part]
+        slopes["wb"][of] = error.sum(0)
+        d_inside[part] = error @ w["w"][of]
+    d_used[order] += d_inside
+    steps, lanes = x.shape
+    d_states = np.zeros((steps * lanes, HIDDEN), used.dtype)
     d_states[real] = d_used
-    d_states = d_states.reshape(steps, lanes, HIDDEN)
-    d_h = np.zeros((lanes, HIDDEN), np.float32)
-    d_gates = np.empty((steps, lanes, 3 * HIDDEN), np.float32)
+    d_states = np.ascontiguousarray(d_states.reshape(steps, lanes, HIDDEN).transpose(0, 2, 1))
+    z, r, n = gates[:, :HIDDEN], gates[:, HIDDEN : 2 * HIDDEN], gates[:, 2 * HIDDEN :]
+    to_n = (1 - z) * (1 - n * n)
+    to_z = (before - n) * z * (1 - z)
+    to_r = through * r * (1 - r)
+    d_gates, d_n = np.empty_like(gates), np.empty_like(before)
+    d_h = np.zeros((HIDDEN, lanes), used.dtype)
+    begins = first.any(1)
     for t in range(steps - 1, -1, -1):
-        before, z, r, n, a, _ = kept[t]
-        d_h = d_h + d_states[t]
-        d_n = d_h * (1 - z) * (1 - n * n)
-        d_z = d_h * (before - n) * z * (1 - z)
-        d_r = d_n * a * r * (1 - r)
-        d_gates[t] = np.concatenate([d_z, d_r, d_n], 1)
-        through = np.concatenate([d_z, d_r, d_n * r], 1)
-        slopes["u"] += before.T @ through
-        d_h = (d_h * z + through @ w["u"].T) * ~first[t][:, None]
+        d_h += d_states[t]
+        np.multiply(d_h, to_n[t], out=d_n[t])
+        np.multiply(d_h, to_z[t], out=d_gates[t, :HIDDEN])
+        np.multiply(d_n[t], to_r[t], out=d_gates[t, HIDDEN : 2 * HIDDEN])
+        np.multiply(d_n[t], r[t], out=d_gates[t, 2 * HIDDEN :])
+        d_h *= z[t]
+        d_h += w["u"] @ d_gates[t]
+        if begins[t]:
+            d_h *= ~first[t]
+    slopes["u"] += _in_rows(before).T @ _in_rows(d_gates)
+    d_gates[:, 2 * HIDDEN :] = d_n
+    rows = _in_rows(d_gates)
     order = np.argsort(x.reshape(-1), kind="stable")
     inputs = x.reshape(-1)[order]
     starts = np.flatnonzero(np.append(True, inputs[1:] != inputs[:-1]))
-    slopes["x"][inputs[starts]] = np.add.reduceat(d_gates.reshape(-1, 3 * HIDDEN)[order], starts, axis=0)
-    slopes["b"] += d_gates.sum((0, 1))
+    slopes["x"][inputs[starts]] = np.add.reduceat(rows[order], starts, axis=0)
+    slopes["b"] += rows.sum(0)
     norm = math.sqrt(sum(float((s**2).sum()) for s in slopes.values()))
     if norm > 1:
-        slopes = {name: s / np.float32(norm) for name, s in slopes.items()}
+        slopes = {name: s * (1 / norm) for name, s in slopes.items()}
     return slopes, h
 
 
-def _rounds(v: Vocabulary) -> list[tuple[int, int]]:
-    """What each round takes of the 32 parts of the training fold, as the first and the last; every pass takes all."""
-    if v.total < PASS_TOKENS:
-        return [(0, 31)] * min(MOST_PASSES, -(-PASS_TOKENS // max(v.total, 1)))
-    ends = np.cumsum(ROUNDS)
-    return [(int(end - n), int(end) - 1) for end, n in zip(ends, ROUNDS)]
+def n_shards(v: Vocabulary) -> int:
+    return max(1, -(-v.total // SHARD_TOKENS))
+
+
+def n_rounds(v: Vocabulary) -> int:
+    """Rounds take 1, 2, 4 ... shards; the last one what is left."""
+    return n_shards(v).bit_length()
 
 
 def _numbered(documents: DataFrame, v: Vocabulary) -> DataFrame:
-    """``(ids, part)`` of every text of the training fold, written by part; ids as inputs, in as few bytes as hold them."""
+    """``(ids, dealt, shard, round)`` of every text of the training fold, written by round.
+
+    Ids are inputs, in as few bytes as hold them; ``dealt`` gives the order within a shard.
+    """
     spark = documents.sparkSession
     ship(spark)
     known = spark.sparkContext.broadcast(v)
     kind = np.min_scalar_type(v.n_inputs)
-    schema = "ids binary, part int"
-    target = pa.schema([("ids", pa.binary()), ("part", pa.int32())])
+    schema = "ids binary, dealt long, shard long, round int"
+    target = pa.schema([("ids", pa.binary()), ("dealt", pa.int64()), ("shard", pa.int64()), ("round", pa.int32())])
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = known.value
         for part in (part for batch in batches for part in _parts(batch)):
             ids = [v.as_input[v.ids(words(text))].astype(kind).tobytes() for text in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), part.column("part")], schema=target)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), *part.columns[1:]], schema=target)
 
-    first_of = [first for first, _ in sorted(set(_rounds(v)))]
-    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(32))
-    part = sum(((drawn >= first).cast("int") for first in first_of[1:]), F.lit(0))
-    texts = doc_texts(documents).where(_fold("doc_id") != 2).select("text", part.cast("int").alias("part"))
+    dealt = F.xxhash64("doc_id")
+    shard = F.pmod(dealt, F.lit(n_shards(v)).cast("long"))
+    of_round = F.length(F.bin(shard + 1)) - 1
+    texts = doc_texts(documents).where(_fold("doc_id") != 2)
+    texts = texts.select("text", dealt.alias("dealt"), shard.alias("shard"), of_round.cast("int").alias("round"))
     folder = new_folder(spark, "lm-train")
-    texts.mapInArrow(number, schema).write.partitionBy("part").parquet(folder)
+    texts.mapInArrow(number, schema).write.partitionBy("round").parquet(folder)
     return spark.read.schema(schema).parquet(folder)
 
 
+def _flat(w: Weights) -> np.ndarray:
+    return np.concatenate([value.reshape(-1) for value in w.values()]).astype(np.float64)
+
+
+def _shaped(flat: np.ndarray, like: Weights) -> Weights:
+    cuts = np.cumsum([value.size for value in like.values()])[:-1]
+    parts = np.split(flat.astype(np.float32), cuts)
+    return {name: part.reshape(value.shape) for part, (name, value) in zip(parts, like.items())}
+
+
+_SUMS = pa.schema([("block", pa.int32()), ("tokens", pa.int64()), ("thousands", pa.int64()), ("sums", pa.binary())])
+
+
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per block, of the sums of its rows; a task holds the blocks it was dealt, however many rows they have."""
+    totals: dict[int, list] = {}
+    for batch in batches:
+        for block, tokens, thousands, raw in zip(*(column.to_pylist() for column in batch.columns)):
+            total = totals.setdefault(block, [0, 0, 0])
+            total[0] += tokens
+            total[1] += thousands
+            total[2] = total[2] + np.frombuffer(raw, np.int64)
+    for block, (tokens, thousands, sums) in totals.items():
+        yield pa.RecordBatch.from_pydict({"block": [block], "tokens": [tokens], "thousands": [thousands], "sums": [sums.tobytes()]}, _SUMS)
+
+
+def _averaged(numbered: DataFrame, v: Vocabulary, weights: Weights, at: int) -> tuple[Weights, int]:
+    """The weights after a round, and the tokens learned from."""
+    spark = numbered.sparkSession
+    model = spark.sparkContext.broadcast((v, weights))
+    kind = np.min_scalar_type(v.n_inputs)
+    rate = RATE / math.sqrt(1 + at)
+
+    def one_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v, w = model.value
+        start = _flat(w)
+        sums, tokens, thousands = np.zeros(len(start), np.int64), 0, 0
+        rows = (row for batch in batches for row in zip(batch.column("shard").to_pylist(), batch.column("ids")))
+        for _, shard in groupby(rows, lambda row: row[0]):
+            texts = (v.of_input[np.frombuffer(raw.as_buffer(), kind)] for _, raw in shard)
+            trained, learned = train(w, v, texts, rate)
+            share = -(-learned // 1024)
+            change = np.clip(_flat(trained) - start, -MOST_CHANGE, MOST_CHANGE)
+            sums += np.rint(change * UNIT).astype(np.int64) * share
+            tokens, thousands = tokens + learned, thousands + share
+        if tokens:
+            for block, first in enumerate(range(0, len(sums), BLOCK)):
+                raw = sums[first : first + BLOCK].tobytes()
+                row = {"block": [block], "tokens": [tokens], "thousands": [thousands], "sums": [raw]}
+                yield pa.RecordBatch.from_pydict(row, _SUMS)
+
+    shards = min(1 << at, n_shards(v) + 1 - (1 << at))
+    schema = "block int, tokens long, thousands long, sums binary"
+    dealt = numbered.where(F.col("round") == at).repartition(min(shards, MOST_TASKS), "shard")
+    dealt = dealt.sortWithinPartitions("shard", "dealt", "ids").select("shard", "ids")
+    blocks = -(-sum(value.size for value in weights.values()) // BLOCK)
+    sums = dealt.mapInArrow(one_task, schema).repartition(blocks, "block").mapInArrow(_add_up, schema)
+    rows = sorted(written(sums, "lm-sums").collect(), key=lambda row: row["block"])
+    model.unpersist()
+    if not rows:
+        return weights, 0
+    change = np.concatenate([np.frombuffer(row["sums"], np.int64) for row in rows])
+    return _shaped(_flat(weights) + change / (UNIT * rows[0]["thousands"]), weights), rows[0]["tokens"]
+
+
 def fit(documents: DataFrame, v: Vocabulary) -> Weights:
-    """Weights from all texts of the training fold: in a round every partition passes over its texts, and the results are averaged.
+    """Weights from all texts of the training fold, each taken once, in rounds of shards that are averaged.
 
-    A round takes whole texts, chosen by the hash of their ids; the rounds of a pass together take every text once. The weights
-    come back one task's at a time.
+    Rows of one id lie in one shard, so those of an id that holds much of the table are trained in sequence, in bounded memory.
+    What reaches the driver is one model a round, however many shards there are.
     """
     weights = initial(v)
     if not v.total:
         return weights
-    spark = documents.sparkSession
     numbered = _numbered(documents, v)
-    kind = np.min_scalar_type(v.n_inputs)
-    known = spark.sparkContext.broadcast(v)
-    rounds = _rounds(v)
-    parts = sorted(set(rounds))
-    for taken in rounds:
-        current = spark.sparkContext.broadcast(weights)
-
-        def one_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            v = known.value
-            ids = (np.frombuffer(raw.as_buffer(), kind) for batch in batches for raw in batch.column("ids"))
-            trained, tokens = train(current.value, v, (v.of_input[own] for own in ids))
-            if tokens:
-                yield pa.RecordBatch.from_pydict({"tokens": [tokens], "weights": [pickle.dumps(trained)]})
-
-        of_round = numbered.where(F.col("part") == parts.index(taken)).select("ids")
-        results = written(of_round.mapInArrow(one_task, "tokens long, weights binary"), "lm-weights")
-        whole, sums = 0, {name: np.zeros(value.shape) for name, value in weights.items()}
-        for row in results.toLocalIterator():
-            whole += row["tokens"]
-            for name, value in pickle.loads(row["weights"]).items():
-                sums[name] += value * float(row["tokens"])
-        if whole:
-            weights = {name: (value / whole).astype(np.float32) for name, value in sums.items()}
+    for at in range(n_rounds(v)):
+        weights, _ = _averaged(numbered, v, weights, at)
     return weights
 
 

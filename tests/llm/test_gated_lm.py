@@ -54,16 +54,10 @@ def test_gradients_equal_differences():
     w = {name: value.astype(np.float64) for name, value in lm.initial(v).items()}
     texts = [random.integers(0, 40, n).astype(np.int32) for n in (4, 7, 2)]
     laid = lm.Lanes(texts, 2, 0)
-    h = np.zeros((2, lm.HIDDEN))
+    n, h = (laid.y >= 0).sum(), np.zeros((lm.HIDDEN, 2))
 
     def loss(w):
-        state, total, n = h, 0.0, (laid.y >= 0).sum()
-        for t in range(len(laid.x)):
-            state = np.where(laid.first[t][:, None], 0, state)
-            state = lm._step(w, state, v.as_input[laid.x[t]])[0]
-            real = laid.y[t] >= 0
-            total -= (lm.log10_shares(w, v, state[real], laid.y[t][real]) * math.log(10)).sum()
-        return total / n
+        return -sum(step_by_step(w, v, text) for text in texts) * math.log(10) / n
 
     slopes, _ = lm._window(w, v, h, v.as_input[laid.x], laid.y, laid.first)
     for name in w:
@@ -159,21 +153,61 @@ def test_all_texts_of_the_fold_are_learned_from(spark, documents, monkeypatch):
     expected = sum(len(t.split()) + 1 for _, t in learned)
     v = lm.vocabulary(lm.token_counts(docs))
     assert v.total == expected
-    for pass_tokens in (1, 1 << 40):
-        monkeypatch.setattr(lm, "PASS_TOKENS", pass_tokens)
-        taken = lm._rounds(v)
-        numbered = lm._numbered(docs, v).collect()
+    for shard_tokens in (1 << 40, 5_000):
+        monkeypatch.setattr(lm, "SHARD_TOKENS", shard_tokens)
+        numbered = lm._numbered(docs, v)
+        rows = numbered.collect()
         kind = np.min_scalar_type(v.n_inputs)
-        found = sorted(np.frombuffer(r["ids"], kind).tolist() for r in numbered)
+        found = sorted(np.frombuffer(r["ids"], kind).tolist() for r in rows)
         assert found == sorted(v.as_input[v.ids(lm.words(t))].tolist() for _, t in learned)
-        assert {r["part"] for r in numbered} == set(range(len(set(taken))))
-    monkeypatch.setattr(lm, "PASS_TOKENS", 1)
-    seen = []
-    monkeypatch.setattr(lm, "written", lambda df, purpose: seen.append(df.collect()) or spark.createDataFrame(seen[-1], df.schema))
-    lm.fit(docs, v)
-    assert len(seen) == len(lm.ROUNDS)
-    assert sum(r["tokens"] for rows in seen for r in rows) == expected
-    assert max(len(rows) for rows in seen) > 1
+        assert {r["shard"] for r in rows} == set(range(-(-v.total // shard_tokens)))
+        assert all(r["round"] == (r["shard"] + 1).bit_length() - 1 for r in rows)
+        assert {r["round"] for r in rows} == set(range(lm.n_rounds(v)))
+        weights = lm.initial(v)
+        assert sum(lm._averaged(numbered, v, weights, at)[1] for at in range(lm.n_rounds(v))) == expected
+
+
+def test_average_equals_that_of_the_shards(spark, documents, monkeypatch):
+    """A round is what ``train`` gives for each of its shards, averaged by thousands of tokens."""
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 9_000)
+    monkeypatch.setattr(lm, "BLOCK", 1_000)
+    docs = documents([(i, prose(5 + i % 40, i)) for i in range(3_000)])
+    v = lm.vocabulary(lm.token_counts(docs))
+    numbered, weights = lm._numbered(docs, v), lm.initial(v)
+    kind, at = np.min_scalar_type(v.n_inputs), 1
+    shards: dict = {}
+    for row in sorted(numbered.where("round = 1").collect(), key=lambda r: (r["dealt"], r["ids"])):
+        shards.setdefault(row["shard"], []).append(v.of_input[np.frombuffer(row["ids"], kind)])
+    assert len(shards) == 2
+    whole, expected = 0, 0.0
+    for texts in shards.values():
+        trained, tokens = lm.train(weights, v, texts, lm.RATE / math.sqrt(1 + at))
+        share = -(-tokens // 1024)
+        whole, expected = whole + share, expected + lm._flat(trained) * share
+    found, _ = lm._averaged(numbered, v, weights, at)
+    assert np.allclose(lm._flat(found), expected / whole, atol=3e-6)
+
+
+def test_scores_follow_from_the_documents_not_from_their_layout(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 60_000)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = []
+    for layout in (docs.coalesce(1), docs.repartition(16)):
+        found.append({r["doc_id"]: r["score"] for r in lm.score_documents(layout).collect()})
+    assert found[0].keys() == found[1].keys()
+    ids = list(found[0])
+    assert np.allclose([found[0][i] for i in ids], [found[1][i] for i in ids], rtol=1e-5)
+
+
+def test_gain_grows_with_the_shards_of_a_corpus(spark, monkeypatch):
+    """With eight times the documents there are eight times the shards, and a held-out token gains no less over the base."""
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 1 << 17)
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    gains = []
+    for n in (500, 4_000):
+        rows = [r for r in lm.score_documents(docs.where(docs.doc_id < n)).collect() if r["held_out"]]
+        gains.append(sum(r["score"] - r["base_score"] for r in rows) / sum(r["n_tokens"] for r in rows))
+    assert gains[1] > gains[0] > 0
 
 
 def test_learned_tokens_follow_the_coverage():
