@@ -52,7 +52,8 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: None: the trained tagger, the tokenizer and the packing have no SQL form. Tests compare each stage with a brute-force version.
+#: None: the trained tagger, the tokenizer and the packing have no SQL form. Tests compare near-duplicates with brute force, the
+#: other stages by their properties.
 ORACLE_SQL = None
 
 
