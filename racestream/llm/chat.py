@@ -4,7 +4,8 @@ The turns of a conversation are laid out along the prefix sum of their tokens. A
 stride of that axis, so each turn is new in exactly one window, and whole. Before them a window repeats the system turn, if the
 conversation begins with one, and the latest earlier turns that fit the history's tokens. Only new assistant turns are
 targets; what is repeated is masked. The budget holds a stride, the history and the system turn; a single turn that is longer than
-what is left of it is not cut.
+what is left of it is not cut. A system turn that leaves less than a quarter of the budget to new turns stands whole in the first
+window alone, and the others repeat a reference to it, so that the output stays in proportion to the input.
 
 DataFrame operations only. Prefix sums are taken over blocks of turns first, then within them.
 """
@@ -27,6 +28,8 @@ SYSTEM, ASSISTANT = "system", "assistant"
 #: The marks of the template. Inside texts and roles their first characters, and those of other common templates, are
 #: written as references, so that no text can hold a mark.
 OPEN, CLOSE, END = "<|", "|>\n", "<|end|>\n"
+#: Stands for the text of a system turn too long to repeat; no escaped text holds it.
+SYSTEM_ABOVE, SYSTEM_ABOVE_TOKENS = "&system;", 6
 REFERENCES = [("&", "&amp;"), ("<", "&lt;"), ("[", "&#91;"), ("|", "&#124;")]
 
 
@@ -85,7 +88,8 @@ def _laid_out(conversations: DataFrame) -> DataFrame:
 
 
 def _turn(t: Column) -> Column:
-    return F.concat(F.lit(OPEN), escaped(t["role"]), F.lit(CLOSE), escaped(t["text"]), F.lit(END))
+    text = F.when(t["kind"] == -1, F.lit(SYSTEM_ABOVE)).otherwise(escaped(t["text"]))
+    return F.concat(F.lit(OPEN), escaped(t["role"]), F.lit(CLOSE), text, F.lit(END))
 
 
 def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
@@ -96,18 +100,22 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
 
     Turns go by number, null first, equal ones by role and text; repeated rows are further turns. A null text or role is an empty
     one, null ids form a conversation of their own. Further columns are ignored; an empty table gives an empty one. A turn of
-    more tokens than the budget is not cut, and its window exceeds the budget by as much.
+    more tokens than the budget is not cut, and its window exceeds the budget by as much; only the first window does so by a long
+    system turn.
     """
     if not 0 <= history <= budget // 4:
         raise ValueError("the history may take a quarter of the budget")
     placed = written(_laid_out(conversations), "chat-turns")  # read five times
+    fits = F.col("tokens") <= budget - history - budget // 4
     system = placed.where("is_system").select(
-        "conv", F.col("tokens").alias("system_tokens"), F.struct(F.lit(0).alias("kind"), "nth", "role", "text").alias("system_turn")
-    )
-    room = F.lit(budget - history) - F.coalesce("system_tokens", F.lit(0))
-    placed = placed.join(system.select("conv", "system_tokens"), "conv", "left").withColumn(
-        "stride", F.greatest(room, F.lit(budget // 4))
+        "conv",
+        F.when(fits, F.col("tokens")).otherwise(SYSTEM_ABOVE_TOKENS).alias("system_tokens"),
+        F.struct(
+            F.when(fits, 0).otherwise(-1).alias("kind"), "nth", "role", F.when(fits, F.col("text")).otherwise("").alias("text")
+        ).alias("system_turn"),
     )
+    stride = F.lit(budget - history) - F.coalesce("system_tokens", F.lit(0))
+    placed = placed.join(system.select("conv", "system_tokens"), "conv", "left").withColumn("stride", stride)
     placed = placed.withColumn("window", F.when(F.col("is_system"), 0).otherwise(F.expr("start div stride")))
     turn = lambda kind: F.struct(F.lit(kind).alias("kind"), "nth", "role", "text").alias("t")
     new = placed.select("conv", "conv_id", "window", turn(2))

@@ -98,6 +98,26 @@ def test_history_is_the_latest_turns(spark):
     assert at == 400
 
 
+@pytest.mark.parametrize("tokens, repeated", [(512, True), (513, False), (10_004, False)])
+def test_a_long_system_turn_is_referred_to(spark, tokens, repeated):
+    long = "&system;" + "s" * (4 * (tokens - 4) - 8)
+    rows = [(1, 0, "system", long)]
+    rows += [(1, t, "user" if t % 2 else "assistant", f"{t:04d}" * 100) for t in range(1, 401)]
+    windows = chat.windows(spark.createDataFrame(rows, SCHEMA))
+    got = sorted(windows.collect(), key=lambda w: w["window"])
+    turns = [parsed(w["formatted"]) for w in got]
+    assert turns[0][0] == ("system", long)
+    later = long if repeated else chat.SYSTEM_ABOVE
+    assert all(t[0] == ("system", later) for t in turns[1:])
+    size = lambda text: -(-len(text.encode()) // 4) + 4
+    for t in turns[1:]:
+        assert sum(size(text) for _, text in t) <= chat.BUDGET + 104
+    if not repeated:
+        assert sum(len(w["formatted"]) for w in got) < 2 * sum(len(text) for *_, text in rows)
+    found = chat.digests(windows).first()
+    assert (found["n_turns"], found["turns_sha256"], found["loss_chars"], found["loss_sha256"]) == expected(rows)[1]
+
+
 def test_extra_columns_and_empty_table(spark):
     rows = spark.createDataFrame([(1, 0, "user", "a", 5, "x")], SCHEMA + ", window long, conv string")
     assert chat.digests(chat.windows(rows)).count() == 1
