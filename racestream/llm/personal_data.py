@@ -1,15 +1,18 @@
 """Personal data in texts: fixed patterns, and a linear-chain conditional random field that adds what they miss.
 
-The field labels tokens with B/I tags of four kinds, or as outside. Its features are the shapes of a token and of its two
-neighbours, and whether the token's digits are valid as a card or as an address. It is trained on a small labelled table: the
-fixed examples below, and segments from a bounded sample of the documents, labelled by the patterns. Tokens without a digit
-or an ``@`` are outside by definition, so a text falls into short chains between them, and the best labels of each (Viterbi)
-are exact for the whole text. Chains of similar length are decoded together in numpy.
+The field labels tokens with B/I tags of five kinds, those of the patterns and secrets, or as outside. Its features are the
+shapes of a token and of its two neighbours, and the nearest of some cue words before it. It is trained on a small labelled table:
+the examples and filled templates below, and segments from a bounded sample of the documents, labelled by the patterns where those
+can tell. Tokens without a digit or an ``@`` are outside by definition, so a text falls into short chains between them, and the
+best labels of each (Viterbi) are exact for the whole text. Chains of similar length are decoded together in numpy. What the field
+finds is checked last: a card has to pass Luhn, an address has four parts up to 255, and so on (``is_possible``).
 """
 
 from __future__ import annotations
 
+import random
 import re
+from collections import Counter
 from dataclasses import dataclass
 from hashlib import sha256
 
@@ -20,7 +23,9 @@ from pyspark.sql import functions as F
 from racestream.llm.tables import doc_texts, fresh, map_rows, with_arrow_columns
 
 KINDS = ["email", "ip", "card", "phone"]
-LABELS = ["O", *(f"{tag}-{kind}" for kind in KINDS for tag in "BI")]
+#: All kinds of spans; the patterns know nothing of the last one.
+FOUND = [*KINDS, "secret"]
+LABELS = ["O", *(f"{tag}-{kind}" for kind in FOUND for tag in "BI")]
 
 #: Documents, and segments of them, that train the field, besides the examples.
 SAMPLE_DOCS = 2_000
@@ -69,6 +74,55 @@ EXAMPLES = [
     "chapter 20 1946 0958 lines",
 ]
 
+#: Templates of more examples. A bracket is filled by ``_filling`` with a new value each time.
+TEMPLATES = [
+    'token = "{secret:[hex]}" was set',
+    'and token = "{secret:[hex]}" in it',
+    "token: {secret:[mixed]} is old",
+    "the password is {secret:[short]} for now",
+    "password: {secret:[short]}",
+    "passwd={secret:[short]} and go",
+    "api key {secret:[mixed]} expires",
+    "set api_key = '{secret:[mixed]}'.",
+    "SECRET={secret:[mixed]} in the shell",
+    'secret = "{secret:[hex]}", card {card:4111111111111111}',
+    "Authorization: Bearer {secret:[mixed]}",
+    "access key {secret:[mixed]}, mail {email:ann.lee@site.example.org}",
+    "credentials {secret:[mixed]} of host {ip:10.20.30.40}",
+    "phone {phone:0[d] [dd] [dd] [dd] [dd]} or later",
+    "téléphone {phone:0[d] [dd] [dd] [dd] [dd]}",
+    "tel {phone:0[ddd]-[ddddddd]} before five",
+    "call {phone:0[ddd]/[ddddddd]}",
+    "mobile {phone:6[dd] [ddd] [ddd]} or mail",
+    "telefon {phone:(0[ddd]) [dddddd]}, room [dd]",
+    "call {phone:([ddd]) [ddd]-[dddd]} now",
+    "phone {phone:[ddd]-[ddd]-[dddd]}, fax {phone:[ddd]-[ddd]-[dddd]}",
+    "phone {phone:[ddd].[ddd].[dddd]} please",
+    "commit [hex] by them",
+    "sha256 [hex] of the file",
+    'checksum = "[hex]" holds',
+    'etag "[hex]" and id [mixed]',
+    "digest: [hex]",
+    "file [mixed] of [dd] parts",
+    "model [short] of 20[dd]",
+    "version [d].[dd].[d] of [short]",
+    "table [dd] [dd] [dd] [dd] [dd]",
+    "order [ddddddd] of [dd].[dd].20[dd]",
+    "isbn [ddd]-[d]-[ddd]-[ddddd]-[d]",
+    "part [ddd]-[ddd]-[dddd] in stock",
+    "pages [ddd]-[ddd], [dd] in all",
+    "area 0[d] [dd] km of [dd] [ddd]",
+    "in [dddd] and [dddd] came [dd] [ddd]",
+]
+
+#: Words that tell what a number or a code is; a token's feature is the nearest one among a few tokens before it.
+CUES = frozenset(
+    "access address api_key apikey area authorization bearer call card checksum code commit credentials desk digest email etag fax "
+    "file hash host id in ip isbn item key mail md5 mobile model order pages paid part passwd password phone price ref reference "
+    "ring secret server sha1 sha256 table tel telefon teléfono telephone téléphone ticket token uuid version write".split()
+)
+CUE_REACH = 3
+
 
 # Patterns
 
@@ -127,17 +181,26 @@ def base_spans(text: str) -> dict[str, list[Span]]:
 
 # Tokens and their features
 
-_TOKEN = re.compile(r"\S+")
-_BEFORE, _AFTER = "\"'<[{,;:", ".,;:!?\"'>]}"
-_RUN = re.compile(r"([0-9]+)|([^\W\d_]+)")
+_TOKEN = re.compile(r"[^\s=]+|=+")
+_BEFORE, _AFTER = "\"'<[{,;:#*$%&|", ".,;:!?\"'>]}#*$%&|"
+_RUN = re.compile(r"[^\W_]+")
+_HEX = re.compile(r"[0-9a-f]{16,}|[0-9A-F]{16,}")
 _shapes: dict[str, tuple[str, ...]] = {}
 
 
+def _run(run: str, digits: str) -> str:
+    if run.isdecimal():
+        return digits or str(min(len(run), 9))
+    return "a" if not any(map(str.isdecimal, run)) else "h" if _HEX.fullmatch(run) else "x"
+
+
 def _shape(token: str) -> tuple[str, str]:
-    """Runs of digits and letters as one character each, and the same with the lengths of digit runs."""
-    token = token[:64]
-    short = _RUN.sub(lambda m: "9" if m.group(1) else "a", token)
-    long = _RUN.sub(lambda m: str(min(len(m.group(1)), 9)) if m.group(1) else "a", token)
+    """Runs of digits, letters and both as one character each, and the same with the lengths of digit runs.
+
+    Long shapes stand by their digest.
+    """
+    shapes = (_RUN.sub(lambda m: _run(m.group(), digits), token) for digits in ("9", ""))
+    short, long = (s if len(s) <= 64 else sha256(s.encode()).hexdigest() for s in shapes)
     return short, long
 
 
@@ -153,8 +216,7 @@ def token_features(token: str) -> tuple[str, ...]:
             f"l={long}",
             f"n={min(len(digits), 20)}",
             f"at={'@' in core and not core.startswith('@') and '.' in core.rpartition('@')[2].strip('.')}",
-            f"card={is_card(digits)}",
-            f"ip={is_address(core.split('.')) if short == '9.9.9.9' else None}",
+            f"size={min(len(core).bit_length(), 8)}",
             f"end={token[-1] in _AFTER}",
         )
         if len(_shapes) < 100_000 and len(token) <= 64:
@@ -166,6 +228,15 @@ def _context(token: str | None) -> str:
     return "" if token is None else _shape(token.strip(_BEFORE + _AFTER))[1] if _MARK.search(token) else "a"
 
 
+def _cue(before: list[str]) -> str:
+    """The nearest cue word among the last tokens, without outer signs."""
+    for token in reversed(before):
+        word = token.strip(_BEFORE + _AFTER + "(").lower()
+        if word in CUES:
+            return word
+    return ""
+
+
 @dataclass
 class Segment:
     """Neighbouring tokens that each hold a digit or an @: their spans without outer punctuation, and their features."""
@@ -191,7 +262,9 @@ def segments(text: str) -> list[Segment]:
         before = _context(tokens[i - 1][1] if i else None)
         after = _context(tokens[i + 1][1] if i + 1 < len(tokens) else None)
         features = token_features(token)
-        context = (f"p={before}", f"f={after}", f"ps={before}|{features[0]}", f"sf={features[0]}|{after}")
+        cue = _cue([t for _, t in tokens[max(0, i - CUE_REACH) : i]])
+        context = (f"p={before}", f"f={after}", f"ps={before}|{features[0]}", f"sf={features[0]}|{after}", f"w={cue}")
+        context += (f"ws={cue}|{features[0]}", f"wl={cue}|{features[1]}")
         found[-1].spans.append((core_start, max(core_start, core_end)))
         found[-1].features.append(features + context)
     return found
@@ -202,8 +275,8 @@ def labelled(segment: Segment, spans: dict[str, list[Span]]) -> list[str]:
     tags = []
     for start, end in segment.spans:
         tag = "O"
-        for kind in KINDS:
-            for a, b in spans[kind]:
+        for kind in FOUND:
+            for a, b in spans.get(kind, ()):
                 if start < b and end > a:
                     tag = f"{'B' if start <= a or not tags or not tags[-1].endswith(kind) else 'I'}-{kind}"
         tags.append(tag)
@@ -211,7 +284,7 @@ def labelled(segment: Segment, spans: dict[str, list[Span]]) -> list[str]:
 
 
 def _parsed(example: str) -> tuple[str, dict[str, list[Span]]]:
-    spans: dict[str, list[Span]] = {kind: [] for kind in KINDS}
+    spans: dict[str, list[Span]] = {kind: [] for kind in FOUND}
     text = ""
     for plain, kind, inside in re.findall(r"([^{]*)(?:\{(\w+):([^}]*)\})?", example):
         text += plain
@@ -221,6 +294,26 @@ def _parsed(example: str) -> tuple[str, dict[str, list[Span]]]:
     return text, spans
 
 
+_SIGNS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+
+
+def _filling(name: str, pick: random.Random) -> str:
+    """A value for a bracket of a template: a hexadecimal code, letters and digits, a short such word, or digits."""
+    if name == "hex":
+        return "".join(pick.choices("0123456789abcdef", k=pick.choice([32, 40, 64])))
+    if name == "mixed":
+        return pick.choice(["", "", "sk_live_", "ghp_"]) + "".join(pick.choices(_SIGNS, k=pick.randint(20, 40))) + pick.choice("0123456789")
+    if name == "short":
+        return "".join(pick.choices("abcdefghkmnprstuvw", k=pick.randint(5, 9))) + str(pick.randint(0, 999)) + pick.choice(["", "x", "Q"])
+    return "".join(pick.choices("0123456789", k=len(name)))
+
+
+def filled(templates: list[str], times: int, seed: int) -> list[str]:
+    pick = random.Random(seed)
+    fill = lambda m: _filling(m.group(1), pick)
+    return [re.sub(r"\[(hex|mixed|short|d+)\]", fill, template) for _ in range(times) for template in templates]
+
+
 # The field
 
 _N = len(LABELS)
@@ -286,8 +379,62 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return np.log(np.exp(x - top).sum(axis)) + top.squeeze(axis)
 
 
+def slopes(
+    weights: np.ndarray, transitions: np.ndarray, ids: np.ndarray, gold: np.ndarray, lengths: np.ndarray, times: np.ndarray
+) -> tuple[float, np.ndarray, np.ndarray]:
+    """The log-likelihood of labelled chains, and its gradients by the weights and transitions.
+
+    ``ids`` is steps by chains by features, ``gold`` steps by chains; what lies behind a chain's length does not count, and the
+    chain itself counts ``times``.
+    """
+    longest, n, width = ids.shape
+    inside = np.arange(longest)[:, None] < lengths
+    chain = np.arange(n)
+    trans = transitions + _FORBIDDEN
+    scores = weights[ids].sum(2)
+    forward = np.empty((longest, n, _N))
+    forward[0] = trans[0] + scores[0]
+    for t in range(1, longest):
+        moved = _log_sum(forward[t - 1][:, :, None] + trans, 1) + scores[t]
+        forward[t] = np.where(inside[t][:, None], moved, forward[t - 1])
+    total = _log_sum(forward[-1] + trans[:, 0], 1)
+    backward = np.empty((longest, n, _N))
+    backward[-1] = trans[:, 0]
+    for t in range(longest - 2, -1, -1):
+        moved = _log_sum(trans + (scores[t + 1] + backward[t + 1])[:, None, :], 2)
+        backward[t] = np.where(inside[t + 1][:, None], moved, trans[:, 0])
+    share = np.exp(forward + backward - total[:, None]) * inside[:, :, None]
+    error = -share
+    steps, members = np.nonzero(inside)
+    error[steps, members, gold[steps, members]] += 1
+    error *= times[:, None]
+    slope_w = np.empty_like(weights)
+    for label in range(_N):
+        slope_w[:, label] = np.bincount(ids.reshape(-1), np.repeat(error[:, :, label].reshape(-1), width), len(weights))
+    taken = np.zeros((_N, _N))
+    np.add.at(taken, (0, gold[0]), times)
+    np.add.at(taken, (gold[lengths - 1, chain], 0), times)
+    slope_t = taken.copy()
+    slope_t[0] -= times @ share[0]
+    slope_t[:, 0] -= times @ share[lengths - 1, chain]
+    for t in range(1, longest):
+        use = inside[t]
+        steps_taken = np.zeros((_N, _N))
+        np.add.at(steps_taken, (gold[t - 1][use], gold[t][use]), times[use])
+        both = forward[t - 1][use][:, :, None] + trans + (scores[t] + backward[t])[use][:, None, :]
+        slope_t += steps_taken - np.tensordot(times[use], np.exp(both - total[use][:, None, None]), 1)
+        taken += steps_taken
+    value = float(times[members] @ scores[steps, members, gold[steps, members]] + (taken * trans).sum() - times @ total)
+    return value, slope_w, slope_t
+
+
 def train(rows: list[tuple[list[tuple[str, ...]], list[str]]], rounds: int = 150, decay: float = 1e-3) -> Field:
-    """Fits the field to labelled chains by gradient ascent of their log-likelihood (adaptive steps, fixed order)."""
+    """Fits the field to labelled chains by gradient ascent of their log-likelihood (adaptive steps, fixed order).
+
+    Equal chains are one that counts as often.
+    """
+    repeats = Counter((tuple(map(tuple, features)), tuple(tags)) for features, tags in rows)
+    rows, times = list(repeats), np.array(list(repeats.values()), float)
     columns: dict[str, int] = {}
     for features, _ in rows:
         for token in features:
@@ -296,51 +443,18 @@ def train(rows: list[tuple[list[tuple[str, ...]], list[str]]], rounds: int = 150
     field = Field(columns, np.zeros((len(columns) + 1, _N)), np.zeros((_N, _N)))
     if not rows:
         return field
-    n, longest = len(rows), max(len(r[0]) for r in rows)
-    width = len(rows[0][0][0])
-    ids = np.full((longest, n, width), len(columns))
-    gold = np.zeros((longest, n), int)
+    n, longest = times.sum(), max(len(r[0]) for r in rows)
+    ids = np.full((longest, len(rows), len(rows[0][0][0])), len(columns))
+    gold = np.zeros((longest, len(rows)), int)
     lengths = np.array([len(r[0]) for r in rows])
     for k, (features, tags) in enumerate(rows):
         ids[: lengths[k], k] = field.ids(features)
         gold[: lengths[k], k] = [LABELS.index(t) for t in tags]
-    inside = np.arange(longest)[:, None] < lengths
-    chain = np.arange(n)
     squares_w, squares_t = np.full_like(field.weights, 1e-8), np.full_like(field.transitions, 1e-8)
-    true_t = np.zeros((_N, _N))
-    np.add.at(true_t, (0, gold[0]), 1)
-    np.add.at(true_t, (gold[lengths - 1, chain], 0), 1)
-    for t in range(1, longest):
-        np.add.at(true_t, (gold[t - 1][inside[t]], gold[t][inside[t]]), 1)
     for _ in range(rounds):
-        trans = field.transitions + _FORBIDDEN
-        scores = field.weights[ids].sum(2)
-        forward = np.empty((longest, n, _N))
-        forward[0] = trans[0] + scores[0]
-        for t in range(1, longest):
-            moved = _log_sum(forward[t - 1][:, :, None] + trans, 1) + scores[t]
-            forward[t] = np.where(inside[t][:, None], moved, forward[t - 1])
-        total = _log_sum(forward[-1] + trans[:, 0], 1)
-        backward = np.empty((longest, n, _N))
-        backward[-1] = trans[:, 0]
-        for t in range(longest - 2, -1, -1):
-            moved = _log_sum(trans + (scores[t + 1] + backward[t + 1])[:, None, :], 2)
-            backward[t] = np.where(inside[t + 1][:, None], moved, trans[:, 0])
-        share = np.exp(forward + backward - total[:, None]) * inside[:, :, None]
-        error = -share
-        steps, members = np.nonzero(inside)
-        error[steps, members, gold[steps, members]] += 1
-        slope_w = np.zeros_like(field.weights)
-        np.add.at(slope_w, ids.reshape(-1), np.repeat(error.reshape(-1, _N), width, 0))
+        _, slope_w, slope_t = slopes(field.weights, field.transitions, ids, gold, lengths, times)
         slope_w -= decay * n * field.weights
         slope_w[-1] = 0
-        slope_t = true_t.copy()
-        slope_t[0] -= share[0].sum(0)
-        slope_t[:, 0] -= share[lengths - 1, chain].sum(0)
-        for t in range(1, longest):
-            use = inside[t]
-            both = forward[t - 1][use][:, :, None] + trans + (scores[t] + backward[t])[use][:, None, :]
-            slope_t -= np.exp(both - total[use][:, None, None]).sum(0)
         slope_t -= decay * n * field.transitions
         squares_w += slope_w**2
         squares_t += slope_t**2
@@ -349,11 +463,30 @@ def train(rows: list[tuple[list[tuple[str, ...]], list[str]]], rounds: int = 150
     return field
 
 
+def example_rows() -> list[tuple[list[tuple[str, ...]], list[str]]]:
+    """The labelled table: examples five times, templates with twelve fillings each."""
+    found = []
+    for example in EXAMPLES * 5 + filled(TEMPLATES, 12, 11):
+        text, spans = _parsed(example)
+        found += [(s.features, labelled(s, spans)) for s in segments(text)]
+    return found
+
+
+def patterns_can_tell(text: str, segment: Segment, tags: list[str]) -> bool:
+    """Whether outside tokens of a segment are known to be outside: a long code or a valid card may be a span they miss."""
+    for (start, end), tag in zip(segment.spans, tags):
+        token = text[start:end]
+        if tag == "O" and (is_card(_NO_DIGIT.sub("", token)) or (len(token) >= 8 and re.search("[^\\W0-9_]", token))):
+            return False
+    return True
+
+
 def training_rows(documents: DataFrame) -> list[tuple[list[tuple[str, ...]], list[str]]]:
     """Segments of the examples, and of a bounded sample of the documents, with their labels.
 
     The sample takes documents whose hash falls into a share that gives about ``SAMPLE_DOCS`` of them, and of their segments
-    the ``SAMPLE_SEGMENTS`` with the least hashes; only those come to the driver.
+    the ``SAMPLE_SEGMENTS`` with the least hashes; only those come to the driver. Segments in which the patterns cannot tell what
+    is outside are left out.
     """
     texts = doc_texts(documents)
     share = max(1, texts.count() // SAMPLE_DOCS)
@@ -365,24 +498,37 @@ def training_rows(documents: DataFrame) -> list[tuple[list[tuple[str, ...]], lis
             spans = base_spans(text)
             for segment in segments(text):
                 segment = Segment(segment.spans[:LONGEST_TRAINED], segment.features[:LONGEST_TRAINED])
-                features.append([list(f) for f in segment.features])
-                tags.append(labelled(segment, spans))
+                tag = labelled(segment, spans)
+                if patterns_can_tell(text, segment, tag):
+                    features.append([list(f) for f in segment.features])
+                    tags.append(tag)
         return {"features": features, "tags": tags}
 
     rows = map_rows(chosen, cut, "features array<array<string>>, tags array<string>")
     sample = rows.orderBy(F.xxhash64("features"), "tags").limit(SAMPLE_SEGMENTS).collect()
-    found = [([tuple(f) for f in row["features"]], list(row["tags"])) for row in sample]
-    for example in EXAMPLES:
-        text, spans = _parsed(example)
-        found += [(s.features, labelled(s, spans)) for s in segments(text)] * 5
-    return found
+    return [([tuple(f) for f in row["features"]], list(row["tags"])) for row in sample] + example_rows()
 
 
 # Spans of whole texts
 
+def is_possible(kind: str, span: str) -> bool:
+    """What a span must be at least, whatever the field says of it."""
+    digits = _NO_DIGIT.sub("", span)
+    if kind == "card":
+        return is_card(digits)
+    if kind == "ip":
+        return is_address(span.split(".")) if re.fullmatch("[0-9]+(?:[.][0-9]+){3}", span) else False
+    if kind == "phone":
+        return 7 <= len(digits) <= 15 and not re.search("[^\\W0-9_]", span)
+    if kind == "email":
+        local, _, domain = span.rpartition("@")
+        return bool(local) and "." in domain.strip(".")
+    return len(span) >= 8 and bool(re.search("[^\\W0-9_]", span))
+
+
 def added_spans(texts: list[str], base: list[dict[str, list[Span]]], field: Field) -> list[dict[str, list[Span]]]:
     """What the field finds in each text beside the base spans; nothing that overlaps one of them."""
-    added: list[dict[str, list[Span]]] = [{kind: [] for kind in KINDS} for _ in texts]
+    added: list[dict[str, list[Span]]] = [{kind: [] for kind in FOUND} for _ in texts]
     owners, chains = [], []
     for i, text in enumerate(texts):
         for segment in segments(text):
@@ -391,7 +537,7 @@ def added_spans(texts: list[str], base: list[dict[str, list[Span]]], field: Fiel
     for (i, segment), path in zip(owners, field.decode(chains)):
         taken = [span for kind in KINDS for span in base[i][kind]] if path.any() else []
         for kind, start, end in _decoded(segment, path):
-            if not any(start < b and end > a for a, b in taken):
+            if is_possible(kind, texts[i][start:end]) and not any(start < b and end > a for a, b in taken):
                 added[i][kind].append((start, end))
     return added
 
@@ -409,7 +555,7 @@ def _decoded(segment: Segment, path: np.ndarray) -> list[tuple[str, int, int]]:
 
 
 def joined(spans: dict[str, list[Span]]) -> str:
-    return ",".join(f"{kind}:{a}:{b}" for kind in KINDS for a, b in sorted(spans[kind]))
+    return ",".join(f"{kind}:{a}:{b}" for kind in FOUND for a, b in sorted(spans.get(kind, ())))
 
 
 def find(documents: DataFrame) -> DataFrame:
@@ -424,7 +570,7 @@ def find(documents: DataFrame) -> DataFrame:
         texts = columns["text"]
         base = [base_spans(text) for text in texts]
         added = added_spans(texts, base, field)
-        both = [{kind: b[kind] + a[kind] for kind in KINDS} for b, a in zip(base, added)]
+        both = [{kind: b.get(kind, []) + a[kind] for kind in FOUND} for b, a in zip(base, added)]
         return {
             "doc_id": columns["doc_id"],
             **{f"n_{kind}": [len(b[kind]) for b in base] for kind in KINDS},
@@ -439,7 +585,7 @@ def find(documents: DataFrame) -> DataFrame:
 
 def masked_text(text: str, spans: dict[str, list[Span]]) -> str:
     """The text with each span replaced by its kind in angle brackets; of overlapping spans the first covers all."""
-    every = sorted((a, b, kind) for kind in KINDS for a, b in spans[kind])
+    every = sorted((a, b, kind) for kind in FOUND for a, b in spans[kind])
     out, at, covered = [], 0, 0
     for a, b, kind in every:
         if a >= covered:
@@ -460,7 +606,7 @@ def mask(documents: DataFrame) -> DataFrame:
         plain = [text or "" for text in texts]
         base = [base_spans(text) for text in plain]
         added = added_spans(plain, base, field)
-        both = [{kind: b[kind] + a[kind] for kind in KINDS} for b, a in zip(base, added)]
+        both = [{kind: b.get(kind, []) + a[kind] for kind in FOUND} for b, a in zip(base, added)]
         return {column: [text and masked_text(text, spans) for text, spans in zip(texts, both)]}
 
     covered = with_arrow_columns(documents, "text", cover, {column: "string"}).withColumn("text", F.col(column))
