@@ -21,6 +21,35 @@ def raked(cells, targets, rounds=300):
     return weights
 
 
+def raked_within(cells, temper, most, rounds=400):
+    """Plain fitting to tempered shares where no weight exceeds ``most`` times its cell; goals are lowered to what can be held."""
+    total = sum(cells.values())
+    goals = []
+    for k in range(3):
+        held = defaultdict(float)
+        for cell, n in cells.items():
+            held[cell[k]] += n
+        whole = sum(n**temper for n in held.values())
+        goal = {v: total * n**temper / whole for v, n in held.items()}
+        full = set()
+        while True:
+            scale = (total - sum(most * held[v] for v in full)) / sum(g for v, g in goal.items() if v not in full)
+            more = {v for v in goal if v not in full and scale * goal[v] >= most * held[v]}
+            if not more:
+                break
+            full |= more
+        goals.append({v: most * held[v] if v in full else scale * g for v, g in goal.items()})
+    factor = dict.fromkeys(cells, 1.0)
+    for _ in range(rounds):
+        for k, goal in enumerate(goals):
+            sums = defaultdict(float)
+            for cell, n in cells.items():
+                sums[cell[k]] += n * min(factor[cell], most)
+            for cell in cells:
+                factor[cell] *= goal[cell[k]] / sums[cell[k]]
+    return {cell: n * min(factor[cell], most) for cell, n in cells.items()}
+
+
 @pytest.mark.parametrize("few", [mixing.FEW_CELLS, 0])
 def test_raking_equals_brute_force(spark, monkeypatch, few):
     monkeypatch.setattr(mixing, "FEW_CELLS", few)

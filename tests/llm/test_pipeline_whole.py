@@ -1,0 +1,161 @@
+"""The rows of the corpus pipeline on a small table, against every stage written out in plain Python."""
+
+import random
+from array import array
+from collections import defaultdict
+from zlib import crc32
+
+import public_tokenizers
+import pytest
+import xxhash
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from conftest_llm import prose
+from racestream.llm import mixing
+from racestream.llm.host_quality import HOST_LIMIT, STRONGEST, WEAKEST
+from test_host_quality import brute as counts
+from test_mixing import raked_within
+from test_minhash import brute as near
+from test_minhash import edited
+from test_personal_data import brute as personal
+
+SECRET = 'token = "%s"'
+
+
+def table():
+    """Rows ``(doc_id, text, lang, source)``: prose of all lengths, near and exact copies, personal data, a host of junk."""
+    pick = random.Random(8)
+    rows = []
+    for i in range(200):
+        text = prose(pick.choice([30, 60, 90, 150, 300, 900]), i, 4000)
+        if i % 6 == 0:
+            text += f" mail ann{i}@site.org, host 10.0.0.{i % 250}"
+        if i % 15 == 0:
+            text += " " + SECRET % f"{pick.getrandbits(160):040x}" + " here"
+        if i % 10 == 1:
+            text += " Licensed to all"
+        if i % 4 == 3:
+            text = "in 1984 " + text
+        rows.append((i, text, ["en", "de", "fr", None][pick.randrange(8) // 2 if i % 3 else 0], f"h{min(pick.randrange(8), 4)}"))
+    for i in range(0, 200, 8):
+        rows.append((200 + i, rows[i][1], "en", "h5"))
+    for i in range(5, 200, 9):
+        rows.append((600 + i, edited(rows[i][1], 1, i), "en", "h5"))
+    for i in range(30):
+        junk = " ".join(["$$ word%d" % k for k in range(60)]) if i < 22 else prose(90, 5000 + i)
+        rows.append((1000 + i, junk, "en", "junk"))
+    rows += [(1100, None, "en", "h1"), (1101, "", "en", "h1"), (1102, "one line\n" * 40, "en", "h2")]
+    return rows
+
+
+def good(rows):
+    """Rows that fail no rule, of hosts whose shrunk failure rates are within the limit."""
+
+    def failures(text):
+        n, chars, symbols, duplicates, repeated, lines = counts(text)
+        return {
+            "short": n < 50,
+            "repeats": 100 * repeated > 50 * n,
+            "symbols": 100 * symbols > 10 * n,
+            "duplicate_lines": 2 * duplicates > lines,
+            "word_length": chars < 2 * n or chars > 15 * n,
+        }
+
+    failed = [failures(row[1]) for row in rows]
+    hosts = defaultdict(list)
+    for row, f in zip(rows, failed):
+        hosts[row[3]].append(f)
+    noise = sum(1 / len(f) for f in hosts.values()) / len(hosts)
+    condemned = set()
+    for rule in ("repeats", "symbols", "duplicate_lines", "word_length"):
+        rate = {host: sum(f[rule] for f in fs) / len(fs) for host, fs in hosts.items()}
+        mean = sum(rate.values()) / len(rate)
+        between = sum((r - mean) ** 2 for r in rate.values()) / len(rate) - mean * (1 - mean) * noise
+        strength = min(max(mean * (1 - mean) / between - 1, WEAKEST), STRONGEST) if between > 0 else STRONGEST
+        condemned |= {h for h, fs in hosts.items() if (rate[h] * len(fs) + mean * strength) / (len(fs) + strength) > HOST_LIMIT}
+    return [row for row, f in zip(rows, failed) if not any(f.values()) and row[3] not in condemned], condemned
+
+
+def single(rows):
+    kept = near([(row[0], row[1]) for row in rows], 5, 80)
+    return [row for row, (_, _, _, keep) in zip(rows, kept) if keep]
+
+
+def masked(rows):
+    """Spans of the patterns, and the secrets that ``table`` put in, replaced by their kind."""
+    out = []
+    for doc_id, text, *others in rows:
+        spans = [(a, b, kind) for kind, found in personal(text).items() for a, b in found]
+        at = text.find('token = "')
+        if at >= 0:
+            spans = [s for s in spans if s[1] <= at + 9 or s[0] >= at + 49] + [(at + 9, at + 49, "secret")]
+        for a, b, kind in sorted(spans, reverse=True):
+            text = f"{text[:a]}<{kind}>{text[b:]}"
+        out.append((doc_id, text, *others))
+    return out
+
+
+def drawn(rows):
+    """Rows whose uniform number is below their expected copies; none is close enough to it for rounding to matter."""
+
+    def topic(text):
+        if "icense" in text or "opyright" in text:
+            return "legal"
+        return "contact" if "@" in text else "tables" if " | " in text else "figures" if any(c in "0123456789" for c in text) else "prose"
+
+    cell = {row[0]: (row[3], row[2] or mixing.MISSING, topic(row[1])) for row in rows}
+    cells = defaultdict(int)
+    for row in rows:
+        cells[cell[row[0]]] += max(1, len(row[1].split()))
+    expected = {c: mixing.BUDGET * w / cells[c] for c, w in raked_within(cells, mixing.TEMPER, 1 / mixing.BUDGET).items()}
+    kept = []
+    for row in rows:
+        key = xxhash.xxh64_intdigest((17).to_bytes(4, "little"), xxhash.xxh64_intdigest(row[0].to_bytes(8, "little"), 42))
+        u, e = key % (1 << 53) / (1 << 53), expected[cell[row[0]]]
+        assert e > 0.999 or abs(u / e - 1) > 0.002, "choose another table"
+        kept += [row] * (u < e)
+    return kept
+
+
+def pieces(rows):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for doc_id, text, *_ in rows:
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
+        for at in range(0, len(ids), 2048):
+            yield doc_id, at, len(ids[at : at + 2048]), crc32(array("I", ids[at : at + 2048]).tobytes()), len(ids)
+
+
+@pytest.fixture(scope="module")
+def stages():
+    """The rows that each stage should keep."""
+    rows = table()
+    kept, condemned = good(rows)
+    assert condemned == {"junk"} and any(row[3] == "junk" and row[1].count("$") == 0 for row in rows)
+    found = {"quality_rules": kept}
+    for name, stage in (("near_duplicates", single), ("personal_data", masked), ("target_mixture", drawn)):
+        found[name] = kept = stage(kept)
+    return found
+
+
+def test_every_stage_keeps_the_expected_rows(spark, documents, stages):
+    before = table()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        rows = stage(spark, documents(before), "").collect()
+        found = sorted((r["doc_id"], r["text"], r["n_chars"]) for r in rows)
+        assert found == sorted((doc_id, text, len(text)) for doc_id, text, *_ in stages[name]), name
+        assert len(found) < len(before) or name == "personal_data"
+        before = stages[name]
+
+
+def test_rows_of_the_whole_run(spark, documents, stages, tmp_path):
+    documents(table()).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    found = sorted((r["doc_id"], r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]) for r in rows)
+    assert found == sorted(pieces(stages["target_mixture"]))
+    assert any(r["start"] for r in rows)
+    ends = defaultdict(int)
+    for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == ends[r["sequence_id"]]
+        ends[r["sequence_id"]] += r["length"]
+    assert max(ends.values()) <= 2048
