@@ -4,8 +4,8 @@ For every language a tree of byte contexts, up to three bytes deep, holds how of
 -log2 of its share in the longest context that the tree has; a byte new to that context costs an escape, and is looked up
 in the context one byte shorter, down to a uniform distribution over all bytes. With ``n`` bytes seen after a context, ``d`` of
 them different, a byte seen ``c`` times has the share ``c / (n + d)``, the escape ``d / (n + d)``. The statistics are frozen
-before scoring, so the cost of each context and byte is computed once, into a table, and the code length of a text is a sum
-of its entries: exact, whole texts, no loop over bytes. The shortest code wins.
+before scoring, so sequences of four bytes cost the same wherever they occur: those of a block of texts are looked up once each, and
+the code length of a text is a sum over its bytes: exact, whole texts, no loop over bytes. The shortest code wins.
 
 ASCII capitals count as small letters. Every text is coded after three spaces.
 """
@@ -16,6 +16,7 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,15 +35,47 @@ _LETTER = re.compile(r"[^\W\d_]")
 _START = b"   "
 
 
+@dataclass
+class Order:
+    """What follows contexts of one length in one language: codes of a context and a byte seen after it, and of contexts, sorted."""
+
+    follower: np.ndarray
+    cost: np.ndarray  # bits of a follower
+    context: np.ndarray
+    escape: np.ndarray  # bits of an escape from a context
+
+
+def _find(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the wanted are among the known, which are sorted, and the places of those."""
+    place = np.searchsorted(known, wanted)
+    found = place < len(known)
+    found[found] = known[place[found]] == wanted[found]
+    return found, place[found]
+
+
 @dataclass
 class Trees:
-    """The frozen costs of all languages: a node for each context of three symbols, and a row for each node and symbol."""
+    """The frozen costs of all languages. They hold what was seen only, so their size follows the learned texts."""
 
     languages: list[str]
     symbol: np.ndarray  # of each byte
     size: int  # symbols; the last stands for all bytes never seen
-    node: np.ndarray  # of each context, as a number in base ``size``
-    cost: np.ndarray  # bits, by node * size + symbol, and language
+    orders: list[list[Order]]  # by language, and length of the context
+
+    def costs(self, codes: np.ndarray) -> np.ndarray:
+        """Bits of the last of four symbols after the others, by sequence (a number in base ``size``) and language."""
+        bits = np.zeros((len(codes), len(self.languages)), np.float32)
+        for j, orders in enumerate(self.orders):
+            left = np.arange(len(codes))
+            for k in range(len(orders) - 1, -1, -1):
+                code = codes[left] % self.size ** (k + 1)
+                found, place = _find(orders[k].follower, code)
+                bits[left[found], j] += orders[k].cost[place]
+                left = left[~found]
+                found, place = _find(orders[k].context, code[~found] // self.size)
+                bits[left[found], j] += orders[k].escape[place]
+            bits[left, j] += 8
+        return bits
 
     def bits(self, texts: list[bytes]) -> np.ndarray:
         """Code length of each text under each language."""
@@ -67,28 +100,27 @@ class Trees:
     def _add(self, total: np.ndarray, block: list[bytes], owners: list[int]) -> None:
         s = self.symbol[np.frombuffer(b"".join(block), np.uint8)]
         n = self.size
-        row = self.node[(s[:-3] * n + s[1:-2]) * n + s[2:-1]]
-        row *= n
-        row += s[3:]
+        row, codes = pd.factorize(((s[:-3] * n + s[1:-2]) * n + s[2:-1]) * n + s[3:])
+        cost = np.concatenate([self.costs(codes), np.zeros((1, len(self.languages)), np.float32)])
         lengths = np.array([len(piece) for piece in block])
         starts = np.cumsum(lengths) - lengths
-        # Between two pieces three places mix bytes of both; their rows are the all-zero last one.
+        # Between two pieces three places mix bytes of both; they take the last row, which is zero.
         for k in range(3):
-            row[starts[1:] - 3 + k] = len(self.cost) - 1
-        np.add.at(total, owners, np.add.reduceat(self.cost[row], starts, axis=0, dtype=np.float64))
+            row[starts[1:] - 3 + k] = len(codes)
+        np.add.at(total, owners, np.add.reduceat(cost[row], starts, axis=0, dtype=np.float64))
 
 
 def grow(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Trees:
     """Trees from the counts of four-byte sequences of each language (as big-endian numbers)."""
     languages = sorted(counts)
     if not languages:
-        return Trees([], np.zeros(256, np.int32), 1, np.zeros(1, np.int32), np.zeros((2, 0), np.float32))
+        return Trees([], np.zeros(256, np.int64), 1, [])
     seen = np.zeros(256, bool)
     for grams, _ in counts.values():
         for k in range(4):
             seen[(grams >> 8 * k) & 255] = True
     size = int(seen.sum()) + 1
-    symbol = np.full(256, size - 1, np.int32)
+    symbol = np.full(256, size - 1, np.int64)
     symbol[seen] = np.arange(size - 1)
     coded = {}
     for language, (grams, times) in counts.items():
@@ -97,45 +129,25 @@ def grow(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Trees:
             code = code * size + symbol[(grams >> 8 * k) & 255]
         coded[language] = (code, times.astype(np.int64))
 
-    # The nodes of each order, as numbers of their contexts: all that any language has, but rare ones of order three.
-    contexts = [np.zeros(1, np.int64)]
-    for order in (1, 2, 3):
-        seen_contexts, place = np.unique(
-            np.concatenate([coded[x][0] // size % size**order for x in languages]), return_inverse=True
-        )
-        often = np.bincount(place, np.concatenate([coded[x][1] for x in languages]))
-        contexts.append(seen_contexts[often >= LEAST_SEEN] if order == 3 else seen_contexts)
-    first = np.cumsum([0, *map(len, contexts)])
-    node = np.zeros(size**3, np.int32)
-    every = np.arange(size**3)
-    for order in (1, 2, 3):
-        place = np.searchsorted(contexts[order], every % size**order)
-        known = place < len(contexts[order])
-        known[known] = contexts[order][place[known]] == every[known] % size**order
-        node[known] = first[order] + place[known]
-
-    cost = np.zeros((first[-1] * size + 1, len(languages)), np.float32)
-    for j, language in enumerate(languages):
+    contexts, place = np.unique(np.concatenate([coded[x][0] // size for x in languages]), return_inverse=True)
+    often = np.bincount(place, np.concatenate([coded[x][1] for x in languages]))
+    kept = contexts[often >= LEAST_SEEN]
+
+    def order(code: np.ndarray, times: np.ndarray) -> Order:
+        follower, place = np.unique(code, return_inverse=True)
+        c = np.bincount(place, times, len(follower))
+        context, place = np.unique(follower // size, return_inverse=True)
+        n, d = np.bincount(place, c, len(context)), np.bincount(place, minlength=len(context))
+        cost, escape = np.log2((n + d)[place] / c), np.log2((n + d) / d)
+        return Order(follower, cost.astype(np.float32), context, escape.astype(np.float32))
+
+    trees = []
+    for language in languages:
         code, times = coded[language]
-        shorter = np.full((1, size), 8.0)
-        for order, known in enumerate(contexts):
-            context, last = code // size % size**order, code % size
-            place = np.searchsorted(known, context)
-            inside = place < len(known)
-            inside[inside] = known[place[inside]] == context[inside]
-            table = np.zeros((len(known), size))
-            np.add.at(table, (place[inside], last[inside]), times[inside])
-            n, d = table.sum(1, keepdims=True), (table > 0).sum(1, keepdims=True)
-            if order:
-                parent = np.searchsorted(contexts[order - 1], known % size ** (order - 1))
-                shorter = shorter[parent]
-            else:
-                shorter = np.repeat(shorter, len(known), 0)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                escaped = np.where(n > 0, np.log2((n + d) / d), 0) + shorter
-                shorter = np.where(table > 0, np.log2((n + d) / table), escaped)
-            cost[first[order] * size : first[order + 1] * size, j] = shorter.reshape(-1)
-    return Trees(languages, symbol, size, node, cost)
+        long = _find(kept, code // size)[0]
+        shorter = [order(code % size ** (k + 1), times) for k in range(3)]
+        trees.append([*shorter, order(code[long], times[long])])
+    return Trees(languages, symbol, size, trees)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -62,6 +62,16 @@ def test_blocks_do_not_matter(monkeypatch):
     assert np.allclose(whole, trees.bits([text, b"", text[:77]]))
 
 
+def test_trees_hold_what_was_seen_only():
+    """Forty languages of all bytes: the size follows the learned sequences, not contexts by symbols by languages."""
+    random_ = np.random.default_rng(2)
+    learned = {f"l{j}": grams(random_.integers(0, 256, 3_000, np.uint8).tobytes()) for j in range(40)}
+    trees = language.grow(learned)
+    held = sum(len(array) for orders in trees.orders for order in orders for array in vars(order).values())
+    assert held <= 16 * sum(len(g) for g, _ in learned.values())
+    assert np.isfinite(trees.bits([b"any text", bytes(range(256))])).all()
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = language.predict(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
