@@ -1,7 +1,7 @@
 """Near-duplicate vectors by cross-polytope hashing.
 
 A vector is rotated by three rounds of random signs and a fast Hadamard transform; its hash is the axis, with sign, that it then
-lies nearest to. Several such hashes and the label make the bucket of a table. A vector is entered into its own bucket of each
+lies nearest to. Several such hashes, more for labels of very many vectors, and the label make the bucket of a table. A vector is entered into its own bucket of each
 table, and probes those in which one hash is replaced by the second nearest axis. Pairs meet where one's own bucket is
 the other's own or probed one; their cosines are computed in double precision.
 
@@ -12,10 +12,12 @@ leaves a task is a count per vector and, for components, the links of a small bu
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -25,8 +27,11 @@ from racestream.llm.tables import group_starts, map_rows, ship, whole_groups
 from racestream.session import written
 
 COSINE = 0.93
-#: Tables, and hashes of a bucket's key.
-TABLES, HASHES = 24, 3
+#: Tables, and hashes of a bucket's key, for labels of up to ``FEW`` classes.
+TABLES, HASHES, FEW = 24, 3, 1_000_000
+#: For every factor of so many classes beyond, a key has one hash more, so that buckets do not fill as the table grows; and there are
+#: so many times the tables, which keeps the chance that a pair meets.
+CLASSES_A_HASH, TABLES_A_HASH = 100, 1.75
 #: Classes of a bucket that one task compares with each other, or with as many others.
 BLOCK = 512
 #: Up to this size the pairs of a bucket are listed; beyond, a matrix product finds the links.
@@ -35,9 +40,13 @@ SMALL = 48
 
 # Hashes
 
-def _signs(width: int) -> np.ndarray:
+def n_tables(hashes: int) -> int:
+    return math.ceil(TABLES * TABLES_A_HASH ** (hashes - HASHES))
+
+
+def _signs(width: int, hashes: int) -> np.ndarray:
     random = np.random.default_rng(1000 + width)
-    return random.choice(np.array([-1.0, 1.0], np.float32), (TABLES * HASHES, 3, width))
+    return random.choice(np.array([-1.0, 1.0], np.float32), (n_tables(hashes) * hashes, 3, width))
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -53,16 +62,17 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def axes(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The nearest and the second nearest signed axis of each vector after each rotation."""
+def axes(vectors: np.ndarray, hashes: int = HASHES) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest and the second nearest signed axis of each vector after each rotation: arrays of (vectors, tables, hashes)."""
     n, size = vectors.shape
     width = max(2, 1 << (size - 1).bit_length())
     padded = np.zeros((n, width), np.float32)
     padded[:, :size] = vectors
-    first = np.empty((n, TABLES * HASHES), np.int32)
+    every = _signs(width, hashes)
+    first = np.empty((n, len(every)), np.int32)
     second = np.empty_like(first)
     rows = np.arange(n)
-    for k, signs in enumerate(_signs(width)):
+    for k, signs in enumerate(every):
         x = padded
         for s in signs:
             x = hadamard(x * s)
@@ -71,7 +81,7 @@ def axes(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             axis = size_of.argmax(1)
             target[:, k] = 2 * axis + (x[rows, axis] < 0)
             size_of[rows, axis] = -1
-    return first, second
+    return first.reshape(n, -1, hashes), second.reshape(n, -1, hashes)
 
 
 def _meet(own: np.ndarray, other: np.ndarray, own_b: np.ndarray, other_b: np.ndarray) -> np.ndarray:
@@ -98,6 +108,15 @@ def _classes(vectors: DataFrame) -> DataFrame:
     return grouped
 
 
+def _with_hashes(classes: DataFrame) -> DataFrame:
+    """Adds the number of hashes of a key, from the classes of each label; labels beyond ``FEW`` are few, and are joined."""
+    more = F.ceil(F.log(F.col("n") / F.lit(float(FEW))) / F.lit(math.log(CLASSES_A_HASH))).cast("int")
+    large = classes.groupBy(F.col("label").alias("large")).agg(F.count("rep").alias("n")).where(F.col("n") > FEW)
+    large = written(large.select("large", (more + HASHES).alias("hashes")), "polytope-large")
+    joined = classes.join(large, F.col("label") == F.col("large"), "left").drop("large")
+    return joined.withColumn("hashes", F.coalesce("hashes", F.lit(HASHES)))
+
+
 def _hashed(classes: DataFrame) -> DataFrame:
     """Adds to every class its unit vector and axes, as bytes, and the keys of its own and of its probed buckets."""
 
@@ -105,16 +124,18 @@ def _hashed(classes: DataFrame) -> DataFrame:
         n = len(columns["rep"])
         out: dict[str, list] = {"unit": [None] * n, "axes": [None] * n, "own": [None] * n, "probed": [None] * n}
         sizes = np.array([len(v) for v in columns["vector"]])
-        for size in np.unique(sizes):
-            chosen = np.flatnonzero(sizes == size)
+        of_key = np.array(columns["hashes"])
+        for size, hashes in sorted(set(zip(sizes.tolist(), of_key.tolist()))):
+            chosen = np.flatnonzero((sizes == size) & (of_key == hashes))
             x = np.array([columns["vector"][i] for i in chosen], np.float64)
             x /= np.abs(x).max(1, keepdims=True)
             x /= np.linalg.norm(x, axis=1, keepdims=True)
-            first, second = (a.reshape(-1, TABLES, HASHES) for a in axes(x))
-            keys = [first.copy() for _ in range(HASHES + 1)]
-            for h in range(HASHES):
+            first, second = axes(x, hashes)
+            keys = [first.copy() for _ in range(hashes + 1)]
+            for h in range(hashes):
                 keys[h + 1][:, :, h] = second[:, :, h]
-            radix = np.int64(1 << 20) ** np.arange(HASHES, dtype=np.int64)
+            # Keys of many hashes may wrap round: then buckets hold some pairs more, which do not meet.
+            radix = np.int64(1 << 20 if hashes == HASHES else 1_000_003) ** np.arange(hashes, dtype=np.int64)
             own, *probed = ((k.astype(np.int64) * radix).sum(2) for k in keys)
             both = np.stack([first, second], 1).astype("<i4")
             for row, i in enumerate(chosen):
@@ -122,9 +143,9 @@ def _hashed(classes: DataFrame) -> DataFrame:
                 out["axes"][i] = both[row].tobytes()
                 out["own"][i] = own[row]
                 out["probed"][i] = np.stack([p[row] for p in probed], 1).reshape(-1)
-        return {name: columns[name] for name in ("rep", "copies", "label")} | out
+        return {name: columns[name] for name in ("rep", "copies", "label", "hashes")} | out
 
-    schema = "rep long, copies long, label string, unit binary, axes binary, own array<long>, probed array<long>"
+    schema = "rep long, copies long, label string, hashes int, unit binary, axes binary, own array<long>, probed array<long>"
     return map_rows(classes, enter, schema)
 
 
@@ -132,8 +153,8 @@ def _bucket_rows(hashed: DataFrame) -> DataFrame:
     """Classes in the buckets where a pair can meet, by block: ``(bucket, low, high)`` is the work of one task."""
     bucket = F.xxhash64("label", F.length("unit"), "place", "key").alias("bucket")
     own = hashed.select("rep", "label", "unit", F.posexplode("own").alias("place", "key"))
-    probed = hashed.select("rep", "label", "unit", F.posexplode("probed").alias("at", "key"))
-    probed = probed.withColumn("place", F.expr(f"at div {HASHES}").cast("int"))
+    probed = hashed.select("rep", "label", "unit", "hashes", F.posexplode("probed").alias("at", "key"))
+    probed = probed.withColumn("place", F.expr("at div hashes").cast("int"))
     rows = own.select(bucket, "rep", "place", F.lit(True).alias("is_own")).unionByName(
         probed.select(bucket, "rep", "place", F.lit(False).alias("is_own"))
     )
@@ -229,15 +250,18 @@ def _search(heavy: DataFrame, least: float) -> DataFrame:
     target = to_arrow_schema(schema)
 
     def emit(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        sizes = np.array([len(v) for v in table.column("unit").to_pylist()])
-        for size in np.unique(sizes):
-            part = table.filter(pa.array(sizes == size)) if len(np.unique(sizes)) > 1 else table
+        sizes = pc.binary_length(table.column("unit")).to_numpy().astype(np.int64)
+        kinds = sizes << 32 | table.column("hashes").to_numpy()
+        alike = np.unique(kinds)
+        for kind in alike:
+            part = table.filter(pa.array(kinds == kind)) if len(alike) > 1 else table
+            hashes = int(kind & 0xFFFFFFFF)
             column = lambda name: part.column(name).to_numpy()
             n = part.num_rows
             starts = group_starts(part, _TASK)
             rows = {
                 "x": np.frombuffer(b"".join(part.column("unit").to_pylist()), np.float64).reshape(n, -1),
-                "codes": np.frombuffer(b"".join(part.column("axes").to_pylist()), "<i4").reshape(n, 2, TABLES, HASHES),
+                "codes": np.frombuffer(b"".join(part.column("axes").to_pylist()), "<i4").reshape(n, 2, n_tables(hashes), hashes),
                 "label": np.unique(np.array(part.column("label").to_pylist()), return_inverse=True)[1],
                 "cross": column("low") != column("high"),
                 "own": part.column("is_own").to_numpy(zero_copy_only=False).astype(bool),
@@ -266,9 +290,10 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
         F.transform(F.col("embedding").cast("array<double>"), lambda v: v + F.lit(0.0)).alias("vector"),
     )
     known = written(_classes(vectors), "polytope-classes")
-    hashed = written(_hashed(known.select("rep", "copies", F.col("label").cast("string").alias("label"), "vector")), "polytope-hashes")
+    classes = known.select("rep", "copies", F.col("label").cast("string").alias("label"), "vector")
+    hashed = written(_hashed(_with_hashes(classes)), "polytope-hashes")
     rows = written(_bucket_rows(hashed), "polytope-buckets")
-    heavy = rows.join(hashed.select("rep", "copies", "label", "unit", "axes"), "rep")
+    heavy = rows.join(hashed.select("rep", "copies", "label", "hashes", "unit", "axes"), "rep")
     heavy = heavy.repartition(*_TASK).sortWithinPartitions(*_TASK)
     found = written(_search(heavy, cosine), "polytope-links")
     edges = found.where(F.col("other").isNotNull()).select(F.col("rep").alias("a"), F.col("other").alias("b"))

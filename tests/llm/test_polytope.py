@@ -52,9 +52,11 @@ def brute(rows, least):
     return sorted((str(r[0]), int(n), str(c), r[0] is None or r[0] == c) for r, n, c in zip(rows, counts, label))
 
 
-@pytest.mark.parametrize("block", [512, 100])
-def test_links_equal_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "few"), [(512, polytope.FEW), (100, polytope.FEW), (512, 300)])
+def test_links_equal_brute_force(spark, monkeypatch, block, few):
+    """With ``few`` classes, one label has keys of more hashes than the others."""
     monkeypatch.setattr(polytope, "BLOCK", block)
+    monkeypatch.setattr(polytope, "FEW", few)
     rows = vectors()
     found = polytope.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted((str(r["vec_id"]), r["n_links"], str(r["component_id"]), r["kept"]) for r in found) == brute(rows, 0.93)
@@ -75,11 +77,24 @@ def test_transform_is_hadamards():
     assert np.allclose(polytope.hadamard(x), x @ matrix)
 
 
-def test_recall_at_the_threshold():
+def test_hashes_follow_the_classes_of_a_label(spark, monkeypatch):
+    monkeypatch.setattr(polytope, "FEW", 4)
+    monkeypatch.setattr(polytope, "CLASSES_A_HASH", 10)
+    sizes = {"a": 4, "b": 5, "c": 40, "d": 41, "e": 401}
+    rows = [(i, 1, label) for label, n in sizes.items() for i in range(n)]
+    found = polytope._with_hashes(spark.createDataFrame(rows, "rep long, copies long, label string"))
+    assert found.count() == len(rows)
+    assert {r["label"]: r["hashes"] for r in found.collect()} == {"a": 3, "b": 4, "c": 4, "d": 5, "e": 6}
+
+
+@pytest.mark.parametrize("hashes", [3, 4, 5])
+def test_recall_at_the_threshold(hashes):
     random = np.random.default_rng(9)
     x = random.normal(size=(5000, 64))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     y = np.array([near(v, 0.93, random) for v in x])
-    shape = (5000, polytope.TABLES, polytope.HASHES)
-    (a, b), (c, d) = ([m.reshape(shape) for m in polytope.axes(v)] for v in (x, y))
-    assert polytope._meet(a, b, c, d).any(1).mean() >= 0.999
+    own, others = polytope.axes(x, hashes), polytope.axes(y, hashes)
+    assert own[0].shape == (5000, polytope.n_tables(hashes), hashes)
+    assert polytope._meet(*own, *others).any(1).mean() >= 0.999
+    # Of pairs that are not alike, a table brings fewer together with every hash.
+    assert polytope._meet(*own, *(np.roll(a, 1, 0) for a in others)).mean() < 10.0 ** (1 - 2 * (hashes - 1))
