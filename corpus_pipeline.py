@@ -1,7 +1,8 @@
 """From raw documents to packed sequences: the stages of the corpus pipeline, each one an operator of ``racestream.llm``.
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all documents that its predecessor kept. All but the last return the
-columns of the documents.
+columns of the documents. Extra columns pass through all stages but the last, whatever their names; repeated rows are rows of their own, except that
+near-duplicates keep one of each group; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from racestream.session import written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail no rule, from hosts that are not condemned."""
+    """Documents that fail no rule, from hosts that are not condemned; null and empty texts go, a null source has no host verdict."""
     small_batches(spark)
     return host_quality.keep_good(docs)
 
@@ -52,8 +53,8 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: None: the trained tagger, the tokenizer and the packing have no SQL form. Tests compare near-duplicates with brute force, the
-#: other stages by their properties.
+#: None: the trained tagger, the tokenizer and the packing have no SQL form. Tests compare the rows of every stage, and the pieces of
+#: the whole run, with plain Python on a small table.
 ORACLE_SQL = None
 
 
