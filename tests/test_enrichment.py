@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import tables
+from racestream.operators import carry_forward
 from racestream.operators.enrichment import SESSION_KEYS, enrich_arrival, enrich_complete, enriched_json
 
 # Arrival order: lap 1, pit lap 2, lap 2, pit lap 2 without duration, lap 2 again, lap 3, pit lap 3.
@@ -101,3 +102,36 @@ def test_complete_takes_the_latest_of_several(spark):
 def test_other_columns_do_not_leak(spark):
     laps = tables.laps(spark, [(1, 1, 44, 1)]).withColumn("ingest_time", F.current_timestamp())
     assert enrich_arrival(laps, tables.pits(spark, [])).columns == enrich_complete(laps, tables.pits(spark, [])).columns
+
+
+@pytest.mark.parametrize("max_ways", [64, 5])
+def test_a_key_of_many_slices_is_cut_round_by_round(spark, monkeypatch, max_ways):
+    """What is kept of a range does not grow with the key, and slices are as small as asked for."""
+    bounds, slices = [], []
+    written, sliced = carry_forward.written, carry_forward._sliced
+
+    def watched(df, purpose):
+        table = written(df, purpose)
+        if purpose == "crowded-bounds":
+            bounds.append(table.agg(F.max(F.size("_bounds"))).first()[0])
+        return table
+
+    def measured(*args):
+        table = sliced(*args)
+        slices.append(table.groupBy("driver_number", "lap_number", "_slice").count().agg(F.max("count"), F.count("*")).first())
+        return table
+
+    monkeypatch.setattr(carry_forward, "MAX_WAYS", max_ways, raising=False)
+    monkeypatch.setattr(carry_forward, "written", watched)
+    monkeypatch.setattr(carry_forward, "_sliced", measured, raising=False)
+    rng = random.Random(3)
+    laps, pits = [], []
+    for seq, t in enumerate(rng.sample(range(100_000), 3000)):
+        if rng.random() < 0.6:
+            laps.append((t, seq, 44, 1))
+        else:
+            pits.append((t, seq, 44, 1, None if rng.random() < 0.2 else round(rng.uniform(18, 40), 3)))
+    got = enrich_arrival(tables.laps(spark, laps), tables.pits(spark, pits), max_group_rows=3)
+    assert outcome(got) == brute_force(laps, pits)
+    assert len(bounds) > 1 and max(bounds) < max_ways
+    assert slices[0][0] <= 8 and slices[0][1] > 700
