@@ -4,7 +4,8 @@ A broker keeps the order in which it receives the records of a partition, so a k
 side by side loses its order. Here the keys of a topic are dealt to lanes, and each lane is one sequence:
 
 * all records are sorted by topic, lane and order, and cut into parts of about ``part_rows`` records. The parts are ranges of that order,
-  so a key with a third of all records is spread over many parts, and a crowd of equal times is too;
+  so a key with a third of all records is spread over many parts, and a crowd of equal times is too. A task sorts a range of many parts
+  where these are small, as each task costs the driver a sample of its range, a result and a file;
 * the place of a record in its lane is what the lane's earlier parts hold, plus its place in its own part. Only the counts
   per part are gathered for that.
 
@@ -25,6 +26,9 @@ from racestream.session import written
 #: Lanes per topic, and records of a part.
 LANES, PART_ROWS = 64, 1_000_000
 
+#: Records that a task sorts, where parts are smaller.
+TASK_ROWS = 100_000
+
 _ROW_BITS = 33
 
 
@@ -44,10 +48,14 @@ def arranged(
     if lanes < 1 or part_rows < 1:
         raise ValueError("lanes and part_rows must be positive")
     laned = records.withColumn("lane", F.when(F.col("key").isNull(), F.lit(lanes)).otherwise(F.pmod(F.xxhash64("key"), F.lit(lanes))).cast("int"))
-    parts = max(1, -(-records.count() // part_rows))
+    parts_per_task = max(1, TASK_ROWS // part_rows)
+    tasks = max(1, -(-records.count() // (parts_per_task * part_rows)))
     by = ("topic", "lane", *order)
-    numbered = laned.repartitionByRange(parts, *by).sortWithinPartitions(*by).withColumn("row", F.monotonically_increasing_id())
-    numbered = numbered.withColumns({"part": F.shiftright("row", _ROW_BITS), "row": F.col("row").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))})
+    numbered = laned.repartitionByRange(tasks, *by).sortWithinPartitions(*by).withColumn("row", F.monotonically_increasing_id())
+    numbered = numbered.withColumns({"task": F.shiftright("row", _ROW_BITS), "row": F.col("row").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))})
+    # A task with a single part keeps it whole, though its range is not exactly that long.
+    part = F.floor(F.col("row") / part_rows) if parts_per_task > 1 else F.lit(0)
+    numbered = numbered.withColumn("part", F.shiftleft("task", _ROW_BITS) + part).drop("task")
     table = written(observe(encode(numbered)), "published")
     parts_of = table.groupBy("topic", "lane", "part").agg(F.count(F.lit(1)).alias("records"), F.min("row").alias("first"))
     in_lane = Window.partitionBy("topic", "lane").orderBy("part")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import tables
 from racestream import settings
 from racestream.operators.replay import TIMELINE_ORDER, merged, messages
+from racestream.sources import key_order
 from racestream.sources.key_order import arranged, waves
 from racestream.sources.topics import FileTopics, KafkaTopics
 from racestream.streaming.jobs import replay_job
@@ -95,3 +96,30 @@ def test_records_without_a_key_keep_their_order(spark):
     rows = spark.range(500).selectExpr("'t' AS topic", "CAST(NULL AS STRING) AS key", "(id * 37) % 500 AS time")
     found = arranged(rows, ["time"], lanes=4, part_rows=60).collect()
     assert all(r.place == r.time for r in found)
+
+
+@pytest.mark.parametrize("task_rows, most_tasks", [(100_000, 1), (400, 10)])
+def test_small_parts_share_a_task(spark, monkeypatch, task_rows, most_tasks):
+    """The tasks, and so what they send to the driver, follow the records, however small the parts."""
+    tasks, written = [], key_order.written
+
+    def watched(df, purpose):
+        if purpose == "published":
+            tasks.append(df.rdd.getNumPartitions())
+        return written(df, purpose)
+
+    monkeypatch.setattr(key_order, "TASK_ROWS", task_rows, raising=False)
+    monkeypatch.setattr(key_order, "written", watched)
+    data = session(spark)
+    table = arranged(merged(data), TIMELINE_ORDER, messages, lanes=4, part_rows=10)
+    assert tasks[0] <= most_tasks and (tasks[0] > 1 or most_tasks == 1)
+    rows = table.collect()
+    keyed = sorted((r.topic, r.key, r.place, r.time, r.seq) for r in rows)
+    assert {key: [r[3:] for r in group] for key, group in groupby(keyed, key=lambda r: r[:2])} == expected(data)
+    parts, places = {}, {}
+    for r in rows:
+        parts.setdefault((r.topic, r.lane, r.nth), []).append(r.place)
+        places.setdefault((r.topic, r.lane), []).append(r.place)
+    assert max(len(part) for part in parts.values()) <= 10
+    assert all(max(part) - min(part) == len(part) - 1 for part in parts.values())
+    assert all(sorted(found) == list(range(len(found))) for found in places.values())
