@@ -108,7 +108,7 @@ def test_other_columns_do_not_leak(spark):
 def test_a_key_of_many_slices_is_cut_round_by_round(spark, monkeypatch, max_ways):
     """What is kept of a range does not grow with the key, and slices are as small as asked for."""
     bounds, slices = [], []
-    written, sliced = carry_forward.written, carry_forward._sliced
+    written, across = carry_forward.written, carry_forward._across_slices
 
     def watched(df, purpose):
         table = written(df, purpose)
@@ -116,14 +116,13 @@ def test_a_key_of_many_slices_is_cut_round_by_round(spark, monkeypatch, max_ways
             bounds.append(table.agg(F.max(F.size("_bounds"))).first()[0])
         return table
 
-    def measured(*args):
-        table = sliced(*args)
-        slices.append(table.groupBy("driver_number", "lap_number", "_slice").count().agg(F.max("count"), F.count("*")).first())
-        return table
+    def measured(sliced, *args):
+        slices.append(sliced.groupBy("driver_number", "lap_number", "_slice").count().agg(F.max("count"), F.count("*")).first())
+        return across(sliced, *args)
 
     monkeypatch.setattr(carry_forward, "MAX_WAYS", max_ways, raising=False)
     monkeypatch.setattr(carry_forward, "written", watched)
-    monkeypatch.setattr(carry_forward, "_sliced", measured, raising=False)
+    monkeypatch.setattr(carry_forward, "_across_slices", measured)
     rng = random.Random(3)
     laps, pits = [], []
     for seq, t in enumerate(rng.sample(range(100_000), 3000)):
