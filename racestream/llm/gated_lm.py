@@ -10,6 +10,7 @@ rank, and within it the probability (count + 1) / sum. The output softmax is fac
   round takes twice as many shards as the one before. So the weights follow from the documents, not from partitions or tasks.
 * Scoring: texts are laid end to end in lanes, a window at a time; one matrix product per step moves all lanes on, and the state
   is carried from window to window until a text ends. So every text is scored whole, whatever its length.
+* Exponentials of logits stay as they are: products of them with the weights give both the sums to divide by and the gradients.
 * The counts of rare tokens, whose number grows with the corpus, are joined, not broadcast.
 """
 
@@ -19,7 +20,7 @@ import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import groupby, islice, repeat
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from racestream.llm.tables import doc_texts, map_rows, ship
+from racestream.llm.tables import doc_texts, ship
 from racestream.session import new_folder, written
 
 #: The end of a text, as a token. No word holds white space.
@@ -53,6 +54,12 @@ UNIT, MOST_CHANGE, BLOCK = 2.0**20, 8.0, 1 << 14
 MOST_TASKS = 1 << 15
 
 LANES, WINDOW = 384, 64
+#: States whose classes are weighed at a time, so that the numbers stay in the processor's cache.
+SLICE = 2048
+#: Memory that a worker keeps between windows, about; never touched, so it costs none by itself.
+KEPT_BYTES = 30 << 20
+#: Logits without their biases stay within this, so that their exponentials need no shift; those of steeper weights have one.
+STEEP = 60.0
 #: Bytes of text, and one text more, whose tokens a worker holds at a time.
 PART_BYTES = 16 << 20
 
@@ -70,20 +77,39 @@ def words(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
+def part_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, one after another, as ``words`` gives them, and how many each text has."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    found, n = split.flatten().cast(pa.binary()), np.diff(split.offsets.to_numpy())
+    # White space at either end of a text leaves an empty string there.
+    empty = pc.binary_length(found).to_numpy() == 0
+    if empty.any():
+        n = n - np.bincount(np.repeat(np.arange(len(n)), n)[empty], minlength=len(n))
+        found = found.filter(pa.array(~empty))
+    return found, n
+
+
 # Counts
 
 def token_counts(documents: DataFrame) -> DataFrame:
     """The count of every token of the training fold. Each batch is counted before its counts are shuffled."""
 
-    def count(columns: dict[str, list]) -> dict[str, list]:
-        counts: Counter[bytes] = Counter()
-        for text in columns["text"]:
-            counts.update(words(text))
-        counts[END.encode()] = len(columns["text"])
-        return {"token": pa.array(list(counts), pa.binary()).cast(pa.string()), "n": pa.array(counts.values(), pa.int64())}
+    ship(documents.sparkSession)
+    schema = pa.schema([("token", pa.string()), ("n", pa.int64())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = [{"token": [END], "n": [batch.num_rows]}]
+            for part in _parts(batch):
+                found = pc.value_counts(part_words(part.column("text"))[0])
+                counts.append({"token": found.field("values").cast(pa.string()), "n": found.field("counts")})
+            table = pa.concat_tables(pa.Table.from_pydict(columns, schema) for columns in counts)
+            if len(counts) > 2:
+                table = table.group_by("token", use_threads=False).aggregate([("n", "sum")]).rename_columns(["token", "n"])
+            yield from table.combine_chunks().to_batches()
 
     learned_from = doc_texts(documents).where(_fold("doc_id") != 2).select("text")
-    counted = map_rows(learned_from, count, "token string, n long", rows=None)
+    counted = learned_from.mapInArrow(count, "token string, n long")
     return counted.groupBy("token").agg(F.sum("n").alias("n"))
 
 
@@ -98,6 +124,7 @@ class Vocabulary:
 
     def __post_init__(self) -> None:
         self.rank = {token: i for i, token in enumerate(self.tokens)}
+        self.as_array = pa.array(self.tokens, pa.binary())
         self.others = len(self.tokens)  # the rank of all further tokens
         ranks = np.arange(self.others + 1)
         covering = int(np.searchsorted(np.cumsum(self.counts), COVERAGE * self.total)) + 1
@@ -130,8 +157,9 @@ class Vocabulary:
         self.base = np.append(np.log10(smoothed), 0.0)
         self.known = np.append(self.counts > 0, False)
 
-    def ids(self, tokens: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.rank.get, tokens, repeat(self.others)), np.int32, len(tokens))
+    def ids(self, tokens: list[bytes] | pa.Array) -> np.ndarray:
+        found = pc.index_in(pa.array(tokens, pa.binary()), value_set=self.as_array)
+        return found.fill_null(self.others).to_numpy()
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
@@ -193,7 +221,9 @@ def _advance(
     steps, lanes = x.shape
     half = np.ones(3 * HIDDEN, w["x"].dtype)
     half[: 2 * HIDDEN] = 0.5  # the logistic function by the hyperbolic tangent of half its argument
-    gates = np.ascontiguousarray(((w["x"] + w["b"]) * half)[x].transpose(0, 2, 1))
+    given = w["x"] + w["b"]
+    given *= half
+    gates = np.ascontiguousarray(given.take(x, 0).transpose(0, 2, 1))
     u = np.ascontiguousarray((w["u"] * half).T)
     before = np.empty((steps, HIDDEN, lanes), gates.dtype)
     after, through = np.empty_like(before), np.empty_like(before)
@@ -216,33 +246,63 @@ def _advance(
     return before, after, gates, through
 
 
-def _by_class(v: Vocabulary, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The class of each target, an order that sorts them by class, and where the learned classes begin in it."""
-    classes = v.token_class[target]
-    order = np.argsort(classes, kind="stable")
-    return classes, order, np.searchsorted(classes[order], np.arange(v.learned_classes + 1))
+class Outputs:
+    """The output weights in rows of units and a bias, for states in rows of units and a one.
+
+    ``classes`` and ``tokens`` give logits. ``of_classes`` and ``of_tokens`` have ones in place of the biases: exponentials times
+    them are sums of weights, and last the sum to divide by. States lie between -1 and 1 and biases are shifted to at most zero
+    within a softmax, so the sum of a row's weights bounds its logits.
+    """
+
+    def __init__(self, w: Weights, v: Vocabulary):
+        bias = w["wb"].reshape(-1, CLASS_SIZE)
+        bias = (bias - bias.max(1, keepdims=True)).reshape(-1, 1)
+        self.classes = np.hstack([w["c"].T, (w["cb"] - w["cb"].max())[:, None]])
+        self.tokens = np.hstack([w["w"], bias])
+        self.of_classes, self.of_tokens = self.classes.copy(), self.tokens.copy()
+        self.of_classes[:, -1] = self.of_tokens[:, -1] = 1
+        self.steep = max(np.abs(w["c"]).sum(0).max(), np.abs(w["w"]).sum(1).max()) > STEEP
+
+    def shifted(self, logits: np.ndarray) -> np.ndarray:
+        if self.steep:
+            logits -= logits.max(1, keepdims=True)
+        return logits
 
 
-def _normalized(a: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """Turns rows of logits into probabilities, in place, and returns the logarithms of the chosen ones."""
-    a -= a.max(1, keepdims=True)
-    value = a[np.arange(len(a)), chosen]
-    np.exp(a, out=a)
-    sums = a.sum(1, keepdims=True)
-    a /= sums
-    return value - np.log(sums[:, 0])
+def _with_ones(states: np.ndarray) -> np.ndarray:
+    used = np.ones((len(states), HIDDEN + 1), states.dtype)
+    used[:, :-1] = states
+    return used
 
 
-def log10_shares(w: Weights, v: Vocabulary, h: np.ndarray, target: np.ndarray) -> np.ndarray:
+def _starts(ordered: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+
+
+def _log_shares(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Logarithms of the probabilities of the chosen ones, one in each row; the logits are overwritten."""
+    value = logits[np.arange(len(logits)), chosen]
+    np.exp(logits, out=logits)
+    return value - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
+
+
+def log10_shares(w: Weights, v: Vocabulary, h: np.ndarray, target: np.ndarray, outputs: Outputs | None = None) -> np.ndarray:
     """log10 of each target's probability after its state, but for the share of a token of the last class."""
-    classes, order, ends = _by_class(v, target)
-    value = _normalized(h @ w["c"] + w["cb"], classes).astype(np.float64)
-    used, goal = h[order], target[order]
-    inside = np.zeros(len(order))
+    outputs = outputs or Outputs(w, v)
+    classes = v.token_class[target].astype(np.min_scalar_type(v.n_classes))
+    order = np.argsort(classes, kind="stable")
+    classes, goal, used = classes[order], target[order], _with_ones(h.take(order, 0))
+    ends = np.searchsorted(classes, np.arange(v.learned_classes + 1, dtype=classes.dtype))
+    shares = np.empty(len(order))
+    for at in range(0, len(order), SLICE):
+        part = slice(at, at + SLICE)
+        shares[part] = _log_shares(outputs.shifted(used[part] @ outputs.classes.T), classes[part])
     for k in np.flatnonzero(np.diff(ends)):
         part, of = slice(ends[k], ends[k + 1]), slice(k * CLASS_SIZE, (k + 1) * CLASS_SIZE)
-        inside[part] = _normalized(used[part] @ w["w"][of].T + w["wb"][of], goal[part] - k * CLASS_SIZE)
-    value[order] += inside
+        shares[part] += _log_shares(outputs.shifted(used[part] @ outputs.tokens[of].T), goal[part] - k * CLASS_SIZE)
+    value = np.empty(len(order))
+    value[order] = shares
     return value / math.log(10) + v.inside[target]
 
 
@@ -251,19 +311,31 @@ def _in_rows(states: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(states.transpose(0, 2, 1)).reshape(-1, states.shape[1])
 
 
+def _keep_freed() -> None:
+    """Frees a block larger than a window's arrays: the C library then keeps freed memory of that size for the next window.
+
+    Otherwise it returns every large array to the system, which hands out zeroed pages anew, a fifth of the time. On a C library
+    that does not adapt like this it does nothing.
+    """
+    np.empty(KEPT_BYTES, np.uint8)
+
+
 class Lanes:
     """Texts one after another in lanes, laid out a window at a time: a lane that ends its text takes the next one.
 
     ``x``, ``y``, ``owner`` and ``first`` hold the current window, steps by lanes; without ``window``, all there is. ``kept`` are
-    those lanes of the window before that go on. So memory is that of one window and of the texts in the lanes.
+    those lanes of the window before that go on. So memory is that of one window and of the texts in the lanes. Where few lanes
+    go on, windows have as many more steps as take ``least`` tokens, so that long texts left over do not take a window for every few.
     """
 
-    def __init__(self, texts: Iterable[np.ndarray], lanes: int, end: int, window: int | None = None):
+    def __init__(self, texts: Iterable[np.ndarray], lanes: int, end: int, window: int | None = None, least: int = 0):
         if window is None:
             texts = list(texts)
             window = sum(len(text) + 1 for text in texts)
-        self.end, self.window = end, window
-        self.waiting = ((i, text, 0) for i, text in enumerate(texts))
+        self.window, self.least = window, least
+        around = np.array([end], np.int32)
+        #: Texts between ends: a token's target is the next one.
+        self.waiting = ((i, np.concatenate([around, text, around]), 0) for i, text in enumerate(texts))
         self.places: list[tuple[int, np.ndarray, int] | None] = list(islice(self.waiting, lanes))
         self.advance()
 
@@ -271,26 +343,21 @@ class Lanes:
         """Lays out the next window; false, and an empty one, if nothing is left."""
         self.kept = np.array([k for k, place in enumerate(self.places) if place is not None], np.int64)
         self.places = [place for place in self.places if place is not None]
-        shape = (len(self.places), self.window if self.places else 0)
+        window = max(self.window, self.least // max(len(self.places), 1))
+        shape = (len(self.places), window)
         x, y = np.zeros(shape, np.int32), np.full(shape, -1, np.int32)
         owner, first = np.zeros(shape, np.int32), np.zeros(shape, bool)
         steps = 0
         for lane, place in enumerate(self.places):
             t = 0
-            while place is not None and t < self.window:
-                i, ids, at = place
-                stop = min(len(ids) + 1, at + self.window - t)
+            while place is not None and t < window:
+                i, row, at = place
+                stop = min(len(row) - 1, at + window - t)
                 to = t + stop - at
-                part = ids[at:stop]
-                y[lane, t : t + len(part)] = part
-                y[lane, t + len(part) : to] = self.end
-                if at:
-                    x[lane, t:to] = ids[at - 1 : stop - 1]
-                else:
-                    x[lane, t], first[lane, t] = self.end, True
-                    x[lane, t + 1 : to] = ids[: stop - 1]
+                x[lane, t:to], y[lane, t:to] = row[at:stop], row[at + 1 : stop + 1]
+                first[lane, t] = not at
                 owner[lane, t:to] = i
-                t, place = to, (i, ids, stop) if stop <= len(ids) else next(self.waiting, None)
+                t, place = to, (i, row, stop) if stop < len(row) - 1 else next(self.waiting, None)
             self.places[lane] = place
             steps = max(steps, t)
         self.x, self.y, self.owner, self.first = (np.ascontiguousarray(a[:, :steps].T) for a in (x, y, owner, first))
@@ -299,15 +366,17 @@ class Lanes:
 
 def score(w: Weights, v: Vocabulary, texts: list[np.ndarray], lanes: int = LANES) -> np.ndarray:
     """log10 of each text's probability, end included, but for the shares of tokens of the last class."""
+    _keep_freed()
     order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
     sums = np.zeros(len(texts))
-    laid = Lanes((texts[i] for i in order), lanes, v.rank[END.encode()], WINDOW)
+    laid = Lanes((texts[i] for i in order), lanes, v.rank[END.encode()], WINDOW, LANES * WINDOW)
+    outputs = Outputs(w, v)
     h = np.zeros((HIDDEN, len(laid.kept)), np.float32)
     while len(laid.x):
         states = _advance(w, h[:, laid.kept], v.as_input[laid.x], laid.first)[1]
         h = states[-1]
-        real = laid.y.reshape(-1) >= 0
-        shares = log10_shares(w, v, _in_rows(states)[real], laid.y.reshape(-1)[real])
+        real = np.flatnonzero(laid.y.reshape(-1) >= 0)
+        shares = log10_shares(w, v, _in_rows(states)[real], laid.y.reshape(-1)[real], outputs)
         np.add.at(sums, laid.owner.reshape(-1)[real], shares)
         laid.advance()
     total = np.zeros(len(texts))
@@ -321,35 +390,56 @@ def train(w: Weights, v: Vocabulary, texts: Iterable[np.ndarray], rate: float =
     A step takes the windows of ``STEP_TOKENS`` tokens or more, so that a few long texts left over do not steer many steps.
     Returns the weights and the tokens learned from.
     """
+    _keep_freed()
     w = {name: value.copy() for name, value in w.items()}
     moments = {name: (np.zeros_like(value), np.zeros_like(value)) for name, value in w.items()}
-    laid = Lanes(texts, TRAIN_LANES, v.rank[END.encode()], TRAIN_WINDOW)
+    sums: Weights = {}
+    laid = Lanes(texts, TRAIN_LANES, v.rank[END.encode()], TRAIN_WINDOW, STEP_TOKENS)
     h = np.zeros((HIDDEN, len(laid.kept)), np.float32)
+    outputs = Outputs(w, v)
     step = tokens = held = 0
-    sums: Weights = {}
     while len(laid.x):
         n = int((laid.y >= 0).sum())
-        slopes, h = _window(w, v, h[:, laid.kept], v.as_input[laid.x], laid.y, laid.first)
-        sums = {name: slope * np.float32(n) + (sums[name] if held else 0) for name, slope in slopes.items()}
+        slopes, h = _window(w, v, h[:, laid.kept], v.as_input[laid.x], laid.y, laid.first, outputs)
+        for name, slope in slopes.items():
+            slope *= np.float32(n)
+            if held:
+                slope += sums[name]
+        sums = slopes
         tokens, held = tokens + n, held + n
         more = laid.advance()
         if held < STEP_TOKENS and more:
             continue
         step += 1
-        size = rate * min(1.0, held / STEP_TOKENS) / (1 - 0.9**step)
-        for name, total in sums.items():
-            slope = total / np.float32(held)
-            first, second = moments[name]
-            first += np.float32(0.1) * (slope - first)
-            second += np.float32(0.01) * (slope * slope - second)
-            spread = np.sqrt(second / np.float32(1 - 0.99**step)) + np.float32(1e-6)
-            w[name] -= np.float32(size) * first / spread
-        held = 0
+        for name, value in w.items():
+            _move(value, sums[name], *moments[name], held, step, rate * min(1.0, held / STEP_TOKENS))
+        outputs, held = Outputs(w, v), 0
     return w, tokens
 
 
+def _move(w: np.ndarray, sums: np.ndarray, first: np.ndarray, second: np.ndarray, held: int, step: int, rate: float) -> None:
+    """An adaptive step of weights, in place and a cache's worth at a time, by slopes summed over ``held`` tokens."""
+    rate, unbiased = rate / (1 - 0.9**step), 1 / (1 - 0.99**step)
+    flat = [a.reshape(-1) for a in (w, sums, first, second)]
+    for at in range(0, w.size, BLOCK):
+        value, slope, m, s = (a[at : at + BLOCK] for a in flat)
+        slope *= np.float32(1 / held)
+        m *= np.float32(0.9)
+        m += np.float32(0.1) * slope
+        slope *= slope
+        slope *= np.float32(0.01)
+        s *= np.float32(0.99)
+        s += slope
+        spread = s * np.float32(unbiased)
+        np.sqrt(spread, out=spread)
+        spread += np.float32(1e-6)
+        np.divide(m, spread, out=spread)
+        spread *= np.float32(rate)
+        value -= spread
+
+
 def _window(
-    w: Weights, v: Vocabulary, h: np.ndarray, x: np.ndarray, y: np.ndarray, first: np.ndarray
+    w: Weights, v: Vocabulary, h: np.ndarray, x: np.ndarray, y: np.ndarray, first: np.ndarray, outputs: Outputs | None = None
 ) -> tuple[Weights, np.ndarray]:
     """Gradients of the mean loss of a window, and the state after it."""
     before, after, gates, through = _advance(w, h, x, first)
@@ -359,37 +449,19 @@ def _window(
     real = np.flatnonzero(target >= 0)
     if not len(real):
         return slopes, h
-    target, used = target[real], _in_rows(after)[real]
-    scale = 1 / len(real)
-    classes, order, ends = _by_class(v, target)
-    error = used @ w["c"] + w["cb"]
-    _normalized(error, classes)
-    error[np.arange(len(real)), classes] -= 1
-    error *= scale
-    slopes["c"] += used.T @ error
-    slopes["cb"] += error.sum(0)
-    d_used = error @ w["c"].T
-    used, goal, d_inside = used[order], target[order], np.zeros_like(used)
-    for k in np.flatnonzero(np.diff(ends)):
-        part, of = slice(ends[k], ends[k + 1]), slice(k * CLASS_SIZE, (k + 1) * CLASS_SIZE)
-        error = used[part] @ w["w"][of].T + w["wb"][of]
-        _normalized(error, goal[part] - k * CLASS_SIZE)
-        error[np.arange(len(error)), goal[part] - k * CLASS_SIZE] -= 1
-        error *= scale
-        slopes["w"][of] = error.T @ used[part]
-        slopes["wb"][of] = error.sum(0)
-        d_inside[part] = error @ w["w"][of]
-    d_used[order] += d_inside
+    d_used, real = _output_slopes(slopes, outputs or Outputs(w, v), v, _with_ones(_in_rows(after)), target, real)
     steps, lanes = x.shape
-    d_states = np.zeros((steps * lanes, HIDDEN), used.dtype)
-    d_states[real] = d_used
+    # States without a target take the last row, which is zero.
+    place = np.full(steps * lanes, len(real))
+    place[real] = np.arange(len(real))
+    d_states = d_used.take(place, 0)
     d_states = np.ascontiguousarray(d_states.reshape(steps, lanes, HIDDEN).transpose(0, 2, 1))
     z, r, n = gates[:, :HIDDEN], gates[:, HIDDEN : 2 * HIDDEN], gates[:, 2 * HIDDEN :]
     to_n = (1 - z) * (1 - n * n)
     to_z = (before - n) * z * (1 - z)
     to_r = through * r * (1 - r)
     d_gates, d_n = np.empty_like(gates), np.empty_like(before)
-    d_h = np.zeros((HIDDEN, lanes), used.dtype)
+    d_h = np.zeros((HIDDEN, lanes), d_used.dtype)
     begins = first.any(1)
     for t in range(steps - 1, -1, -1):
         d_h += d_states[t]
@@ -401,20 +473,72 @@ def _window(
         d_h += w["u"] @ d_gates[t]
         if begins[t]:
             d_h *= ~first[t]
-    slopes["u"] += _in_rows(before).T @ _in_rows(d_gates)
+    slopes["u"][:] = np.matmul(before, d_gates.transpose(0, 2, 1)).sum(0)
     d_gates[:, 2 * HIDDEN :] = d_n
-    rows = _in_rows(d_gates)
-    order = np.argsort(x.reshape(-1), kind="stable")
-    inputs = x.reshape(-1)[order]
-    starts = np.flatnonzero(np.append(True, inputs[1:] != inputs[:-1]))
-    slopes["x"][inputs[starts]] = np.add.reduceat(rows[order], starts, axis=0)
-    slopes["b"] += rows.sum(0)
-    norm = math.sqrt(sum(float((s**2).sum()) for s in slopes.values()))
+    rows, inputs = _in_rows(d_gates), x.reshape(-1).astype(np.min_scalar_type(v.n_inputs))
+    order = np.argsort(inputs, kind="stable")
+    inputs = inputs[order]
+    starts = _starts(inputs)
+    slopes["x"][inputs[starts]] = np.add.reduceat(rows.take(order, 0), starts, axis=0)
+    slopes["b"][:] = np.ones(len(rows), rows.dtype) @ rows
+    norm = math.sqrt(sum(float(np.vdot(s, s)) for s in slopes.values()))
     if norm > 1:
-        slopes = {name: s * (1 / norm) for name, s in slopes.items()}
+        for s in slopes.values():
+            s *= 1 / norm
     return slopes, h
 
 
+def _output_slopes(
+    slopes: Weights, outputs: Outputs, v: Vocabulary, states: np.ndarray, target: np.ndarray, real: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Sets the gradients of the output weights; returns those of the states in ``real`` and a row of zeros, and ``real`` in order.
+
+    States have a one as their last unit. They go by their targets, and so by class. The error, probabilities less one for the target, is never written out: its
+    first part is exponentials times the states divided by their sums, its second a sum of states of each target.
+    """
+    inputs = v.as_input[target[real]].astype(np.min_scalar_type(v.n_inputs))
+    order = np.argsort(inputs, kind="stable")
+    real, inputs = real[order], inputs[order]
+    classes, used = v.token_class[target[real]], states.take(real, 0)
+    scale = used.dtype.type(1 / len(real))
+    n, starts = int(np.searchsorted(inputs, v.learned)), _starts(inputs)
+    pulls, several = np.add.reduceat(used, starts, axis=0) * -scale, _starts(classes[starts])
+
+    of_classes = np.zeros_like(outputs.classes)
+    of_classes[classes[starts[several]]] = np.add.reduceat(pulls, several, axis=0)
+    d_used = np.zeros((len(real) + 1, HIDDEN), used.dtype)
+    for at in range(0, len(real), SLICE):
+        part = slice(at, at + SLICE)
+        raised = outputs.shifted(used[part] @ outputs.classes.T)
+        np.exp(raised, out=raised)
+        pushed = raised @ outputs.of_classes
+        inverse = scale / pushed[:, -1:]
+        of_classes += raised.T @ (used[part] * inverse)
+        d_used[at : at + len(pushed)] = pushed[:, :-1] * inverse
+    d_used[:-1] -= scale * outputs.classes.take(classes, 0)[:, :-1]
+    slopes["c"][:], slopes["cb"][:] = of_classes[:, :-1].T, of_classes[:, -1]
+
+    of_tokens = np.zeros_like(outputs.tokens)
+    own = starts < n
+    of_tokens[inputs[starts[own]]] = pulls[own]
+    ends = np.searchsorted(classes[:n], np.arange(v.learned_classes + 1))
+    parts = [(slice(ends[k], ends[k + 1]), slice(k * CLASS_SIZE, (k + 1) * CLASS_SIZE)) for k in np.flatnonzero(np.diff(ends))]
+    raised, pushed = np.empty((n, CLASS_SIZE), used.dtype), np.empty((n, HIDDEN + 1), used.dtype)
+    for part, of in parts:
+        np.matmul(used[part], outputs.tokens[of].T, out=raised[part])
+    np.exp(outputs.shifted(raised), out=raised)
+    for part, of in parts:
+        np.matmul(raised[part], outputs.of_tokens[of], out=pushed[part])
+    inverse = scale / pushed[:, -1:]
+    divided = used[:n] * inverse
+    for part, of in parts:
+        of_tokens[of] += raised[part].T @ divided[part]
+    d_used[:n] += pushed[:, :-1] * inverse
+    d_used[:n] -= scale * outputs.tokens.take(inputs[:n], 0)[:, :-1]
+    slopes["w"][:], slopes["wb"][:] = of_tokens[:, :-1], of_tokens[:, -1]
+    return d_used, real
+
+
 def n_shards(v: Vocabulary) -> int:
     return max(1, -(-v.total // SHARD_TOKENS))
 
@@ -439,8 +563,11 @@ def _numbered(documents: DataFrame, v: Vocabulary) -> DataFrame:
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = known.value
         for part in (part for batch in batches for part in _parts(batch)):
-            ids = [v.as_input[v.ids(words(text))].astype(kind).tobytes() for text in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), *part.columns[1:]], schema=target)
+            found, n = part_words(part.column("text"))
+            inputs = v.as_input[v.ids(found)].astype(kind)
+            ends = np.append(0, np.cumsum(n)) * kind.itemsize
+            ids = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(inputs)])
+            yield pa.RecordBatch.from_arrays([ids, *part.columns[1:]], schema=target)
 
     dealt = F.xxhash64("doc_id")
     shard = F.pmod(dealt, F.lit(n_shards(v)).cast("long"))
@@ -551,6 +678,17 @@ def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         at = stop
 
 
+def _listed(tokens: pa.Array, of: np.ndarray, rows: int) -> pa.Array:
+    """The distinct tokens of every row with their counts, as a list a row."""
+    coded = tokens.dictionary_encode()
+    kinds = max(len(coded.dictionary), 1)
+    pairs, n = np.unique(of * kinds + coded.indices.to_numpy(), return_counts=True)
+    own, code = np.divmod(pairs, kinds)
+    fields = [coded.dictionary.take(pa.array(code)).cast(pa.string()), pa.array(n, pa.int64())]
+    starts = np.searchsorted(own, np.arange(rows + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(starts), pa.StructArray.from_arrays(fields, ["token", "n"]))
+
+
 def _first_pass(documents: DataFrame, v: Vocabulary, weights: Weights) -> DataFrame:
     """All but the shares of the tokens that are not broadcast; those are listed."""
     spark = documents.sparkSession
@@ -564,32 +702,26 @@ def _first_pass(documents: DataFrame, v: Vocabulary, weights: Weights) -> DataFr
         v, w = model.value
         row_id = TaskContext.get().partitionId() << 40
         for part in (part for batch in batches for part in _parts(batch)):
-            columns = part.to_pydict()
-            ids, rest = [], []
-            for text in columns["text"]:
-                tokens = words(text)
-                own = v.ids(tokens)
-                others = Counter(tokens[i] for i in np.flatnonzero(own == v.others))
-                ids.append(own)
-                rest.append([{"token": t.decode(), "n": n} for t, n in others.items()])
+            found, n = part_words(part.column("text"))
+            ids, of = v.ids(found), np.repeat(np.arange(len(n)), n)
             end = v.rank[END.encode()]
-            n_tokens = [len(own) + 1 for own in ids]
             unit = math.log10(v.total + v.distinct + 1)
+            further = np.flatnonzero(ids == v.others)
             yield pa.RecordBatch.from_pydict(
                 {
-                    "row_id": range(row_id, row_id + len(ids)),
-                    "doc_id": columns["doc_id"],
-                    "held_out": columns["held_out"],
-                    "n_tokens": n_tokens,
-                    "n_known": [int(v.known[own].sum() + v.known[end]) for own in ids],
-                    "base_score": [float(v.base[own].sum() + v.base[end] - n * unit) for own, n in zip(ids, n_tokens)],
-                    "score": score(w, v, ids),
-                    "n_rest": [int((own == v.others).sum()) for own in ids],
-                    "rest": rest,
+                    "row_id": range(row_id, row_id + len(n)),
+                    "doc_id": part.column("doc_id"),
+                    "held_out": part.column("held_out"),
+                    "n_tokens": n + 1,
+                    "n_known": np.bincount(of[v.known[ids]], minlength=len(n)) + int(v.known[end]),
+                    "base_score": np.bincount(of, v.base[ids], len(n)) + v.base[end] - (n + 1) * unit,
+                    "score": score(w, v, np.split(ids, np.cumsum(n)[:-1])),
+                    "n_rest": np.bincount(of[further], minlength=len(n)),
+                    "rest": _listed(found.take(pa.array(further)), of[further], len(n)),
                 },
                 target,
             )
-            row_id += len(ids)
+            row_id += len(n)
 
     texts = doc_texts(documents).withColumn("held_out", held_out())
     return texts.mapInArrow(scored, schema)

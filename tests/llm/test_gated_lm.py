@@ -218,3 +218,68 @@ def test_learned_tokens_follow_the_coverage():
         assert v.learned >= max(lm.LEAST_LEARNED, lm.COVERAGE * n)
         assert len(lm.initial(v)["w"]) == v.learned
         assert (v.as_input[v.of_input[v.as_input]] == v.as_input).all()
+
+
+def test_long_texts_left_over_take_few_windows(monkeypatch):
+    """The cost of a shard follows its tokens, not the steps of its longest text."""
+    v, random = small_vocabulary(), np.random.default_rng(6)
+    w = lm.initial(v)
+    texts = [random.integers(0, v.others + 1, n).astype(np.int32) for n in (*[3] * 383, 20_000)]
+    windows = {"train": 0, "score": 0}
+
+    def counted(kind, function):
+        def call(*args):
+            windows[kind] += 1
+            return function(*args)
+
+        return call
+
+    monkeypatch.setattr(lm, "_window", counted("train", lm._window))
+    _, tokens = lm.train(w, v, texts)
+    assert tokens == sum(len(text) + 1 for text in texts)
+    monkeypatch.setattr(lm, "log10_shares", counted("score", lm.log10_shares))
+    lm.score(w, v, texts)
+    assert windows["train"] <= tokens / lm.STEP_TOKENS + 2
+    assert windows["score"] <= tokens / (lm.LANES * lm.WINDOW) + 2
+
+
+@pytest.mark.parametrize("steepness", [1, 300])
+def test_shares_and_gradients_of_steep_weights(steepness):
+    """Against plain formulas in double precision, where exponentials of the logits themselves would overflow."""
+    v, random = small_vocabulary(200), np.random.default_rng(8)
+    w = {name: value * np.float32(steepness if name in ("c", "w") else 1) for name, value in lm.initial(v).items()}
+    h = random.uniform(-1, 1, (50, lm.HIDDEN)).astype(np.float32)
+    target = random.integers(0, v.others, 50).astype(np.int32)
+    classes = v.token_class[target]
+    logits = h.astype(np.float64) @ w["c"] + w["cb"]
+    expected = logits[np.arange(50), classes] - logits.max(1) - np.log(np.exp(logits - logits.max(1, keepdims=True)).sum(1))
+    errors = np.exp(logits - logits.max(1, keepdims=True))
+    errors /= errors.sum(1, keepdims=True)
+    errors[np.arange(50), classes] -= 1
+    for i in np.flatnonzero(classes < v.learned_classes):
+        of = slice(classes[i] * lm.CLASS_SIZE, (classes[i] + 1) * lm.CLASS_SIZE)
+        inside = w["w"][of].astype(np.float64) @ h[i] + w["wb"][of]
+        expected[i] += inside[target[i] - of.start] - inside.max() - np.log(np.exp(inside - inside.max()).sum())
+    found = lm.log10_shares(w, v, h, target)
+    assert np.isfinite(found).all()
+    assert np.allclose(found, expected / math.log(10) + v.inside[target], rtol=1e-3, atol=1e-4)
+    slopes = {name: np.zeros_like(value) for name, value in w.items()}
+    lm._output_slopes(slopes, lm.Outputs(w, v), v, lm._with_ones(h), target, np.arange(50))
+    assert np.allclose(slopes["c"], h.T @ errors / 50, rtol=1e-3, atol=1e-5)
+    assert np.allclose(slopes["cb"], errors.mean(0), rtol=1e-3, atol=1e-5)
+
+
+def test_words_of_a_part_equal_those_of_each_text():
+    odd = ["", " \t\n ", " a", "a ", "A\x0bB\x0cc\x1cd e\x85f\xa0g", "é Ü\r\nĀ\n\n", "x" * 5_000, *(r[1] for r in HARD if r[1])]
+    for part in (odd, odd[:2], odd[:1], []):
+        found, n = lm.part_words(lm.pa.array(["left out", *part], lm.pa.string()).slice(1))
+        assert n.tolist() == [len(lm.words(text)) for text in part]
+        assert found.to_pylist() == [word for text in part for word in lm.words(text)]
+
+
+def test_rare_tokens_are_listed_by_row():
+    tokens, of = [b"b", b"a", b"b", "é".encode(), b"a"], np.array([0, 0, 0, 2, 2])
+    listed = lm._listed(lm.pa.array(tokens, lm.pa.binary()), of, 4).to_pylist()
+    found = [{pair["token"]: pair["n"] for pair in row} for row in listed]
+    assert found == [{"b": 2, "a": 1}, {}, {"é": 1, "a": 1}, {}]
+    assert lm._listed(lm.pa.array([], lm.pa.binary()), np.array([], np.int64), 2).to_pylist() == [[], []]
