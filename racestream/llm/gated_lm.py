@@ -57,7 +57,7 @@ LANES, WINDOW = 384, 64
 #: States whose classes are weighed at a time, so that the numbers stay in the processor's cache.
 SLICE = 2048
 #: Memory that a worker keeps between windows, about; never touched, so it costs none by itself.
-KEPT_BYTES = 30 << 20
+KEPT_BYTES = 16 << 20
 #: Logits without their biases stay within this, so that their exponentials need no shift; those of steeper weights have one.
 STEEP = 60.0
 #: Bytes of text, and one text more, whose tokens a worker holds at a time.
@@ -125,6 +125,7 @@ class Vocabulary:
     def __post_init__(self) -> None:
         self.rank = {token: i for i, token in enumerate(self.tokens)}
         self.as_array = pa.array(self.tokens, pa.binary())
+        self.end = self.rank.get(END.encode())
         self.others = len(self.tokens)  # the rank of all further tokens
         ranks = np.arange(self.others + 1)
         covering = int(np.searchsorted(np.cumsum(self.counts), COVERAGE * self.total)) + 1
@@ -157,6 +158,10 @@ class Vocabulary:
         self.base = np.append(np.log10(smoothed), 0.0)
         self.known = np.append(self.counts > 0, False)
 
+    def __getstate__(self) -> dict:
+        """Tasks look tokens up by ``ids``; the Python objects of all of them stay where they were made."""
+        return {name: value for name, value in vars(self).items() if name not in ("tokens", "rank")}
+
     def ids(self, tokens: list[bytes] | pa.Array) -> np.ndarray:
         found = pc.index_in(pa.array(tokens, pa.binary()), value_set=self.as_array)
         return found.fill_null(self.others).to_numpy()
@@ -369,7 +374,7 @@ def score(w: Weights, v: Vocabulary, texts: list[np.ndarray], lanes: int = LANES
     _keep_freed()
     order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
     sums = np.zeros(len(texts))
-    laid = Lanes((texts[i] for i in order), lanes, v.rank[END.encode()], WINDOW, LANES * WINDOW)
+    laid = Lanes((texts[i] for i in order), lanes, v.end, WINDOW, LANES * WINDOW)
     outputs = Outputs(w, v)
     h = np.zeros((HIDDEN, len(laid.kept)), np.float32)
     while len(laid.x):
@@ -394,7 +399,7 @@ def train(w: Weights, v: Vocabulary, texts: Iterable[np.ndarray], rate: float =
     w = {name: value.copy() for name, value in w.items()}
     moments = {name: (np.zeros_like(value), np.zeros_like(value)) for name, value in w.items()}
     sums: Weights = {}
-    laid = Lanes(texts, TRAIN_LANES, v.rank[END.encode()], TRAIN_WINDOW, STEP_TOKENS)
+    laid = Lanes(texts, TRAIN_LANES, v.end, TRAIN_WINDOW, STEP_TOKENS)
     h = np.zeros((HIDDEN, len(laid.kept)), np.float32)
     outputs = Outputs(w, v)
     step = tokens = held = 0
@@ -703,21 +708,22 @@ def _first_pass(documents: DataFrame, v: Vocabulary, weights: Weights) -> DataFr
         row_id = TaskContext.get().partitionId() << 40
         for part in (part for batch in batches for part in _parts(batch)):
             found, n = part_words(part.column("text"))
-            ids, of = v.ids(found), np.repeat(np.arange(len(n)), n)
-            end = v.rank[END.encode()]
+            ends, flat = np.cumsum(n), v.ids(found)
+            ids, further = np.split(flat, ends[:-1]), np.flatnonzero(flat == v.others)
+            of = np.searchsorted(ends, further, "right")
+            end = v.end
             unit = math.log10(v.total + v.distinct + 1)
-            further = np.flatnonzero(ids == v.others)
             yield pa.RecordBatch.from_pydict(
                 {
                     "row_id": range(row_id, row_id + len(n)),
                     "doc_id": part.column("doc_id"),
                     "held_out": part.column("held_out"),
                     "n_tokens": n + 1,
-                    "n_known": np.bincount(of[v.known[ids]], minlength=len(n)) + int(v.known[end]),
-                    "base_score": np.bincount(of, v.base[ids], len(n)) + v.base[end] - (n + 1) * unit,
-                    "score": score(w, v, np.split(ids, np.cumsum(n)[:-1])),
-                    "n_rest": np.bincount(of[further], minlength=len(n)),
-                    "rest": _listed(found.take(pa.array(further)), of[further], len(n)),
+                    "n_known": [int(v.known[own].sum() + v.known[end]) for own in ids],
+                    "base_score": [float(v.base[own].sum() + v.base[end] - (len(own) + 1) * unit) for own in ids],
+                    "score": score(w, v, ids),
+                    "n_rest": np.bincount(of, minlength=len(n)),
+                    "rest": _listed(found.take(pa.array(further)), of, len(n)),
                 },
                 target,
             )
